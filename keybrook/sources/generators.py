@@ -1,0 +1,48 @@
+"""Seeded test records for the enrichment.
+
+Each generator takes a frame with an ``id`` column, such as ``spark.range(n)``,
+and makes one keyed record per id. The value is a hash of the seed and the id,
+so the same call always gives the same records.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from keybrook.functions.seeded import seeded_below, seeded_choice, seeded_long, seeded_text
+from keybrook.schemas import GENDERS
+
+ID = F.col("id").cast("bigint")
+
+
+def generate_customers(ids: DataFrame, seed: int = 1) -> DataFrame:
+    return _records(
+        ids,
+        name=seeded_text(seed, "name", ID, 10),
+        gender=seeded_choice(seed, "gender", ID, GENDERS),
+        region=seeded_text(seed, "region", ID, 20),
+    )
+
+
+def generate_products(ids: DataFrame, seed: int = 2) -> DataFrame:
+    return _records(
+        ids,
+        name=seeded_text(seed, "name", ID, 10),
+        description=seeded_text(seed, "description", ID, 100),
+        supplier_name=seeded_text(seed, "supplier_name", ID, 20),
+    )
+
+
+def generate_orders(ids: DataFrame, customers: int, products: int, seed: int = 3) -> DataFrame:
+    """Orders of customers ``0..customers-1`` for products ``0..products-1``."""
+    return _records(
+        ids,
+        customer_id=seeded_below(seed, "customer_id", ID, customers),
+        product_id=seeded_below(seed, "product_id", ID, products),
+        time_order_placed_at=seeded_long(seed, "time_order_placed_at", ID),
+    )
+
+
+def _records(ids: DataFrame, **fields: Column) -> DataFrame:
+    value = F.struct(*[column.alias(name) for name, column in fields.items()])
+    return ids.select(ID.alias("key"), value.alias("value"), ID.alias("offset"))
