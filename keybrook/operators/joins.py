@@ -1,45 +1,96 @@
 """Inner join of a record stream with a table, on a key taken from the record.
 
 A table whose measured size is small enough is replicated to every executor,
-and the stream is not shuffled. A larger table is joined by a shuffle, except
-for the few keys that hold a large part of the stream: their table rows are
-replicated (there is at most one per key), so a hot key never meets in one task.
-Both ways give the same rows.
+and the stream is not shuffled. A larger table is joined by a shuffle in which
+keys that hold a large part of the stream are salted: their records spread over
+many tasks, and their table rows (at most one per key) are repeated for each
+salt. Both ways give the same rows, in one pass over the stream.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from keybrook.operators.records import KEY, VALUE, complete_records
+from keybrook.operators.records import complete_records
 
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-# A key with more than this share of the stream is joined on its own. It also
-# bounds the number of such keys, and with it the table rows replicated.
+# A key with more than this share of the stream is salted. It also bounds how
+# many keys are.
 HOT_SHARE = 0.01
 
-_LOOKUP_KEY, _TABLE_KEY, _TABLE_VALUE = "_lookup_key", "_table_key", "_table_value"
+SelectKey = Callable[[Column, Column], Column]
+
+_LOOKUP_KEY, _TABLE_KEY, _TABLE_VALUE, _SALT = (
+    "_lookup_key",
+    "_table_key",
+    "_table_value",
+    "_salt",
+)
+
+
+@dataclass(frozen=True)
+class Distribution:
+    """How a table meets the stream."""
+
+    replicate: bool
+    hot_keys: list = field(default_factory=list)
+
+
+def choose_distributions(
+    stream: DataFrame,
+    lookups: Sequence[tuple[DataFrame, SelectKey]],
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> list[Distribution]:
+    """Decide for several tables at once, from their sizes.
+
+    All tables are measured in one job. If some are too large, one more pass
+    over their keys in the stream finds the hot ones of each. So every
+    ``select_key`` here takes its key from a record of ``stream`` itself.
+    """
+    sizes = measured_bytes([table for table, _ in lookups])
+    large = [index for index, size in enumerate(sizes) if size > max_broadcast_bytes]
+    keys = {
+        f"{_LOOKUP_KEY}{index}": lookups[index][1](F.col("key"), F.col("value"))
+        for index in large
+    }
+    hot = frequent_keys(complete_records(stream).select(
+        *[key.alias(name) for name, key in keys.items()]
+    )) if large else {}
+    return [
+        Distribution(index not in large, hot.get(f"{_LOOKUP_KEY}{index}", []))
+        for index in range(len(sizes))
+    ]
 
 
 def lookup_join(
     stream: DataFrame,
     table: DataFrame,
-    select_key: Callable[[Column, Column], Column],
+    select_key: SelectKey,
     join_values: Callable[[Column, Column], Column],
+    distribution: Distribution | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Look up a table row for each record and join the two values.
 
     ``table`` has one row per ``key``, so no record is multiplied. Records with
     a null key or value, a null looked-up key or no match are dropped. The
-    output keeps the key of the stream.
+    output keeps the key of the stream. Without a ``distribution`` the table is
+    measured here.
     """
-    left, right = _sides(stream, table, select_key)
-    left = left.where(F.col(_LOOKUP_KEY).isNotNull())
-    joined = _join(left, right, "inner", max_broadcast_bytes)
-    return joined.withColumn("value", join_values(VALUE, F.col(_TABLE_VALUE))).select(
+    [distribution] = (
+        [distribution]
+        if distribution
+        else choose_distributions(stream, [(table, select_key)], max_broadcast_bytes)
+    )
+    left = complete_records(stream).withColumn(
+        _LOOKUP_KEY, select_key(F.col("key"), F.col("value"))
+    )
+    joined = _join(left.where(F.col(_LOOKUP_KEY).isNotNull()), table, "inner", distribution)
+    return joined.withColumn("value", join_values(F.col("value"), F.col(_TABLE_VALUE))).select(
         *stream.columns
     )
 
@@ -47,59 +98,81 @@ def lookup_join(
 def unmatched(
     stream: DataFrame,
     table: DataFrame,
-    select_key: Callable[[Column, Column], Column],
+    select_key: SelectKey,
+    distribution: Distribution | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """The complete records that ``lookup_join`` drops for want of a table row."""
-    left, right = _sides(stream, table, select_key)
-    without_key = left.where(F.col(_LOOKUP_KEY).isNull())
-    with_key = left.where(F.col(_LOOKUP_KEY).isNotNull())
-    missing = _join(with_key, right.select(_TABLE_KEY), "left_anti", max_broadcast_bytes)
-    return missing.unionByName(without_key).select(*stream.columns)
-
-
-def _sides(
-    stream: DataFrame, table: DataFrame, select_key: Callable[[Column, Column], Column]
-) -> tuple[DataFrame, DataFrame]:
-    left = complete_records(stream).withColumn(_LOOKUP_KEY, select_key(KEY, VALUE))
-    right = table.select(KEY.alias(_TABLE_KEY), VALUE.alias(_TABLE_VALUE))
-    return left, right
+    table = table.select("key")
+    [distribution] = (
+        [distribution]
+        if distribution
+        else choose_distributions(stream, [(table, select_key)], max_broadcast_bytes)
+    )
+    left = complete_records(stream).withColumn(
+        _LOOKUP_KEY, select_key(F.col("key"), F.col("value"))
+    )
+    return _join(left, table, "left_anti", distribution).select(*stream.columns)
 
 
-def _join(left: DataFrame, right: DataFrame, how: str, max_broadcast_bytes: int) -> DataFrame:
+def _join(left: DataFrame, table: DataFrame, how: str, distribution: Distribution) -> DataFrame:
+    renamed = {"key": _TABLE_KEY, "value": _TABLE_VALUE}
+    right = table.select(*[F.col(name).alias(renamed[name]) for name in table.columns])
     same_key = F.col(_LOOKUP_KEY) == F.col(_TABLE_KEY)
-    if measured_bytes(right) <= max_broadcast_bytes:
+    if distribution.replicate:
         return left.join(F.broadcast(right), same_key, how)
-    hot = frequent_keys(left, _LOOKUP_KEY, HOT_SHARE)
-    if not hot:
-        return left.join(right.hint("merge"), same_key, how)
-    hot_rows = right.where(F.col(_TABLE_KEY).isin(hot))
-    by_replication = left.where(F.col(_LOOKUP_KEY).isin(hot)).join(
-        F.broadcast(hot_rows), same_key, how
-    )
-    by_shuffle = left.where(~F.col(_LOOKUP_KEY).isin(hot)).join(
-        right.where(~F.col(_TABLE_KEY).isin(hot)).hint("merge"), same_key, how
+
+    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A hash of the whole record, so that a task that runs again gives it the
+    # same salt. Records without a looked-up key would also meet in one task.
+    # With the coalesce the salt is known to be not null, and is not tested.
+    hashed = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    record_salt = F.coalesce(hashed, F.lit(0))
+    is_hot = F.col(_LOOKUP_KEY).isNull() | F.col(_LOOKUP_KEY).isin(distribution.hot_keys)
+    salted_left = left.withColumn(_SALT, F.when(is_hot, record_salt).otherwise(0))
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    salted_right = right.withColumn(
+        "_table_salt",
+        F.explode(
+            F.when(F.col(_TABLE_KEY).isin(distribution.hot_keys), all_salts).otherwise(
+                F.array(F.lit(0))
+            )
+        ),
     )
-    return by_replication.unionByName(by_shuffle)
+    same_salt = F.col(_SALT) == F.col("_table_salt")
+    return salted_left.join(salted_right.hint("merge"), same_key & same_salt, how)
 
 
-def frequent_keys(stream: DataFrame, column: str, share: float) -> list:
-    """A list that holds every key with more than ``share`` of all rows.
+def frequent_keys(keys: DataFrame, share: float = HOT_SHARE) -> dict[str, list]:
+    """For each column a list that holds every key with more than ``share`` of the rows.
 
     It may hold some keys that are less frequent, but never more than
     ``1 / share`` entries in all. One pass, no shuffle by key.
     """
-    found = stream.select(column).freqItems([column], share).first()[0]
-    return [key for key in found if key is not None]
+    found = keys.freqItems(keys.columns, share).first()
+    return {
+        name: [key for key in items if key is not None]
+        for name, items in zip(keys.columns, found)
+    }
+
+
+def measured_bytes(tables: Sequence[DataFrame]) -> list[int]:
+    """The sizes of the tables' rows, by reading them all in one job."""
+    sizes = [
+        table.agg(F.coalesce(F.sum(_row_bytes(table.schema)), F.lit(0)).alias("size")).select(
+            F.lit(index).alias("table"), "size"
+        )
+        for index, table in enumerate(tables)
+    ]
+    measured = dict(reduce(DataFrame.union, sizes).collect())
+    return [measured[index] for index in range(len(tables))]
 
 
-def measured_bytes(table: DataFrame) -> int:
-    """The size of a table's rows, by reading them."""
-    row_bytes = sum(
-        (_bytes_of(F.col(f"`{field.name}`"), field.dataType) for field in table.schema),
+def _row_bytes(schema: T.StructType) -> Column:
+    return sum(
+        (_bytes_of(F.col(f"`{field.name}`"), field.dataType) for field in schema),
         start=F.lit(0).cast("bigint"),
     )
-    return table.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
 
 
 def _bytes_of(value: Column, data_type: T.DataType) -> Column:

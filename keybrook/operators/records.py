@@ -11,19 +11,17 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-KEY, VALUE = F.col("key"), F.col("value")
-
 
 def map_values(records: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
     """Change each value and keep its key."""
-    return records.withColumn("value", change(VALUE))
+    return records.withColumn("value", change(F.col("value")))
 
 
 def map_records(
     records: DataFrame, change: Callable[[Column, Column], tuple[Column, Column]]
 ) -> DataFrame:
     """Give each record a new key and a new value, both made from the old pair."""
-    key, value = change(KEY, VALUE)
+    key, value = change(F.col("key"), F.col("value"))
     return records.withColumns({"key": key, "value": value})
 
 
@@ -36,17 +34,17 @@ def flat_map_values(
     stood; together with the offset it is the total order of the new records.
     """
     kept = [name for name in records.columns if name != "value"]
-    return records.select(*kept, F.posexplode(change(VALUE)).alias(position, "value"))
+    return records.select(*kept, F.posexplode(change(F.col("value"))).alias(position, "value"))
 
 
 def rekey(records: DataFrame, select_key: Callable[[Column, Column], Column]) -> DataFrame:
     """Give each record a new key; whatever groups by it next will shuffle."""
-    return records.withColumn("key", select_key(KEY, VALUE))
+    return records.withColumn("key", select_key(F.col("key"), F.col("value")))
 
 
 def complete_records(records: DataFrame) -> DataFrame:
     """Records whose key and value are both present."""
-    return records.where(KEY.isNotNull() & VALUE.isNotNull())
+    return records.where(F.col("key").isNotNull() & F.col("value").isNotNull())
 
 
 def observe_skipped(records: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -59,8 +57,8 @@ def observe_skipped(records: DataFrame, name: str) -> tuple[DataFrame, Observati
     observed = records.observe(
         seen,
         F.count(F.lit(1)).alias("records"),
-        F.count_if(KEY.isNull()).alias("null_keys"),
-        F.count_if(VALUE.isNull()).alias("null_values"),
+        F.count_if(F.col("key").isNull()).alias("null_keys"),
+        F.count_if(F.col("value").isNull()).alias("null_values"),
     )
     return observed, seen
 
@@ -78,7 +76,7 @@ def fan_out(
     """
     outputs = []
     for topic, change in branches.items():
-        key, value = change(KEY, VALUE)
+        key, value = change(F.col("key"), F.col("value"))
         outputs.append(
             F.struct(F.lit(topic).alias("topic"), key.alias("key"), value.alias("value"))
         )

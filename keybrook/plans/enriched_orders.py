@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from keybrook.operators.joins import MAX_BROADCAST_BYTES, lookup_join
+from keybrook.operators.joins import MAX_BROADCAST_BYTES, choose_distributions, lookup_join
 from keybrook.streaming.sinks import write_each_batch
 
 
@@ -22,12 +22,20 @@ def enrich_orders(
     ``customers`` and ``products`` are tables with one row per key, as
     ``latest_by_key`` gives.
     """
+    by_customer, by_product = choose_distributions(
+        orders,
+        [
+            (customers, lambda key, order: order["customer_id"]),
+            (products, lambda key, order: order["product_id"]),
+        ],
+        max_broadcast_bytes,
+    )
     with_customer = lookup_join(
         orders,
         customers,
         lambda key, order: order["customer_id"],
         lambda order, customer: F.struct(customer.alias("customer"), order.alias("order")),
-        max_broadcast_bytes,
+        by_customer,
     )
     return lookup_join(
         with_customer,
@@ -38,7 +46,7 @@ def enrich_orders(
             value["customer"].alias("customer"),
             value["order"].alias("order"),
         ),
-        max_broadcast_bytes,
+        by_product,
     )
 
 

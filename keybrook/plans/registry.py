@@ -41,6 +41,7 @@ from keybrook.schemas import (
 )
 from keybrook.session import shared_folder
 from keybrook.sources.generators import generate_customers, generate_orders, generate_products
+from keybrook.sources.lines import spread_over_cores
 from keybrook.sources.sample_feeds import (
     DOCUMENTS,
     EVENTS,
@@ -170,6 +171,33 @@ def unmatched_orders_large_table(spark: SparkSession, folder: str) -> DataFrame:
     return _unmatched(spark, folder, max_broadcast_bytes=0)
 
 
+@query("""
+    SELECT l_orderkey AS order_id,
+           p_name AS product_name, p_type AS product_description,
+           p_brand AS product_supplier_name,
+           c_name AS customer_name, c_mktsegment AS customer_gender,
+           CAST(c_nationkey AS VARCHAR) AS customer_region,
+           o_custkey AS order_customer_id, l_partkey AS order_product_id,
+           epoch_us(o_orderdate) AS order_time_order_placed_at
+    FROM lineitem
+    JOIN orders ON l_orderkey = o_orderkey
+    JOIN customer ON o_custkey = c_custkey
+    JOIN part ON l_partkey = p_partkey
+""")
+def enriched_orders_plain_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables that have one row per key already, and need no newest value."""
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("key"),
+        F.struct(
+            F.col("c_name").alias("name"),
+            F.col("c_mktsegment").alias("gender"),
+            F.col("c_nationkey").cast("string").alias("region"),
+        ).alias("value"),
+    )
+    products = product_feed(spark, folder).select("key", "value")
+    return flatten(enrich_orders(order_feed(spark, folder), customers, products))
+
+
 # ---- tables ----
 
 _LATEST = """
@@ -244,9 +272,15 @@ def _changelog(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("offset").alias("doc_id"), "pos", F.col("key").alias("word"), "count")
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_over_cores(document_lines(table(spark, folder, "documents")))
+
+
 def _conversation_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "conversations").select(
-        "conv_id", "turn", F.col("text").alias("value")
+    return spread_over_cores(
+        table(spark, folder, "conversations").select(
+            "conv_id", "turn", F.col("text").alias("value")
+        )
     )
 
 
@@ -261,7 +295,7 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_word_count_sql("documents", "doc_id"))
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _counts(word_counts(document_lines(table(spark, folder, "documents"))))
+    return _counts(word_counts(_documents(spark, folder)))
 
 
 @query(_word_count_sql("conversations", "conv_id, turn"))
@@ -271,14 +305,13 @@ def word_count_conversations(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_WORD_CHANGELOG)
 def running_word_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _changelog(word_changelog(document_lines(table(spark, folder, "documents"))))
+    return _changelog(word_changelog(_documents(spark, folder)))
 
 
 @query(_WORD_CHANGELOG)
 def running_word_count_in_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Blocks far smaller than usual, as a large input would have many."""
-    lines = document_lines(table(spark, folder, "documents"))
-    return _changelog(word_changelog(lines, rows_per_block=50))
+    return _changelog(word_changelog(_documents(spark, folder), rows_per_block=50))
 
 
 _EVENT_CHANGELOG = """

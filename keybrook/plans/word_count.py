@@ -7,23 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from keybrook.functions.text import words
+from keybrook.functions.text import split_text, without_trailing_empty
 from keybrook.operators.changelog import ROWS_PER_BLOCK, running_count
-from keybrook.operators.records import flat_map_values, rekey
 from keybrook.operators.tables import count_by_key, latest_by_key
 from keybrook.streaming.changelog import read_changelog, start_running_count
 from keybrook.streaming.sinks import BATCH, read_batches, write_each_batch
 
 
 def keyed_words(lines: DataFrame) -> DataFrame:
-    """One record per word: the word as key, its place in the line as ``pos``."""
-    split = flat_map_values(lines, words)
-    return rekey(split, lambda key, word: word).drop("value")
+    """One record per word: the word as ``key``, its place in the line as ``pos``.
+
+    The other columns of the line are kept, save its own key and value.
+    """
+    kept = [name for name in lines.columns if name not in ("key", "value")]
+    split = lines.select(*kept, split_text(F.col("value")).alias("parts"))
+    return split.select(
+        *kept, F.posexplode(without_trailing_empty(F.col("parts"))).alias("pos", "key")
+    )
 
 
 def word_counts(lines: DataFrame) -> DataFrame:
     """``key`` (the word) and ``count``, over all lines."""
-    return count_by_key(lines.select(F.explode(words(F.col("value"))).alias("key")))
+    split = lines.select(split_text(F.col("value")).alias("parts"))
+    return count_by_key(
+        split.select(F.explode(without_trailing_empty(F.col("parts"))).alias("key"))
+    )
 
 
 def word_changelog(

@@ -20,5 +20,18 @@ def stream_lines(
     return _as_records(reader.text(path))
 
 
+def spread_over_cores(lines: DataFrame) -> DataFrame:
+    """Spread an input of few splits over all cores, before costly work on its text.
+
+    A split holds at most ``spark.sql.files.maxPartitionBytes`` of a file, so an
+    input that has fewer splits than half of the cores moves at most that much
+    per core. Inputs with more splits, and so all large ones, stay as they are.
+    """
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() * 2 > cores:
+        return lines
+    return lines.repartition(cores)
+
+
 def _as_records(lines: DataFrame) -> DataFrame:
     return lines.select(F.lit(None).cast("string").alias("key"), F.col("value"))

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keybrook.operators.changelog import ROWS_PER_BLOCK, running_count
 from keybrook.operators.tables import count_by_key
+from keybrook.sources.lines import spread_over_cores
 from keybrook.streaming.sinks import batch_folder, read_batches, start
 from keybrook.streaming.tables import table_of_counts
 
@@ -35,7 +36,7 @@ def start_running_count(
     totals = table_of_counts(spark, f"{root}/totals")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = spread_over_cores(batch).persist()
         try:
             running_count(
                 batch,
