@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keybrook.operators.joins import MAX_BROADCAST_BYTES, choose_distributions, lookup_join
-from keybrook.streaming.sinks import write_each_batch
+from keybrook.schemas import ENRICHED_ORDER
+from keybrook.streaming.sinks import Sink, read_batches, write_each_batch
 
 
 def enrich_orders(
@@ -66,7 +67,7 @@ def start_enriched_orders(
     orders: DataFrame,
     customers: Callable[[], DataFrame],
     products: Callable[[], DataFrame],
-    root: str,
+    sink: Sink,
     checkpoint: str,
     name: str = "enriched-orders",
     once: bool = False,
@@ -76,10 +77,23 @@ def start_enriched_orders(
 
     A static frame would keep the list of files it had at the start, so the
     tables are given as functions and read once per micro-batch. A later change
-    of a table does not emit earlier orders again.
+    of a table does not emit earlier orders again. For a table with a long
+    history of upserts give ``present_rows`` of a ``ContinuousTable``.
     """
 
-    def enrich(batch: DataFrame, batch_id: int) -> DataFrame:
-        return enrich_orders(batch, customers(), products(), max_broadcast_bytes)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Both are read twice, to be measured and to be joined.
+        kept = [table().persist() for table in (customers, products)]
+        try:
+            sink(enrich_orders(batch, *kept, max_broadcast_bytes), batch_id)
+        finally:
+            for table in kept:
+                table.unpersist()
 
-    return write_each_batch(orders, root, name, checkpoint, once, enrich)
+    return write_each_batch(orders, write, name, checkpoint, once)
+
+
+def read_enriched_orders(spark: SparkSession, root: str) -> DataFrame:
+    """All that ``start_enriched_orders`` wrote to the sink ``to_folders``."""
+    schema = f"key bigint, value {ENRICHED_ORDER.simpleString()}"
+    return read_batches(spark, root, schema).select("key", "value")

@@ -17,7 +17,12 @@ from keybrook.operators.checks import check_records
 from keybrook.operators.joins import unmatched
 from keybrook.operators.records import complete_records, flat_map_values
 from keybrook.operators.tables import latest_by_key, named_table, stored_table
-from keybrook.plans.enriched_orders import enrich_orders, flatten, start_enriched_orders
+from keybrook.plans.enriched_orders import (
+    enrich_orders,
+    flatten,
+    read_enriched_orders,
+    start_enriched_orders,
+)
 from keybrook.plans.mail_rewrite import (
     both_topics,
     new_mail,
@@ -36,6 +41,7 @@ from keybrook.schemas import (
     CUSTOMER_STORE,
     NEW_MAIL_TOPIC,
     ORDER,
+    ORDER_TOPIC,
     ORIGINAL_AND_NEW_MAIL_TOPIC,
     SYMBOLS,
 )
@@ -59,12 +65,13 @@ from keybrook.sources.topics import (
     drain,
     from_envelope,
     read_topic,
-    stream_topic,
+    stream_records,
     to_envelope,
+    write_records,
     write_topic,
 )
 from keybrook.streaming.changelog import read_changelog, start_running_count
-from keybrook.streaming.sinks import read_batches
+from keybrook.streaming.sinks import to_folders
 from keybrook.streaming.tables import maintain, present_rows, table_of_upserts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,13 +81,12 @@ ORACLES: dict[str, str] = {}
 SEARCH, REPLACEMENT = "example", "sample"
 
 
-def query(sql: str | None = None):
-    """Register a query under its function name, with its SQL if it has one."""
+def query(name: str, sql: str):
+    """Register a query and the SQL that gives the same rows."""
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[build.__name__] = build
-        if sql is not None:
-            ORACLES[build.__name__] = sql
+        QUERIES[name] = build
+        ORACLES[name] = sql
         return build
 
     return register
@@ -107,7 +113,7 @@ _ENRICHED_TABLES = """
 _ENRICHED = f"SELECT {_ENRICHED_FIELDS} FROM {_ENRICHED_TABLES}"
 
 
-@query(_ENRICHED)
+@query("enriched_orders", _ENRICHED)
 def enriched_orders(spark: SparkSession, folder: str) -> DataFrame:
     return flatten(
         enrich_orders(
@@ -118,7 +124,7 @@ def enriched_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(_ENRICHED)
+@query("enriched_orders_large_tables", _ENRICHED)
 def enriched_orders_large_tables(spark: SparkSession, folder: str) -> DataFrame:
     """The way taken when the tables are too large to replicate."""
     return flatten(
@@ -131,7 +137,7 @@ def enriched_orders_large_tables(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(_ENRICHED + " WHERE c_acctbal >= 0")
+@query("enriched_orders_drops", _ENRICHED + " WHERE c_acctbal >= 0")
 def enriched_orders_drops(spark: SparkSession, folder: str) -> DataFrame:
     return flatten(
         enrich_orders(
@@ -161,17 +167,17 @@ def _unmatched(spark: SparkSession, folder: str, **options) -> DataFrame:
     return missing.select(F.col("key").alias("order_id"), "value.customer_id", "value.product_id")
 
 
-@query(_UNMATCHED)
+@query("unmatched_orders", _UNMATCHED)
 def unmatched_orders(spark: SparkSession, folder: str) -> DataFrame:
     return _unmatched(spark, folder)
 
 
-@query(_UNMATCHED)
+@query("unmatched_orders_large_table", _UNMATCHED)
 def unmatched_orders_large_table(spark: SparkSession, folder: str) -> DataFrame:
     return _unmatched(spark, folder, max_broadcast_bytes=0)
 
 
-@query("""
+@query("enriched_orders_plain_tables", """
     SELECT l_orderkey AS order_id,
            p_name AS product_name, p_type AS product_description,
            p_brand AS product_supplier_name,
@@ -212,18 +218,18 @@ def _user_rows(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("key").alias("user_id"), "value.event_type", "value.amount")
 
 
-@query(_LATEST)
+@query("latest_by_key", _LATEST)
 def latest_per_user(spark: SparkSession, folder: str) -> DataFrame:
     return _user_rows(latest_by_key(user_upserts(table(spark, folder, "events"))))
 
 
-@query(_LATEST)
+@query("table_rekeyed_view", _LATEST)
 def table_by_name(spark: SparkSession, folder: str) -> DataFrame:
     rows = latest_by_key(user_upserts(table(spark, folder, "events")))
     return _user_rows(named_table(rows, CUSTOMER_STORE))
 
 
-@query(_LATEST)
+@query("table_stored_by_name", _LATEST)
 def table_stored_by_name(spark: SparkSession, folder: str) -> DataFrame:
     rows = latest_by_key(user_upserts(table(spark, folder, "events")))
     return _user_rows(stored_table(rows, "user-store", shared_folder(spark, "tables")))
@@ -284,7 +290,7 @@ def _conversation_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
+@query("tokenize",
     "SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, word FROM "
     f"({_words_sql('conversations', 'conv_id, turn')})"
 )
@@ -293,22 +299,22 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
     return split.withColumnRenamed("value", "word")
 
 
-@query(_word_count_sql("documents", "doc_id"))
+@query("word_count", _word_count_sql("documents", "doc_id"))
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
     return _counts(word_counts(_documents(spark, folder)))
 
 
-@query(_word_count_sql("conversations", "conv_id, turn"))
+@query("word_count_lines", _word_count_sql("conversations", "conv_id, turn"))
 def word_count_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return _counts(word_counts(_conversation_lines(spark, folder)))
 
 
-@query(_WORD_CHANGELOG)
+@query("running_count", _WORD_CHANGELOG)
 def running_word_count(spark: SparkSession, folder: str) -> DataFrame:
     return _changelog(word_changelog(_documents(spark, folder)))
 
 
-@query(_WORD_CHANGELOG)
+@query("running_count_blocks", _WORD_CHANGELOG)
 def running_word_count_in_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Blocks far smaller than usual, as a large input would have many."""
     return _changelog(word_changelog(_documents(spark, folder), rows_per_block=50))
@@ -321,7 +327,7 @@ _EVENT_CHANGELOG = """
 """
 
 
-@query(_EVENT_CHANGELOG)
+@query("running_count_events", _EVENT_CHANGELOG)
 def running_event_count(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         F.col("event_type").alias("key"), "event_id"
@@ -334,7 +340,7 @@ def running_event_count(spark: SparkSession, folder: str) -> DataFrame:
 _REPLACED = f"replace(url, '{SEARCH}', '{REPLACEMENT}')"
 
 
-@query(f"SELECT page_id, {_REPLACED} AS url FROM pages")
+@query("map_values", f"SELECT page_id, {_REPLACED} AS url FROM pages")
 def map_values(spark: SparkSession, folder: str) -> DataFrame:
     mail = mail_feed(table(spark, folder, "pages"))
     return new_mail(mail, SEARCH, REPLACEMENT).select(
@@ -342,7 +348,7 @@ def map_values(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(f"SELECT url AS original, {_REPLACED} AS rewritten FROM pages")
+@query("map_records", f"SELECT url AS original, {_REPLACED} AS rewritten FROM pages")
 def map_records(spark: SparkSession, folder: str) -> DataFrame:
     mail = mail_feed(table(spark, folder, "pages"))
     return original_and_new_mail(mail, SEARCH, REPLACEMENT).select(
@@ -373,13 +379,13 @@ def _both_topics(records: DataFrame) -> DataFrame:
     )
 
 
-@query(_BOTH_TOPICS)
+@query("fan_out", _BOTH_TOPICS)
 def fan_out(spark: SparkSession, folder: str) -> DataFrame:
     mail = _mail_with_bytes(table(spark, folder, "pages"))
     return _both_topics(both_topics(mail, SEARCH, REPLACEMENT))
 
 
-@query("""
+@query("skip_null_records", """
     SELECT event_id, event_type, value AS amount FROM events
     WHERE event_type <> 'error' AND value >= 1
 """)
@@ -397,7 +403,7 @@ def skip_null_records(spark: SparkSession, folder: str) -> DataFrame:
 # ---- topics ----
 
 
-@query("""
+@query("bounded_drain", """
     SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 100
 """)
 def bounded_drain(spark: SparkSession, folder: str) -> DataFrame:
@@ -407,7 +413,7 @@ def bounded_drain(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("""
+@query("long_key_codec", """
     SELECT o_orderkey AS order_id, printf('%016X', o_orderkey) AS key_hex,
            hex(o_orderstatus) AS value_hex
     FROM orders
@@ -425,7 +431,7 @@ def key_value_codecs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("""
+@query("topic_round_trip", """
     SELECT l_orderkey AS order_id, o_custkey AS customer_id, l_partkey AS product_id,
            epoch_us(o_orderdate) AS time_order_placed_at
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -433,8 +439,8 @@ def key_value_codecs(spark: SparkSession, folder: str) -> DataFrame:
 def topic_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written to a topic as bytes, read back and decoded."""
     root = shared_folder(spark, "topics")
-    write_topic(to_envelope(order_feed(spark, folder), "order", "long", ORDER), root)
-    orders = from_envelope(read_topic(spark, root, "order"), "long", ORDER)
+    write_topic(to_envelope(order_feed(spark, folder), ORDER_TOPIC, "long", ORDER), root)
+    orders = from_envelope(read_topic(spark, root, ORDER_TOPIC), "long", ORDER)
     return orders.select(F.col("key").alias("order_id"), "value.*")
 
 
@@ -500,25 +506,25 @@ def _generated_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(_CUSTOMERS_SQL)
+@query("generate_customers", _CUSTOMERS_SQL)
 def generated_customers(spark: SparkSession, folder: str) -> DataFrame:
     rows = generate_customers(_ids(spark, folder, "customer", "c_custkey"))
     return rows.select(F.col("key").alias("customer_id"), "value.*")
 
 
-@query(_PRODUCTS_SQL)
+@query("generate_products", _PRODUCTS_SQL)
 def generated_products(spark: SparkSession, folder: str) -> DataFrame:
     rows = generate_products(_ids(spark, folder, "part", "p_partkey"))
     return rows.select(F.col("key").alias("product_id"), "value.*")
 
 
-@query(_ORDERS_SQL)
+@query("generate_orders", _ORDERS_SQL)
 def generated_orders(spark: SparkSession, folder: str) -> DataFrame:
     rows = _generated_orders(spark, folder)
     return rows.select(F.col("key").alias("order_id"), "value.*")
 
 
-@query(f"""
+@query("generate_and_enrich", f"""
     SELECT o.order_id,
            p.name AS product_name, p.description AS product_description,
            p.supplier_name AS product_supplier_name,
@@ -548,45 +554,67 @@ _CHECKED_ORDER = T.StructType([
 ])
 
 
-@query("""
+def _checked_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders, some without a price or a status, against a contract."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_totalprice") >= 100000, F.col("o_totalprice")).alias("price"),
+    )
+    return check_records(orders, _CHECKED_ORDER)
+
+
+@query("required_fields", """
     SELECT o_orderkey AS order_id,
            CASE WHEN o_totalprice < 100000 AND o_orderpriority = '1-URGENT' THEN 'status,price'
                 WHEN o_totalprice < 100000 THEN 'price'
                 WHEN o_orderpriority = '1-URGENT' THEN 'status'
-                ELSE '' END AS missing,
+                ELSE '' END AS missing
+    FROM orders
+""")
+def required_fields(spark: SparkSession, folder: str) -> DataFrame:
+    return _checked_orders(spark, folder).select(
+        "order_id", F.array_join("missing", ",").alias("missing")
+    )
+
+
+@query("enum_domain", """
+    SELECT o_orderkey AS order_id,
            CASE WHEN o_orderpriority <> '1-URGENT' AND o_orderstatus NOT IN ('F', 'O')
-                THEN 'status' ELSE '' END AS unknown,
-           o_totalprice >= 100000 AND o_orderpriority <> '1-URGENT'
-               AND o_orderstatus IN ('F', 'O') AS accepted
+                THEN 'status' ELSE '' END AS unknown
     FROM orders
 """)
-def contract_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders, some without a price or a status, against a contract."""
-    orders = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus")).alias("status"),
-        F.when(F.col("o_totalprice") >= 100000, F.col("o_totalprice")).alias("price"),
+def enum_domain(spark: SparkSession, folder: str) -> DataFrame:
+    return _checked_orders(spark, folder).select(
+        "order_id", F.array_join("unknown", ",").alias("unknown")
     )
-    return check_records(orders, _CHECKED_ORDER).select(
-        "order_id",
-        F.array_join("missing", ",").alias("missing"),
-        F.array_join("unknown", ",").alias("unknown"),
-        "accepted",
+
+
+@query("accepted_records", """
+    SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS price,
+           o_totalprice >= 100000 AND o_orderstatus IN ('F', 'O') AS accepted
+    FROM orders WHERE o_orderpriority <> '1-URGENT' AND o_totalprice >= 100000
+""")
+def accepted_records(spark: SparkSession, folder: str) -> DataFrame:
+    return _checked_orders(spark, folder).where(F.size("missing") == 0).select(
+        "order_id", "status", "price", "accepted"
     )
 
 
 # ---- streaming twins: all that is in the files now, then the query stops ----
 
 
-@query(_word_count_sql("documents", "doc_id"))
+@query("stream_word_count", _word_count_sql("documents", "doc_id"))
 def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "word-count")
     lines = document_lines(stream_table(spark, folder, "documents", DOCUMENTS))
-    start_word_counts(lines, f"{work}/out", f"{work}/checkpoint", once=True).awaitTermination()
+    start_word_counts(
+        lines, to_folders(f"{work}/out"), f"{work}/checkpoint", once=True
+    ).awaitTermination()
     return _counts(read_word_counts(spark, f"{work}/out"))
 
 
-@query(_WORD_CHANGELOG)
+@query("stream_running_count_words", _WORD_CHANGELOG)
 def stream_running_word_count(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "word-changelog")
     lines = document_lines(stream_table(spark, folder, "documents", DOCUMENTS))
@@ -596,7 +624,7 @@ def stream_running_word_count(spark: SparkSession, folder: str) -> DataFrame:
     return _changelog(read_word_changelog(spark, f"{work}/out", "offset bigint"))
 
 
-@query(_EVENT_CHANGELOG)
+@query("stream_running_count", _EVENT_CHANGELOG)
 def stream_running_event_count(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "event-changelog")
     events = stream_table(spark, folder, "events", EVENTS).select(
@@ -614,7 +642,7 @@ def stream_running_event_count(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", F.col("key").alias("event_type"), "count")
 
 
-@query(_LATEST)
+@query("stream_latest_by_key", _LATEST)
 def stream_latest_per_user(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "user-table")
     upserts = user_upserts(stream_table(spark, folder, "events", EVENTS))
@@ -625,31 +653,23 @@ def stream_latest_per_user(spark: SparkSession, folder: str) -> DataFrame:
     return _user_rows(present_rows(users))
 
 
-@query(_ENRICHED)
+@query("stream_enriched", _ENRICHED)
 def stream_enriched_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders from a topic folder, joined with the tables as they are per batch."""
+    """Orders from a folder of typed records, joined with the tables as they are per batch."""
     work = shared_folder(spark, "enriched-orders")
-    orders_topic = f"{work}/topics"
-    write_topic(to_envelope(order_feed(spark, folder), "order", "long", ORDER), orders_topic)
-    orders = from_envelope(stream_topic(spark, orders_topic, "order"), "long", ORDER)
+    write_records(order_feed(spark, folder), f"{work}/in", ORDER_TOPIC)
     start_enriched_orders(
-        orders.select("key", "value"),
+        stream_records(spark, f"{work}/in", ORDER_TOPIC, f"key bigint, value {ORDER.simpleString()}"),
         lambda: latest_by_key(customer_feed(spark, folder)),
         lambda: latest_by_key(product_feed(spark, folder)),
-        f"{work}/out",
+        to_folders(f"{work}/out"),
         f"{work}/checkpoint",
         once=True,
     ).awaitTermination()
-    schema = (
-        "key bigint, value struct<product: struct<name: string, description: string, "
-        "supplier_name: string>, customer: struct<name: string, gender: string, "
-        "region: string>, order: struct<customer_id: bigint, product_id: bigint, "
-        "time_order_placed_at: bigint>>"
-    )
-    return flatten(read_batches(spark, f"{work}/out", schema))
+    return flatten(read_enriched_orders(spark, f"{work}/out"))
 
 
-@query(_BOTH_TOPICS)
+@query("stream_fan_out", _BOTH_TOPICS)
 def stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "mail-rewrite")
     mail = _mail_with_bytes(stream_table(spark, folder, "pages", PAGES))

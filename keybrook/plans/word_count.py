@@ -11,7 +11,7 @@ from keybrook.functions.text import split_text, without_trailing_empty
 from keybrook.operators.changelog import ROWS_PER_BLOCK, running_count
 from keybrook.operators.tables import count_by_key, latest_by_key
 from keybrook.streaming.changelog import read_changelog, start_running_count
-from keybrook.streaming.sinks import BATCH, read_batches, write_each_batch
+from keybrook.streaming.sinks import BATCH, Sink, read_batches, write_each_batch
 
 
 def keyed_words(lines: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def word_changelog(
 
 
 def start_word_counts(
-    lines: DataFrame, root: str, checkpoint: str, name: str = "word-count", once: bool = False
+    lines: DataFrame, sink: Sink, checkpoint: str, name: str = "word-count", once: bool = False
 ) -> StreamingQuery:
     """Keep counting. Each micro-batch emits the new count of each word it holds.
 
@@ -62,12 +62,12 @@ def start_word_counts(
     applications on the same lines.
     """
     return write_each_batch(
-        word_counts(lines), root, name, checkpoint, once, output_mode="update"
+        word_counts(lines), sink, name, checkpoint, once, output_mode="update"
     )
 
 
 def read_word_counts(spark: SparkSession, root: str) -> DataFrame:
-    """The table as of the last micro-batch of ``start_word_counts``."""
+    """The table as of the last micro-batch that ``to_folders`` wrote."""
     emitted = read_batches(spark, root, "key string, count bigint")
     newest = latest_by_key(emitted.withColumnRenamed("count", "value"), order=BATCH)
     return newest.withColumnRenamed("value", "count")
@@ -87,6 +87,7 @@ def start_word_changelog(
     once: bool = False,
     order_by: Sequence[str] = ("offset",),
     rows_per_block: int = ROWS_PER_BLOCK,
+    sink: Sink | None = None,
 ) -> StreamingQuery:
     """Emit one record per word read, with the word's count so far."""
     return start_running_count(
@@ -99,6 +100,7 @@ def start_word_changelog(
         split=keyed_words,
         split_order=["pos"],
         rows_per_block=rows_per_block,
+        sink=sink,
     )
 
 

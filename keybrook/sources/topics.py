@@ -3,12 +3,14 @@
 A topic is a Kafka topic, where the Kafka connector is on the class path, or a
 folder ``<root>/topic=<name>`` of Parquet files. Readers return the envelope;
 ``from_envelope`` types it.
+
+Between Spark jobs, ``write_records`` and its readers keep the records typed:
+nothing is encoded, and a reader fetches only the fields it uses.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from keybrook.functions.codecs import Codec, decode, encode
 from keybrook.schemas import ENVELOPE
@@ -67,12 +69,34 @@ def stream_topic(
     spark: SparkSession, root: str, topic: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """A folder topic as a stream: first what is there, then what arrives."""
-    reader: DataStreamReader = spark.readStream.schema(_stored())
+    reader = spark.readStream.schema(_stored())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return _with_topic(reader.parquet(_folder(root, topic)), topic)
 
 
+def write_records(records: DataFrame, root: str, topic: str) -> None:
+    """Append typed records to a folder, with whatever columns they have."""
+    records.write.mode("append").parquet(_folder(root, topic))
+
+
+def read_records(spark: SparkSession, root: str, topic: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(_folder(root, topic))
+
+
+def stream_records(
+    spark: SparkSession,
+    root: str,
+    topic: str,
+    schema: str,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(_folder(root, topic))
+
+
 def read_kafka(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """All records of a Kafka topic, from the start to its present end."""
     return spark.read.format("kafka").options(**_kafka(servers, topic), **options).load()
@@ -103,8 +127,8 @@ def drain(topic: DataFrame, count: int) -> DataFrame:
     return topic.orderBy(*order).limit(count)
 
 
-def _stored():
-    return type(ENVELOPE)([field for field in ENVELOPE if field.name != "topic"])
+def _stored() -> T.StructType:
+    return T.StructType([field for field in ENVELOPE if field.name != "topic"])
 
 
 def _folder(root: str, topic: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from keybrook.operators.changelog import ROWS_PER_BLOCK, running_count
 from keybrook.operators.tables import count_by_key
 from keybrook.sources.lines import spread_over_cores
-from keybrook.streaming.sinks import batch_folder, read_batches, start
+from keybrook.streaming.sinks import Sink, read_batches, to_folders, write_each_batch
 from keybrook.streaming.tables import table_of_counts
 
 
@@ -24,34 +24,37 @@ def start_running_count(
     split: Callable[[DataFrame], DataFrame] | None = None,
     split_order: Sequence[str] = (),
     rows_per_block: int = ROWS_PER_BLOCK,
+    sink: Sink | None = None,
 ) -> StreamingQuery:
     """Emit each record with the count of its key so far.
 
     Inside a micro-batch this is ``running_count``, which spreads a hot key over
     many tasks; a stateful processor would get all records of a key in one. The
-    counts of earlier batches are kept in a table beside the output. ``order_by``
-    orders the records of a micro-batch; batches follow each other.
+    counts of earlier batches are kept in a table below ``root``, and so is the
+    output unless a ``sink`` is given. ``order_by`` orders the records of a
+    micro-batch; batches follow each other.
     """
     spark = records.sparkSession
     totals = table_of_counts(spark, f"{root}/totals")
+    sink = sink or to_folders(f"{root}/changelog")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = spread_over_cores(batch).persist()
         try:
-            running_count(
+            log = running_count(
                 batch,
                 order_by,
                 split=split,
                 split_order=split_order,
                 before=totals.before(batch_id),
                 rows_per_block=rows_per_block,
-            ).write.mode("overwrite").parquet(batch_folder(f"{root}/changelog", batch_id))
+            )
+            sink(log, batch_id)
             totals.put(batch_id, count_by_key(split(batch) if split else batch))
         finally:
             batch.unpersist()
 
-    writer = records.writeStream.foreachBatch(write).outputMode("append")
-    return start(writer, spark, name, checkpoint, once)
+    return write_each_batch(records, write, name, checkpoint, once)
 
 
 def read_changelog(spark: SparkSession, root: str, schema: str) -> DataFrame:

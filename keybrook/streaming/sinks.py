@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from keybrook.functions.codecs import Codec
 from keybrook.session import STATE_STORE_CONF, session_conf
+from keybrook.sources.topics import to_envelope, write_kafka
+
+# Takes the rows of a micro-batch and its number.
+Sink = Callable[[DataFrame, int], None]
 
 BATCH = "batch_id"
 COMMIT_INTERVAL = "10 seconds"
@@ -62,25 +67,49 @@ def show_records(
 
 def write_each_batch(
     stream: DataFrame,
-    root: str,
+    sink: Sink,
     name: str,
     checkpoint: str,
     once: bool = False,
-    transform: Callable[[DataFrame, int], DataFrame] | None = None,
     output_mode: str = "append",
 ) -> StreamingQuery:
-    """Write what ``transform`` makes of each micro-batch to a folder of its own.
+    """Hand each micro-batch to a sink."""
+    writer = stream.writeStream.foreachBatch(sink).outputMode(output_mode)
+    return start(writer, stream.sparkSession, name, checkpoint, once)
+
+
+def to_folders(root: str) -> Sink:
+    """Write each micro-batch, as it is, to a folder named by its number.
 
-    The folder is named by the batch number. A batch that is run again after a
-    failure replaces its folder, so its records appear once.
+    A batch that is run again after a failure replaces its folder, so its
+    records appear once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = transform(batch, batch_id) if transform else batch
-        result.write.mode("overwrite").parquet(batch_folder(root, batch_id))
+        batch.write.mode("overwrite").parquet(batch_folder(root, batch_id))
 
-    writer = stream.writeStream.foreachBatch(write).outputMode(output_mode)
-    return start(writer, stream.sparkSession, name, checkpoint, once)
+    return write
+
+
+def to_topic_folder(
+    root: str, topic: str, application: str, key_codec: Codec, value_codec: Codec
+) -> Sink:
+    """Write each micro-batch to a folder topic that several applications may share."""
+    folders = to_folders(f"{root.rstrip('/')}/topic={topic}/application={application}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folders(to_envelope(batch, topic, key_codec, value_codec).drop("topic"), batch_id)
+
+    return write
+
+
+def to_kafka_topic(servers: str, topic: str, key_codec: Codec, value_codec: Codec) -> Sink:
+    """Append each micro-batch to a Kafka topic, each record at least once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_kafka(to_envelope(batch, topic, key_codec, value_codec), servers)
+
+    return write
 
 
 def batch_folder(root: str, batch_id: int) -> str:
@@ -88,5 +117,5 @@ def batch_folder(root: str, batch_id: int) -> str:
 
 
 def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All that ``write_each_batch`` wrote, with its ``batch_id``."""
+    """All that the sink ``to_folders`` wrote, with its ``batch_id``."""
     return spark.read.schema(f"{schema}, {BATCH} bigint").parquet(root)

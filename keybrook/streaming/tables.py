@@ -4,7 +4,8 @@ Each batch writes only its own change, reduced to one row per key. Now and then
 the changes so far are merged into one snapshot, so reading the table costs one
 snapshot and a bounded number of changes, not the whole history. All folders
 are named by the batch number: a batch that runs again writes the same folders
-again and reads the same earlier ones.
+again and reads the same earlier ones. Changes older than the last two snapshots
+are not read any more, and may be removed by the rules of the storage.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keybrook.operators.tables import newest_per_key
-from keybrook.streaming.sinks import BATCH, batch_folder, start
+from keybrook.streaming.sinks import batch_folder, write_each_batch
 
 
 def add_counts(changes: DataFrame) -> DataFrame:
@@ -42,6 +43,10 @@ class ContinuousTable:
     def _snapshots(self) -> str:
         return f"{self.root}/snapshots"
 
+    @property
+    def _newest(self) -> str:
+        return f"{self.root}/newest"
+
     def put(self, batch_id: int, rows: DataFrame) -> None:
         """Write the change of one batch, and a snapshot when one is due."""
         self.merge(rows).write.mode("overwrite").parquet(batch_folder(self._changes, batch_id))
@@ -49,6 +54,10 @@ class ContinuousTable:
             self.before(batch_id + 1).write.mode("overwrite").parquet(
                 batch_folder(self._snapshots, batch_id + 1)
             )
+        # Two slots in turn: while one is replaced, readers have the other.
+        self.spark.range(batch_id, batch_id + 1, 1, 1).write.mode("overwrite").parquet(
+            f"{self._newest}/slot={batch_id % 2}"
+        )
 
     def before(self, batch_id: int) -> DataFrame:
         """The table as it was when batch ``batch_id`` began."""
@@ -64,12 +73,13 @@ class ContinuousTable:
     def current(self) -> DataFrame:
         """The table as of the newest finished change."""
         newest = (
-            self.spark.read.schema(f"{self.schema}, {BATCH} bigint")
-            .parquet(self._changes)
-            .agg(F.max(BATCH))
+            self.spark.read.schema("id bigint")
+            .option("ignoreMissingFiles", "true")
+            .parquet(self._newest)
+            .agg(F.max("id"))
             .first()[0]
         )
-        return self.before(0 if newest is None else newest + 1)
+        return self.before(newest + 1)
 
 
 def table_of_upserts(spark: SparkSession, root: str, value_schema: str) -> ContinuousTable:
@@ -87,16 +97,11 @@ def maintain(
 ) -> StreamingQuery:
     """Follow a stream of changes into a table, such as a topic of upserts."""
 
+
     def put(batch: DataFrame, batch_id: int) -> None:
         table.put(batch_id, batch)
 
-    return start(
-        stream.writeStream.foreachBatch(put).outputMode("append"),
-        stream.sparkSession,
-        name,
-        checkpoint,
-        once,
-    )
+    return write_each_batch(stream, put, name, checkpoint, once)
 
 
 def present_rows(table: ContinuousTable) -> DataFrame:

@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import pytest
+
+from keybrook.__main__ import parser, run
+from keybrook.schemas import (
+    ENRICHED_ORDER,
+    ENRICHED_ORDER_TOPIC,
+    LINES_TOPIC,
+    MAIL_TOPIC,
+    ORIGINAL_AND_NEW_MAIL_TOPIC,
+    WORD_COUNTS_TOPIC,
+)
+from keybrook.sources.topics import from_envelope, read_topic, to_envelope, write_topic
+
+LINE = "Fir Oak Elm Fir Fir Fir Fir Fir Oak Oak Oak"
+
+
+@pytest.fixture
+def command(spark, tmp_path):
+    root, work = str(tmp_path / "topics"), str(tmp_path / "work")
+
+    def call(*arguments: str) -> None:
+        run(spark, parser().parse_args(["--root", root, "--work", work, "--once", *arguments]))
+
+    call.root, call.work = root, work
+    return call
+
+
+def test_generate_enrich_drain(spark, command, capsys):
+    command("generate", "--count", "30")
+    command("enrich")
+    enriched = from_envelope(
+        read_topic(spark, command.root, ENRICHED_ORDER_TOPIC), "long", ENRICHED_ORDER
+    )
+    assert sorted(row.key for row in enriched.collect()) == list(range(30))
+    assert enriched.where("value.product.name IS NULL OR value.customer.name IS NULL").count() == 0
+    capsys.readouterr()
+    command("drain", "--count", "3")
+    shown = capsys.readouterr().out
+    assert "|2  |" in shown and "|3  |" not in shown
+
+
+def test_word_count_and_changelog(spark, command):
+    line = spark.createDataFrame([(None, LINE, 0)], "key string, value string, offset bigint")
+    write_topic(to_envelope(line, LINES_TOPIC, "string", "string"), command.root)
+    command("word-count")
+    counts = from_envelope(read_topic(spark, command.root, WORD_COUNTS_TOPIC), "string", "long")
+    assert {row.key: row.value for row in counts.collect()} == {"fir": 6, "oak": 4, "elm": 1}
+    command("word-changelog")
+    both = from_envelope(read_topic(spark, command.root, WORD_COUNTS_TOPIC), "string", "long")
+    assert sorted((row.key, row.value) for row in both.collect()) == sorted(
+        [("fir", n) for n in range(1, 7)]
+        + [("oak", n) for n in range(1, 5)]
+        + [("elm", 1)]
+        + [("fir", 6), ("oak", 4), ("elm", 1)]
+    )
+
+
+def test_mail(spark, command):
+    mail = spark.createDataFrame([(None, "a@sbrf.example", 0)], "key string, value string, offset bigint")
+    write_topic(to_envelope(mail, MAIL_TOPIC, "string", "string"), command.root)
+    command("mail")
+    pairs = from_envelope(read_topic(spark, command.root, ORIGINAL_AND_NEW_MAIL_TOPIC))
+    assert [(row.key, row.value) for row in pairs.collect()] == [("a@sbrf.example", "a@sbt.example")]
+
+
+def test_work_folder_is_needed(spark, tmp_path):
+    with pytest.raises(SystemExit):
+        run(spark, parser().parse_args(["--root", str(tmp_path), "mail"]))

@@ -38,7 +38,7 @@ from keybrook.sources.topics import (
     to_envelope,
     write_topic,
 )
-from keybrook.streaming.sinks import read_batches, show_records
+from keybrook.streaming.sinks import read_batches, show_records, to_folders, to_topic_folder
 from keybrook.streaming.tables import (
     ContinuousTable,
     add_counts,
@@ -90,10 +90,10 @@ def test_word_counts_go_on_after_a_restart(spark, topics, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     send_lines(topics, [0, 1])
     send_lines(topics, [2, 3])
-    start_word_counts(lines_stream(spark, topics), out, checkpoint, once=True).awaitTermination()
+    start_word_counts(lines_stream(spark, topics), to_folders(out), checkpoint, once=True).awaitTermination()
     assert rows(read_word_counts(spark, out)) == rows(word_counts(all_lines(spark, range(4))))
     send_lines(topics, [4, 5])
-    start_word_counts(lines_stream(spark, topics), out, checkpoint, once=True).awaitTermination()
+    start_word_counts(lines_stream(spark, topics), to_folders(out), checkpoint, once=True).awaitTermination()
     expected = rows(word_counts(all_lines(spark)))
     assert rows(read_word_counts(spark, out)) == expected
     assert rows(read_count_state(spark, checkpoint)) == expected
@@ -140,12 +140,28 @@ def test_two_applications_on_the_same_lines(spark, topics, tmp_path):
     assert len(logs[0]) == word_changelog(all_lines(spark)).count()
 
 
+def test_two_applications_share_the_output_topic(spark, topics, tmp_path):
+    send_lines(topics, range(6))
+    for name in ("first", "second"):
+        shared = to_topic_folder(topics.root, "counts", name, "string", "long")
+        start_word_counts(
+            lines_stream(spark, topics),
+            lambda batch, batch_id: shared(batch.withColumnRenamed("count", "value"), batch_id),
+            str(tmp_path / name),
+            name=name,
+            once=True,
+        ).awaitTermination()
+    counts = from_envelope(read_topic(spark, topics.root, "counts"), "string", "long")
+    expected = word_counts(all_lines(spark))
+    assert rows(counts.select("key", "value")) == rows(expected.unionAll(expected))
+
+
 def test_lines_of_text_files(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     (folder / "a.txt").write_text("oak elm\noak")
     start_word_counts(
-        stream_lines(spark, str(folder)), str(tmp_path / "out"), str(tmp_path / "c"), once=True
+        stream_lines(spark, str(folder)), to_folders(str(tmp_path / "out")), str(tmp_path / "c"), once=True
     ).awaitTermination()
     assert rows(read_word_counts(spark, str(tmp_path / "out"))) == [("elm", 1), ("oak", 2)]
 
@@ -174,7 +190,7 @@ def test_each_batch_meets_the_tables_as_they_are_then(spark, topics, tmp_path, m
             orders.select("key", "value"),
             table("customer", CUSTOMER),
             table("product", PRODUCT),
-            out,
+            to_folders(out),
             checkpoint,
             once=True,
             max_broadcast_bytes=max_broadcast_bytes,
@@ -209,7 +225,7 @@ def test_a_running_query_sees_table_changes(spark, topics, tmp_path, monkeypatch
         orders.select("key", "value"),
         lambda: latest_by_key(from_envelope(read_topic(spark, topics.root, "customer"), "long", CUSTOMER)),
         lambda: latest_by_key(from_envelope(read_topic(spark, topics.root, "product"), "long", PRODUCT)),
-        out,
+        to_folders(out),
         str(tmp_path / "checkpoint"),
     )
     try:
