@@ -24,12 +24,8 @@ HOT_SHARE = 0.01
 
 SelectKey = Callable[[Column, Column], Column]
 
-_LOOKUP_KEY, _TABLE_KEY, _TABLE_VALUE, _SALT = (
-    "_lookup_key",
-    "_table_key",
-    "_table_value",
-    "_salt",
-)
+_LOOKUP_KEY, _TABLE_KEY, _TABLE_VALUE = "_lookup_key", "_table_key", "_table_value"
+_SALT, _TABLE_SALT = "_salt", "_table_salt"
 
 
 @dataclass(frozen=True)
@@ -57,9 +53,11 @@ def choose_distributions(
         f"{_LOOKUP_KEY}{index}": lookups[index][1](F.col("key"), F.col("value"))
         for index in large
     }
-    hot = frequent_keys(complete_records(stream).select(
-        *[key.alias(name) for name, key in keys.items()]
-    )) if large else {}
+    hot = {}
+    if large:
+        hot = frequent_keys(
+            complete_records(stream).select(*[key.alias(name) for name, key in keys.items()])
+        )
     return [
         Distribution(index not in large, hot.get(f"{_LOOKUP_KEY}{index}", []))
         for index in range(len(sizes))
@@ -71,27 +69,46 @@ def lookup_join(
     table: DataFrame,
     select_key: SelectKey,
     join_values: Callable[[Column, Column], Column],
-    distribution: Distribution | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Look up a table row for each record and join the two values.
 
     ``table`` has one row per ``key``, so no record is multiplied. Records with
     a null key or value, a null looked-up key or no match are dropped. The
-    output keeps the key of the stream. Without a ``distribution`` the table is
-    measured here.
+    output keeps the key of the stream.
     """
-    [distribution] = (
-        [distribution]
-        if distribution
-        else choose_distributions(stream, [(table, select_key)], max_broadcast_bytes)
-    )
-    left = complete_records(stream).withColumn(
-        _LOOKUP_KEY, select_key(F.col("key"), F.col("value"))
+    return star_join(stream, [(table, select_key)], join_values, max_broadcast_bytes)
+
+
+def star_join(
+    stream: DataFrame,
+    lookups: Sequence[tuple[DataFrame, SelectKey]],
+    join_values: Callable[..., Column],
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Look up each record in several tables, as by one ``lookup_join`` after another.
+
+    ``join_values`` takes the value of the record and of each table. The new
+    value is built once, after the last join.
+    """
+    distributions = choose_distributions(stream, lookups, max_broadcast_bytes)
+    value = F.col("value")
+    keys = [select_key(F.col("key"), value) for _, select_key in lookups]
+    joined = complete_records(stream).select(
+        *stream.columns, *[key.alias(f"{_LOOKUP_KEY}{n}") for n, key in enumerate(keys)]
     )
-    joined = _join(left.where(F.col(_LOOKUP_KEY).isNotNull()), table, "inner", distribution)
-    return joined.withColumn("value", join_values(F.col("value"), F.col(_TABLE_VALUE))).select(
-        *stream.columns
+    for n in range(len(lookups)):
+        joined = joined.where(F.col(f"{_LOOKUP_KEY}{n}").isNotNull())
+    for n, ((table, _), distribution) in enumerate(zip(lookups, distributions)):
+        right = table.select(
+            F.col("key").alias(_TABLE_KEY), F.col("value").alias(f"{_TABLE_VALUE}{n}")
+        )
+        joined = _join(
+            joined, right, f"{_LOOKUP_KEY}{n}", "inner", distribution, stream.columns
+        ).drop(_TABLE_KEY)
+    new_value = join_values(value, *[F.col(f"{_TABLE_VALUE}{n}") for n in range(len(lookups))])
+    return joined.select(
+        *[new_value.alias(name) if name == "value" else name for name in stream.columns]
     )
 
 
@@ -99,26 +116,31 @@ def unmatched(
     stream: DataFrame,
     table: DataFrame,
     select_key: SelectKey,
-    distribution: Distribution | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """The complete records that ``lookup_join`` drops for want of a table row."""
-    table = table.select("key")
-    [distribution] = (
-        [distribution]
-        if distribution
-        else choose_distributions(stream, [(table, select_key)], max_broadcast_bytes)
+    keys_only = table.select("key")
+    [distribution] = choose_distributions(
+        stream, [(keys_only, select_key)], max_broadcast_bytes
     )
     left = complete_records(stream).withColumn(
         _LOOKUP_KEY, select_key(F.col("key"), F.col("value"))
     )
-    return _join(left, table, "left_anti", distribution).select(*stream.columns)
+    right = keys_only.select(F.col("key").alias(_TABLE_KEY))
+    return _join(left, right, _LOOKUP_KEY, "left_anti", distribution, stream.columns).select(
+        *stream.columns
+    )
 
 
-def _join(left: DataFrame, table: DataFrame, how: str, distribution: Distribution) -> DataFrame:
-    renamed = {"key": _TABLE_KEY, "value": _TABLE_VALUE}
-    right = table.select(*[F.col(name).alias(renamed[name]) for name in table.columns])
-    same_key = F.col(_LOOKUP_KEY) == F.col(_TABLE_KEY)
+def _join(
+    left: DataFrame,
+    right: DataFrame,
+    lookup_key: str,
+    how: str,
+    distribution: Distribution,
+    record_columns: Sequence[str],
+) -> DataFrame:
+    same_key = F.col(lookup_key) == F.col(_TABLE_KEY)
     if distribution.replicate:
         return left.join(F.broadcast(right), same_key, how)
 
@@ -126,21 +148,23 @@ def _join(left: DataFrame, table: DataFrame, how: str, distribution: Distributio
     # A hash of the whole record, so that a task that runs again gives it the
     # same salt. Records without a looked-up key would also meet in one task.
     # With the coalesce the salt is known to be not null, and is not tested.
-    hashed = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    record_salt = F.coalesce(hashed, F.lit(0))
-    is_hot = F.col(_LOOKUP_KEY).isNull() | F.col(_LOOKUP_KEY).isin(distribution.hot_keys)
-    salted_left = left.withColumn(_SALT, F.when(is_hot, record_salt).otherwise(0))
+    hashed = F.pmod(F.xxhash64(*record_columns), F.lit(salts)).cast("int")
+    is_hot = F.col(lookup_key).isNull() | F.col(lookup_key).isin(distribution.hot_keys)
+    salted_left = left.withColumn(
+        _SALT, F.when(is_hot, F.coalesce(hashed, F.lit(0))).otherwise(0)
+    )
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_right = right.withColumn(
-        "_table_salt",
+        _TABLE_SALT,
         F.explode(
             F.when(F.col(_TABLE_KEY).isin(distribution.hot_keys), all_salts).otherwise(
                 F.array(F.lit(0))
             )
         ),
     )
-    same_salt = F.col(_SALT) == F.col("_table_salt")
-    return salted_left.join(salted_right.hint("merge"), same_key & same_salt, how)
+    same_salt = F.col(_SALT) == F.col(_TABLE_SALT)
+    joined = salted_left.join(salted_right.hint("merge"), same_key & same_salt, how)
+    return joined.drop(_SALT, _TABLE_SALT)
 
 
 def frequent_keys(keys: DataFrame, share: float = HOT_SHARE) -> dict[str, list]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from keybrook.operators.joins import MAX_BROADCAST_BYTES, choose_distributions, lookup_join
+from keybrook.operators.joins import MAX_BROADCAST_BYTES, star_join
 from keybrook.schemas import ENRICHED_ORDER
 from keybrook.streaming.sinks import Sink, read_batches, write_each_batch
 
@@ -23,31 +23,16 @@ def enrich_orders(
     ``customers`` and ``products`` are tables with one row per key, as
     ``latest_by_key`` gives.
     """
-    by_customer, by_product = choose_distributions(
+    return star_join(
         orders,
         [
             (customers, lambda key, order: order["customer_id"]),
             (products, lambda key, order: order["product_id"]),
         ],
-        max_broadcast_bytes,
-    )
-    with_customer = lookup_join(
-        orders,
-        customers,
-        lambda key, order: order["customer_id"],
-        lambda order, customer: F.struct(customer.alias("customer"), order.alias("order")),
-        by_customer,
-    )
-    return lookup_join(
-        with_customer,
-        products,
-        lambda key, value: value["order"]["product_id"],
-        lambda value, product: F.struct(
-            product.alias("product"),
-            value["customer"].alias("customer"),
-            value["order"].alias("order"),
+        lambda order, customer, product: F.struct(
+            product.alias("product"), customer.alias("customer"), order.alias("order")
         ),
-        by_product,
+        max_broadcast_bytes,
     )
 
 

@@ -49,9 +49,6 @@ from keybrook.session import shared_folder
 from keybrook.sources.generators import generate_customers, generate_orders, generate_products
 from keybrook.sources.lines import spread_over_cores
 from keybrook.sources.sample_feeds import (
-    DOCUMENTS,
-    EVENTS,
-    PAGES,
     customer_feed,
     document_lines,
     mail_feed,
@@ -607,7 +604,7 @@ def accepted_records(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_word_count", _word_count_sql("documents", "doc_id"))
 def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "word-count")
-    lines = document_lines(stream_table(spark, folder, "documents", DOCUMENTS))
+    lines = document_lines(stream_table(spark, folder, "documents"))
     start_word_counts(
         lines, to_folders(f"{work}/out"), f"{work}/checkpoint", once=True
     ).awaitTermination()
@@ -617,7 +614,7 @@ def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_running_count_words", _WORD_CHANGELOG)
 def stream_running_word_count(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "word-changelog")
-    lines = document_lines(stream_table(spark, folder, "documents", DOCUMENTS))
+    lines = document_lines(stream_table(spark, folder, "documents"))
     start_word_changelog(
         lines, f"{work}/out", f"{work}/checkpoint", once=True
     ).awaitTermination()
@@ -627,7 +624,7 @@ def stream_running_word_count(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_running_count", _EVENT_CHANGELOG)
 def stream_running_event_count(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "event-changelog")
-    events = stream_table(spark, folder, "events", EVENTS).select(
+    events = stream_table(spark, folder, "events").select(
         F.col("event_type").alias("key"), "event_id"
     )
     start_running_count(
@@ -645,7 +642,7 @@ def stream_running_event_count(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_latest_by_key", _LATEST)
 def stream_latest_per_user(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "user-table")
-    upserts = user_upserts(stream_table(spark, folder, "events", EVENTS))
+    upserts = user_upserts(stream_table(spark, folder, "events"))
     users = table_of_upserts(
         spark, f"{work}/table", "struct<event_type: string, amount: double>"
     )
@@ -672,7 +669,7 @@ def stream_enriched_orders(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_fan_out", _BOTH_TOPICS)
 def stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "mail-rewrite")
-    mail = _mail_with_bytes(stream_table(spark, folder, "pages", PAGES))
+    mail = _mail_with_bytes(stream_table(spark, folder, "pages"))
     start_mail_rewrite(
         mail,
         f"{work}/topics",

@@ -6,23 +6,40 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _MICROS_PER_DAY = 86_400_000_000
 
-EVENTS = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
-    "value double, props string"
-)
-DOCUMENTS = "doc_id bigint, text string"
-PAGES = "page_id bigint, url string"
+# The columns of the sample tables that are read, so that no reader has to open
+# files to find them out.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "pages": "page_id bigint, url string, html string",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def stream_table(
-    spark: SparkSession, folder: str, name: str, schema: str
-) -> DataFrame:
+def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A sample table as a stream. File streams take a pattern, not one file."""
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}*.parquet")
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{folder}/{name}*.parquet")
 
 
 def order_feed(spark: SparkSession, folder: str) -> DataFrame:

@@ -65,6 +65,26 @@ def test_hand_case(orders, customers, products, max_broadcast_bytes):
     } == {(100, "pen", "Ann2", 5), (103, "ink", "Cy", -(2**63))}
 
 
+@BOTH_WAYS
+def test_star_equals_one_join_after_another(orders, customers, products, max_broadcast_bytes):
+    with_customer = lookup_join(
+        orders,
+        customers,
+        lambda key, order: order["customer_id"],
+        lambda order, customer: F.struct(customer.alias("customer"), order.alias("order")),
+        max_broadcast_bytes,
+    )
+    chained = lookup_join(
+        with_customer,
+        products,
+        lambda key, value: value["order"]["product_id"],
+        lambda value, product: F.struct(product.alias("product"), value["customer"], value["order"]),
+        max_broadcast_bytes,
+    )
+    star = enrich_orders(orders, customers, products, max_broadcast_bytes)
+    assert sorted(chained.collect()) == sorted(star.collect())
+
+
 @BOTH_WAYS
 def test_unmatched(orders, customers, max_broadcast_bytes):
     missing = unmatched(
@@ -130,7 +150,9 @@ def test_large_tables_are_salted_and_not_broadcast(spark, plan_of):
     [distribution] = choose_distributions(stream, [(table, lambda key, value: value)], 0)
     assert distribution.hot_keys == [7] and not distribution.replicate
     plan = plan_of(
-        lookup_join(stream, table, lambda key, value: value, lambda value, row: row, distribution)
+        lookup_join(
+            stream, table, lambda key, value: value, lambda value, row: row, max_broadcast_bytes=0
+        )
     )
     assert "Broadcast" not in plan and "_salt" in plan
     # one pass over the stream
