@@ -1,11 +1,12 @@
 """Running count per key: the changelog of a count table.
 
 A plain window over the key sorts all records of one key in one task, which
-fails for a key that holds a third of all rows. Here the total order is cut
-into blocks. The rank inside (key, block) is a window over at most one block of
-rows, and the count before the block is a sum over one row per (key, block),
-counted map-side. Both are added. A hot key is spread over as many tasks as
-there are blocks.
+fails for a key that holds a third of all rows. So the keys with many records
+are found first. For these the total order is cut into blocks: the rank inside
+(key, block) is a window over at most one block of rows, and the count before
+the block is a sum over one row per (key, block), counted map-side. Both are
+added. A hot key is spread over as many tasks as there are blocks; all other
+keys have a single block.
 """
 
 from __future__ import annotations
@@ -15,8 +16,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from keybrook.operators.tables import count_by_key
+
 BLOCK = "order_block"
 
+# A task sorts this many records of a key without trouble. It also bounds how
+# many keys can be hot: one per so many records.
+HOT_ROWS = 20_000_000
 ROWS_PER_BLOCK = 20_000
 # More blocks than this would make the list of cuts heavy; blocks grow instead.
 MOST_BLOCKS = 65_536
@@ -32,6 +38,7 @@ def running_count(
     split_order: Sequence[str] = (),
     before: DataFrame | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each record with the number of records of its key up to and with itself.
 
@@ -39,48 +46,105 @@ def running_count(
     totally. ``split`` turns the given records into those to count, such as
     lines into words. It must keep the other columns of a record; the columns
     of ``split_order`` are its own. Blocks are made before the split, where
-    there are fewer rows. ``before`` holds (key, count) of records that came
-    earlier, and its counts are continued. Records without a key are dropped.
+    there are fewer rows, of ``rows_per_block`` records each. Keys with more than
+    ``hot_rows`` records are counted by blocks. ``before`` holds (key, count) of
+    records that came earlier, and its counts are continued. Records without a
+    key are dropped.
     """
-    blocked, blocks = with_order_block(records, order_by, rows_per_block)
-    counted = (split(blocked) if split else blocked).where(F.col(key).isNotNull())
-    in_block = Window.partitionBy(key, BLOCK).orderBy(*order_by, *split_order)
-    ranked = counted.withColumn(name, F.row_number().over(in_block).cast("bigint"))
-    if blocks == 1 and before is None:
-        return ranked.drop(BLOCK)
-
-    counts = counted.groupBy(key, BLOCK).agg(F.count(F.lit(1)).alias("_in_block"))
-    counts = counts.withColumn("_is_block", F.lit(True))
+
+    def to_count(rows: DataFrame) -> DataFrame:
+        return (split(rows) if split else rows).where(F.col(key).isNotNull())
+
+    order = [*order_by, *split_order]
+    total = records.count()
+    # Without a split no key has more records than there are; with one, a block
+    # of lines is taken to be small enough.
+    few = total <= (rows_per_block if split else hot_rows)
+    hot = [] if few else keys_above(to_count(records), key, hot_rows)
+    if not hot:
+        ranked = _rank(to_count(records), [key], order, name)
+        if before is None:
+            return ranked
+        starts = before.select(F.col("key").alias(key), F.col("count").alias("_start"))
+        return _add_starts(ranked, starts, [key], name)
+
+    block = order_block(records, order_by, total, rows_per_block)
+    counted = to_count(records.withColumn(BLOCK, block)) if split else to_count(records)
+    hot_keys = F.broadcast(
+        records.sparkSession.createDataFrame(
+            [(value,) for value in hot], counted.select(key).schema
+        )
+    )
+    # Without a split the place is looked for after the join, for hot records only.
+    place = F.col(BLOCK) if split else block
+    in_blocks = (
+        counted.join(hot_keys, key, "left_semi")
+        .select(key, place.alias(BLOCK))
+        .groupBy(key, BLOCK)
+        .agg(F.count(F.lit(1)).alias("_count"))
+    )
+    flagged = counted.join(hot_keys.withColumn("_is_hot", F.lit(True)), key, "left")
+    blocked = flagged.withColumn(
+        BLOCK, F.when(F.col("_is_hot"), place).otherwise(F.lit(0))
+    ).drop("_is_hot")
+    starts = _starts(in_blocks, hot_keys, before, key)
+    ranked = _rank(blocked, [key, BLOCK], order, name)
+    return _add_starts(ranked, starts, [key, BLOCK], name).drop(BLOCK)
+
+
+def keys_above(records: DataFrame, key: str, rows: int) -> list:
+    """The keys with more than ``rows`` records. There is at most one per ``rows``."""
+    hot = count_by_key(records, key).where(F.col("count") > rows).select("key")
+    return [row.key for row in hot.collect()]
+
+
+def _rank(records: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    in_group = Window.partitionBy(*group).orderBy(*order)
+    return records.withColumn(name, F.row_number().over(in_group).cast("bigint"))
+
+
+def _starts(
+    in_blocks: DataFrame, hot_keys: DataFrame, before: DataFrame | None, key: str
+) -> DataFrame:
+    """How many records of a key come before each of its blocks."""
+    in_blocks = in_blocks.withColumn("_is_block", F.lit(True))
     if before is not None:
-        counts = counts.unionByName(
-            before.select(
-                F.col("key").alias(key),
-                F.lit(-1).alias(BLOCK),
-                F.col("count").alias("_in_block"),
-                F.lit(False).alias("_is_block"),
+        earlier = before.select(F.col("key").alias(key), F.col("count").alias("_count"))
+        in_blocks = in_blocks.unionByName(
+            earlier.join(hot_keys, key, "left_semi").withColumns(
+                {BLOCK: F.lit(-1), "_is_block": F.lit(False)}
             )
         )
-    earlier = (
-        Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    up_to = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        counts.withColumn("_start", F.coalesce(F.sum("_in_block").over(earlier), F.lit(0)))
+        in_blocks.withColumn("_start", F.coalesce(F.sum("_count").over(up_to), F.lit(0)))
         .where("_is_block")
         .select(key, BLOCK, "_start")
     )
-    # The records are already partitioned and sorted by (key, block), so a merge
-    # join moves only the starts. They are too many to replicate.
+    if before is None:
+        return starts
+    one_block = earlier.join(hot_keys, key, "left_anti")
+    return starts.unionByName(
+        one_block.select(key, F.lit(0).alias(BLOCK), F.col("_count").alias("_start"))
+    )
+
+
+def _add_starts(
+    ranked: DataFrame, starts: DataFrame, group: Sequence[str], name: str
+) -> DataFrame:
+    # The ranked records are already partitioned and sorted by the group, so a
+    # merge join moves only the starts. They may be too many to replicate.
     return (
-        ranked.join(starts.hint("merge"), [key, BLOCK])
-        .withColumn(name, F.col(name) + F.col("_start"))
-        .select(*[column for column in ranked.columns if column != BLOCK])
+        ranked.join(starts.hint("merge"), list(group), "left")
+        .withColumn(name, F.col(name) + F.coalesce(F.col("_start"), F.lit(0)))
+        .select(*ranked.columns)
     )
 
 
-def with_order_block(
-    records: DataFrame, order_by: Sequence[str], rows_per_block: int
-) -> tuple[DataFrame, int]:
-    """Add the number of the block that each record's place in the order is in.
+def order_block(
+    records: DataFrame, order_by: Sequence[str], total: int, rows_per_block: int
+) -> Column:
+    """The number of the block that each of ``total`` records is in.
 
     The cuts between blocks come from a sample of the ordering columns, of about
     ``16 * MOST_BLOCKS`` rows at most however large the input is, as for a range
@@ -88,18 +152,19 @@ def with_order_block(
     block whatever the cuts are. In the plan they are constants, so a task that
     runs again after a lost executor puts its records into the same blocks.
     """
-    total = records.count()
     blocks = min(MOST_BLOCKS, math.ceil(total / rows_per_block))
     cuts = _block_cuts(records, order_by, total, blocks) if blocks > 1 else []
     if not cuts:
-        return records.withColumn(BLOCK, F.lit(0)), 1
+        return F.lit(0)
     point = F.struct(*order_by)
     point_type = records.select(point.alias("point")).schema["point"].dataType
     # One JSON constant: the optimizer parses it once into an array constant.
-    as_array = F.from_json(
+    points = F.from_json(
         F.lit("[" + ",".join(cuts) + "]"), f"array<{point_type.simpleString()}>"
     )
-    return records.withColumn(BLOCK, _count_not_after(as_array, len(cuts), point)), len(cuts) + 1
+    if len(order_by) == 1:
+        return _count_not_after(points[order_by[0]], len(cuts), F.col(order_by[0]))
+    return _count_not_after(points, len(cuts), point)
 
 
 def _block_cuts(

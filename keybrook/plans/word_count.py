@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keybrook.functions.text import split_text, without_trailing_empty
-from keybrook.operators.changelog import ROWS_PER_BLOCK, running_count
+from keybrook.operators.changelog import HOT_ROWS, ROWS_PER_BLOCK, running_count
 from keybrook.operators.tables import count_by_key, latest_by_key
 from keybrook.streaming.changelog import read_changelog, start_running_count
 from keybrook.streaming.sinks import BATCH, Sink, read_batches, write_each_batch
@@ -38,6 +38,7 @@ def word_changelog(
     lines: DataFrame,
     order_by: Sequence[str] = ("offset",),
     rows_per_block: int = ROWS_PER_BLOCK,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One record per word read, with the word's count so far.
 
@@ -49,6 +50,7 @@ def word_changelog(
         split=keyed_words,
         split_order=["pos"],
         rows_per_block=rows_per_block,
+        hot_rows=hot_rows,
     )
 
 
@@ -87,6 +89,7 @@ def start_word_changelog(
     once: bool = False,
     order_by: Sequence[str] = ("offset",),
     rows_per_block: int = ROWS_PER_BLOCK,
+    hot_rows: int = HOT_ROWS,
     sink: Sink | None = None,
 ) -> StreamingQuery:
     """Emit one record per word read, with the word's count so far."""
@@ -100,6 +103,7 @@ def start_word_changelog(
         split=keyed_words,
         split_order=["pos"],
         rows_per_block=rows_per_block,
+        hot_rows=hot_rows,
         sink=sink,
     )
 

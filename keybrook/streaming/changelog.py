@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from keybrook.operators.changelog import ROWS_PER_BLOCK, running_count
+from keybrook.operators.changelog import HOT_ROWS, ROWS_PER_BLOCK, running_count
 from keybrook.operators.tables import count_by_key
 from keybrook.sources.lines import spread_over_cores
 from keybrook.streaming.sinks import Sink, read_batches, to_folders, write_each_batch
@@ -24,6 +24,7 @@ def start_running_count(
     split: Callable[[DataFrame], DataFrame] | None = None,
     split_order: Sequence[str] = (),
     rows_per_block: int = ROWS_PER_BLOCK,
+    hot_rows: int = HOT_ROWS,
     sink: Sink | None = None,
 ) -> StreamingQuery:
     """Emit each record with the count of its key so far.
@@ -48,6 +49,7 @@ def start_running_count(
                 split_order=split_order,
                 before=totals.before(batch_id),
                 rows_per_block=rows_per_block,
+                hot_rows=hot_rows,
             )
             sink(log, batch_id)
             totals.put(batch_id, count_by_key(split(batch) if split else batch))

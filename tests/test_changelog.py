@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from keybrook.operators.changelog import running_count, with_order_block
+from keybrook.operators.changelog import order_block, running_count
 from keybrook.plans.word_count import word_changelog, word_counts
 
 LINE = "Fir Oak Elm Fir Fir Fir Fir Fir Oak Oak Oak"
@@ -31,8 +31,10 @@ def test_sample_line(spark):
     assert final == {"fir": 6, "oak": 4, "elm": 1}
 
 
-@pytest.mark.parametrize("rows_per_block", [1, 7, 50, 10_000])
-def test_hot_key_against_counting_by_hand(spark, rows_per_block):
+@pytest.mark.parametrize(
+    "rows_per_block, hot_rows", [(1, 1), (7, 100), (50, 10), (10_000, 100), (50, 10_000)]
+)
+def test_hot_key_against_counting_by_hand(spark, rows_per_block, hot_rows):
     chance = random.Random(5)
     records = [
         (order, "hot" if chance.random() < 0.4 else f"k{chance.randrange(40)}")
@@ -41,7 +43,7 @@ def test_hot_key_against_counting_by_hand(spark, rows_per_block):
     shuffled = records[:]
     chance.shuffle(shuffled)
     frame = spark.createDataFrame(shuffled, "offset bigint, key string").repartition(3)
-    log = running_count(frame, ["offset"], rows_per_block=rows_per_block)
+    log = running_count(frame, ["offset"], rows_per_block=rows_per_block, hot_rows=hot_rows)
     assert sorted(tuple(row) for row in log.select("offset", "key", "count").collect()) == by_hand(
         records
     )
@@ -53,24 +55,24 @@ def test_order_of_several_columns_where_the_first_hardly_varies(spark):
         [(source, turn, key) for (source, turn), key in records],
         "source string, turn bigint, key string",
     )
-    blocked, blocks = with_order_block(frame, ["source", "turn"], 20)
-    assert blocks > 5
+    blocked = frame.withColumn("order_block", order_block(frame, ["source", "turn"], 300, 20))
+    assert blocked.select("order_block").distinct().count() > 5
     assert max(row["count"] for row in blocked.groupBy("order_block").count().collect()) < 100
-    log = running_count(frame, ["source", "turn"], rows_per_block=20)
+    log = running_count(frame, ["source", "turn"], rows_per_block=20, hot_rows=50)
     found = sorted(((row.source, row.turn), row.key, row["count"]) for row in log.collect())
     assert found == by_hand(records)
 
 
 def test_blocks_follow_the_order(spark):
     frame = spark.range(1000).select(F.pmod(F.col("id") * 7919, F.lit(1000)).alias("at"))
-    blocked, blocks = with_order_block(frame, ["at"], 100)
+    blocked = frame.withColumn("order_block", order_block(frame, ["at"], 1000, 100))
     spans = (
         blocked.groupBy("order_block")
         .agg(F.min("at").alias("low"), F.max("at").alias("high"))
         .orderBy("order_block")
         .collect()
     )
-    assert len(spans) == blocks
+    assert len(spans) == 10
     assert all(one.high < two.low for one, two in zip(spans, spans[1:]))
 
 
@@ -79,18 +81,18 @@ def test_timestamps_finer_than_the_cuts(spark):
         F.expr("timestamp_micros(1700000000000000 + id * 137)").alias("at"),
         F.lit("k").alias("key"),
     )
-    log = running_count(frame, ["at"], rows_per_block=30).orderBy("at").collect()
+    log = running_count(frame, ["at"], rows_per_block=30, hot_rows=10).orderBy("at").collect()
     assert [row["count"] for row in log] == list(range(1, 401))
 
 
-@pytest.mark.parametrize("rows_per_block", [5, 10_000])
-def test_counts_go_on_from_earlier_ones(spark, rows_per_block):
-    records = [(n, f"k{n % 3}") for n in range(40)]
+@pytest.mark.parametrize("hot_rows", [5, 12, 10_000])
+def test_counts_go_on_from_earlier_ones(spark, hot_rows):
+    records = [(n, f"k{min(n % 4, 2)}") for n in range(40)]
     frame = spark.createDataFrame(records, "offset bigint, key string")
-    before = spark.createDataFrame([("k0", 10), ("unseen", 4)], "key string, count bigint")
-    log = running_count(frame, ["offset"], before=before, rows_per_block=rows_per_block)
+    before = spark.createDataFrame([("k0", 10), ("k2", 7), ("unseen", 4)], "key string, count bigint")
+    log = running_count(frame, ["offset"], before=before, rows_per_block=5, hot_rows=hot_rows)
     found = sorted((row.offset, row.key, row["count"]) for row in log.collect())
-    assert found == by_hand(records, {"k0": 10})
+    assert found == by_hand(records, {"k0": 10, "k2": 7})
 
 
 def test_records_without_key_are_dropped(spark):
@@ -105,9 +107,15 @@ def test_empty_input(spark):
 
 def test_no_task_gets_all_records_of_a_key(spark, plan_of):
     frame = spark.range(1000).select(F.col("id").alias("offset"), F.lit("k").alias("key"))
-    plan = plan_of(running_count(frame, ["offset"], rows_per_block=100))
-    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    plan = plan_of(running_count(frame, ["offset"], rows_per_block=100, hot_rows=200))
+    assert "SortMergeJoin" in plan
     # Below the rank there is one shuffle of the records, by key and block.
     records_side = plan[plan.index("row_number") :]
     first_exchange = records_side[records_side.index("hashpartitioning") :].split("\n")[0]
     assert "order_block" in first_exchange
+
+
+def test_without_hot_keys_there_is_one_shuffle(spark, plan_of):
+    frame = spark.range(1000).select(F.col("id").alias("offset"), F.lit("k").alias("key"))
+    plan = plan_of(running_count(frame, ["offset"], rows_per_block=100))
+    assert plan.count("Exchange") == 1 and "Join" not in plan

@@ -102,13 +102,18 @@ def test_word_counts_go_on_after_a_restart(spark, topics, tmp_path):
     assert emitted.count() == emitted.select("key", "batch_id").distinct().count()
 
 
-@pytest.mark.parametrize("rows_per_block", [1, 10_000])
-def test_word_changelog_goes_on_after_a_restart(spark, topics, tmp_path, rows_per_block):
+@pytest.mark.parametrize("rows_per_block, hot_rows", [(1, 1), (10_000, 10_000)])
+def test_word_changelog_goes_on_after_a_restart(spark, topics, tmp_path, rows_per_block, hot_rows):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
         start_word_changelog(
-            lines_stream(spark, topics), out, checkpoint, once=True, rows_per_block=rows_per_block
+            lines_stream(spark, topics),
+            out,
+            checkpoint,
+            once=True,
+            rows_per_block=rows_per_block,
+            hot_rows=hot_rows,
         ).awaitTermination()
 
     send_lines(topics, [0, 1])
