@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from keybrook.operators.records import (
@@ -31,6 +32,15 @@ def test_map_values_keeps_keys(spark):
     )
 
 
+def test_a_function_that_no_column_expresses(spark):
+    @F.pandas_udf("string")
+    def backwards(values: pd.Series) -> pd.Series:
+        return values.str[::-1]
+
+    changed = map_values(records(spark), backwards)
+    assert {row.value for row in changed.collect()} == {"b a", "c", "d", None}
+
+
 def test_map_records_reads_the_old_pair(spark):
     swapped = map_records(records(spark), lambda key, value: (value, key)).select("key", "value")
     assert ("a b", "k1") in rows(swapped) and ("d", None) in rows(swapped)
