@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keybrook.llm import digest_index, hilbert, line_frequency, mixing
+from keybrook.llm import digest_index, hilbert, language, line_frequency, mixing, pieces
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": over_documents(mixing.mix_sources),
     "op3_hilbert_shards": over_documents(hilbert.hilbert_shards),
     "op4_digest_index": over_documents(digest_index.keep_largest),
+    "op5_rank_order_language": over_documents(language.predict_languages),
+    "op6_piece_encoding": over_documents(pieces.encode_documents),
 }
 
 ORACLES = {
