@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keybrook.llm import digest_index, hilbert, language, line_frequency, mixing, pieces, sketches
+from keybrook.llm import digest_index, hilbert, language, line_frequency, mixing, pieces, sketches, suffixes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_digest_index": over_documents(digest_index.keep_largest),
     "op5_rank_order_language": over_documents(language.predict_languages),
     "op6_piece_encoding": over_documents(pieces.encode_documents),
+    "op7_deep_shallow_suffixes": over_documents(suffixes.repeat_counts),
     "op8_bottom_k_sketches": over_documents(sketches.near_duplicate_groups),
 }
 
