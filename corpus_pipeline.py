@@ -1,16 +1,84 @@
-"""A corpus pipeline: documents in, token ids of the chosen mix out."""
+"""A corpus pipeline: documents in, token ids of the chosen mix out.
+
+Each stage takes all that the one before it kept and applies one operator.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from keybrook.llm import language, line_chunks, mixing, pieces, sketches
+from keybrook.llm.common import written
+
+# A document whose n-grams are this far from every language is none of them.
+LEAST_SCORE = 0.2
+SHINGLE_WORDS, PERCENT = 5, 80
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in one of the languages of the corpus, whatever their label says.
+
+    Those without a letter go, and those that are like no profile.
+    """
+    out = language.held_out(F.col("doc_id"))
+    predict = language.language_of(language.fit_profiles(docs.where(~out)))
+    found = docs.select(*docs.columns, predict("text").alias("_found"))
+    known = (F.col("_found.lang_pred") != language.UNKNOWN) & (
+        F.col("_found.score") >= LEAST_SCORE
+    )
+    return found.where(known).select(*docs.columns)
+
+
+def without_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without runs of lines that came before; those left empty go."""
+    kept = line_chunks.remove_repeated_chunks(docs)
+    left = F.col("removed").isNull() | (F.trim(F.regexp_replace("text", r"\s+", " ")) != "")
+    changed = F.col("removed").isNotNull()
+    return kept.where(left).select(
+        *[
+            F.when(changed, F.char_length("text").cast("bigint"))
+            .otherwise(F.col("n_chars"))
+            .alias("n_chars")
+            if name == "n_chars" else F.col(name)
+            for name in docs.columns
+        ]
+    )
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    groups = sketches.near_duplicate_groups(docs, SHINGLE_WORDS, PERCENT)
+    dropped = written(groups.where(~F.col("kept")).select("doc_id").distinct(), "near-dropped")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.documents_of_mix(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each document, and whether they give its text again."""
+    return pieces.encode_documents(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("language", known_language),
+    ("line_chunks", without_repeated_chunks),
+    ("near_duplicates", one_of_each_group),
+    ("mix", mixed_sources),
+    ("pieces", encoded),
+]
 
+# Profiles, chunk hashes and piece paths are not for SQL; a test compares with plain code.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = written(docs, f"stage-{name}")
     return docs

@@ -120,37 +120,27 @@ def thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
     return inner.select("source_key", "step", F.shiftleft(cut, second).alias("threshold"))
 
 
-def mix_sources(
-    documents: DataFrame,
-    share: float = SHARE,
-    weights: Sequence[int] = WEIGHTS,
-    most_times: int = MOST_TIMES,
-    steps: Sequence[float] = STEPS,
-) -> DataFrame:
-    """How often the mix takes each document.
+def _point() -> Column:
+    return point_of(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")))
 
-    Returns ``doc_id``, ``source``, ``size`` (words), ``source_size``, ``target``,
-    ``taken`` (words, repeats counted), ``times`` and ``first_step``: the place in ``steps``
-    of the smallest of the nested budgets that takes the document, null if none does.
 
-    Sources in the order of their names, null last, have the given weights in turn.
-    A target above the size of its source takes every document once, and some again.
-    Null texts have size 0; a null ``doc_id`` is placed by its text. Rows with the same
-    ``doc_id`` share a point and are taken together. An empty document is taken when its
-    point is, at no cost. Other columns are ignored; no documents give no rows.
-    """
-    sizes = written(
+def _sizes(documents: DataFrame) -> DataFrame:
+    return written(
         documents.select(
             "doc_id",
             "source",
             named(F.col("source")).alias("source_key"),
             F.size(word_list(F.col("text"))).cast("bigint").alias("size"),
-            point_of(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))).alias(
-                "point"
-            ),
+            _point().alias("point"),
         ),
         "mix-sizes",
     )
+
+
+def _plan(
+    sizes: DataFrame, share: float, weights: Sequence[int], most_times: int, steps: Sequence[float]
+) -> DataFrame:
+    """One row per source, with the ``cuts`` of each step: whole rounds and a threshold."""
     sources = sizes.groupBy("source_key").agg(
         F.first("source").alias("source"), F.sum("size").alias("source_size")
     )
@@ -175,14 +165,40 @@ def mix_sources(
             )
         ).alias("cuts")
     )
-    plan = written(planned.drop("source").join(per_source, "source_key"), "mix-plan")
-    times = F.transform(
-        "cuts", lambda cut: cut["whole"] + (F.col("point") < cut["threshold"]).cast("bigint")
-    )
+    return written(planned.drop("source").join(per_source, "source_key"), "mix-plan")
+
+
+def _times(cut: Column, point: Column) -> Column:
+    return cut["whole"] + (point < cut["threshold"]).cast("bigint")
+
+
+def mix_sources(
+    documents: DataFrame,
+    share: float = SHARE,
+    weights: Sequence[int] = WEIGHTS,
+    most_times: int = MOST_TIMES,
+    steps: Sequence[float] = STEPS,
+) -> DataFrame:
+    """How often the mix takes each document.
+
+    Returns ``doc_id``, ``source``, ``size`` (words), ``source_size``, ``target``,
+    ``taken`` (words, repeats counted), ``times`` and ``first_step``: the place in ``steps``
+    of the smallest of the nested budgets that takes the document, null if none does.
+
+    Sources in the order of their names, null last, have the given weights in turn.
+    A target above the size of its source takes every document once, and some again.
+    Null texts have size 0; a null ``doc_id`` is placed by its text. Rows with the same
+    ``doc_id`` share a point and are taken together. An empty document is taken when its
+    point is, at no cost. Other columns are ignored; no documents give no rows.
+    """
+    sizes = _sizes(documents)
+    plan = _plan(sizes, share, weights, most_times, steps)
     place = F.array_position(F.transform("times_by_step", lambda n: n > 0), F.lit(True))
     return (
         look_up(sizes, plan, "source_key", F.col("point"))
-        .withColumn("times_by_step", times)
+        .withColumn(
+            "times_by_step", F.transform("cuts", lambda cut: _times(cut, F.col("point")))
+        )
         .withColumn("times", F.element_at("times_by_step", -1))
         .select(
             "doc_id",
@@ -197,23 +213,25 @@ def mix_sources(
     )
 
 
-def documents_of_mix(documents: DataFrame, **parameters) -> DataFrame:
+def documents_of_mix(
+    documents: DataFrame,
+    share: float = SHARE,
+    weights: Sequence[int] = WEIGHTS,
+    most_times: int = MOST_TIMES,
+) -> DataFrame:
     """The mix itself: each document as often as it is taken, with its own columns.
 
-    Rows with the same ``doc_id`` have the same point, but sizes may differ, so the
-    number of times is looked up by ``doc_id`` and source; it depends on nothing else.
-    Rows without ``doc_id`` are placed by their text and matched by it.
+    How often depends on the source and the point alone, so the texts stay where they are.
     """
-    mixed = mix_sources(documents, **parameters)
-    times = (
-        mixed.where(F.col("doc_id").isNotNull() & (F.col("times") > 0))
-        .select(F.col("doc_id").alias("_id"), named(F.col("source")).alias("_source"),
-                F.col("times").alias("_times"))
-        .distinct()
+    plan = _plan(_sizes(documents), share, weights, most_times, [1.0]).select(
+        F.col("source_key").alias("_source_key"), F.col("cuts").alias("_cuts")
     )
-    same = (F.col("doc_id") == F.col("_id")) & (named(F.col("source")) == F.col("_source"))
+    keyed = documents.withColumn("_source_key", named(F.col("source")))
+    times = _times(F.element_at("_cuts", 1), _point())
     return (
-        documents.join(times, same)
+        look_up(keyed, plan, "_source_key", _point())
+        .withColumn("_times", times)
+        .where("_times > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
         .select(*documents.columns)
     )

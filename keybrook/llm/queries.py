@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keybrook.llm import digest_index, hilbert, language, line_frequency, mixing, pieces, sketches, suffixes
+from keybrook.llm import (
+    digest_index,
+    hilbert,
+    language,
+    line_chunks,
+    line_frequency,
+    mixing,
+    packing,
+    pieces,
+    sketches,
+    suffixes,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +39,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_piece_encoding": over_documents(pieces.encode_documents),
     "op7_deep_shallow_suffixes": over_documents(suffixes.repeat_counts),
     "op8_bottom_k_sketches": over_documents(sketches.near_duplicate_groups),
+    "op9_best_fit_packing": over_documents(packing.pack_documents),
+    "op10_line_chunks": over_documents(line_chunks.chunk_dedup),
 }
 
 ORACLES = {
