@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -53,23 +54,53 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
-    """The rows of each key in turn, of batches that are sorted by it."""
-    held: list[pa.Table] = []
-    held_key = None
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], key: list[str]
+) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Batches that are sorted by numeric ``key`` columns, cut anew between keys.
+
+    With each table come the rows at which its groups begin, and its length.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def finished() -> tuple[pa.Table, list[int]]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        return table, [*_begins(table, key), table.num_rows]
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([batch])
-        keys = list(zip(*[batch.column(name).to_pylist() for name in key]))
-        start = 0
-        for at in range(1, len(keys) + 1):
-            if at < len(keys) and keys[at] == keys[start]:
-                continue
-            if held and held_key != keys[start]:
-                yield pa.concat_tables(held).combine_chunks()
-                held = []
-            held.append(table.slice(start, at - start))
-            held_key, start = keys[start], at
+        last = _begins(batch, key)[-1]
+        if held and _key(held[-1], -1, key) != _key(batch, 0, key):
+            yield finished()
+            held = []
+        if last:
+            held.append(batch.slice(0, last))
+            yield finished()
+            held = []
+        held.append(batch.slice(last))
     if held:
-        yield pa.concat_tables(held).combine_chunks()
+        yield finished()
+
+
+def _key(batch: pa.RecordBatch, row: int, key: list[str]) -> list:
+    row %= batch.num_rows
+    return [batch.column(name)[row].as_py() for name in key]
+
+
+def _begins(rows: pa.RecordBatch | pa.Table, key: list[str]) -> list[int]:
+    change = np.zeros(rows.num_rows, bool)
+    change[0] = True
+    for name in key:
+        column = rows.column(name).to_numpy(zero_copy_only=False) if isinstance(
+            rows, pa.RecordBatch
+        ) else rows.column(name).to_numpy()
+        change[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(change).tolist()
+
+
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for work that takes many times the memory of its input."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from keybrook.llm.common import written
-from keybrook.llm.components import components, groups
+from keybrook.llm.components import components, parts, whole_groups
+from keybrook.llm.packed import packed_texts, unpacked
 from keybrook.llm.word_hashes import LOWER, shingle_set, word_hashes
 
 SHINGLE_WORDS = 3
@@ -31,14 +32,14 @@ SKETCH = 32
 # Two sketches that share less than this part come from sets far below the threshold.
 LEAST_OVERLAP = 0.5
 LONGEST_LIST = 10_000
-BLOCK = 2_048
+BLOCK = 1_024
 
 _SETS = "doc_id bigint, n_shingles bigint, set_id binary, sketch array<bigint>"
 
 
-def _sets(texts: list[str | None], shingle_words: int) -> list[np.ndarray]:
-    data = [(text or "").encode("utf-8", "surrogatepass").translate(LOWER) for text in texts]
-    return [shingle_set(words, shingle_words) for words in word_hashes(data)]
+def _sets(texts: list[bytes], shingle_words: int) -> list[np.ndarray]:
+    lower = [text.translate(LOWER) for text in texts]
+    return [shingle_set(words, shingle_words) for words in word_hashes(lower)]
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
@@ -54,8 +55,12 @@ def sketches_of(documents: DataFrame, shingle_words: int, sketch: int) -> DataFr
     """
 
     def measure(batches):
-        for batch in batches:
-            sets = _sets(batch.column("text").to_pylist(), shingle_words)
+        for batch in parts(batches):
+            texts = [
+                (text or "").encode("utf-8", "surrogatepass")
+                for text in batch.column("text").to_pylist()
+            ]
+            sets = _sets(texts, shingle_words)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -109,8 +114,8 @@ def candidate_links(classes: DataFrame, longest_list: int) -> DataFrame:
     full = members.join(classes.select("node", "n_shingles", "sketch"), "node")
 
     def link(batches):
-        for table in groups(batches, ["list"]):
-            yield _list_links(table)
+        for table, cuts in whole_groups(batches, ["list"]):
+            yield _list_links(table, cuts)
 
     links = (
         full.repartition("list").sortWithinPartitions("list").mapInArrow(link, "a bigint, b bigint")
@@ -120,21 +125,32 @@ def candidate_links(classes: DataFrame, longest_list: int) -> DataFrame:
     return links.where("a <> b").distinct()
 
 
-def _list_links(table: pa.Table) -> pa.RecordBatch:
-    nodes = table["node"].to_numpy()
-    sizes = table["n_shingles"].to_numpy()
-    sketch = table["sketch"].combine_chunks()
-    if isinstance(sketch, pa.ChunkedArray):
-        sketch = sketch.chunk(0)
-    values = sketch.flatten().to_numpy()
-    owner = np.repeat(np.arange(len(nodes)), np.diff(sketch.offsets.to_numpy()))
-    kept = np.minimum(sizes, np.bincount(owner, minlength=len(nodes)))
+def _elements(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """All elements of a column of lists, and where each list begins and ends in them."""
+    lists = pa.concat_arrays(table[name].chunks)
+    return lists.values.to_numpy(), lists.offsets.to_numpy()
 
-    def enough(shared, i, j):
-        least = np.minimum(kept[i][:, None], kept[j][None, :])
-        return shared >= LEAST_OVERLAP * least
 
-    roots = linked_roots(owner, values, len(nodes), enough)
+def _list_links(table: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+    nodes = table["node"].to_numpy()
+    values, offsets = _elements(table, "sketch")
+    kept = np.diff(offsets)
+    roots = np.arange(len(nodes))
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        sizes = kept[low:high]
+
+        def enough(shared, i, j):
+            return shared >= LEAST_OVERLAP * np.minimum(sizes[i][:, None], sizes[j][None, :])
+
+        own = values[offsets[low] : offsets[high]]
+        if high - low == 2:
+            first, second = own[: sizes[0]], own[sizes[0] :]
+            shared = len(np.intersect1d(first, second, assume_unique=True))
+            if shared >= LEAST_OVERLAP * sizes.min():
+                roots[low + 1] = low
+        else:
+            owner = np.repeat(np.arange(high - low), sizes)
+            roots[low:high] = low + linked_roots(owner, own, high - low, enough)
     return pa.RecordBatch.from_pydict({"a": nodes[roots], "b": nodes})
 
 
@@ -153,39 +169,40 @@ def linked_roots(owner, values, count: int, enough, first: int | None = None) ->
             parent[x] = x = parent[parent[x]]
         return x
 
-    elements, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
     common = times[column] > 1
     owner, column = owner[common], column[common]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     column = np.cumsum(np.diff(column, prepend=column[:1]) > 0)
     width = int(column[-1]) + 1 if len(column) else 0
-    starts = range(0, count, BLOCK)
-    for low in starts:
-        for other in starts:
-            if other > low or (first is not None and (low < first or other >= first)):
-                continue
-            i = np.arange(low, min(low + BLOCK, count))
-            j = np.arange(other, min(other + BLOCK, count))
-            if first is not None:
-                i, j = i[i >= first], j[j < first]
+
+    def side(numbers, part, begin, size):
+        inside = (owner[part] >= numbers[0]) & (owner[part] <= numbers[-1])
+        matrix = np.zeros((len(numbers), size), np.float32)
+        matrix[owner[part][inside] - numbers[0], column[part][inside] - begin] = 1
+        return matrix
+
+    middle = count if first is None else first
+    for low in range(0 if first is None else first, count, BLOCK):
+        i = np.arange(low, min(low + BLOCK, count))
+        for other in range(0, low + 1 if first is None else middle, BLOCK):
+            j = np.arange(other, min(other + BLOCK, middle))
             shared = np.zeros((len(i), len(j)), np.float32)
             for begin in range(0, width, BLOCK):
                 part = slice(*np.searchsorted(column, (begin, begin + BLOCK)))
                 size = min(BLOCK, width - begin)
-                sides = []
-                for side in (i, j):
-                    inside = (owner[part] >= side[0]) & (owner[part] <= side[-1])
-                    matrix = np.zeros((len(side), size), np.float32)
-                    matrix[owner[part][inside] - side[0], column[part][inside] - begin] = 1
-                    sides.append(matrix)
-                shared += sides[0] @ sides[1].T
-            labels = np.fromiter(map(root, range(count)), np.int64, count)
-            linked = enough(shared, i, j) & (labels[i][:, None] != labels[j][None, :])
-            x, y = np.nonzero(linked)
-            for pair in np.unique(labels[i][x] * count + labels[j][y]).tolist():
-                a, b = root(pair // count), root(pair % count)
-                parent[max(a, b)] = min(a, b)
+                shared += side(i, part, begin, size) @ side(j, part, begin, size).T
+            linked = enough(shared, i, j)
+            labels = np.fromiter(map(root, j.tolist()), np.int64, len(j))
+            for row in np.flatnonzero(linked.any(axis=1)).tolist():
+                near = np.unique(labels[linked[row]]).tolist()
+                joined = {root(x) for x in (*near, int(i[row]))}
+                least = min(joined)
+                for x in joined:
+                    parent[x] = least
+                if len(near) > 1 or near[0] != least:
+                    labels[linked[row]] = least
     return np.fromiter(map(root, range(count)), np.int64, count)
 
 
@@ -211,19 +228,23 @@ def exact_links(
     )
 
     def measure(batches):
-        for batch in batches:
-            sets = _sets(batch.column("text").to_pylist(), shingle_words)
+        for batch in parts(batches):
+            texts = [unpacked(packed) for packed in batch.column("packed").to_pylist()]
+            sets = _sets(texts, shingle_words)
             arrays = [batch.column(name) for name in ("component", "node", "block", "cells")]
             yield pa.RecordBatch.from_arrays(
                 [*arrays, _lists(sets)], ["component", "node", "block", "cells", "elements"]
             )
 
+    # The hint makes large and small inputs take the same way.
+    wanted = dealt.select("component", "node", "block", cells.alias("cells")).hint("merge")
     texts = (
-        documents.select(F.col("doc_id").cast("bigint").alias("node"), "text")
-        .join(dealt.select("component", "node", "block", cells.alias("cells")), "node")
+        packed_texts(documents.where(F.col("doc_id").isNotNull()))
+        .select(F.col("doc_id").alias("node"), "packed")
+        .join(wanted, "node")
     )
     kind = texts.schema["cells"].dataType.simpleString()
-    sets = texts.select("component", "node", "block", "cells", "text").mapInArrow(
+    sets = texts.select("component", "node", "block", "cells", "packed").mapInArrow(
         measure,
         f"component bigint, node bigint, block int, cells {kind}, elements array<bigint>",
     )
@@ -232,8 +253,9 @@ def exact_links(
     ).select("component", "cell.low", "cell.high", "block", "node", "elements")
 
     def link(batches):
-        for table in groups(batches, ["component", "low", "high"]):
-            yield _cell_links(table, percent)
+        for table, cuts in whole_groups(batches, keys):
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                yield _cell_links(table.slice(low, high - low), percent)
 
     keys = ["component", "low", "high"]
     return (
@@ -246,10 +268,8 @@ def exact_links(
 
 def _cell_links(table: pa.Table, percent: int) -> pa.RecordBatch:
     nodes = table["node"].to_numpy()
-    lists = table["elements"].combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.chunk(0)
-    sizes = np.diff(lists.offsets.to_numpy())
+    values, offsets = _elements(table, "elements")
+    sizes = np.diff(offsets)
     owner = np.repeat(np.arange(len(nodes)), sizes)
 
     def enough(shared, i, j):
@@ -259,7 +279,8 @@ def _cell_links(table: pa.Table, percent: int) -> pa.RecordBatch:
     first = None
     if table["low"][0].as_py() != table["high"][0].as_py():
         first = int(np.searchsorted(table["block"].to_numpy(), table["high"][0].as_py()))
-    roots = linked_roots(owner, lists.flatten().to_numpy(), len(nodes), enough, first)
+    own = values[offsets[0] : offsets[-1]]
+    roots = linked_roots(owner, own, len(nodes), enough, first)
     return pa.RecordBatch.from_pydict({"a": nodes[roots], "b": nodes})
 
 

@@ -14,11 +14,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from keybrook.llm.common import written
-from keybrook.llm.components import groups
+from keybrook.llm.components import parts, whole_groups
+from keybrook.llm.packed import packed_texts, unpacked
 from keybrook.llm.word_hashes import prefix_sums, span_hashes
 
 LENGTH = 200
@@ -196,7 +196,7 @@ def _hot_windows(contents: DataFrame, length: int) -> DataFrame:
     """
 
     def explode(batches):
-        for batch in batches:
+        for batch in parts(batches):
             for text, at, content in zip(*[
                 batch.column(name).to_pylist() for name in ("text_key", "at", "content")
             ]):
@@ -221,7 +221,7 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
     the distinct texts, by ``text_key``."""
 
     def find(batches):
-        for batch in batches:
+        for batch in parts(batches):
             keys, anchors, firsts, sizes = [], [], [], []
             for text in batch.column("text").to_pylist():
                 data = text.encode("utf-8", "surrogatepass")
@@ -267,7 +267,7 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
     kind = wanted.schema["wanted"].dataType
 
     def cut(batches):
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for key, packed, runs in zip(*[
                 batch.column(name).to_pylist() for name in ("text_key", "packed", "wanted")
@@ -296,8 +296,9 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
         contents = written(contents, "suffix-contents")
 
     def sort(batches):
-        for table in groups(batches, ["anchor"]):
-            yield _repeated_windows(table, length)
+        for table, cuts in whole_groups(batches, ["anchor"]):
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                yield _repeated_windows(table.slice(low, high - low), length)
 
     ranges = (
         contents.where(F.col("runs") <= most_runs)
@@ -310,34 +311,6 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
     return ranges
 
 
-def packed_texts(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_key`` and the text, packed for the way through a shuffle."""
-
-    def pack(batches):
-        packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            data = [
-                (text or "").encode("utf-8", "surrogatepass")
-                for text in batch.column("text").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"),
-                 pa.array([packer.compress(one) for one in data], pa.binary())],
-                ["doc_id", "text_key", "packed"],
-            )
-
-    rows = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
-        "text",
-    )
-    return rows.mapInArrow(pack, "doc_id bigint, text_key bigint, packed binary")
-
-
-def unpacked(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
-
-
 def merged_spans(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
     """The bytes that windows with these starts cover, as maximal runs."""
     spans: list[list[int]] = []
@@ -386,7 +359,7 @@ def remove_repeats(
     found = written(per_text.join(copies, "_key", "full"), "suffix-ranges")
 
     def cut(batches):
-        for batch in batches:
+        for batch in parts(batches):
             sizes, spans, kept = [], [], []
             for packed, ranges, copies in zip(*[
                 batch.column(name).to_pylist() for name in ("packed", "ranges", "copies")
