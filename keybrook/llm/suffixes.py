@@ -117,73 +117,109 @@ class BlindTrie:
         return found
 
 
-def deep_shallow_sort(data: bytes, starts: np.ndarray, length: int) -> list[np.ndarray]:
-    """The suffixes at ``starts``, sorted by ``length`` bytes, as groups of equal ones.
+def deep_shallow_sort(
+    data: bytes, starts: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the suffixes at ``starts`` by ``length`` bytes, and which equal the one
+    before them in that order.
 
     Shallow: suffixes are parted by eight bytes at a time, those that are still together
-    by the next eight. Deep: what shares all of these goes into blind tries.
+    by the next eight. Deep: what shares all of these goes into blind tries; two suffixes
+    need none, as they branch but once.
     """
     padded = np.frombuffer(data + bytes(8 * SHALLOW_WORDS), np.uint8)
     order = np.arange(len(starts))
     group = np.zeros(len(starts), np.int64)
     active = np.arange(len(starts))
-    words = min(SHALLOW_WORDS, length // 8)
     view = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    for word in range(words):
-        key = np.ascontiguousarray(view[starts[order[active]] + 8 * word]).view(">u8").reshape(-1)
+    for word in range(min(SHALLOW_WORDS, length // 8)):
+        at = starts[order[active]] + 8 * word
+        key = np.ascontiguousarray(view[at]).view(">u8").reshape(-1).astype(np.uint64)
         turn = np.lexsort((key, group[active]))
         order[active] = order[active][turn]
         key, old = key[turn], group[active]
-        new = np.concatenate(([False], (key[1:] != key[:-1]) | (old[1:] != old[:-1])))
-        firsts = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        group[active] = active[firsts]
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (old[1:] != old[:-1])))
+        group[active] = active[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
         sizes = np.bincount(group, minlength=len(starts))
         active = np.flatnonzero(sizes[group] > 1)
         if not len(active):
             break
-    found: list[np.ndarray] = []
+    equal = np.zeros(len(starts), bool)
     cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-    for low, high in zip(cuts, np.append(cuts[1:], len(starts))):
-        own = order[low:high]
-        if len(own) == 1:
-            found.append(own)
-            continue
+    sizes = np.diff(cuts, append=len(starts))
+    _sort_pairs(padded, starts, length, order, equal, cuts[sizes == 2])
+    for low, size in zip(cuts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+        own = order[low : low + size].copy()
         trie = BlindTrie([data[at : at + length] for at in starts[own].tolist()])
-        found += [own[leaf] for leaf in trie.leaves()]
-    return found
+        at = low
+        for leaf in trie.leaves():
+            order[at : at + len(leaf)] = own[leaf]
+            equal[at + 1 : at + len(leaf)] = True
+            at += len(leaf)
+    return order, equal
+
+
+def _sort_pairs(padded, starts, length, order, equal, firsts) -> None:
+    """Put groups of two in order in place, some thousand at a time."""
+    view = np.lib.stride_tricks.sliding_window_view(padded, length)
+    for low in range(0, len(firsts), 8_192):
+        at = firsts[low : low + 8_192]
+        one, two = view[starts[order[at]]], view[starts[order[at + 1]]]
+        differ = one != two
+        place = differ.argmax(axis=1)
+        row = np.arange(len(at))
+        equal[at + 1] = ~differ[row, place]
+        turned = at[one[row, place] > two[row, place]]
+        order[turned], order[turned + 1] = order[turned + 1], order[turned].copy()
 
 
 def _repeated_windows(table: pa.Table, length: int) -> pa.RecordBatch:
-    """Of runs with one anchor the windows that occur twice, as ranges of each text."""
+    """The windows that occur twice, as ranges of each text.
+
+    The table holds all runs of some anchors. Equal runs are sorted once.
+    """
     contents = table["content"].to_pylist()
     numbers: dict[bytes, int] = {}
     of_run = np.array([numbers.setdefault(content, len(numbers)) for content in contents])
     distinct = list(numbers)
-    several = np.bincount(of_run, minlength=len(distinct)) > 1
-    repeated = [np.full(len(content) - length + 1, often)
-                for content, often in zip(distinct, several)]
-    if len(distinct) > 1:
-        sizes = np.array([len(content) for content in distinct])
-        windows = sizes - length + 1
-        begins = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(distinct)), windows)
-        offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-        flags = np.concatenate(repeated)
-        for equal in deep_shallow_sort(b"".join(distinct), begins[owner] + offset, length):
-            if len(equal) > 1:
-                flags[equal] = True
-        repeated = np.split(flags, np.cumsum(windows)[:-1])
-    texts, firsts, lasts = [], [], []
-    for text, at, own in zip(
-        table["text_key"].to_pylist(), table["at"].to_pylist(), of_run.tolist()
-    ):
-        edges = np.flatnonzero(np.diff(repeated[own].astype(np.int8), prepend=0, append=0))
-        for low, high in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            texts.append(text)
-            firsts.append(at + low)
-            lasts.append(at + high - 1)
+    times = np.bincount(of_run, minlength=len(distinct))
+    sizes = np.array([len(content) for content in distinct])
+    windows = sizes - length + 1
+    flags = np.repeat(times > 1, windows)
+    # A run that is alone with its anchor, but for its copies, meets no other.
+    anchors = table["anchor"].to_numpy()
+    _, place = np.unique(anchors, return_inverse=True)
+    place_of = np.zeros(len(distinct), np.int64)
+    place_of[of_run] = place
+    sorted_too = np.bincount(place_of)[place_of] > 1
+    owner = np.repeat(np.arange(len(distinct)), windows)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    taken = np.flatnonzero(sorted_too[owner])
+    if len(taken):
+        starts = (np.cumsum(sizes) - sizes)[owner[taken]] + offset[taken]
+        order, equal = deep_shallow_sort(b"".join(distinct), starts, length)
+        again = equal.copy()
+        again[:-1] |= equal[1:]
+        flags[taken[order[again]]] = True
+    begins = np.cumsum(windows) - windows
+    padded = np.zeros(len(flags) + len(distinct), np.int8)
+    padded[np.arange(len(flags)) + owner] = flags
+    edges = np.diff(padded, prepend=np.int8(0))
+    lows, highs = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    places = begins + np.arange(len(distinct))
+    run = np.searchsorted(places, lows, "right") - 1
+    first, last = lows - places[run], highs - 1 - places[run]
+    # The ranges of a run's content hold for each run that has it.
+    low, high = np.searchsorted(run, of_run), np.searchsorted(run, of_run, "right")
+    rows = np.repeat(np.arange(len(of_run)), high - low)
+    ranges = np.arange(len(rows)) - np.repeat(np.cumsum(high - low) - high, high - low)
+    at = table["at"].to_numpy()[rows]
     return pa.RecordBatch.from_arrays(
-        [pa.array(texts, pa.int64()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())],
+        [
+            pa.array(table["text_key"].to_numpy()[rows]),
+            pa.array(at + first[ranges]),
+            pa.array(at + last[ranges]),
+        ],
         ["text_key", "first", "last"],
     )
 
@@ -296,9 +332,8 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
         contents = written(contents, "suffix-contents")
 
     def sort(batches):
-        for table, cuts in whole_groups(batches, ["anchor"]):
-            for low, high in zip(cuts[:-1], cuts[1:]):
-                yield _repeated_windows(table.slice(low, high - low), length)
+        for table, _ in whole_groups(batches, ["anchor"]):
+            yield _repeated_windows(table, length)
 
     ranges = (
         contents.where(F.col("runs") <= most_runs)
