@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +99,14 @@ def _begins(rows: pa.RecordBatch | pa.Table, key: list[str]) -> list[int]:
     return np.flatnonzero(change).tolist()
 
 
+def in_parts(
+    values: pa.Array, work: Callable[[pa.Array], pa.Array], rows: int = 500
+) -> pa.Array:
+    """``work`` on some rows at a time, for a function of one column."""
+    starts = range(0, max(len(values), 1), rows)
+    return pa.concat_arrays([work(values.slice(start, rows)) for start in starts])
+
+
 def parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """Smaller batches, for work that takes many times the memory of its input."""
     for batch in batches:

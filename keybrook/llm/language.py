@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from keybrook.llm.components import in_parts, parts
+
 UNKNOWN = "und"
 PROFILE_SIZE = 400
 # About so many labelled rows of each language are enough to fit its profile.
@@ -142,7 +144,7 @@ def fit_profiles(
     chosen = rows.join(F.broadcast(shares), "lang").where(point < F.col("share"))
 
     def count(batches):
-        for batch in batches:
+        for batch in parts(batches):
             texts: dict[str, list[str]] = {}
             for language, text in zip(*[batch.column(n).to_pylist() for n in ("lang", "text")]):
                 texts.setdefault(language, []).append(text)
@@ -172,6 +174,9 @@ def language_of(profiles: Profiles):
 
     @F.arrow_udf("lang_pred string, score double")
     def predict(texts: pa.Array) -> pa.Array:
+        return in_parts(texts, nearest)
+
+    def nearest(texts: pa.Array) -> pa.Array:
         found = [profiles.best(text) for text in texts.to_pylist()]
         return pa.StructArray.from_arrays(
             [pa.array([x[0] for x in found], pa.string()),

@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from keybrook.llm.components import parts
 from keybrook.llm.pieces import MODEL, load_model
 
 ROW_LENGTH = 2_048
 # About so many tokens are packed together; they bound the memory of a task.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 # Fixed values of the vocabulary: the end of a document, and what fills a row.
 END_ID, PAD_ID = 2, 0
 
@@ -147,23 +148,20 @@ def pack_documents(
     def pack(batches):
         first = TaskContext.get().partitionId() << 40
         block, tokens = [], 0
-        for batch in batches:
-            keys = batch.column("doc_id").to_pylist()
-            texts = batch.column("text").to_pylist()
-            for low in range(0, len(texts), 256):
-                part = slice(low, low + 256)
-                for key, ids in zip(keys[part], pieces.encode(texts[part])):
-                    if ids is None or not len(ids):
-                        continue
-                    ids = np.append(ids, np.int32(END_ID))
-                    for start, piece in pieces_of(ids, row_length):
-                        block.append((key, start, piece))
-                        tokens += len(piece)
-                        if tokens >= block_tokens:
-                            packed = _packed(block, row_length, first)
-                            first += packed.num_rows
-                            block, tokens = [], 0
-                            yield packed
+        for batch in parts(batches, 256):
+            keys, texts = (batch.column(name).to_pylist() for name in ("doc_id", "text"))
+            for key, ids in zip(keys, pieces.encode(texts)):
+                if ids is None or not len(ids):
+                    continue
+                ids = np.append(ids, np.int32(END_ID))
+                for start, piece in pieces_of(ids, row_length):
+                    block.append((key, start, piece))
+                    tokens += len(piece)
+                    if tokens >= block_tokens:
+                        packed = _packed(block, row_length, first)
+                        first += packed.num_rows
+                        block, tokens = [], 0
+                        yield packed
         if block:
             yield _packed(block, row_length, first)
 

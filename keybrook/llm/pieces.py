@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from keybrook.llm.components import in_parts
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 # Fixed values of the public model format: kinds of pieces and of models.
@@ -29,8 +31,8 @@ UNKNOWN_PENALTY = 10.0
 # No text from Arrow holds a lone surrogate.
 _BARE = "\ud800"
 
-_GROUP_CHARS = 2_000_000
-_MOST_WORDS = 600_000
+_GROUP_CHARS = 500_000
+_MOST_WORDS = 300_000
 
 
 def fields(data: bytes):
@@ -374,7 +376,7 @@ def encoder(model: PieceModel):
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        return _lists(model.encode(texts.to_pylist()))
+        return in_parts(texts, lambda part: _lists(model.encode(part.to_pylist())))
 
     return encode
 
@@ -384,6 +386,9 @@ def decoder(model: PieceModel):
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
+        return in_parts(ids, joined)
+
+    def joined(ids: pa.Array) -> pa.Array:
         own = [None if one is None else np.array(one, np.int32) for one in ids.to_pylist()]
         return pa.array(model.decode(own), pa.string())
 
@@ -396,6 +401,9 @@ def encoder_with_check(model: PieceModel):
 
     @F.arrow_udf("ids array<int>, round_trip boolean")
     def encode(texts: pa.Array) -> pa.Array:
+        return in_parts(texts, checked)
+
+    def checked(texts: pa.Array) -> pa.Array:
         texts = texts.to_pylist()
         ids = model.encode(texts)
         same = [a == b for a, b in zip(texts, model.decode(ids))]

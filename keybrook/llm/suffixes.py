@@ -27,7 +27,7 @@ SHALLOW_WORDS = 3
 # Runs with the same anchor, up to which their suffixes are sorted by one task.
 MOST_RUNS = 100_000
 
-_PART = 1 << 20
+_PART = 1 << 18
 _PLACE_BITS = 21
 
 
@@ -35,7 +35,7 @@ def runs_of(data: bytes, length: int = LENGTH, anchor: int = ANCHOR):
     """Anchor hash, first window, number of windows of each run of a text.
 
     The anchor of a window is the smallest string hash in it, of equal ones the last.
-    A long text is worked on in parts of a million windows.
+    A long text is worked on in parts of a quarter of a million windows.
     """
     found = []
     for begin in range(0, len(data) - length + 1, _PART):

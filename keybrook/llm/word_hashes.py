@@ -11,7 +11,7 @@ LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
-_PART = 1 << 21
+_PART = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -34,7 +34,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Running sums of a polynomial in the bytes, from 0; at most 2 MiB of them."""
+    """Running sums of a polynomial in the bytes, from 0; of half a MiB at most."""
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(data * _POWERS[: len(data)], out=sums[1:])
     return sums
@@ -47,7 +47,7 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 def _parts(data: bytes) -> Iterator[bytes]:
-    """``data`` in parts of about 2 MiB, cut at white space; a longer word is cut."""
+    """``data`` in parts of about half a MiB, cut at white space; a longer word is cut."""
     at = 0
     while len(data) - at > _PART:
         stop = at + _PART
@@ -61,8 +61,8 @@ def _parts(data: bytes) -> Iterator[bytes]:
 def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
     """For each text the hashes of its words, in order.
 
-    Texts go through together in parts of about 2 MiB, so memory stays bounded. (A
-    single word of more than 2 MiB counts as several.)
+    Texts go through together in parts of about half a MiB, so memory stays bounded. (A
+    single word of more than that counts as several.)
     """
     found: list[np.ndarray] = []
     group: list[bytes] = []
