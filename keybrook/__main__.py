@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keybrook import schemas
 from keybrook.functions.codecs import Codec
-from keybrook.operators.tables import latest_by_key
 from keybrook.plans.enriched_orders import start_enriched_orders
 from keybrook.plans.mail_rewrite import both_topics
 from keybrook.plans.word_count import start_word_changelog, start_word_counts
 from keybrook.session import build_session
-from keybrook.sources.generators import generate_customers, generate_orders, generate_products
 from keybrook.sources.topics import (
     drain,
     from_envelope,
@@ -26,9 +24,6 @@ from keybrook.sources.topics import (
     read_topic,
     stream_kafka,
     stream_topic,
-    to_envelope,
-    write_kafka,
-    write_topic,
 )
 from keybrook.streaming.sinks import (
     Sink,
@@ -37,6 +32,7 @@ from keybrook.streaming.sinks import (
     to_kafka_topic,
     to_topic_folder,
 )
+from keybrook.streaming.tables import maintain, present_rows
 
 # Key and value codecs of the topics.
 CODECS: dict[str, tuple[Codec, Codec]] = {
@@ -62,13 +58,17 @@ def parser() -> argparse.ArgumentParser:
     arguments.add_argument(
         "--once", action="store_true", help="process what is there, then stop"
     )
+    arguments.add_argument(
+        "--max-files", type=int, default=1_000, help="files of a topic folder per micro-batch"
+    )
+    arguments.add_argument(
+        "--max-offsets", type=int, default=10_000_000, help="Kafka records per micro-batch"
+    )
     pipelines = arguments.add_subparsers(dest="pipeline", required=True)
     pipelines.add_parser("enrich", help="orders with their customers and products")
     pipelines.add_parser("word-count", help="new count of each word, per micro-batch")
     pipelines.add_parser("word-changelog", help="count of its word, per word read")
     pipelines.add_parser("mail", help="rewritten mail addresses, to two topics")
-    generate = pipelines.add_parser("generate", help="seeded customers, products and orders")
-    generate.add_argument("--count", type=int, default=100, help="records per topic")
     show = pipelines.add_parser("drain", help="print the first records of a topic")
     show.add_argument("--topic", choices=sorted(CODECS), default=schemas.ENRICHED_ORDER_TOPIC)
     show.add_argument("--count", type=int, default=100)
@@ -76,19 +76,28 @@ def parser() -> argparse.ArgumentParser:
 
 
 def records(spark: SparkSession, given: argparse.Namespace, topic: str, stream: bool) -> DataFrame:
-    if given.servers:
-        envelope = (stream_kafka if stream else read_kafka)(spark, given.servers, topic)
+    if given.servers and stream:
+        envelope = stream_kafka(
+            spark, given.servers, topic, maxOffsetsPerTrigger=given.max_offsets
+        )
+    elif given.servers:
+        envelope = read_kafka(spark, given.servers, topic)
+    elif stream:
+        envelope = stream_topic(spark, given.root, topic, given.max_files)
     else:
-        envelope = (stream_topic if stream else read_topic)(spark, given.root, topic)
+        envelope = read_topic(spark, given.root, topic)
     return from_envelope(envelope, *CODECS[topic])
 
 
-def write(given: argparse.Namespace, rows: DataFrame, topic: str) -> None:
-    envelope = to_envelope(rows, topic, *CODECS[topic])
-    if given.servers:
-        write_kafka(envelope, given.servers)
-    else:
-        write_topic(envelope, given.root)
+def table(spark: SparkSession, given: argparse.Namespace, topic: str, name: str):
+    """Follow a topic of upserts, and give a function that reads the table as it is."""
+    checkpoint = f"{given.work}/checkpoints/{name}-{topic}"
+    upserts = records(spark, given, topic, stream=True)
+    query = maintain(upserts, f"{name}-{topic}", checkpoint, given.once)
+    if given.once:
+        query.awaitTermination()
+    value = CODECS[topic][1].simpleString()
+    return lambda: present_rows(spark, checkpoint, "bigint", value)
 
 
 def sink(given: argparse.Namespace, topic: str, application: str) -> Sink:
@@ -98,13 +107,6 @@ def sink(given: argparse.Namespace, topic: str, application: str) -> Sink:
 
 
 def run(spark: SparkSession, given: argparse.Namespace) -> None:
-    if given.pipeline == "generate":
-        ids = spark.range(given.count)
-        write(given, generate_customers(ids), schemas.CUSTOMER_TOPIC)
-        write(given, generate_products(ids), schemas.PRODUCT_TOPIC)
-        orders = generate_orders(ids, customers=given.count, products=given.count)
-        write(given, orders, schemas.ORDER_TOPIC)
-        return
     if given.pipeline == "drain":
         first = drain(records(spark, given, given.topic, stream=False), given.count)
         first.select("key", "value").show(given.count, truncate=False)
@@ -117,9 +119,9 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
     if given.pipeline == "enrich":
         orders = records(spark, given, schemas.ORDER_TOPIC, stream=True)
         query = start_enriched_orders(
-            orders.select("key", "value", "offset"),
-            lambda: latest_by_key(records(spark, given, schemas.CUSTOMER_TOPIC, stream=False)),
-            lambda: latest_by_key(records(spark, given, schemas.PRODUCT_TOPIC, stream=False)),
+            orders.select("key", "value", "partition", "offset"),
+            table(spark, given, schemas.CUSTOMER_TOPIC, name),
+            table(spark, given, schemas.PRODUCT_TOPIC, name),
             sink(given, schemas.ENRICHED_ORDER_TOPIC, name),
             checkpoint,
             name,

@@ -23,9 +23,10 @@ BLOCK = "order_block"
 # A task sorts this many records of a key without trouble. It also bounds how
 # many keys can be hot: one per so many records.
 HOT_ROWS = 20_000_000
+# Records, after the split if there is one, that a block should have.
 ROWS_PER_BLOCK = 20_000
-# More blocks than this would make the list of cuts heavy; blocks grow instead.
-MOST_BLOCKS = 65_536
+# One list of cuts has at most so many; more blocks are made by cutting each again.
+CUTS_PER_LEVEL = 65_536
 _SAMPLES_PER_BLOCK = 16
 
 
@@ -37,6 +38,8 @@ def running_count(
     split: Callable[[DataFrame], DataFrame] | None = None,
     split_order: Sequence[str] = (),
     before: DataFrame | None = None,
+    counts: DataFrame | None = None,
+    most_per_row: Column | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -46,56 +49,62 @@ def running_count(
     totally. ``split`` turns the given records into those to count, such as
     lines into words. It must keep the other columns of a record; the columns
     of ``split_order`` are its own. Blocks are made before the split, where
-    there are fewer rows, of ``rows_per_block`` records each. Keys with more than
+    there are fewer rows, and sized by the records that come of it. Keys with more than
     ``hot_rows`` records are counted by blocks. ``before`` holds (key, count) of
     records that came earlier, and its counts are continued. Records without a
     key are dropped.
+
+    ``counts`` are the (key, count) of these records, where the caller has them already.
+    ``most_per_row`` says how many records at most come of a row; if they are too few
+    in all for a hot key, the counts are not needed.
     """
 
     def to_count(rows: DataFrame) -> DataFrame:
         return (split(rows) if split else rows).where(F.col(key).isNotNull())
 
     order = [*order_by, *split_order]
-    total = records.count()
-    # Without a split no key has more records than there are; with one, a block
-    # of lines is taken to be small enough.
-    few = total <= (rows_per_block if split else hot_rows)
-    hot = [] if few else keys_above(to_count(records), key, hot_rows)
-    if not hot:
+    if most_per_row is None and split is None:
+        most_per_row = F.lit(1)
+    hot_keys = None
+    if counts is None and most_per_row is not None:
+        most = records.agg(F.coalesce(F.sum(most_per_row), F.lit(0))).first()[0]
+        few = most <= hot_rows
+    else:
+        few = False
+    if not few:
+        counts = counts if counts is not None else count_by_key(to_count(records), key)
+        sums = _sums(counts, hot_rows)
+        if sums["hot"]:
+            hot_keys = counts.where(F.col("count") > hot_rows).select(F.col("key").alias(key))
+    if hot_keys is None:
         ranked = _rank(to_count(records), [key], order, name)
         if before is None:
             return ranked
         starts = before.select(F.col("key").alias(key), F.col("count").alias("_start"))
         return _add_starts(ranked, starts, [key], name)
 
-    block = order_block(records, order_by, total, rows_per_block)
-    counted = to_count(records.withColumn(BLOCK, block)) if split else to_count(records)
-    hot_keys = F.broadcast(
-        records.sparkSession.createDataFrame(
-            [(value,) for value in hot], counted.select(key).schema
-        )
-    )
-    # Without a split the place is looked for after the join, for hot records only.
-    place = F.col(BLOCK) if split else block
+    blocked = in_order_blocks(records, order_by, sums["records"], rows_per_block)
+    counted = to_count(blocked)
     in_blocks = (
         counted.join(hot_keys, key, "left_semi")
-        .select(key, place.alias(BLOCK))
         .groupBy(key, BLOCK)
         .agg(F.count(F.lit(1)).alias("_count"))
     )
     flagged = counted.join(hot_keys.withColumn("_is_hot", F.lit(True)), key, "left")
-    blocked = flagged.withColumn(
-        BLOCK, F.when(F.col("_is_hot"), place).otherwise(F.lit(0))
+    placed = flagged.withColumn(
+        BLOCK, F.when(F.col("_is_hot"), F.col(BLOCK)).otherwise(F.lit(0).cast("bigint"))
     ).drop("_is_hot")
     starts = _starts(in_blocks, hot_keys, before, key)
-    ranked = _rank(blocked, [key, BLOCK], order, name)
+    ranked = _rank(placed, [key, BLOCK], order, name)
     return _add_starts(ranked, starts, [key, BLOCK], name).drop(BLOCK)
 
 
-def keys_above(records: DataFrame, key: str, rows: int) -> list:
-    """The keys with more than ``rows`` records. There is at most one per ``rows``."""
-    hot = count_by_key(records, key).where(F.col("count") > rows).select("key")
-    return [row.key for row in hot.collect()]
+def _sums(counts: DataFrame, hot_rows: int):
+    """How many records there are, and whether a key has more than ``hot_rows`` of them."""
+    return counts.agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("records"),
+        F.coalesce(F.max("count") > hot_rows, F.lit(False)).alias("hot"),
+    ).first()
 
 
 def _rank(records: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
@@ -112,7 +121,7 @@ def _starts(
         earlier = before.select(F.col("key").alias(key), F.col("count").alias("_count"))
         in_blocks = in_blocks.unionByName(
             earlier.join(hot_keys, key, "left_semi").withColumns(
-                {BLOCK: F.lit(-1), "_is_block": F.lit(False)}
+                {BLOCK: F.lit(-1).cast("bigint"), "_is_block": F.lit(False)}
             )
         )
     up_to = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -125,7 +134,7 @@ def _starts(
         return starts
     one_block = earlier.join(hot_keys, key, "left_anti")
     return starts.unionByName(
-        one_block.select(key, F.lit(0).alias(BLOCK), F.col("_count").alias("_start"))
+        one_block.select(key, F.lit(0).cast("bigint").alias(BLOCK), F.col("_count").alias("_start"))
     )
 
 
@@ -141,55 +150,90 @@ def _add_starts(
     )
 
 
-def order_block(
-    records: DataFrame, order_by: Sequence[str], total: int, rows_per_block: int
-) -> Column:
-    """The number of the block that each of ``total`` records is in.
+def in_order_blocks(
+    records: DataFrame,
+    order_by: Sequence[str],
+    total: int,
+    rows_per_block: int,
+    cuts_per_level: int = CUTS_PER_LEVEL,
+) -> DataFrame:
+    """Add the number of the block that each record is in, by the order of ``order_by``.
+
+    ``total`` records, after any split, are to be ``rows_per_block`` in each. The cuts
+    between blocks come from a sample of the ordering columns. They shape the balance
+    only: each record falls in exactly one block whatever the cuts are. In the plan they
+    are constants, so a task that runs again puts its records into the same blocks.
 
-    The cuts between blocks come from a sample of the ordering columns, of about
-    ``16 * MOST_BLOCKS`` rows at most however large the input is, as for a range
-    partitioning. They shape the balance only: each record falls in exactly one
-    block whatever the cuts are. In the plan they are constants, so a task that
-    runs again after a lost executor puts its records into the same blocks.
+    Where one list of cuts would be too long, every block of a first level is cut
+    again by a list of its own, which is joined to its records.
     """
-    blocks = min(MOST_BLOCKS, math.ceil(total / rows_per_block))
-    cuts = _block_cuts(records, order_by, total, blocks) if blocks > 1 else []
-    if not cuts:
-        return F.lit(0)
+    blocks = max(1, math.ceil(total / rows_per_block))
+    outer = min(blocks, cuts_per_level)
+    inner = math.ceil(blocks / outer)
+    points = _sampled_cuts(records, order_by, outer) if outer > 1 else []
     point = F.struct(*order_by)
-    point_type = records.select(point.alias("point")).schema["point"].dataType
+    kind = records.select(point.alias("point")).schema["point"].dataType
+    if not points:
+        return records.withColumn(BLOCK, F.lit(0).cast("bigint"))
     # One JSON constant: the optimizer parses it once into an array constant.
-    points = F.from_json(
-        F.lit("[" + ",".join(cuts) + "]"), f"array<{point_type.simpleString()}>"
+    cuts = F.from_json(
+        F.lit("[" + ",".join(points) + "]"), f"array<{kind.simpleString()}>"
     )
     if len(order_by) == 1:
-        return _count_not_after(points[order_by[0]], len(cuts), F.col(order_by[0]))
-    return _count_not_after(points, len(cuts), point)
+        cuts, point = cuts[order_by[0]], F.col(order_by[0])
+    first = _count_not_after(cuts, F.lit(len(points)), len(points), point)
+    placed = records.withColumn(BLOCK, first.cast("bigint"))
+    if inner == 1:
+        return placed
+    fraction = _fraction(records, outer * inner)
+    lists = (
+        placed.select(BLOCK, point.alias("point"))
+        .sample(fraction, seed=2)
+        .groupBy(BLOCK)
+        .agg(F.sort_array(F.collect_list("point")).alias("sampled"))
+        .select(
+            BLOCK,
+            F.filter(
+                "sampled",
+                lambda x, n: (n > 0) & (n % F.greatest(
+                    F.ceil(F.size("sampled") / inner), F.lit(1)) == 0),
+            ).alias("_cuts"),
+        )
+    )
+    within = _count_not_after(F.col("_cuts"), F.size("_cuts"), inner, point)
+    return (
+        placed.join(lists, BLOCK, "left")
+        .withColumn(BLOCK, F.col(BLOCK) * inner + F.coalesce(within, F.lit(0)))
+        .select(*records.columns, BLOCK)
+    )
+
+
+def _fraction(records: DataFrame, blocks: int) -> float:
+    rows = records.count()
+    return min(1.0, _SAMPLES_PER_BLOCK * blocks / max(rows, 1))
 
 
-def _block_cuts(
-    records: DataFrame, order_by: Sequence[str], total: int, blocks: int
-) -> list[str]:
-    fraction = min(1.0, _SAMPLES_PER_BLOCK * blocks / total)
+def _sampled_cuts(records: DataFrame, order_by: Sequence[str], blocks: int) -> list[str]:
+    """Cuts between ``blocks`` blocks: every so many-th of a sorted sample."""
+    point = F.to_json(F.struct(*order_by)).alias("point")
     sample = (
         records.select(*order_by)
-        .sample(fraction, seed=1)
+        .sample(_fraction(records, blocks), seed=1)
         .orderBy(*order_by)
-        .select(F.to_json(F.struct(*order_by)).alias("point"))
+        .select(point)
         .collect()
     )
     step = max(1, len(sample) // blocks)
     return [row.point for row in sample[step::step][: blocks - 1]]
 
 
-def _count_not_after(cuts: Column, size: int, point: Column) -> Column:
-    """How many of the sorted ``cuts`` are not after ``point``, by halving."""
-    steps = [1 << power for power in reversed(range(size.bit_length()))]
+def _count_not_after(cuts: Column, size: Column, most: int, point: Column) -> Column:
+    """How many of the sorted ``cuts``, ``most`` at most, are not after ``point``, by halving."""
+    steps = [1 << power for power in reversed(range(most.bit_length()))]
 
     def advance(at: Column, step: Column) -> Column:
         ahead = at + step
-        reachable = ahead <= F.lit(size)
-        return F.when(reachable & (F.element_at(cuts, ahead) <= point), ahead).otherwise(at)
+        return F.when((ahead <= size) & (F.get(cuts, ahead - 1) <= point), ahead).otherwise(at)
 
     place = F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
     # Known to be not null, or a join by it would compute it again for a test.

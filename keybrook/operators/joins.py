@@ -1,7 +1,8 @@
 """Inner join of a record stream with a table, on a key taken from the record.
 
-A table whose measured size is small enough is replicated to every executor,
-and the stream is not shuffled. A larger table is joined by a shuffle in which
+A table that is small enough is replicated to every executor, and the stream is not
+shuffled. Small input files settle that without a job; otherwise the table is made
+once, written, and measured. A larger table is joined by a shuffle in which
 keys that hold a large part of the stream are salted: their records spread over
 many tasks, and their table rows (at most one per key) are repeated for each
 salt. Both ways give the same rows, in one pass over the stream.
@@ -16,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from keybrook.operators.records import complete_records
+from keybrook.session import work_folder
 
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # A key with more than this share of the stream is salted. It also bounds how
@@ -28,10 +30,15 @@ _LOOKUP_KEY, _TABLE_KEY, _TABLE_VALUE = "_lookup_key", "_table_key", "_table_val
 _SALT, _TABLE_SALT = "_salt", "_table_salt"
 
 
+# Rows in memory may be this many times as large as the files they come from.
+FILE_MULTIPLE = 256
+
+
 @dataclass(frozen=True)
 class Distribution:
     """How a table meets the stream."""
 
+    table: DataFrame
     replicate: bool
     hot_keys: list = field(default_factory=list)
 
@@ -43,27 +50,73 @@ def choose_distributions(
 ) -> list[Distribution]:
     """Decide for several tables at once, from their sizes.
 
-    All tables are measured in one job. If some are too large, one more pass
-    over their keys in the stream finds the hot ones of each. So every
+    Tables whose files are small need no job. The others are computed once, into the
+    shared folder, and measured there; the join reads them from it. If some are too
+    large, one more pass over their keys in the stream finds the hot ones of each. So every
     ``select_key`` here takes its key from a record of ``stream`` itself.
     """
-    sizes = measured_bytes([table for table, _ in lookups])
-    large = [index for index, size in enumerate(sizes) if size > max_broadcast_bytes]
+    tables = [table for table, _ in lookups]
+    unsure = [
+        index for index, table in enumerate(tables)
+        if not surely_below(table, max_broadcast_bytes)
+    ]
+    # With no limit at all there is nothing to measure.
+    if max_broadcast_bytes > 0 and unsure:
+        for index in unsure:
+            tables[index] = _stored(tables[index])
+        sizes = measured_bytes([tables[index] for index in unsure])
+        unsure = [n for n, size in zip(unsure, sizes) if size > max_broadcast_bytes]
     keys = {
         f"{_LOOKUP_KEY}{index}": lookups[index][1](F.col("key"), F.col("value"))
-        for index in large
+        for index in unsure
     }
     hot = {}
-    if large:
+    if unsure:
         hot = frequent_keys(
             complete_records(stream).select(*[key.alias(name) for name, key in keys.items()])
         )
     return [
-        Distribution(index not in large, hot.get(f"{_LOOKUP_KEY}{index}", []))
-        for index in range(len(sizes))
+        Distribution(table, index not in unsure, hot.get(f"{_LOOKUP_KEY}{index}", []))
+        for index, table in enumerate(tables)
     ]
 
 
+def surely_below(table: DataFrame, most_bytes: int) -> bool:
+    """Whether the table's files are so small that its rows cannot reach ``most_bytes``.
+
+    The files are listed; nothing is run. A table that also has rows from elsewhere, or
+    whose files are not at hand, is not sure to be small.
+    """
+    if most_bytes <= 0:
+        return False
+    if _has_other_sources(table):
+        return False
+    spark = table.sparkSession
+    total = 0
+    for file in table.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += system.getFileStatus(path).getLen()
+        if total * FILE_MULTIPLE > most_bytes:
+            return False
+    return True
+
+
+def _has_other_sources(table: DataFrame) -> bool:
+    leaves = table._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return any(
+        not leaves.apply(n).nodeName().startswith(("LogicalRelation", "Relation"))
+        for n in range(leaves.size())
+    )
+
+
+def _stored(table: DataFrame) -> DataFrame:
+    spark = table.sparkSession
+    path = work_folder(spark, "lookup-table")
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def lookup_join(
     stream: DataFrame,
     table: DataFrame,
@@ -99,8 +152,8 @@ def star_join(
     )
     for n in range(len(lookups)):
         joined = joined.where(F.col(f"{_LOOKUP_KEY}{n}").isNotNull())
-    for n, ((table, _), distribution) in enumerate(zip(lookups, distributions)):
-        right = table.select(
+    for n, distribution in enumerate(distributions):
+        right = distribution.table.select(
             F.col("key").alias(_TABLE_KEY), F.col("value").alias(f"{_TABLE_VALUE}{n}")
         )
         joined = _join(
@@ -126,7 +179,7 @@ def unmatched(
     left = complete_records(stream).withColumn(
         _LOOKUP_KEY, select_key(F.col("key"), F.col("value"))
     )
-    right = keys_only.select(F.col("key").alias(_TABLE_KEY))
+    right = distribution.table.select(F.col("key").alias(_TABLE_KEY))
     return _join(left, right, _LOOKUP_KEY, "left_anti", distribution, stream.columns).select(
         *stream.columns
     )
@@ -148,7 +201,7 @@ def _join(
     # A hash of the whole record, so that a task that runs again gives it the
     # same salt. Records without a looked-up key would also meet in one task.
     # With the coalesce the salt is known to be not null, and is not tested.
-    hashed = F.pmod(F.xxhash64(*record_columns), F.lit(salts)).cast("int")
+    hashed = F.pmod(F.xxhash64(*_hashable(left, record_columns)), F.lit(salts)).cast("int")
     is_hot = F.col(lookup_key).isNull() | F.col(lookup_key).isin(distribution.hot_keys)
     salted_left = left.withColumn(
         _SALT, F.when(is_hot, F.coalesce(hashed, F.lit(0))).otherwise(0)
@@ -167,6 +220,15 @@ def _join(
     return joined.drop(_SALT, _TABLE_SALT)
 
 
+def _hashable(records: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The columns, as JSON where they hold a map, which has no hash."""
+    return [
+        F.to_json(F.struct(name)) if "map<" in records.schema[name].dataType.simpleString()
+        else F.col(name)
+        for name in columns
+    ]
+
+
 def frequent_keys(keys: DataFrame, share: float = HOT_SHARE) -> dict[str, list]:
     """For each column a list that holds every key with more than ``share`` of the rows.
 

@@ -62,18 +62,12 @@ def start_enriched_orders(
 
     A static frame would keep the list of files it had at the start, so the
     tables are given as functions and read once per micro-batch. A later change
-    of a table does not emit earlier orders again. For a table with a long
-    history of upserts give ``present_rows`` of a ``ContinuousTable``.
+    of a table does not emit earlier orders again. For a table with a history of
+    upserts give ``present_rows`` of what ``maintain`` keeps.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Both are read twice, to be measured and to be joined.
-        kept = [table().persist() for table in (customers, products)]
-        try:
-            sink(enrich_orders(batch, *kept, max_broadcast_bytes), batch_id)
-        finally:
-            for table in kept:
-                table.unpersist()
+        sink(enrich_orders(batch, customers(), products(), max_broadcast_bytes), batch_id)
 
     return write_each_batch(orders, write, name, checkpoint, once)
 

@@ -9,14 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from keybrook.functions.codecs import decode_string, encode_string
+from keybrook.functions.codecs import decode_long, decode_string, encode_string
 from keybrook.functions.text import words
 from keybrook.operators.changelog import running_count
-from keybrook.operators.checks import check_records
+from keybrook.operators.checks import accepted, check_records, rejected
 from keybrook.operators.joins import unmatched
-from keybrook.operators.records import complete_records, flat_map_values
-from keybrook.operators.tables import latest_by_key, named_table, stored_table
+from keybrook.operators.records import (
+    complete_records,
+    flat_map_values,
+    observe_skipped,
+    rekey,
+)
+from keybrook.operators.tables import count_by_key, latest_by_key, named_table, stored_table
 from keybrook.plans.enriched_orders import (
     enrich_orders,
     flatten,
@@ -39,15 +45,16 @@ from keybrook.plans.word_count import (
 )
 from keybrook.schemas import (
     CUSTOMER_STORE,
+    MAIL_TOPIC,
     NEW_MAIL_TOPIC,
     ORDER,
     ORDER_TOPIC,
     ORIGINAL_AND_NEW_MAIL_TOPIC,
     SYMBOLS,
+    WORD_COUNTS_TOPIC,
 )
-from keybrook.session import shared_folder
-from keybrook.sources.generators import generate_customers, generate_orders, generate_products
-from keybrook.sources.lines import spread_over_cores
+from keybrook.session import work_folder
+from keybrook.sources.lines import read_lines, spread_over_cores, stream_lines
 from keybrook.sources.sample_feeds import (
     customer_feed,
     document_lines,
@@ -62,14 +69,16 @@ from keybrook.sources.topics import (
     drain,
     from_envelope,
     read_topic,
+    split_malformed,
     stream_records,
+    stream_topic,
     to_envelope,
     write_records,
     write_topic,
 )
 from keybrook.streaming.changelog import read_changelog, start_running_count
-from keybrook.streaming.sinks import to_folders
-from keybrook.streaming.tables import maintain, present_rows, table_of_upserts
+from keybrook.streaming.sinks import to_folders, to_topic_folder
+from keybrook.streaming.tables import maintain, present_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -229,7 +238,7 @@ def table_by_name(spark: SparkSession, folder: str) -> DataFrame:
 @query("table_stored_by_name", _LATEST)
 def table_stored_by_name(spark: SparkSession, folder: str) -> DataFrame:
     rows = latest_by_key(user_upserts(table(spark, folder, "events")))
-    return _user_rows(stored_table(rows, "user-store", shared_folder(spark, "tables")))
+    return _user_rows(stored_table(rows, "user-store", work_folder(spark, "tables")))
 
 
 # ---- words ----
@@ -383,17 +392,21 @@ def fan_out(spark: SparkSession, folder: str) -> DataFrame:
     return _both_topics(both_topics(mail, SEARCH, REPLACEMENT))
 
 
+def _some_null(spark: SparkSession, folder: str) -> DataFrame:
+    """Events, some without a key or a value."""
+    return table(spark, folder, "events").select(
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("key"),
+        F.when(F.col("value") >= 1, F.col("value")).alias("value"),
+        "event_id",
+    )
+
+
 @query("skip_null_records", """
     SELECT event_id, event_type, value AS amount FROM events
     WHERE event_type <> 'error' AND value >= 1
 """)
 def skip_null_records(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").select(
-        F.when(F.col("event_type") != "error", F.col("event_type")).alias("key"),
-        F.when(F.col("value") >= 1, F.col("value")).alias("value"),
-        "event_id",
-    )
-    return complete_records(events).select(
+    return complete_records(_some_null(spark, folder)).select(
         "event_id", F.col("key").alias("event_type"), F.col("value").alias("amount")
     )
 
@@ -436,110 +449,114 @@ def key_value_codecs(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def topic_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written to a topic as bytes, read back and decoded."""
-    root = shared_folder(spark, "topics")
+    root = work_folder(spark, "topics")
     write_topic(to_envelope(order_feed(spark, folder), ORDER_TOPIC, "long", ORDER), root)
     orders = from_envelope(read_topic(spark, root, ORDER_TOPIC), "long", ORDER)
     return orders.select(F.col("key").alias("order_id"), "value.*")
 
 
-# ---- generators ----
-
-
-def _hash_sql(seed: int, field: str, record_id: str, part: int = 0) -> str:
-    return f"md5('{seed}:{field}:' || {record_id} || ':{part}')"
-
-
-def _text_sql(seed: int, field: str, record_id: str, length: int) -> str:
-    parts = " || ".join(
-        f"left(to_base64(unhex({_hash_sql(seed, field, record_id, part)})), 22)"
-        for part in range(-(-length // 22))
+@query("topic_upserts_two_writes", _LATEST)
+def topic_upserts_two_writes(spark: SparkSession, folder: str) -> DataFrame:
+    """Upserts in two writes whose own offsets overlap; the second write is newer."""
+    root = work_folder(spark, "topics")
+    value = T.StructType([
+        T.StructField("event_type", T.StringType()), T.StructField("amount", T.DoubleType()),
+    ])
+    upserts = user_upserts(table(spark, folder, "events"))
+    middle = upserts.agg(F.avg("offset")).first()[0]
+    for part in (F.col("offset") <= middle, F.col("offset") > middle):
+        own = upserts.where(part)
+        low = own.agg(F.min("offset")).first()[0] or 0
+        own = own.withColumn("offset", F.col("offset") - low)
+        write_topic(to_envelope(own, "users", "long", value), root)
+    stored = from_envelope(read_topic(spark, root, "users"), "long", value)
+    return _user_rows(latest_by_key(stored))
+
+
+@query("word_changelog_topic", f"""
+    SELECT word, count, row_number() OVER (ORDER BY doc_id, pos) AS place
+    FROM ({_WORD_CHANGELOG})
+""")
+def word_changelog_topic(spark: SparkSession, folder: str) -> DataFrame:
+    """The changelog streamed to a topic of one partition, and its records in order."""
+    work = work_folder(spark, "word-changelog-topic")
+    sink = to_topic_folder(f"{work}/topics", WORD_COUNTS_TOPIC, "words", "string", "long")
+    start_word_changelog(
+        document_lines(stream_table(spark, folder, "documents")),
+        f"{work}/out",
+        f"{work}/checkpoint",
+        once=True,
+        sink=lambda batch, batch_id: sink(batch.withColumnRenamed("count", "value"), batch_id),
+    ).awaitTermination()
+    log = from_envelope(
+        read_topic(spark, f"{work}/topics", WORD_COUNTS_TOPIC), "string", "long"
     )
-    return f"left(translate({parts}, '+/', 'Zz'), {length})"
+    # The rank over the whole topic is for the comparison with SQL only.
+    ranked = running_count(log.withColumn("all", F.lit(1)), ["offset"], key="all", name="place")
+    return ranked.select(F.col("key").alias("word"), F.col("value").alias("count"), "place")
 
 
-def _below_sql(seed: int, field: str, record_id: str, bound: str) -> str:
-    return f"CAST('0x' || left({_hash_sql(seed, field, record_id)}, 15) AS BIGINT) % ({bound})"
+_BROKEN = "event_type = 'error'"
 
 
-def _long_sql(seed: int, field: str, record_id: str) -> str:
-    number = f"CAST(CAST('0x' || left({_hash_sql(seed, field, record_id)}, 16) AS UBIGINT) AS HUGEINT)"
-    return (
-        f"CAST(CASE WHEN {number} >= 9223372036854775808 "
-        f"THEN {number} - 18446744073709551616 ELSE {number} END AS BIGINT)"
+@query("malformed_records", f"""
+    SELECT event_id, NOT ({_BROKEN}) AS accepted,
+           CASE WHEN NOT ({_BROKEN}) THEN user_id END AS user_id,
+           CASE WHEN NOT ({_BROKEN}) THEN value END AS amount
+    FROM events
+""")
+def malformed_records(spark: SparkSession, folder: str) -> DataFrame:
+    """A topic in which some values are broken: the good records, and the rejected bytes."""
+    root = work_folder(spark, "topics")
+    record = T.StructType([
+        T.StructField("user_id", T.LongType()), T.StructField("amount", T.DoubleType()),
+    ])
+    events = table(spark, folder, "events").select(
+        F.col("event_id").alias("key"),
+        F.struct("user_id", F.col("value").alias("amount")).alias("value"),
+        "event_id",
+        F.expr(_BROKEN).alias("broken"),
     )
-
-
-_CUSTOMERS_SQL = f"""
-    SELECT c_custkey AS customer_id, {_text_sql(1, 'name', 'c_custkey', 10)} AS name,
-           ['male', 'female', 'unknown'][{_below_sql(1, 'gender', 'c_custkey', '3')} + 1] AS gender,
-           {_text_sql(1, 'region', 'c_custkey', 20)} AS region
-    FROM customer
-"""
-_PRODUCTS_SQL = f"""
-    SELECT p_partkey AS product_id, {_text_sql(2, 'name', 'p_partkey', 10)} AS name,
-           {_text_sql(2, 'description', 'p_partkey', 100)} AS description,
-           {_text_sql(2, 'supplier_name', 'p_partkey', 20)} AS supplier_name
-    FROM part
-"""
-_ORDERS_SQL = f"""
-    SELECT o_orderkey AS order_id,
-           {_below_sql(3, 'customer_id', 'o_orderkey', 'SELECT count(*) FROM customer')}
-               AS customer_id,
-           {_below_sql(3, 'product_id', 'o_orderkey', 'SELECT count(*) FROM part')}
-               AS product_id,
-           {_long_sql(3, 'time_order_placed_at', 'o_orderkey')} AS time_order_placed_at
-    FROM orders
-"""
-
-
-def _ids(spark: SparkSession, folder: str, name: str, column: str) -> DataFrame:
-    return table(spark, folder, name).select(F.col(column).alias("id"))
-
-
-def _generated_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return generate_orders(
-        _ids(spark, folder, "orders", "o_orderkey"),
-        customers=table(spark, folder, "customer").count(),
-        products=table(spark, folder, "part").count(),
+    good = to_envelope(events.where("not broken"), "events", "long", record)
+    bad = to_envelope(
+        events.where("broken").withColumn("value", F.lit("{not json")), "events", "long", "string"
     )
+    write_topic(good.unionByName(bad), root)
+    accepted_rows, rejected_rows = split_malformed(
+        read_topic(spark, root, "events"), "long", record
+    )
+    kept = accepted_rows.select(
+        F.col("key").alias("event_id"), F.lit(True).alias("accepted"), "value.user_id",
+        "value.amount",
+    )
+    dropped = rejected_rows.select(
+        decode_long(F.col("key")).alias("event_id"), F.lit(False).alias("accepted"),
+        F.lit(None).cast("bigint").alias("user_id"), F.lit(None).cast("double").alias("amount"),
+    )
+    return kept.unionByName(dropped)
 
 
-@query("generate_customers", _CUSTOMERS_SQL)
-def generated_customers(spark: SparkSession, folder: str) -> DataFrame:
-    rows = generate_customers(_ids(spark, folder, "customer", "c_custkey"))
-    return rows.select(F.col("key").alias("customer_id"), "value.*")
-
-
-@query("generate_products", _PRODUCTS_SQL)
-def generated_products(spark: SparkSession, folder: str) -> DataFrame:
-    rows = generate_products(_ids(spark, folder, "part", "p_partkey"))
-    return rows.select(F.col("key").alias("product_id"), "value.*")
-
-
-@query("generate_orders", _ORDERS_SQL)
-def generated_orders(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _generated_orders(spark, folder)
-    return rows.select(F.col("key").alias("order_id"), "value.*")
+@query("rekeyed_count", "SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
+def rekeyed_count(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events").select(
+        F.col("user_id").alias("key"), F.col("event_type").alias("value")
+    )
+    counts = count_by_key(rekey(events, lambda key, value: value))
+    return counts.select(F.col("key").alias("event_type"), "count")
 
 
-@query("generate_and_enrich", f"""
-    SELECT o.order_id,
-           p.name AS product_name, p.description AS product_description,
-           p.supplier_name AS product_supplier_name,
-           c.name AS customer_name, c.gender AS customer_gender, c.region AS customer_region,
-           o.customer_id AS order_customer_id, o.product_id AS order_product_id,
-           o.time_order_placed_at AS order_time_order_placed_at
-    FROM ({_ORDERS_SQL}) o
-    JOIN ({_CUSTOMERS_SQL}) c ON o.customer_id = c.customer_id
-    JOIN ({_PRODUCTS_SQL}) p ON o.product_id = p.product_id
+@query("skipped_counts", """
+    SELECT count(*) AS records, count(*) FILTER (event_type = 'error') AS null_keys,
+           count(*) FILTER (value < 1 OR value IS NULL) AS null_values
+    FROM events
 """)
-def generated_enriched_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return flatten(
-        enrich_orders(
-            _generated_orders(spark, folder),
-            latest_by_key(generate_customers(_ids(spark, folder, "customer", "c_custkey"))),
-            latest_by_key(generate_products(_ids(spark, folder, "part", "p_partkey"))),
-        )
+def skipped_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``skip_null_records`` passes over, counted in the pass that reads the records."""
+    observed, seen = observe_skipped(_some_null(spark, folder), "skipped")
+    observed.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(
+        [tuple(seen.get[name] for name in ("records", "null_keys", "null_values"))],
+        "records bigint, null_keys bigint, null_values bigint",
     )
 
 
@@ -552,14 +569,17 @@ _CHECKED_ORDER = T.StructType([
 ])
 
 
-def _checked_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders, some without a price or a status, against a contract."""
-    orders = table(spark, folder, "orders").select(
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders, some without a price or a status."""
+    return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus")).alias("status"),
         F.when(F.col("o_totalprice") >= 100000, F.col("o_totalprice")).alias("price"),
     )
-    return check_records(orders, _CHECKED_ORDER)
+
+
+def _checked_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return check_records(_orders(spark, folder), _CHECKED_ORDER)
 
 
 @query("required_fields", """
@@ -599,22 +619,88 @@ def accepted_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# ---- streaming twins: all that is in the files now, then the query stops ----
+_ACCEPTED = """
+    o_totalprice >= 100000 AND o_orderpriority <> '1-URGENT' AND o_orderstatus IN ('F', 'O')
+"""
 
 
-@query("stream_word_count", _word_count_sql("documents", "doc_id"))
-def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
-    work = shared_folder(spark, "word-count")
-    lines = document_lines(stream_table(spark, folder, "documents"))
+@query("accepted_side", f"""
+    SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS price
+    FROM orders WHERE {_ACCEPTED}
+""")
+def accepted_side(spark: SparkSession, folder: str) -> DataFrame:
+    return accepted(_orders(spark, folder), _CHECKED_ORDER)
+
+
+@query("rejected_side", f"SELECT o_orderkey AS order_id FROM orders WHERE NOT ({_ACCEPTED})")
+def rejected_side(spark: SparkSession, folder: str) -> DataFrame:
+    return rejected(_orders(spark, folder), _CHECKED_ORDER).select("order_id")
+
+
+# ---- lines of text files ----
+
+_LINES = """
+    (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS text FROM conversations
+     WHERE text IS NOT NULL)
+"""
+
+
+def _text_files(spark: SparkSession, folder: str) -> str:
+    path = work_folder(spark, "lines")
+    texts = table(spark, folder, "conversations").where(F.col("text").isNotNull())
+    texts.select("text").repartition(3).write.text(path)
+    return path
+
+
+@query("word_count_text_lines", _word_count_sql(_LINES, "conv_id, turn"))
+def word_count_text_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return _counts(word_counts(spread_over_cores(read_lines(spark, _text_files(spark, folder)))))
+
+
+@query("stream_word_count_text_lines", _word_count_sql(_LINES, "conv_id, turn"))
+def stream_word_count_text_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The files one by one."""
+    work = work_folder(spark, "line-count")
+    lines = stream_lines(spark, _text_files(spark, folder), max_files_per_trigger=1)
     start_word_counts(
         lines, to_folders(f"{work}/out"), f"{work}/checkpoint", once=True
     ).awaitTermination()
-    return _counts(read_word_counts(spark, f"{work}/out"))
+    return _counts(read_word_counts(spark, f"{work}/checkpoint"))
+
+
+# ---- streaming twins: all that is in the files now, then the query stops ----
+
+
+def _in_two_runs(
+    rows: DataFrame, by: str, folder: str, topic: str, run: Callable[[], StreamingQuery]
+) -> None:
+    """Run a query over some of the rows, start it again after the others have come.
+
+    The rows lie in several files; with one file per trigger each run has several
+    micro-batches, and the second goes on from the checkpoint of the first.
+    """
+    for part in (0, 1):
+        own = rows.where(F.pmod(F.xxhash64(by), F.lit(2)) == part)
+        write_records(own.repartition(2), folder, topic)
+        run().awaitTermination()
+
+
+@query("stream_word_count", _word_count_sql("documents", "doc_id"))
+def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
+    work = work_folder(spark, "word-count")
+
+    def run() -> StreamingQuery:
+        lines = stream_records(spark, f"{work}/in", "lines", "offset bigint, value string", 1)
+        return start_word_counts(lines, to_folders(f"{work}/out"), f"{work}/checkpoint", once=True)
+
+    lines = document_lines(table(spark, folder, "documents"))
+    _in_two_runs(lines, "offset", f"{work}/in", "lines", run)
+    return _counts(read_word_counts(spark, f"{work}/checkpoint"))
 
 
 @query("stream_running_count_words", _WORD_CHANGELOG)
 def stream_running_word_count(spark: SparkSession, folder: str) -> DataFrame:
-    work = shared_folder(spark, "word-changelog")
+    work = work_folder(spark, "word-changelog")
     lines = document_lines(stream_table(spark, folder, "documents"))
     start_word_changelog(
         lines, f"{work}/out", f"{work}/checkpoint", once=True
@@ -622,65 +708,127 @@ def stream_running_word_count(spark: SparkSession, folder: str) -> DataFrame:
     return _changelog(read_word_changelog(spark, f"{work}/out", "offset bigint"))
 
 
-@query("stream_running_count", _EVENT_CHANGELOG)
-def stream_running_event_count(spark: SparkSession, folder: str) -> DataFrame:
-    work = shared_folder(spark, "event-changelog")
-    events = stream_table(spark, folder, "events").select(
-        F.col("event_type").alias("key"), "event_id"
+def _users_in_halves(spark: SparkSession, folder: str) -> DataFrame:
+    """Events by user, numbered by the half of the table they are in."""
+    events = table(spark, folder, "events")
+    middle = events.agg(F.avg("event_id")).first()[0]
+    return events.select(
+        F.col("user_id").alias("key"), "event_id", (F.col("event_id") > middle).alias("late")
     )
-    start_running_count(
-        events,
-        ["event_id"],
-        f"{work}/out",
-        f"{work}/checkpoint",
-        "event-changelog",
-        once=True,
-    ).awaitTermination()
-    rows = read_changelog(spark, f"{work}/out", "key string, event_id bigint, count bigint")
-    return rows.select("event_id", F.col("key").alias("event_type"), "count")
+
+
+@query("stream_running_count", """
+    SELECT event_id, user_id,
+           row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS count
+    FROM events
+""")
+def stream_running_event_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Long keys, and a second run that goes on counting."""
+    work = work_folder(spark, "event-changelog")
+    events = _users_in_halves(spark, folder)
+    for late in (False, True):
+        own = events.where(F.col("late") == late).select("key", "event_id")
+        write_records(own, f"{work}/in", "events")
+        start_running_count(
+            stream_records(spark, f"{work}/in", "events", "key bigint, event_id bigint"),
+            ["event_id"],
+            f"{work}/out",
+            f"{work}/checkpoint",
+            "event-changelog",
+            once=True,
+        ).awaitTermination()
+    rows = read_changelog(spark, f"{work}/out", "key bigint, event_id bigint, count bigint")
+    return rows.select("event_id", F.col("key").alias("user_id"), "count")
+
+
+_USER = "struct<event_type: string, amount: double>"
 
 
 @query("stream_latest_by_key", _LATEST)
 def stream_latest_per_user(spark: SparkSession, folder: str) -> DataFrame:
-    work = shared_folder(spark, "user-table")
-    upserts = user_upserts(stream_table(spark, folder, "events"))
-    users = table_of_upserts(
-        spark, f"{work}/table", "struct<event_type: string, amount: double>"
+    work = work_folder(spark, "user-table")
+
+    def run() -> StreamingQuery:
+        upserts = stream_records(
+            spark, f"{work}/in", "users", f"key bigint, value {_USER}, offset bigint", 1
+        )
+        return maintain(upserts, "user-table", f"{work}/checkpoint", once=True)
+
+    users = user_upserts(table(spark, folder, "events"))
+    _in_two_runs(users, "offset", f"{work}/in", "users", run)
+    return _user_rows(present_rows(spark, f"{work}/checkpoint", "bigint", _USER))
+
+
+def _maintained(
+    spark: SparkSession, work: str, name: str, upserts: DataFrame
+) -> Callable[[], DataFrame]:
+    """A table that follows a folder of upserts, as it is when asked for."""
+    value = upserts.schema["value"].dataType.simpleString()
+    write_records(upserts, f"{work}/in", name)
+    stream = stream_records(
+        spark, f"{work}/in", name, f"key bigint, value {value}, offset bigint"
     )
-    maintain(upserts, users, "user-table", f"{work}/checkpoint", once=True).awaitTermination()
-    return _user_rows(present_rows(users))
+    maintain(stream, name, f"{work}/{name}", once=True).awaitTermination()
+    return lambda: present_rows(spark, f"{work}/{name}", "bigint", value)
 
 
 @query("stream_enriched", _ENRICHED)
 def stream_enriched_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders from a folder of typed records, joined with the tables as they are per batch."""
-    work = shared_folder(spark, "enriched-orders")
-    write_records(order_feed(spark, folder), f"{work}/in", ORDER_TOPIC)
-    start_enriched_orders(
-        stream_records(spark, f"{work}/in", ORDER_TOPIC, f"key bigint, value {ORDER.simpleString()}"),
-        lambda: latest_by_key(customer_feed(spark, folder)),
-        lambda: latest_by_key(product_feed(spark, folder)),
-        to_folders(f"{work}/out"),
-        f"{work}/checkpoint",
-        once=True,
-    ).awaitTermination()
+    """Orders in several micro-batches and two runs, joined with maintained tables.
+
+    What a micro-batch reads of a table is its present rows, not its history.
+    """
+    work = work_folder(spark, "enriched-orders")
+    customers = _maintained(spark, work, "customers", customer_feed(spark, folder))
+    products = _maintained(spark, work, "products", product_feed(spark, folder))
+
+    def run() -> StreamingQuery:
+        orders = stream_records(
+            spark, f"{work}/in", ORDER_TOPIC, f"key bigint, value {ORDER.simpleString()}", 1
+        )
+        return start_enriched_orders(
+            orders, customers, products, to_folders(f"{work}/out"), f"{work}/checkpoint", once=True
+        )
+
+    _in_two_runs(order_feed(spark, folder), "key", f"{work}/in", ORDER_TOPIC, run)
     return flatten(read_enriched_orders(spark, f"{work}/out"))
 
 
-@query("stream_fan_out", _BOTH_TOPICS)
-def stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
-    work = shared_folder(spark, "mail-rewrite")
-    mail = _mail_with_bytes(stream_table(spark, folder, "pages"))
+def _stream_mail(spark: SparkSession, folder: str, work: str, application: str) -> None:
+    """Pages as mail in the envelope, streamed to both topics by one application."""
+    mail = from_envelope(stream_topic(spark, f"{work}/mail", MAIL_TOPIC), "bytes", "string")
     start_mail_rewrite(
         mail,
         f"{work}/topics",
-        f"{work}/checkpoint",
+        f"{work}/checkpoints/{application}",
+        name=application,
         once=True,
         search=SEARCH,
         replacement=REPLACEMENT,
     ).awaitTermination()
-    written = [
+
+
+def _fan_out_by(spark: SparkSession, folder: str, applications: list[str]) -> DataFrame:
+    work = work_folder(spark, "mail-rewrite")
+    mail = _mail_with_bytes(table(spark, folder, "pages"))
+    write_topic(to_envelope(mail, MAIL_TOPIC, "bytes", "string"), f"{work}/mail")
+    for application in applications:
+        _stream_mail(spark, folder, work, application)
+    made = [
         read_topic(spark, f"{work}/topics", topic)
         for topic in (NEW_MAIL_TOPIC, ORIGINAL_AND_NEW_MAIL_TOPIC)
     ]
-    return _both_topics(written[0].unionByName(written[1]))
+    return _both_topics(made[0].unionByName(made[1])).drop("mail_offset")
+
+
+_BOTH_TOPICS_ONCE = f"SELECT topic, key_text, value_text FROM ({_BOTH_TOPICS})"
+
+
+@query("stream_fan_out", _BOTH_TOPICS_ONCE)
+def stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
+    return _fan_out_by(spark, folder, ["mail-rewrite"])
+
+
+@query("stream_fan_out_two_applications", f"{_BOTH_TOPICS_ONCE} UNION ALL {_BOTH_TOPICS_ONCE}")
+def stream_fan_out_two_applications(spark: SparkSession, folder: str) -> DataFrame:
+    return _fan_out_by(spark, folder, ["first", "second"])

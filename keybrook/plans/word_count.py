@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keybrook.functions.text import split_text, without_trailing_empty
 from keybrook.operators.changelog import HOT_ROWS, ROWS_PER_BLOCK, running_count
-from keybrook.operators.tables import count_by_key, latest_by_key
+from keybrook.operators.tables import count_by_key
 from keybrook.streaming.changelog import read_changelog, start_running_count
-from keybrook.streaming.sinks import BATCH, Sink, read_batches, write_each_batch
+from keybrook.streaming.sinks import Sink, write_each_batch
 
 
 def keyed_words(lines: DataFrame) -> DataFrame:
@@ -49,6 +49,8 @@ def word_changelog(
         order_by,
         split=keyed_words,
         split_order=["pos"],
+        # Each word but the first has a character before it.
+        most_per_row=F.char_length("value").cast("bigint") + 1,
         rows_per_block=rows_per_block,
         hot_rows=hot_rows,
     )
@@ -68,15 +70,11 @@ def start_word_counts(
     )
 
 
-def read_word_counts(spark: SparkSession, root: str) -> DataFrame:
-    """The table as of the last micro-batch that ``to_folders`` wrote."""
-    emitted = read_batches(spark, root, "key string, count bigint")
-    newest = latest_by_key(emitted.withColumnRenamed("count", "value"), order=BATCH)
-    return newest.withColumnRenamed("value", "count")
+def read_word_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The table of counts as of the last micro-batch, from Spark's state store.
 
-
-def read_count_state(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """The count table as Spark's state store holds it, read from the checkpoint."""
+    It costs the size of the table, however often its counts were emitted.
+    """
     state = spark.read.format("statestore").load(checkpoint)
     return state.select("key.key", F.col("value.count").alias("count"))
 

@@ -76,3 +76,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="keybrook-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A ``shared_folder`` that is removed when the session's JVM ends."""
+    folder = shared_folder(spark, purpose)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

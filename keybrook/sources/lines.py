@@ -21,14 +21,15 @@ def stream_lines(
 
 
 def spread_over_cores(lines: DataFrame) -> DataFrame:
-    """Spread an input of few splits over all cores, before costly work on its text.
+    """Spread an input of a few files over all cores, before costly work on its text.
 
-    A split holds at most ``spark.sql.files.maxPartitionBytes`` of a file, so an
-    input that has fewer splits than half of the cores moves at most that much
-    per core. Inputs with more splits, and so all large ones, stay as they are.
+    A file is one split per ``spark.sql.files.maxPartitionBytes``, and often one row
+    group. Only inputs whose files are fewer than half of the cores are moved, so all
+    large ones stay as they are. The files are listed, nothing is run.
     """
-    cores = lines.sparkSession.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() * 2 > cores:
+    spark = lines.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(lines.inputFiles()) * 2 > cores:
         return lines
     return lines.repartition(cores)
 

@@ -1,8 +1,9 @@
 """Topics: keyed records in the envelope that Spark's Kafka source also has.
 
 A topic is a Kafka topic, where the Kafka connector is on the class path, or a
-folder ``<root>/topic=<name>`` of Parquet files. Readers return the envelope;
-``from_envelope`` types it.
+folder ``<root>/topic=<name>/application=<name>/batch_id=<number>`` of Parquet files,
+so that several writers can share it. Readers return the envelope; ``from_envelope``
+types it. Offsets rise within each partition of a topic, over all writes.
 
 Between Spark jobs, ``write_records`` and its readers keep the records typed:
 nothing is encoded, and a reader fetches only the fields it uses.
@@ -10,9 +11,18 @@ nothing is encoded, and a reader fetches only the fields it uses.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from keybrook.functions.codecs import Codec, decode, encode
+from keybrook.functions.codecs import (
+    Codec,
+    decode,
+    decode_or_null,
+    encode,
+    is_malformed,
+)
 from keybrook.schemas import ENVELOPE
 
 
@@ -21,14 +31,17 @@ def to_envelope(
     topic: str,
     key_codec: Codec,
     value_codec: Codec,
-    partition: Column | int = 0,
+    partition: Column | int | None = None,
 ) -> DataFrame:
     """Encode ``key`` and ``value`` and add the rest of the envelope.
 
-    ``offset`` and ``timestamp`` are taken from the records where they have
-    them. Kafka gives its own; a folder topic needs an ``offset`` column for
-    readers that want the order of the records.
+    ``partition``, ``offset`` and ``timestamp`` are taken from the records where they have
+    them; a ``partition`` given here comes first. The offset only orders the records
+    of one write: a folder topic shifts it behind what it holds already, and Kafka
+    gives its own.
     """
+    if partition is None:
+        partition = F.col("partition") if "partition" in records.columns else F.lit(0)
     partition = F.lit(partition) if isinstance(partition, int) else partition
     offset = F.col("offset") if "offset" in records.columns else F.lit(None)
     written_at = F.col("timestamp") if "timestamp" in records.columns else F.current_timestamp()
@@ -42,6 +55,35 @@ def to_envelope(
     )
 
 
+def split_malformed(
+    envelope: DataFrame, key_codec: Codec, value_codec: Codec
+) -> tuple[DataFrame, DataFrame]:
+    """Typed records, and the rows of the envelope whose key or value cannot be decoded.
+
+    ``from_envelope`` fails on the latter; a program that must go on writes them to a
+    topic of their own.
+    """
+    bad = is_malformed(F.col("key"), key_codec) | is_malformed(F.col("value"), value_codec)
+    good = envelope.where(~bad).select(
+        decode_or_null(F.col("key"), key_codec).alias("key"),
+        decode_or_null(F.col("value"), value_codec).alias("value"),
+        "partition",
+        "offset",
+        "timestamp",
+    )
+    return good, envelope.where(bad)
+
+
+def in_one_order(records: DataFrame, position: str = "pos") -> DataFrame:
+    """Records whose ``offset`` also holds their ``position`` in the record they come from.
+
+    The changelog of a line's words has the line's offset on each word. The new offset
+    orders by both; it is no rank, so nothing is sorted.
+    """
+    width = records.agg(F.coalesce(F.max(position), F.lit(0)) + 1).first()[0]
+    return records.withColumn("offset", F.col("offset") * width + F.col(position)).drop(position)
+
+
 def from_envelope(
     envelope: DataFrame, key_codec: Codec = "string", value_codec: Codec = "string"
 ) -> DataFrame:
@@ -55,9 +97,58 @@ def from_envelope(
     )
 
 
-def write_topic(envelope: DataFrame, root: str) -> None:
-    """Append records to the folders of the topics they name."""
-    envelope.write.mode("append").partitionBy("topic").parquet(root)
+def write_topic(envelope: DataFrame, root: str, application: str | None = None) -> None:
+    """Append records to the folders of the topics they name, behind what is there."""
+    write_batch(envelope, root, application or f"write-{uuid.uuid4().hex}", 0)
+
+
+def write_batch(envelope: DataFrame, root: str, application: str, batch_id: int) -> None:
+    """Write one batch of an application to the topics it names, in one pass.
+
+    A batch that is written again, after its commit was lost, replaces itself. Other
+    batches and applications are left alone.
+    """
+    placed = _behind_earlier(envelope, root, application, batch_id)
+    (
+        placed.withColumns({"application": F.lit(application), "batch_id": F.lit(batch_id)})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("topic", "application", "batch_id")
+        .parquet(root)
+    )
+
+
+def _behind_earlier(
+    envelope: DataFrame, root: str, application: str, batch_id: int
+) -> DataFrame:
+    """Shift offsets so that each partition goes on after its highest one.
+
+    Records without an offset are numbered as they come. Both sides of the sum have
+    one row per topic and partition.
+    """
+    place = ["topic", "partition"]
+    offset = F.coalesce("offset", F.monotonically_increasing_id())
+    numbered = envelope.withColumn("offset", offset)
+    try:
+        stored = envelope.sparkSession.read.schema(_with_batches()).parquet(root)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return numbered
+    earlier = (
+        stored.where(~((F.col("application") == application) & (F.col("batch_id") == batch_id)))
+        .groupBy(*place)
+        .agg((F.max("offset") + 1).alias("_next"))
+    )
+    lows = numbered.groupBy(*place).agg(F.min("offset").alias("_low"))
+    shifts = lows.join(earlier, place).select(
+        *place, F.greatest(F.col("_next") - F.col("_low"), F.lit(0)).alias("_shift")
+    )
+    return (
+        numbered.join(F.broadcast(shifts), place, "left")
+        .withColumn("offset", F.col("offset") + F.coalesce("_shift", F.lit(0)))
+        .select(*envelope.columns)
+    )
 
 
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
@@ -80,10 +171,6 @@ def write_records(records: DataFrame, root: str, topic: str) -> None:
     records.write.mode("append").parquet(_folder(root, topic))
 
 
-def read_records(spark: SparkSession, root: str, topic: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(_folder(root, topic))
-
-
 def stream_records(
     spark: SparkSession,
     root: str,
@@ -102,7 +189,7 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, **options: str) ->
     return spark.read.format("kafka").options(**_kafka(servers, topic), **options).load()
 
 
-def stream_kafka(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+def stream_kafka(spark: SparkSession, servers: str, topic: str, **options: str | int) -> DataFrame:
     """A Kafka topic as a stream, from the start."""
     return spark.readStream.format("kafka").options(**_kafka(servers, topic), **options).load()
 
@@ -123,7 +210,7 @@ def drain(topic: DataFrame, count: int) -> DataFrame:
     Each task keeps only its own first ``count`` records, so nothing is sorted
     as a whole.
     """
-    order = [name for name in ("offset", "partition") if name in topic.columns]
+    order = [name for name in ("offset", "partition", "timestamp") if name in topic.columns]
     return topic.orderBy(*order).limit(count)
 
 
@@ -131,6 +218,14 @@ def _stored() -> T.StructType:
     return T.StructType([field for field in ENVELOPE if field.name != "topic"])
 
 
+def _with_batches() -> T.StructType:
+    return T.StructType([
+        *ENVELOPE.fields,
+        T.StructField("application", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ])
+
+
 def _folder(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/topic={topic}"
 

@@ -11,7 +11,7 @@ from keybrook.operators.changelog import HOT_ROWS, ROWS_PER_BLOCK, running_count
 from keybrook.operators.tables import count_by_key
 from keybrook.sources.lines import spread_over_cores
 from keybrook.streaming.sinks import Sink, read_batches, to_folders, write_each_batch
-from keybrook.streaming.tables import table_of_counts
+from keybrook.streaming.tables import counts_before, write_counts
 
 
 def start_running_count(
@@ -31,29 +31,33 @@ def start_running_count(
 
     Inside a micro-batch this is ``running_count``, which spreads a hot key over
     many tasks; a stateful processor would get all records of a key in one. The
-    counts of earlier batches are kept in a table below ``root``, and so is the
-    output unless a ``sink`` is given. ``order_by`` orders the records of a
+    counts of earlier batches are kept below ``root``, of which a batch merges those of its
+    own keys, and so is the output unless a ``sink`` is given. ``order_by`` orders the records of a
     micro-batch; batches follow each other.
     """
     spark = records.sparkSession
-    totals = table_of_counts(spark, f"{root}/totals")
     sink = sink or to_folders(f"{root}/changelog")
+    totals = f"{root}/totals"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = spread_over_cores(batch).persist()
+        # Counted once: for the hot keys, for what came before, and for what comes after.
+        counts = count_by_key(split(batch) if split else batch).persist()
         try:
             log = running_count(
                 batch,
                 order_by,
                 split=split,
                 split_order=split_order,
-                before=totals.before(batch_id),
+                before=counts_before(spark, totals, batch_id, counts),
+                counts=counts,
                 rows_per_block=rows_per_block,
                 hot_rows=hot_rows,
             )
             sink(log, batch_id)
-            totals.put(batch_id, count_by_key(split(batch) if split else batch))
+            write_counts(spark, totals, batch_id, counts)
         finally:
+            counts.unpersist()
             batch.unpersist()
 
     return write_each_batch(records, write, name, checkpoint, once)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from keybrook.functions.codecs import Codec
 from keybrook.session import STATE_STORE_CONF, session_conf
-from keybrook.sources.topics import to_envelope, write_kafka
+from keybrook.sources.topics import in_one_order, to_envelope, write_batch, write_kafka
 
 # Takes the rows of a micro-batch and its number.
 Sink = Callable[[DataFrame, int], None]
@@ -40,9 +40,20 @@ def start(
 def append_to_topics(
     envelope: DataFrame, root: str, name: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Append a stream to the topic folders it names, each record exactly once."""
-    writer = envelope.writeStream.format("parquet").option("path", root).partitionBy("topic")
-    return start(writer.outputMode("append"), envelope.sparkSession, name, checkpoint, once)
+    """Append a stream to the topic folders it names, each record exactly once.
+
+    Each micro-batch is one write of the application ``name``; one that runs again
+    replaces what it wrote. Applications with different names share the topics.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            write_batch(kept, root, name, batch_id)
+        finally:
+            kept.unpersist()
+
+    return write_each_batch(envelope, write, name, checkpoint, once)
 
 
 def append_to_kafka(
@@ -58,11 +69,15 @@ def append_to_kafka(
 
 
 def show_records(
-    records: DataFrame, name: str, checkpoint: str, once: bool = False
+    records: DataFrame, name: str, checkpoint: str, once: bool = False, rows: int = 20
 ) -> StreamingQuery:
-    """Print the keys and values of a stream to the console."""
-    writer = records.select("key", "value").writeStream.format("console")
-    return start(writer.outputMode("append"), records.sparkSession, name, checkpoint, once)
+    """Print the first keys and values of each micro-batch."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        batch.show(rows, truncate=False)
+
+    return write_each_batch(records.select("key", "value"), show, name, checkpoint, once)
 
 
 def write_each_batch(
@@ -94,11 +109,20 @@ def to_folders(root: str) -> Sink:
 def to_topic_folder(
     root: str, topic: str, application: str, key_codec: Codec, value_codec: Codec
 ) -> Sink:
-    """Write each micro-batch to a folder topic that several applications may share."""
-    folders = to_folders(f"{root.rstrip('/')}/topic={topic}/application={application}")
+    """Write each micro-batch to a folder topic that several applications may share.
+
+    Records keep their partition and order; those with a ``pos`` are ordered by it
+    where their offset is the same.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folders(to_envelope(batch, topic, key_codec, value_codec).drop("topic"), batch_id)
+        kept = batch.persist()
+        try:
+            records = in_one_order(kept) if "pos" in kept.columns else kept
+            envelope = to_envelope(records, topic, key_codec, value_codec)
+            write_batch(envelope, root, application, batch_id)
+        finally:
+            kept.unpersist()
 
     return write
 

@@ -1,109 +1,93 @@
-"""A table kept up to date by micro-batches.
-
-Each batch writes only its own change, reduced to one row per key. Now and then
-the changes so far are merged into one snapshot, so reading the table costs one
-snapshot and a bounded number of changes, not the whole history. All folders
-are named by the batch number: a batch that runs again writes the same folders
-again and reads the same earlier ones. Changes older than the last two snapshots
-are not read any more, and may be removed by the rules of the storage.
+"""Tables kept up to date by a stream, in Spark's own state store.
+
+Reading a table costs its present size, however long its history is; what a
+micro-batch touches is all that it rewrites.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from keybrook.operators.tables import newest_per_key
-from keybrook.streaming.sinks import batch_folder, write_each_batch
+from keybrook.streaming.sinks import start
 
 
-def add_counts(changes: DataFrame) -> DataFrame:
-    """Merge of (key, count): the counts of a key add up."""
-    return changes.groupBy("key").agg(F.sum("count").alias("count"))
+def maintain(
+    upserts: DataFrame, name: str, checkpoint: str, once: bool = False, order: str = "offset"
+) -> StreamingQuery:
+    """Follow a stream of upserts (``key``, ``value``, ``order``) into a table.
 
+    The table is the state below ``checkpoint``. Deletes stay in it, or an older
+    value that arrives late would come back.
+    """
+    writer = newest_per_key(upserts, order).writeStream.format("noop").outputMode("update")
+    return start(writer, upserts.sparkSession, name, checkpoint, once)
 
-@dataclass(frozen=True)
-class ContinuousTable:
-    """The folders of one table. ``merge`` reduces rows to one per key."""
-
-    spark: SparkSession
-    root: str
-    schema: str
-    merge: Callable[[DataFrame], DataFrame]
-    batches_per_snapshot: int = 32
-
-    @property
-    def _changes(self) -> str:
-        return f"{self.root}/changes"
-
-    @property
-    def _snapshots(self) -> str:
-        return f"{self.root}/snapshots"
-
-    @property
-    def _newest(self) -> str:
-        return f"{self.root}/newest"
-
-    def put(self, batch_id: int, rows: DataFrame) -> None:
-        """Write the change of one batch, and a snapshot when one is due."""
-        self.merge(rows).write.mode("overwrite").parquet(batch_folder(self._changes, batch_id))
-        if (batch_id + 1) % self.batches_per_snapshot == 0:
-            self.before(batch_id + 1).write.mode("overwrite").parquet(
-                batch_folder(self._snapshots, batch_id + 1)
-            )
-        # Two slots in turn: while one is replaced, readers have the other.
-        self.spark.range(batch_id, batch_id + 1, 1, 1).write.mode("overwrite").parquet(
-            f"{self._newest}/slot={batch_id % 2}"
-        )
-
-    def before(self, batch_id: int) -> DataFrame:
-        """The table as it was when batch ``batch_id`` began."""
-        # While the snapshot due now is being made, the one before it is read.
-        last = (batch_id - 1) // self.batches_per_snapshot * self.batches_per_snapshot
-        paths = [batch_folder(self._changes, number) for number in range(max(last, 0), batch_id)]
-        if last > 0:
-            paths.append(batch_folder(self._snapshots, last))
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.merge(self.spark.read.schema(self.schema).parquet(*paths))
-
-    def current(self) -> DataFrame:
-        """The table as of the newest finished change."""
-        newest = (
-            self.spark.read.schema("id bigint")
-            .option("ignoreMissingFiles", "true")
-            .parquet(self._newest)
-            .agg(F.max("id"))
-            .first()[0]
-        )
-        return self.before(newest + 1)
-
-
-def table_of_upserts(spark: SparkSession, root: str, value_schema: str) -> ContinuousTable:
-    """A table of newest values. Deletes are kept, or an older value would return."""
-    schema = f"key bigint, value {value_schema}, offset bigint"
-    return ContinuousTable(spark, root, schema, newest_per_key)
-
-
-def table_of_counts(spark: SparkSession, root: str) -> ContinuousTable:
-    return ContinuousTable(spark, root, "key string, count bigint", add_counts)
 
+def present_rows(
+    spark: SparkSession, checkpoint: str, key_type: str, value_type: str
+) -> DataFrame:
+    """``key`` and ``value`` of the table that ``maintain`` keeps, without deleted keys.
+
+    A table whose stream has not yet finished a batch is empty.
+    """
+    schema = f"key {key_type}, value {value_type}"
+    try:
+        state = spark.read.format("statestore").load(checkpoint)
+    except PySparkException as missing:
+        if not _has_no_state(missing):
+            raise
+        return spark.createDataFrame([], schema)
+    # The state of the aggregate: the newest value comes first, whatever it is called.
+    newest = state.schema["value"].dataType[0].name
+    return state.select(
+        F.col("key.key").alias("key"), F.col("value")[newest].alias("value")
+    ).where(F.col("value").isNotNull())
 
-def maintain(
-    stream: DataFrame, table: ContinuousTable, name: str, checkpoint: str, once: bool = False
-) -> StreamingQuery:
-    """Follow a stream of changes into a table, such as a topic of upserts."""
 
+def _has_no_state(missing: PySparkException) -> bool:
+    condition = missing.getCondition() or ""
+    return condition.startswith("STDS_") or condition == "PATH_NOT_FOUND"
 
-    def put(batch: DataFrame, batch_id: int) -> None:
-        table.put(batch_id, batch)
 
-    return write_each_batch(stream, put, name, checkpoint, once)
+def add_counts(changes: DataFrame) -> DataFrame:
+    """Merge of (key, count): the counts of a key add up."""
+    return changes.groupBy("key").agg(F.sum("count").alias("count"))
 
 
-def present_rows(table: ContinuousTable) -> DataFrame:
-    """The rows of a table of upserts that are not deleted."""
-    return table.current().where(F.col("value").isNotNull()).select("key", "value")
+def counts_before(
+    spark: SparkSession, root: str, batch_id: int, keys: DataFrame
+) -> DataFrame:
+    """(key, count) over all batches before ``batch_id``, of the given keys only.
+
+    What ``write_counts`` wrote is filtered by the keys before anything is shuffled.
+    """
+    if batch_id == 0:
+        return keys.select("key", F.lit(0).cast("bigint").alias("count")).limit(0)
+    last = (batch_id - 1) // _BATCHES * _BATCHES
+    paths = [f"{root}/batch_id={number}" for number in range(max(last, 0), batch_id)]
+    if last > 0:
+        paths.append(f"{root}/until={last}")
+    schema = T.StructType([keys.schema["key"], T.StructField("count", T.LongType())])
+    stored = spark.read.schema(schema).parquet(*paths)
+    return add_counts(stored.join(keys.select("key"), "key", "left_semi"))
+
+
+def write_counts(spark: SparkSession, root: str, batch_id: int, counts: DataFrame) -> None:
+    """Keep one batch's counts, and now and then the sum of all so far.
+
+    Folders are named by batch, so a batch that runs again changes nothing.
+    """
+    counts.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    done = batch_id + 1
+    if done % _BATCHES == 0:
+        paths = [f"{root}/batch_id={number}" for number in range(done - _BATCHES, done)]
+        if done > _BATCHES:
+            paths.append(f"{root}/until={done - _BATCHES}")
+        stored = spark.read.schema(counts.schema).parquet(*paths)
+        add_counts(stored).write.mode("overwrite").parquet(f"{root}/until={done}")
+
+
+_BATCHES = 32

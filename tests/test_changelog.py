@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from keybrook.operators.changelog import order_block, running_count
+from keybrook.operators.changelog import in_order_blocks, running_count
 from keybrook.plans.word_count import word_changelog, word_counts
 
 LINE = "Fir Oak Elm Fir Fir Fir Fir Fir Oak Oak Oak"
@@ -55,7 +55,7 @@ def test_order_of_several_columns_where_the_first_hardly_varies(spark):
         [(source, turn, key) for (source, turn), key in records],
         "source string, turn bigint, key string",
     )
-    blocked = frame.withColumn("order_block", order_block(frame, ["source", "turn"], 300, 20))
+    blocked = in_order_blocks(frame, ["source", "turn"], 300, 20)
     assert blocked.select("order_block").distinct().count() > 5
     assert max(row["count"] for row in blocked.groupBy("order_block").count().collect()) < 100
     log = running_count(frame, ["source", "turn"], rows_per_block=20, hot_rows=50)
@@ -63,16 +63,17 @@ def test_order_of_several_columns_where_the_first_hardly_varies(spark):
     assert found == by_hand(records)
 
 
-def test_blocks_follow_the_order(spark):
+@pytest.mark.parametrize("cuts_per_level", [100, 4])
+def test_blocks_follow_the_order(spark, cuts_per_level):
     frame = spark.range(1000).select(F.pmod(F.col("id") * 7919, F.lit(1000)).alias("at"))
-    blocked = frame.withColumn("order_block", order_block(frame, ["at"], 1000, 100))
+    blocked = in_order_blocks(frame, ["at"], 1000, 100, cuts_per_level)
     spans = (
         blocked.groupBy("order_block")
         .agg(F.min("at").alias("low"), F.max("at").alias("high"))
         .orderBy("order_block")
         .collect()
     )
-    assert len(spans) == 10
+    assert 9 <= len(spans) <= 12
     assert all(one.high < two.low for one, two in zip(spans, spans[1:]))
 
 
@@ -115,6 +116,25 @@ def test_no_task_gets_all_records_of_a_key(spark, plan_of):
     assert "order_block" in first_exchange
 
 
+def test_few_long_lines_are_cut_by_their_words(spark, plan_of):
+    lines = spark.createDataFrame(
+        [(n, "hot word " * 500) for n in range(40)], "offset bigint, value string"
+    )
+    log = word_changelog(lines, rows_per_block=5_000, hot_rows=10_000)
+    assert "order_block" in plan_of(log)
+    ranks = log.where("key = 'hot'").select("count").collect()
+    assert sorted(row["count"] for row in ranks) == list(range(1, 20_001))
+    blocks = in_order_blocks(lines, ["offset"], 40_000, 5_000)
+    assert blocks.select("order_block").distinct().count() == 8
+
+
+def test_counts_of_the_caller_are_used(spark):
+    frame = spark.createDataFrame([(n, "k") for n in range(50)], "offset bigint, key string")
+    counts = spark.createDataFrame([("k", 50)], "key string, count bigint")
+    log = running_count(frame, ["offset"], counts=counts, rows_per_block=10, hot_rows=20)
+    assert sorted(row["count"] for row in log.collect()) == list(range(1, 51))
+
+
 def test_without_hot_keys_there_is_one_shuffle(spark, plan_of):
     frame = spark.range(1000).select(F.col("id").alias("offset"), F.lit("k").alias("key"))
     plan = plan_of(running_count(frame, ["offset"], rows_per_block=100))

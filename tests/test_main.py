@@ -4,13 +4,20 @@ import pytest
 
 from keybrook.__main__ import parser, run
 from keybrook.schemas import (
+    CUSTOMER,
+    CUSTOMER_TOPIC,
     ENRICHED_ORDER,
     ENRICHED_ORDER_TOPIC,
     LINES_TOPIC,
     MAIL_TOPIC,
+    ORDER,
+    ORDER_TOPIC,
     ORIGINAL_AND_NEW_MAIL_TOPIC,
+    PRODUCT,
+    PRODUCT_TOPIC,
     WORD_COUNTS_TOPIC,
 )
+from keybrook.sources.generators import generate_customers, generate_orders, generate_products
 from keybrook.sources.topics import from_envelope, read_topic, to_envelope, write_topic
 
 LINE = "Fir Oak Elm Fir Fir Fir Fir Fir Oak Oak Oak"
@@ -27,8 +34,14 @@ def command(spark, tmp_path):
     return call
 
 
-def test_generate_enrich_drain(spark, command, capsys):
-    command("generate", "--count", "30")
+def test_enrich_and_drain(spark, command, capsys):
+    ids = spark.range(30)
+    for rows, topic, record in (
+        (generate_customers(ids), CUSTOMER_TOPIC, CUSTOMER),
+        (generate_products(ids), PRODUCT_TOPIC, PRODUCT),
+        (generate_orders(ids, 30, 30), ORDER_TOPIC, ORDER),
+    ):
+        write_topic(to_envelope(rows, topic, "long", record), command.root)
     command("enrich")
     enriched = from_envelope(
         read_topic(spark, command.root, ENRICHED_ORDER_TOPIC), "long", ENRICHED_ORDER

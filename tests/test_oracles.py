@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from keybrook.plans import registry
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no sample tables")
@@ -38,14 +39,15 @@ def multiset(names, rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(ORACLES) <= set(QUERIES) and set(registry.QUERIES) <= set(QUERIES)
 
 
 def test_entry(spark):
     assert registered.entry(spark).count() == 6000
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", registry.QUERIES)
 def test_query_equals_its_sql(spark, database, name):
     frame = QUERIES[name](spark, str(FOLDER))
     result = database.execute(ORACLES[name])

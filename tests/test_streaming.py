@@ -13,7 +13,6 @@ from keybrook.plans.mail_rewrite import (
     start_mail_rewrite,
 )
 from keybrook.plans.word_count import (
-    read_count_state,
     read_word_changelog,
     read_word_counts,
     start_word_changelog,
@@ -38,14 +37,9 @@ from keybrook.sources.topics import (
     to_envelope,
     write_topic,
 )
+from keybrook.streaming.changelog import read_changelog, start_running_count
 from keybrook.streaming.sinks import read_batches, show_records, to_folders, to_topic_folder
-from keybrook.streaming.tables import (
-    ContinuousTable,
-    add_counts,
-    maintain,
-    present_rows,
-    table_of_upserts,
-)
+from keybrook.streaming.tables import counts_before, maintain, present_rows, write_counts
 
 LINES = [
     "oak elm oak",
@@ -91,12 +85,10 @@ def test_word_counts_go_on_after_a_restart(spark, topics, tmp_path):
     send_lines(topics, [0, 1])
     send_lines(topics, [2, 3])
     start_word_counts(lines_stream(spark, topics), to_folders(out), checkpoint, once=True).awaitTermination()
-    assert rows(read_word_counts(spark, out)) == rows(word_counts(all_lines(spark, range(4))))
+    assert rows(read_word_counts(spark, checkpoint)) == rows(word_counts(all_lines(spark, range(4))))
     send_lines(topics, [4, 5])
     start_word_counts(lines_stream(spark, topics), to_folders(out), checkpoint, once=True).awaitTermination()
-    expected = rows(word_counts(all_lines(spark)))
-    assert rows(read_word_counts(spark, out)) == expected
-    assert rows(read_count_state(spark, checkpoint)) == expected
+    assert rows(read_word_counts(spark, checkpoint)) == rows(word_counts(all_lines(spark)))
     # conflated: at most one record per word and batch
     emitted = read_batches(spark, out, "key string, count bigint")
     assert emitted.count() == emitted.select("key", "batch_id").distinct().count()
@@ -168,7 +160,7 @@ def test_lines_of_text_files(spark, tmp_path):
     start_word_counts(
         stream_lines(spark, str(folder)), to_folders(str(tmp_path / "out")), str(tmp_path / "c"), once=True
     ).awaitTermination()
-    assert rows(read_word_counts(spark, str(tmp_path / "out"))) == [("elm", 1), ("oak", 2)]
+    assert rows(read_word_counts(spark, str(tmp_path / "c"))) == [("elm", 1), ("oak", 2)]
 
 
 ORDER_ROWS = f"key bigint, value {ORDER.simpleString()}, offset bigint"
@@ -244,46 +236,93 @@ def test_a_running_query_sees_table_changes(spark, topics, tmp_path, monkeypatch
     assert {(row.order_id, row.customer_name) for row in found} == {(100, "Ann"), (101, "Bo")}
 
 
-def test_continuous_table_of_upserts(spark, topics, tmp_path):
-    root, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
-    table = ContinuousTable(
-        spark,
-        root,
-        "key bigint, value string, offset bigint",
-        table_of_upserts(spark, root, "string").merge,
-        batches_per_snapshot=2,
-    )
-    schema = "key bigint, value string, offset bigint"
+@pytest.mark.parametrize("key, codec", [("bigint", "long"), ("string", "string")])
+def test_table_of_a_stream_of_upserts(spark, topics, tmp_path, key, codec):
+    checkpoint = str(tmp_path / "checkpoint")
+    schema = f"key {key}, value string, offset bigint"
+
+    def name(number):
+        return number if key == "bigint" else f"k{number}"
+
+    def send(batch):
+        topics("upserts", [(name(k), v, n) for k, v, n in batch], codec, "string", schema)
+
+    def table():
+        found = present_rows(spark, checkpoint, key, "string")
+        return {row.key: row.value for row in found.collect()}
 
     def run():
-        upserts = from_envelope(stream_topic(spark, topics.root, "upserts", 1), "long", "string")
-        maintain(
-            upserts.select("key", "value", "offset"), table, "table", checkpoint, once=True
-        ).awaitTermination()
-        return {row.key: row.value for row in present_rows(table).collect()}
+        upserts = from_envelope(stream_topic(spark, topics.root, "upserts", 1), codec, "string")
+        maintain(upserts, "table", checkpoint, once=True).awaitTermination()
+        return table()
 
-    topics("upserts", [(1, "a", 0), (2, "b", 1)], "long", "string", schema)
-    topics("upserts", [(1, "a2", 2), (2, None, 3)], "long", "string", schema)
-    topics("upserts", [(3, "c", 4)], "long", "string", schema)
-    assert run() == {1: "a2", 3: "c"}
-    for number in range(5):
-        topics("upserts", [(3, f"c{number}", 5 + number)], "long", "string", schema)
-    topics("upserts", [(2, "late", 0)], "long", "string", schema)  # older than the delete
-    assert run() == {1: "a2", 3: "c4"}
+    assert table() == {}  # before its stream has started
+    send([(1, "a", 0), (2, "b", 1)])
+    send([(1, "a2", 0), (2, None, 1)])
+    send([(3, "c", 0)])
+    assert run() == {name(1): "a2", name(3): "c"}
+    for number in range(3):
+        send([(3, f"c{number}", 0)])
+    assert run() == {name(1): "a2", name(3): "c2"}
 
 
-def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
-    table = ContinuousTable(
-        spark, str(tmp_path), "key string, count bigint", add_counts, batches_per_snapshot=3
-    )
+def test_a_late_older_value_does_not_undo_a_delete(spark, tmp_path):
+    schema = "key bigint, value string, offset bigint"
+    folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    for number, batch in enumerate([[(1, "a", 5), (1, None, 9)], [(1, "late", 7)]]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.parquet(f"{folder}/part={number}")
+        stream = spark.readStream.schema(schema).parquet(folder)
+        maintain(stream, "late", checkpoint, once=True).awaitTermination()
+        assert present_rows(spark, checkpoint, "bigint", "string").collect() == []
+
+
+def test_counts_of_a_batch_that_runs_again(spark, tmp_path):
+    root = str(tmp_path)
     one = spark.createDataFrame([("a", 1), ("b", 1)], "key string, count bigint")
-    for batch_id in range(10):
-        table.put(batch_id, one)
-        table.put(batch_id, one)
-        assert rows(table.before(batch_id + 1)) == [("a", batch_id + 1), ("b", batch_id + 1)]
-    assert rows(table.before(0)) == []
-    assert rows(table.before(4)) == [("a", 4), ("b", 4)]
-    assert rows(table.current()) == [("a", 10), ("b", 10)]
+    keys = one.where("key = 'a'")
+    assert counts_before(spark, root, 0, keys).collect() == []
+    for batch_id in range(66):
+        for _ in range(2 if batch_id in (31, 32, 63) else 1):
+            write_counts(spark, root, batch_id, one)
+    for batch_id in (1, 31, 32, 33, 63, 64, 65, 66):
+        assert rows(counts_before(spark, root, batch_id, keys)) == [("a", batch_id)]
+
+
+def test_long_keys_are_counted_over_restarts(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for number in range(3):
+        batch = [(n % 2, 10 * number + n) for n in range(5)]
+        spark.createDataFrame(batch, "key bigint, offset bigint").coalesce(1).write.parquet(
+            f"{folder}/part={number}"
+        )
+        start_running_count(
+            spark.readStream.schema("key bigint, offset bigint").parquet(folder),
+            ["offset"], out, str(tmp_path / "checkpoint"), "longs", once=True,
+        ).awaitTermination()
+    log = read_changelog(spark, out, "key bigint, offset bigint, count bigint")
+    for key in (0, 1):
+        own = log.where(F.col("key") == key).orderBy("offset").collect()
+        assert [row["count"] for row in own] == list(range(1, len(own) + 1))
+
+
+def test_two_applications_write_mail_and_a_lost_commit_doubles_nothing(spark, topics, tmp_path):
+    topics(MAIL_TOPIC, [("k", text, n) for n, text in enumerate(MAIL)])
+    out = str(tmp_path / "out")
+
+    def run(name, checkpoint):
+        mail = from_envelope(stream_topic(spark, topics.root, MAIL_TOPIC), "bytes", "string")
+        start_mail_rewrite(
+            mail, out, str(tmp_path / checkpoint), name=name, once=True
+        ).awaitTermination()
+
+    run("a", "one")
+    run("b", "two")
+    new = read_topic(spark, out, NEW_MAIL_TOPIC)
+    assert new.count() == 2 * len(MAIL)
+    assert new.select("offset").distinct().count() == 2 * len(MAIL)
+    # The same application with its checkpoint lost writes its first batch again.
+    run("a", "three")
+    assert read_topic(spark, out, NEW_MAIL_TOPIC).count() == 2 * len(MAIL)
 
 
 MAIL = ["ann@sbrf.example", "bo@sbrf.example", "sbrf.sbrf", "SBRF", "", None]
@@ -316,13 +355,14 @@ def test_both_topics_batch(spark):
     ], key=str)
 
 
-def test_show_records(spark, topics, tmp_path):
+def test_show_records(spark, topics, tmp_path, capsys):
     send_lines(topics, [0])
     query = show_records(
         lines_stream(spark, topics), "show", str(tmp_path / "checkpoint"), once=True
     )
     query.awaitTermination()
     assert query.exception() is None
+    assert LINES[0] in capsys.readouterr().out
 
 
 def test_session_options_are_put_back(spark):

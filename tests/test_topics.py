@@ -12,8 +12,10 @@ from keybrook.sources.topics import (
     from_envelope,
     read_kafka,
     read_topic,
+    split_malformed,
     stream_kafka,
     to_envelope,
+    write_batch,
     write_topic,
 )
 
@@ -51,13 +53,54 @@ def test_lines(spark, tmp_path):
     assert [(row.key, row.value) for row in rows] == [(None, "one two"), (None, ""), (None, "three")]
 
 
-def test_spread_only_where_splits_are_few(spark):
-    few = spark.range(100).coalesce(1)
+def test_spread_only_where_files_are_few(spark, tmp_path):
+    for files in (1, 6):
+        spark.range(100).repartition(files).write.parquet(str(tmp_path / str(files)))
+    few = spark.read.parquet(str(tmp_path / "1"))
     assert spread_over_cores(few).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
+    many = spark.read.parquet(str(tmp_path / "6"))
     assert spread_over_cores(many) is many
 
 
+def test_offsets_go_on_over_writes(spark, tmp_path):
+    root = str(tmp_path / "topics")
+    schema = "key bigint, value string, partition int, offset bigint"
+    for write in range(3):
+        rows = [(n, f"{write}", n % 2, n) for n in range(4)]
+        frame = spark.createDataFrame(rows, schema)
+        write_topic(to_envelope(frame, "t", "long", "string"), root)
+    stored = from_envelope(read_topic(spark, root, "t"), "long", "string").collect()
+    for partition in (0, 1):
+        own = sorted((row.offset, row.value) for row in stored if row.partition == partition)
+        assert [value for _, value in own] == ["0", "0", "1", "1", "2", "2"]
+        assert len({offset for offset, _ in own}) == 6
+
+
+def test_a_batch_written_again_replaces_itself(spark, tmp_path):
+    root = str(tmp_path / "topics")
+    for application, batch in (("a", 0), ("b", 0), ("a", 1), ("a", 1), ("b", 0)):
+        rows = [(f"{application}{batch}", "v", 0), (f"{application}{batch}", "v", 1)]
+        frame = spark.createDataFrame(rows, "key string, value string, offset bigint")
+        write_batch(to_envelope(frame, "t", "string", "string"), root, application, batch)
+    stored = from_envelope(read_topic(spark, root, "t")).collect()
+    assert sorted(row.key for row in stored) == ["a0", "a0", "a1", "a1", "b0", "b0"]
+    assert len({row.offset for row in stored}) == 6
+
+
+def test_malformed_records_fail_or_are_set_apart(spark):
+    values = [b'{"name": "Ann", "gender": "female", "region": "n"}', b"{not json", b"[]", b"", None]
+    rows = [(bytes(7) + bytes([n]), value, "t", 0, n, None) for n, value in enumerate(values)]
+    rows.append((b"short", values[0], "t", 0, 9, None))
+    envelope = spark.createDataFrame(rows, ENVELOPE)
+    good, bad = split_malformed(envelope, "long", CUSTOMER)
+    assert sorted((row.key, row.value and row.value.name) for row in good.collect()) == [
+        (0, "Ann"), (4, None),
+    ]
+    assert sorted(row.offset for row in bad.collect()) == [1, 2, 3, 9]
+    with pytest.raises(Exception, match="malformed record"):
+        from_envelope(envelope.where("offset = 1"), "long", CUSTOMER).collect()
+
+
 def test_kafka_needs_its_connector(spark):
     for read in (read_kafka, stream_kafka):
         try:
