@@ -189,3 +189,38 @@ def test_measured_bytes_covers_the_data(spark, products):
     table = spark.createDataFrame([("x" * 1000, [1, 2], {"a": "b"})], "a string, b array<int>, c map<string, string>")
     sizes = measured_bytes([table, table.limit(0), products])
     assert 1000 < sizes[0] < 1200 and sizes[1] == 0 and sizes[2] > 0
+
+
+def test_records_with_a_map_join_both_ways(spark):
+    stream = spark.createDataFrame(
+        [(n, {"to": "x"}) for n in range(20)], "key bigint, value map<string, string>"
+    )
+    table = spark.createDataFrame([("x", 7)], "key string, value int")
+    for limit in (1 << 20, 0):
+        joined = lookup_join(
+            stream, table, lambda key, value: value["to"], lambda value, row: row, limit
+        )
+        assert [row.value for row in joined.collect()] == [7] * 20
+
+
+def test_small_files_need_no_job(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(50).select(F.col("id").alias("key"), F.col("id").alias("value")).write.parquet(path)
+    stored = spark.read.schema("key bigint, value bigint").parquet(path)
+    stream = spark.range(20).select(F.col("id").alias("key"), F.col("id").alias("value"))
+    context = spark.sparkContext
+    context.setJobGroup("choice", "no job may run")
+    try:
+        table = latest_by_key(stored.withColumn("offset", F.col("key")))
+        joined = lookup_join(stream, table, lambda key, value: value, lambda value, row: row)
+        assert context.statusTracker().getJobIdsForGroup("choice") == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert joined.count() == 20
+
+
+def test_a_table_that_is_not_from_small_files_is_made_once_and_measured(spark):
+    table = spark.range(50).select(F.col("id").alias("key"), F.col("id").alias("value"))
+    stream = spark.range(20).select(F.col("id").alias("key"), F.col("id").alias("value"))
+    [chosen] = choose_distributions(stream, [(table, lambda key, value: value)])
+    assert chosen.replicate and chosen.table.inputFiles()
