@@ -2,10 +2,15 @@
 
 One hash function gives each document the set of the hashes of its word shingles; the
 smallest of them are its sketch. Inverted lists of retained values bring together
-documents that may be similar; in each list the overlap of two sketches estimates
+documents that may be similar; in each list the sketch of the union of two sets estimates
 their similarity and filters; what passes makes up small clusters, in which the
 similarity of full sets decides.
 
+The sketch of a union is what both sketches hold up to the smaller of their largest
+values: up to there nothing of either set is missing. The part of it that is in both
+sketches estimates the similarity, and is the similarity itself if both sketches hold
+their whole sets.
+
 Two documents above the threshold share most of their sketches. So lists are kept by
 two values that follow each other in a sketch, which is far rarer than one value; a list that
 is still too long is split by the value after these. (At a similarity of 0.85 and 32
@@ -29,8 +34,9 @@ from keybrook.llm.word_hashes import LOWER, shingle_set, word_hashes
 SHINGLE_WORDS = 3
 PERCENT = 85
 SKETCH = 32
-# Two sketches that share less than this part come from sets far below the threshold.
-LEAST_OVERLAP = 0.5
+# An estimate below this comes from sets far below the threshold: of 32 values or more in
+# the union's sketch, with a similarity of 0.8 less than 40% are shared about once in a million.
+LEAST_ESTIMATE = 0.4
 LONGEST_LIST = 10_000
 BLOCK = 1_024
 
@@ -87,8 +93,8 @@ def _keyed(rows: DataFrame, length: int) -> DataFrame:
 def candidate_links(classes: DataFrame, longest_list: int) -> DataFrame:
     """Links (``a``, ``b``) that join all classes which may be similar.
 
-    In each list, classes whose sketches overlap enough are linked along a forest, so a
-    list never gives more links than it has members.
+    In each list, classes whose union's sketch says that they are similar enough are
+    linked along a forest, so a list never gives more links than it has members.
     """
     places = F.explode(F.sequence(F.lit(0), F.greatest(F.size("sketch") - 2, F.lit(0))))
     pending = _keyed(classes.select("node", places.alias("at"), "sketch"), 2).drop("sketch")
@@ -134,22 +140,40 @@ def _elements(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
 def _list_links(table: pa.Table, cuts: list[int]) -> pa.RecordBatch:
     nodes = table["node"].to_numpy()
     values, offsets = _elements(table, "sketch")
+    values = values.view(np.uint64)
     kept = np.diff(offsets)
+    # Up to its end a sketch holds all of its set.
+    ends = np.full(len(nodes), np.iinfo(np.uint64).max)
+    cut_off = table["n_shingles"].to_numpy() > kept
+    ends[cut_off] = values[offsets[1:][cut_off] - 1]
     roots = np.arange(len(nodes))
     for low, high in zip(cuts[:-1], cuts[1:]):
-        sizes = kept[low:high]
+
+        def up_to(rows, others):
+            """How many values of each sketch of ``rows`` lie up to the ends of ``others``."""
+            found = np.empty((len(rows), len(others)), np.float32)
+            for place, row in enumerate((low + rows).tolist()):
+                sketch = values[offsets[row] : offsets[row + 1]]
+                found[place] = np.searchsorted(sketch, ends[low + others], "right")
+            return found
 
         def enough(shared, i, j):
-            return shared >= LEAST_OVERLAP * np.minimum(sizes[i][:, None], sizes[j][None, :])
+            union = up_to(i, j) + up_to(j, i).T - shared
+            return (shared > 0) & (shared >= LEAST_ESTIMATE * union)
 
         own = values[offsets[low] : offsets[high]]
         if high - low == 2:
-            first, second = own[: sizes[0]], own[sizes[0] :]
+            first, second = own[: kept[low]], own[kept[low] :]
             shared = len(np.intersect1d(first, second, assume_unique=True))
-            if shared >= LEAST_OVERLAP * sizes.min():
+            union = (
+                np.searchsorted(first, ends[low + 1], "right")
+                + np.searchsorted(second, ends[low], "right")
+                - shared
+            )
+            if shared and shared >= LEAST_ESTIMATE * union:
                 roots[low + 1] = low
         else:
-            owner = np.repeat(np.arange(high - low), sizes)
+            owner = np.repeat(np.arange(high - low), kept[low:high])
             roots[low:high] = low + linked_roots(owner, own, high - low, enough)
     return pa.RecordBatch.from_pydict({"a": nodes[roots], "b": nodes})
 

@@ -8,6 +8,7 @@ import struct
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import samples
 
@@ -297,6 +298,36 @@ def test_near_duplicates(spark, documents, rows, size, percent, longest_list):
     assert max(Counter(groups.values()).values()) > 5
 
 
+def test_links_of_a_list_follow_the_sketch_of_the_union(monkeypatch):
+    monkeypatch.setattr(sketches, "BLOCK", 3)
+    pick = random.Random(8)
+    pool = [pick.getrandbits(64) for _ in range(90)]
+    for count in [2] * 40 + [3, 8, 15] * 5:
+        sets = [sorted(pick.sample(pool, pick.randint(2, 70))) for _ in range(count)]
+        kept = [own[: sketches.SKETCH] for own in sets]
+        parent = list(range(count))
+        for a in range(count):
+            for b in range(a):
+                whole = [len(sets[n]) == len(kept[n]) for n in (a, b)]
+                end = min(
+                    [2**64] + [kept[n][-1] for n, all_of_it in zip((a, b), whole) if not all_of_it]
+                )
+                union = {x for n in (a, b) for x in sets[n] if x <= end}
+                both = {x for x in sets[a] if x <= end and x in sets[b]}
+                if both and len(both) >= sketches.LEAST_ESTIMATE * len(union):
+                    low, high = sorted((parent[a], parent[b]))
+                    parent = [low if x == high else x for x in parent]
+        table = pa.table({
+            "node": pa.array(range(count), pa.int64()),
+            "n_shingles": pa.array([len(own) for own in sets], pa.int64()),
+            "sketch": pa.array(
+                [np.array(own, np.uint64).view(np.int64) for own in kept], pa.list_(pa.int64())
+            ),
+        })
+        links = sketches._list_links(table, [0, count])
+        assert links["a"].to_pylist() == parent
+
+
 def test_blocks_of_a_large_cluster(spark, monkeypatch):
     base = samples.prose(31, 80)
     rows = [(n, f"{base} tail{n}") for n in range(40)]
