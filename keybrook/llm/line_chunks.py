@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keybrook.llm.common import written
+from keybrook.llm.common import let, written
 from keybrook.llm.components import parts
 
 # A chunk ends after a line if the hash of the last WINDOW lines is a multiple of
@@ -153,12 +153,23 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
 
 
 def without_chunks(text: Column, removed: Column) -> Column:
-    """The lines of a text that are in no removed chunk."""
-    lines = F.split(text, "\n")
-    inside = lambda at: F.exists(
-        removed, lambda chunk: (at >= chunk["at"]) & (at < chunk["at"] + chunk["lines"])
-    )
-    return F.array_join(F.filter(lines, lambda line, at: ~inside(at)), "\n")
+    """The lines of a text that are in no removed chunk.
+
+    Chunks do not overlap, so what is left are the runs of lines between them.
+    """
+
+    def left(lines: Column) -> Column:
+        chunks = F.array_sort(removed)
+        begins = F.concat(
+            F.array(F.lit(0)), F.transform(chunks, lambda chunk: chunk["at"] + chunk["lines"])
+        )
+        ends = F.concat(F.transform(chunks, lambda chunk: chunk["at"]), F.array(F.size(lines)))
+        runs = F.zip_with(
+            begins, ends, lambda begin, end: F.slice(lines, begin + 1, end - begin)
+        )
+        return F.array_join(F.flatten(runs), "\n")
+
+    return let(F.split(text, "\n"), left)
 
 
 def remove_repeated_chunks(documents: DataFrame) -> DataFrame:
