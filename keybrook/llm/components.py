@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from keybrook.llm.common import written
@@ -107,8 +108,24 @@ def in_parts(
     return pa.concat_arrays([work(values.slice(start, rows)) for start in starts])
 
 
-def parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, for work that takes many times the memory of its input."""
+def parts(
+    batches: Iterator[pa.RecordBatch], rows: int = 500, most_bytes: int = 8 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for work that takes many times the memory of its input.
+
+    A batch of more than one row has at most ``rows`` of them, and at most ``most_bytes`` of
+    strings.
+    """
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, before + most_bytes, "right"))
+            stop = min(max(stop, start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop

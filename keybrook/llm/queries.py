@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from keybrook.llm import (
+    collocations,
     digest_index,
     hilbert,
     language,
@@ -14,6 +15,7 @@ from keybrook.llm import (
     line_frequency,
     mixing,
     packing,
+    periodic_runs,
     pieces,
     sketches,
     suffixes,
@@ -41,10 +43,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bottom_k_sketches": over_documents(sketches.near_duplicate_groups),
     "op9_best_fit_packing": over_documents(packing.pack_documents),
     "op10_line_chunks": over_documents(line_chunks.chunk_dedup),
+    "op11_periodic_runs": over_documents(periodic_runs.run_digests),
+    "op12_collocations": over_documents(collocations.collocations),
 }
 
 ORACLES = {
     "op1_line_frequency": line_frequency.ORACLE_SQL,
     "op2_mix_sources": mixing.ORACLE_SQL,
     "op4_digest_index": digest_index.ORACLE_SQL,
+    "op12_collocations": collocations.ORACLE_SQL,
 }
