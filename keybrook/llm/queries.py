@@ -14,6 +14,7 @@ from keybrook.llm import (
     line_chunks,
     line_frequency,
     mixing,
+    multi_index,
     packing,
     periodic_runs,
     pieces,
@@ -45,6 +46,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_chunks": over_documents(line_chunks.chunk_dedup),
     "op11_periodic_runs": over_documents(periodic_runs.run_digests),
     "op12_collocations": over_documents(collocations.collocations),
+    "op13_multi_index_hashing": lambda spark, folder: multi_index.nearest_vectors(
+        table(spark, folder, "embeddings")
+    ),
 }
 
 ORACLES = {
