@@ -15,44 +15,51 @@ from keybrook.llm.common import written
 def components(links: DataFrame) -> DataFrame:
     """(``node``, ``component``) for each node of the links (``a``, ``b``).
 
-    The component is the smallest node that can be reached. Every node points to a
-    smaller one; in each round a node takes the smallest of what its neighbours point
-    to, and then follows its pointer once more, which halves long chains. Both steps
-    are joins and sums over one row per link. Rounds are written to the shared folder.
+    The component is the smallest node that can be reached. In each round every node takes
+    its smallest neighbour, if that is smaller, for its parent, which is one row per node; the
+    trees that makes are followed to their roots; and the links are written anew between roots.
+    Those inside one tree are gone then. At least half of the nodes that still have links are no
+    roots, so rounds are few, and the next ones are small. Rounds are written to the
+    shared folder.
     """
-    both = written(
-        links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(),
-        "links",
-    )
-    labels = written(
-        both.groupBy(F.col("a").alias("node")).agg(
-            F.least(F.col("node"), F.min("b")).alias("component")
-        ),
-        "labels",
-    )
-    while True:
-        around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(
-            F.min("component").alias("near")
-        )
-        nearest = labels.join(around, labels["node"] == around["a"]).select(
-            "node", "component", F.least("component", "near").alias("next")
-        )
-        # What the old root of a node has heard of is for all its nodes.
-        hooks = nearest.groupBy("component").agg(F.min("next").alias("hook"))
-        hooked = nearest.join(hooks, "component").select(
-            "node", F.col("component").alias("old"), F.least("next", "hook").alias("target")
-        )
-        jumps = labels.select(F.col("node").alias("target"), F.col("component").alias("far"))
-        moved = written(
-            hooked.join(jumps, "target", "left").select(
-                "node", "old", F.least("target", F.coalesce("far", "target")).alias("component")
+    links = written(_ordered(links, "a", "b"), "links")
+    ends = F.explode(F.array("a", "b")).alias("node")
+    # A set of nodes: each task passes on its own once.
+    labels = links.select(ends).distinct().withColumn("component", F.col("node"))
+    while links.limit(1).count():
+        roots = _roots(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")))
+        moved = roots.select(F.col("node").alias("component"), "root")
+        labels = written(
+            labels.join(moved, "component", "left").select(
+                "node", F.coalesce("root", "component").alias("component")
             ),
             "labels",
         )
-        changed = moved.where("component <> old").limit(1).count()
-        labels = moved.drop("old")
-        if not changed:
-            return labels
+        for end in ("a", "b"):
+            own = roots.select(F.col("node").alias(end), F.col("root").alias("_root"))
+            links = links.join(own, end, "left").withColumn(
+                end, F.coalesce("_root", end)
+            ).drop("_root")
+        links = written(_ordered(links, "a", "b"), "links")
+    return labels
+
+
+def _ordered(links: DataFrame, a: str, b: str) -> DataFrame:
+    """Each link once, the smaller node first, none from a node to itself."""
+    return links.where(F.col(a) != F.col(b)).select(
+        F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
+    ).distinct()
+
+
+def _roots(parents: DataFrame) -> DataFrame:
+    """For each node that has a parent the ``root`` above it, by jumping over parents."""
+    while True:
+        parents = written(parents, "parents")
+        above = parents.select(F.col("node").alias("root"), F.col("root").alias("_above"))
+        jumped = parents.join(above, "root", "left")
+        if not jumped.where(F.col("_above").isNotNull()).limit(1).count():
+            return parents
+        parents = jumped.select("node", F.coalesce("_above", "root").alias("root"))
 
 
 def whole_groups(

@@ -6,6 +6,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from keybrook.llm.common import MOST_BROADCAST_ROWS
 from keybrook.llm.components import parts
 
 
@@ -33,5 +34,25 @@ def packed_texts(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(pack, "doc_id bigint, text_key bigint, packed binary")
 
 
+def chosen_texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and the packed text of the documents whose ``doc_id`` is a ``node`` of ``wanted``.
+
+    ``wanted`` is a written table. If it is small it is sent to where the documents are
+    read, and only texts that are wanted are packed; otherwise the packed texts are shuffled.
+    """
+    named = documents.where(F.col("doc_id").isNotNull())
+    node = F.col("doc_id").cast("bigint")
+    if wanted.count() <= MOST_BROADCAST_ROWS:
+        own = F.broadcast(wanted.select(F.col("node").alias("_node")))
+        named = named.select("doc_id", "text").join(own, node == F.col("_node"), "left_semi")
+        return packed_texts(named).select(F.col("doc_id").alias("node"), "packed")
+    # The hint keeps the texts from being sorted out by a broadcast that was not counted.
+    return (
+        packed_texts(named)
+        .select(F.col("doc_id").alias("node"), "packed")
+        .join(wanted.select("node").hint("merge"), "node")
+    )
+
+
 def unpacked(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)

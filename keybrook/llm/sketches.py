@@ -4,7 +4,8 @@ One hash function gives each document the set of the hashes of its word shingles
 smallest of them are its sketch. Inverted lists of retained values bring together
 documents that may be similar; in each list the sketch of the union of two sets estimates
 their similarity and filters; what passes makes up small clusters, in which the
-similarity of full sets decides.
+similarity of full sets decides: first that of each class and one other, then, in clusters
+that this leaves in parts, that of all that lie in different parts.
 
 The sketch of a union is what both sketches hold up to the smaller of their largest
 values: up to there nothing of either set is missing. The part of it that is in both
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from keybrook.llm.common import written
 from keybrook.llm.components import components, parts, whole_groups
-from keybrook.llm.packed import packed_texts, unpacked
+from keybrook.llm.packed import chosen_texts, unpacked
 from keybrook.llm.word_hashes import LOWER, shingle_set, word_hashes
 
 SHINGLE_WORDS = 3
@@ -124,7 +125,9 @@ def candidate_links(classes: DataFrame, longest_list: int) -> DataFrame:
             yield _list_links(table, cuts)
 
     links = (
-        full.repartition("list").sortWithinPartitions("list").mapInArrow(link, "a bigint, b bigint")
+        # By node, so that lists with the same members give the same links.
+        full.repartition("list").sortWithinPartitions("list", "node")
+        .mapInArrow(link, "a bigint, b bigint")
     )
     if long is not None:
         links = links.union(rest.select(F.col("least").alias("a"), F.col("node").alias("b")))
@@ -230,51 +233,119 @@ def linked_roots(owner, values, count: int, enough, first: int | None = None) ->
     return np.fromiter(map(root, range(count)), np.int64, count)
 
 
+def _sets_in_cells(wanted: DataFrame, texts: DataFrame, shingle_words: int) -> DataFrame:
+    """One row per cell that a node is ``wanted`` in: the fields of the cell, ``node``, and the
+    ``elements`` of its full set."""
+
+    def measure(batches):
+        for batch in parts(batches):
+            data = [unpacked(packed) for packed in batch.column("packed").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("cells"), _lists(_sets(data, shingle_words))],
+                ["node", "cells", "elements"],
+            )
+
+    kind = wanted.schema["cells"].dataType.simpleString()
+    # The hint makes large and small inputs take the same way.
+    sets = texts.join(wanted.hint("merge"), "node").select("node", "packed", "cells").mapInArrow(
+        measure, f"node bigint, cells {kind}, elements array<bigint>"
+    )
+    return sets.select("node", F.explode("cells").alias("cell"), "elements").select(
+        "cell.*", "node", "elements"
+    )
+
+
+def confirmed_links(
+    links: DataFrame, texts: DataFrame, shingle_words: int, percent: int
+) -> DataFrame:
+    """Of the candidate links, one of each class, those that full sets confirm.
+
+    Each class is compared with the smallest one that it may be like. Those that are
+    compared with the same one come to it by ``BLOCK``.
+    """
+    least = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("hub"))
+    hubs = least.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = least.join(hubs, "hub").select(
+        "node", "hub", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+        F.lit(1).alias("later"),
+    )
+    all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    of_hubs = hubs.select(
+        F.col("hub").alias("node"), "hub", all_blocks.alias("block"), F.lit(0).alias("later")
+    )
+    wanted = own.union(of_hubs).groupBy("node").agg(
+        F.collect_list(F.struct("hub", "block", "later")).alias("cells")
+    )
+
+    def compare(batches):
+        for table, cuts in whole_groups(batches, ["hub", "block"]):
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                yield _like_the_first(table.slice(low, high - low), percent)
+
+    return (
+        _sets_in_cells(wanted, texts, shingle_words)
+        .repartition("hub", "block")
+        .sortWithinPartitions("hub", "block", "later")
+        .mapInArrow(compare, "a bigint, b bigint")
+    )
+
+
+def _like_the_first(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """Links of the rows with those that are not ``later``, which are of one document."""
+    values, offsets = _elements(table, "elements")
+    sizes = np.diff(offsets)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    values = values[offsets[0] : offsets[-1]]
+    later = table["later"].to_numpy().astype(bool)
+    linked = np.zeros(len(sizes), bool)
+    for hub in np.flatnonzero(~later).tolist():
+        inside = np.isin(values, values[owner == hub])
+        shared = np.bincount(owner[inside], minlength=len(sizes))
+        linked |= 100 * shared >= percent * (sizes + sizes[hub] - shared)
+    linked &= later
+    return pa.RecordBatch.from_pydict({
+        "a": table["hub"].to_numpy()[linked], "b": table["node"].to_numpy()[linked]
+    })
+
+
 def exact_links(
-    clusters: DataFrame, documents: DataFrame, shingle_words: int, percent: int
+    clusters: DataFrame, texts: DataFrame, shingle_words: int, percent: int
 ) -> DataFrame:
     """Links (``a``, ``b``) between similar documents of a cluster, along a forest.
 
-    A cluster of up to ``BLOCK`` documents is worked on by one task. A larger one is
-    cut into blocks, and each pair of blocks is a task of its own.
+    ``clusters`` have ``component``, ``node`` and ``part``: nodes of one part are linked already. A
+    cluster of up to ``BLOCK`` documents is worked on by one task. A larger one is cut into
+    blocks, those of its largest part and those of all others, and each pair of blocks is a
+    task of its own, save pairs inside the largest part, where nothing is left to find.
     """
-    blocks = clusters.groupBy("component").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
+    sizes = clusters.groupBy("component", "part").agg(F.count(F.lit(1)).alias("size"))
+    shapes = sizes.groupBy("component").agg(
+        F.sum("size").alias("all"), F.max(F.struct("size", "part")).alias("main")
     )
-    dealt = clusters.join(blocks, "component").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    few = F.col("all") <= BLOCK
+    main = F.when(few, 0).otherwise(F.ceil(F.col("main.size") / BLOCK)).cast("int")
+    rest = F.when(few, 1).otherwise(F.ceil((F.col("all") - F.col("main.size")) / BLOCK)).cast("int")
+    dealt = clusters.join(
+        shapes.select("component", F.col("main.part").alias("main_part"),
+                      main.alias("main"), rest.alias("rest")),
+        "component",
     )
+    hashed = F.xxhash64("node")
+    in_main = (F.col("main") > 0) & (F.col("part") == F.col("main_part"))
+    block = F.when(in_main, F.col("rest") + F.pmod(hashed, F.col("main"))).otherwise(
+        F.pmod(hashed, F.greatest("rest", F.lit(1)))
+    ).cast("int")
+    others = F.when(in_main, F.col("rest")).otherwise(F.col("rest") + F.col("main"))
     cells = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
+        F.sequence(F.lit(0), others - 1),
         lambda other: F.struct(
-            F.least("block", other).alias("low"), F.greatest("block", other).alias("high")
+            F.col("component"),
+            F.least("block", other).alias("low"),
+            F.greatest("block", other).alias("high"),
+            F.col("block"),
         ),
     )
-
-    def measure(batches):
-        for batch in parts(batches):
-            texts = [unpacked(packed) for packed in batch.column("packed").to_pylist()]
-            sets = _sets(texts, shingle_words)
-            arrays = [batch.column(name) for name in ("component", "node", "block", "cells")]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, _lists(sets)], ["component", "node", "block", "cells", "elements"]
-            )
-
-    # The hint makes large and small inputs take the same way.
-    wanted = dealt.select("component", "node", "block", cells.alias("cells")).hint("merge")
-    texts = (
-        packed_texts(documents.where(F.col("doc_id").isNotNull()))
-        .select(F.col("doc_id").alias("node"), "packed")
-        .join(wanted, "node")
-    )
-    kind = texts.schema["cells"].dataType.simpleString()
-    sets = texts.select("component", "node", "block", "cells", "packed").mapInArrow(
-        measure,
-        f"component bigint, node bigint, block int, cells {kind}, elements array<bigint>",
-    )
-    rows = sets.select(
-        "component", "node", "block", F.explode("cells").alias("cell"), "elements"
-    ).select("component", "cell.low", "cell.high", "block", "node", "elements")
+    wanted = dealt.withColumn("block", block).select("node", cells.alias("cells"))
 
     def link(batches):
         for table, cuts in whole_groups(batches, keys):
@@ -283,7 +354,8 @@ def exact_links(
 
     keys = ["component", "low", "high"]
     return (
-        rows.repartition(*keys)
+        _sets_in_cells(wanted, texts, shingle_words)
+        .repartition(*keys)
         .sortWithinPartitions(*keys, "block", "node")
         .mapInArrow(link, "a bigint, b bigint")
         .where("a <> b")
@@ -332,10 +404,23 @@ def near_duplicate_groups(
         .select("set_id", F.col("first.doc_id").alias("node"), "first.n_shingles", "first.sketch"),
         "sketch-classes",
     )
-    clusters = components(candidate_links(classes, longest_list))
-    links = exact_links(clusters, documents, shingle_words, percent)
+    links = written(candidate_links(classes, longest_list), "candidate-links")
+    clusters = components(links)
+    texts = written(chosen_texts(documents, clusters), "cluster-texts")
+    confirmed = written(confirmed_links(links, texts, shingle_words, percent), "confirmed-links")
+    in_parts = clusters.join(
+        components(confirmed).withColumnRenamed("component", "part"), "node", "left"
+    ).withColumn("part", F.coalesce("part", "node"))
+    parted = written(in_parts, "parts")
+    # A cluster of one part is settled.
+    is_open = F.min("part") < F.max("part")
+    apart = parted.groupBy("component").agg(is_open.alias("open")).where("open")
+    rest = exact_links(
+        written(parted.join(apart.select("component"), "component"), "open-clusters"),
+        texts, shingle_words, percent,
+    )
     # Where several sets have the same smallest document, that links them.
-    linked = components(links)
+    linked = components(confirmed.union(rest))
     named = written(
         classes.select("set_id", "node")
         .join(linked, "node", "left")

@@ -10,6 +10,7 @@ import numpy as np
 LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 
 _PART = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -47,22 +48,24 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 def _parts(data: bytes) -> Iterator[bytes]:
-    """``data`` in parts of about half a MiB, cut at white space; a longer word is cut."""
+    """``data`` in parts of about half a MiB, cut at white space; a longer word is a part."""
     at = 0
     while len(data) - at > _PART:
         stop = at + _PART
-        cut = max(data.rfind(space, at + 1, stop) for space in (b" ", b"\n", b"\t", b"\r"))
-        stop = cut if cut > 0 else stop
-        yield data[at:stop]
-        at = stop
+        cut = max(data.rfind(space, at + 1, stop) for space in _SPACES)
+        if cut <= 0:
+            after = [data.find(space, stop) for space in _SPACES]
+            cut = min((place for place in after if place >= 0), default=len(data))
+        yield data[at:cut]
+        at = cut
     yield data[at:]
 
 
 def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
     """For each text the hashes of its words, in order.
 
-    Texts go through together in parts of about half a MiB, so memory stays bounded. (A
-    single word of more than that counts as several.)
+    Texts go through together in parts of about half a MiB, so memory stays bounded. A word
+    that is longer is a part of its own, whose sum goes on from block to block.
     """
     found: list[np.ndarray] = []
     group: list[bytes] = []
@@ -72,13 +75,27 @@ def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
             found += _group(group)
             group, size = [], 0
         if len(text) >= _PART:
-            found.append(np.concatenate([_group([part])[0] for part in _parts(text)]))
+            found.append(np.concatenate([_of_part(part) for part in _parts(text)]))
         else:
             group.append(text)
             size += len(text) + 1
     return found + (_group(group) if group else [])
 
 
+def _of_part(part: bytes) -> np.ndarray:
+    word = part.strip(b"".join(_SPACES))
+    if len(word) <= _PART:
+        # Not the part: it may be longer than the powers by the space before its word.
+        return _group([word])[0]
+    total, factor = 0, 1
+    for at in range(0, len(word), _PART):
+        block = np.frombuffer(word[at : at + _PART], np.uint8)
+        total += factor * int(prefix_sums(block)[-1])
+        factor = factor * int(_POWERS[_PART - 1]) * _BASE & _MASK
+    value = np.array([total & _MASK], np.uint64)
+    return mixed(value ^ mixed(np.array([len(word)], np.uint64)))
+
+
 def _group(texts: list[bytes]) -> list[np.ndarray]:
     data = np.frombuffer(b" ".join(texts), np.uint8)
     space = np.concatenate(([True], _IS_SPACE[data], [True]))
