@@ -19,6 +19,7 @@ from keybrook.plans.word_count import start_word_changelog, start_word_counts
 from keybrook.session import build_session
 from keybrook.sources.topics import (
     drain,
+    drain_topic,
     from_envelope,
     read_kafka,
     read_topic,
@@ -108,7 +109,11 @@ def sink(given: argparse.Namespace, topic: str, application: str) -> Sink:
 
 def run(spark: SparkSession, given: argparse.Namespace) -> None:
     if given.pipeline == "drain":
-        first = drain(records(spark, given, given.topic, stream=False), given.count)
+        if given.servers:
+            first = drain(records(spark, given, given.topic, stream=False), given.count)
+        else:
+            envelope = drain_topic(spark, given.root, given.topic, given.count)
+            first = from_envelope(envelope, *CODECS[given.topic]).orderBy("offset", "partition")
         first.select("key", "value").show(given.count, truncate=False)
         return
 

@@ -1,9 +1,12 @@
 """Topics: keyed records in the envelope that Spark's Kafka source also has.
 
 A topic is a Kafka topic, where the Kafka connector is on the class path, or a
-folder ``<root>/topic=<name>/application=<name>/batch_id=<number>`` of Parquet files,
-so that several writers can share it. Readers return the envelope; ``from_envelope``
-types it. Offsets rise within each partition of a topic, over all writes.
+folder ``<root>/topic=<name>/application=<name>/run=<id>/batch_id=<number>/span=<offsets>`` of
+Parquet files, so that several writers can share it. Readers return the envelope;
+``from_envelope`` types it. Offsets rise within each partition of a topic, over all
+writes; the ledger of ``offsets.py`` deals them out. The span of a batch is its lowest and
+highest offset and its number of records, so a reader of some offsets leaves the others
+unread.
 
 Between Spark jobs, ``write_records`` and its readers keep the records typed:
 nothing is encoded, and a reader fetches only the fields it uses.
@@ -13,7 +16,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from keybrook.functions.codecs import (
@@ -24,6 +26,7 @@ from keybrook.functions.codecs import (
     is_malformed,
 )
 from keybrook.schemas import ENVELOPE
+from keybrook.sources.offsets import Ledger
 
 
 def to_envelope(
@@ -99,56 +102,87 @@ def from_envelope(
 
 def write_topic(envelope: DataFrame, root: str, application: str | None = None) -> None:
     """Append records to the folders of the topics they name, behind what is there."""
-    write_batch(envelope, root, application or f"write-{uuid.uuid4().hex}", 0)
+    _write(envelope, root, application or f"write-{uuid.uuid4().hex}", None, 0)
 
 
-def write_batch(envelope: DataFrame, root: str, application: str, batch_id: int) -> None:
+def write_batch(
+    envelope: DataFrame,
+    root: str,
+    application: str,
+    batch_id: int,
+    run: str = "0",
+    replace_earlier_runs: bool = False,
+) -> None:
     """Write one batch of an application to the topics it names, in one pass.
 
-    A batch that is written again, after its commit was lost, replaces itself. Other
-    batches and applications are left alone.
+    A batch that is written again, after its commit was lost, replaces itself, at the same
+    offsets. Other batches and applications are left alone. ``run`` names what the batches are
+    numbered by, such as a checkpoint. A new run of an application adds to what earlier
+    runs wrote, or replaces all of it; either way an earlier run can write no more.
     """
-    placed = _behind_earlier(envelope, root, application, batch_id)
+    retired = _write(envelope, root, application, run, batch_id)
+    if replace_earlier_runs and retired:
+        _remove_runs(envelope.sparkSession, root, application, retired)
+
+
+def _write(
+    envelope: DataFrame, root: str, application: str, run: str | None, batch_id: int
+) -> list[str]:
+    spark = envelope.sparkSession
+    place = ["topic", "partition"]
+    offset = F.coalesce("offset", F.monotonically_increasing_id())
+    numbered = envelope.withColumn("offset", offset)
+    # One row per topic and partition.
+    found = numbered.groupBy(*place).agg(
+        F.min("offset").alias("low"), F.max("offset").alias("high"),
+        F.count(F.lit(1)).alias("records"),
+    ).collect()
+    if not found:
+        return []
+    spans = {(row.topic, row.partition): (row.low, row.high) for row in found}
+    reserved = Ledger(spark, root).reserve(application, run, batch_id, spans)
+    of_topic: dict[str, list[int]] = {}
+    for row in found:
+        shift = reserved.shifts[row.topic, row.partition]
+        low, high, records = of_topic.get(row.topic, (row.low + shift, 0, 0))
+        of_topic[row.topic] = [
+            min(low, row.low + shift), max(high, row.high + shift), records + row.records
+        ]
+    shifts = spark.createDataFrame(
+        [
+            (topic, partition, shift, "-".join(map(str, of_topic[topic])))
+            for (topic, partition), shift in reserved.shifts.items()
+        ],
+        "topic string, partition int, _shift bigint, span string",
+    )
     (
-        placed.withColumns({"application": F.lit(application), "batch_id": F.lit(batch_id)})
+        numbered.join(F.broadcast(shifts), place)
+        .withColumn("offset", F.col("offset") + F.col("_shift"))
+        .withColumns({
+            "application": F.lit(application), "run": F.lit(run or "once"),
+            "batch_id": F.lit(batch_id),
+        })
+        .select(*envelope.columns, *_FOLDERS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "application", "batch_id")
+        .partitionBy("topic", *_FOLDERS)
         .parquet(root)
     )
+    return reserved.retired
 
 
-def _behind_earlier(
-    envelope: DataFrame, root: str, application: str, batch_id: int
-) -> DataFrame:
-    """Shift offsets so that each partition goes on after its highest one.
+_FOLDERS = ("application", "run", "batch_id", "span")
 
-    Records without an offset are numbered as they come. Both sides of the sum have
-    one row per topic and partition.
-    """
-    place = ["topic", "partition"]
-    offset = F.coalesce("offset", F.monotonically_increasing_id())
-    numbered = envelope.withColumn("offset", offset)
-    try:
-        stored = envelope.sparkSession.read.schema(_with_batches()).parquet(root)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return numbered
-    earlier = (
-        stored.where(~((F.col("application") == application) & (F.col("batch_id") == batch_id)))
-        .groupBy(*place)
-        .agg((F.max("offset") + 1).alias("_next"))
-    )
-    lows = numbered.groupBy(*place).agg(F.min("offset").alias("_low"))
-    shifts = lows.join(earlier, place).select(
-        *place, F.greatest(F.col("_next") - F.col("_low"), F.lit(0)).alias("_shift")
-    )
-    return (
-        numbered.join(F.broadcast(shifts), place, "left")
-        .withColumn("offset", F.col("offset") + F.coalesce("_shift", F.lit(0)))
-        .select(*envelope.columns)
-    )
+
+def _remove_runs(spark: SparkSession, root: str, application: str, runs: list[str]) -> None:
+    jvm = spark._jvm
+    for run in runs:
+        pattern = jvm.org.apache.hadoop.fs.Path(
+            f"{root.rstrip('/')}/topic=*/application={application}/run={run}"
+        )
+        files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in files.globStatus(pattern):
+            files.delete(status.getPath(), True)
 
 
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
@@ -214,16 +248,40 @@ def drain(topic: DataFrame, count: int) -> DataFrame:
     return topic.orderBy(*order).limit(count)
 
 
-def _stored() -> T.StructType:
-    return T.StructType([field for field in ENVELOPE if field.name != "topic"])
+def drain_topic(spark: SparkSession, root: str, topic: str, count: int) -> DataFrame:
+    """The first ``count`` records of a folder topic, in order, from the batches that hold them.
+
+    Batches are chosen by the spans in their names: those that end below the others until
+    they hold enough, and all that begin no later than these end.
+    """
+    return drain(read_folders(spark, root, topic, first_folders(spark, root, topic, count)), count)
 
 
-def _with_batches() -> T.StructType:
-    return T.StructType([
-        *ENVELOPE.fields,
-        T.StructField("application", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ])
+def first_folders(spark: SparkSession, root: str, topic: str, count: int) -> list[str]:
+    """The folders of the batches that hold the first ``count`` records of a topic."""
+    files = spark.read.schema(_stored()).parquet(_folder(root, topic)).inputFiles()
+    spans = {}
+    for file in files:
+        path = file.rsplit("/", 1)[0]
+        spans[path] = tuple(int(part) for part in path.rsplit("span=", 1)[1].split("-"))
+    held, end = 0, -1
+    for _, high, records in sorted(spans.values(), key=lambda span: span[1]):
+        if held >= count:
+            break
+        held, end = held + records, high
+    return sorted(path for path, (low, _, _) in spans.items() if low <= end)
+
+
+def read_folders(spark: SparkSession, root: str, topic: str, folders: list[str]) -> DataFrame:
+    """The records of some batches of a topic."""
+    if not folders:
+        return spark.createDataFrame([], ENVELOPE)
+    stored = spark.read.schema(_stored()).option("basePath", _folder(root, topic))
+    return _with_topic(stored.parquet(*folders), topic)
+
+
+def _stored() -> T.StructType:
+    return T.StructType([field for field in ENVELOPE if field.name != "topic"])
 
 
 def _folder(root: str, topic: str) -> str:

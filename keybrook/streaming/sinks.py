@@ -37,19 +37,31 @@ def start(
         )
 
 
+def run_of(batch: DataFrame) -> str:
+    """The identity of the running query, which its checkpoint keeps over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
+
+
 def append_to_topics(
-    envelope: DataFrame, root: str, name: str, checkpoint: str, once: bool = False
+    envelope: DataFrame,
+    root: str,
+    name: str,
+    checkpoint: str,
+    once: bool = False,
+    replace_earlier_runs: bool = False,
 ) -> StreamingQuery:
     """Append a stream to the topic folders it names, each record exactly once.
 
     Each micro-batch is one write of the application ``name``; one that runs again
-    replaces what it wrote. Applications with different names share the topics.
+    replaces what it wrote. Applications with different names share the topics. The same name
+    with a new checkpoint is a new run: it adds its records, or replaces those of earlier
+    runs, which can write no more.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            write_batch(kept, root, name, batch_id)
+            write_batch(kept, root, name, batch_id, run_of(batch), replace_earlier_runs)
         finally:
             kept.unpersist()
 
@@ -107,10 +119,17 @@ def to_folders(root: str) -> Sink:
 
 
 def to_topic_folder(
-    root: str, topic: str, application: str, key_codec: Codec, value_codec: Codec
+    root: str,
+    topic: str,
+    application: str,
+    key_codec: Codec,
+    value_codec: Codec,
+    replace_earlier_runs: bool = False,
 ) -> Sink:
     """Write each micro-batch to a folder topic that several applications may share.
 
+    Runs are told apart as by ``append_to_topics``.
+
     Records keep their partition and order; those with a ``pos`` are ordered by it
     where their offset is the same.
     """
@@ -120,7 +139,9 @@ def to_topic_folder(
         try:
             records = in_one_order(kept) if "pos" in kept.columns else kept
             envelope = to_envelope(records, topic, key_codec, value_codec)
-            write_batch(envelope, root, application, batch_id)
+            write_batch(
+                envelope, root, application, batch_id, run_of(batch), replace_earlier_runs
+            )
         finally:
             kept.unpersist()
 

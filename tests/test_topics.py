@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -7,8 +9,11 @@ from pyspark.sql import functions as F
 from keybrook.schemas import CUSTOMER, ENVELOPE
 from keybrook.sources.generators import generate_customers, generate_orders, generate_products
 from keybrook.sources.lines import read_lines, spread_over_cores
+from keybrook.sources.offsets import Ledger, StaleRunError
 from keybrook.sources.topics import (
     drain,
+    drain_topic,
+    first_folders,
     from_envelope,
     read_kafka,
     read_topic,
@@ -87,6 +92,71 @@ def test_a_batch_written_again_replaces_itself(spark, tmp_path):
     assert len({row.offset for row in stored}) == 6
 
 
+def _letters(spark, *keys):
+    rows = [(key, "v", n) for n, key in enumerate(keys)]
+    frame = spark.createDataFrame(rows, "key string, value string, offset bigint")
+    return to_envelope(frame, "t", "string", "string")
+
+
+def test_a_new_run_adds_or_replaces_and_retires_the_old_one(spark, tmp_path):
+    for replace, left in ((False, ["a", "b", "c"]), (True, ["c"])):
+        root = str(tmp_path / f"topics-{replace}")
+        write_batch(_letters(spark, "a"), root, "one", 0, "first")
+        write_batch(_letters(spark, "b"), root, "one", 1, "first")
+        write_batch(_letters(spark, "other"), root, "two", 0, "first")
+        write_batch(_letters(spark, "c"), root, "one", 0, "second", replace)
+        stored = from_envelope(read_topic(spark, root, "t")).collect()
+        assert sorted(row.key for row in stored) == [*left, "other"]
+        assert {row.offset for row in stored if row.key == "c"} == {3}
+        with pytest.raises(StaleRunError):
+            write_batch(_letters(spark, "late"), root, "one", 2, "first", replace)
+        assert read_topic(spark, root, "t").count() == len(left) + 1
+
+
+def test_a_write_reads_as_many_files_however_many_came_before(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "topics")
+    opened = []
+    newest = Ledger.newest
+
+    def counted(self):
+        opened[-1] += 1
+        return newest(self)
+
+    monkeypatch.setattr(Ledger, "newest", counted)
+    batch = _letters(spark, "a", "b").cache()
+    for number in range(50):
+        opened.append(0)
+        write_batch(batch, root, "app", number, "run")
+        kept = [path for path in (tmp_path / "topics" / "_offsets").iterdir()
+                if not path.name.startswith(".")]
+        assert len(kept) <= 8
+    assert opened == [1] * 50
+    offsets = [row.offset for row in read_topic(spark, root, "t").collect()]
+    assert sorted(offsets) == list(range(100))
+
+
+def test_two_writers_never_get_the_same_offsets(spark, tmp_path):
+    root = str(tmp_path / "topics")
+    batches = [_letters(spark, f"{n}a", f"{n}b") for n in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda n: write_batch(batches[n], root, f"app{n}", 0), range(6)))
+    offsets = [row.offset for row in read_topic(spark, root, "t").collect()]
+    assert sorted(offsets) == list(range(12))
+
+
+def test_drain_reads_only_the_first_batches(spark, tmp_path):
+    root = str(tmp_path / "topics")
+    for number in range(6):
+        write_batch(_letters(spark, *[f"{number}{n}" for n in range(10)]), root, "app", number)
+    assert len(first_folders(spark, root, "t", 15)) == 2
+    assert first_folders(spark, root, "t", 0) == []
+    drained = drain_topic(spark, root, "t", 15)
+    assert len(drained.inputFiles()) < len(read_topic(spark, root, "t").inputFiles())
+    assert [row.offset for row in drained.collect()] == list(range(15))
+    assert drain_topic(spark, root, "t", 1000).count() == 60
+    assert drain_topic(spark, root, "t", 0).collect() == []
+
+
 def test_malformed_records_fail_or_are_set_apart(spark):
     values = [b'{"name": "Ann", "gender": "female", "region": "n"}', b"{not json", b"[]", b"", None]
     rows = [(bytes(7) + bytes([n]), value, "t", 0, n, None) for n, value in enumerate(values)]
