@@ -47,6 +47,26 @@ def named(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
 
 
+_REST = "_rest"
+
+
+def set_apart(frame: DataFrame, *used: str) -> DataFrame:
+    """The ``used`` columns, and all others inside one, where no name of theirs can clash."""
+    rest = [F.col(f"`{name}`") for name in frame.columns if name not in used]
+    return frame.select(*used, (F.struct(*rest) if rest else F.lit(None)).alias(_REST))
+
+
+def put_back(columns: list[str], *used: str, **changed: Column) -> list[Column]:
+    """The ``columns`` of a frame that was ``set_apart``, some of them ``changed``."""
+    found = []
+    for name in columns:
+        if name in changed:
+            found.append(changed[name].alias(name))
+        else:
+            found.append(F.col(name) if name in used else F.col(f"{_REST}.`{name}`"))
+    return found
+
+
 def written(frame: DataFrame, purpose: str, *by: str) -> DataFrame:
     """Write a frame under the cluster's shared folder, and read it from there.
 

@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from keybrook.llm.common import lower_ascii, remove_at_exit, written
+from keybrook.llm.common import look_up, lower_ascii, remove_at_exit, written
 from keybrook.session import shared_folder
 
 _COLUMNS = "digest binary, keep_id bigint"
@@ -26,12 +26,18 @@ def text_digest(text: Column) -> Column:
 class DigestIndex:
     """An index in a folder that all executors reach.
 
-    The folder is all there is to it: another session opens the same index by the
-    same folder and number of buckets. ``append`` is one Spark write, so a task
-    that runs again leaves no second row.
+    The folder is all there is to it: another session opens the same index by the same
+    folder. The number of buckets lies beside the rows, and an index is opened with no other.
+    ``append`` is one Spark write, so a task that runs again leaves no second row. Each
+    append adds a sorted file to a bucket. ``close`` takes the index out of the session's
+    catalog and leaves the folder.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int):
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None):
+        stored = _stored_buckets(spark, folder, buckets)
+        if buckets is not None and buckets != stored:
+            raise ValueError(f"the index in {folder} has {stored} buckets, not {buckets}")
+        buckets = stored
         self.spark, self.folder, self.buckets = spark, folder, buckets
         self.table = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
@@ -47,10 +53,14 @@ class DigestIndex:
     def unseen(self, digests: DataFrame) -> DataFrame:
         """One row per digest that the index lacks, with the largest ``doc_id``.
 
-        Copies are reduced in each task before the shuffle. The hint keeps the
-        join a merge join, in which the index stays where it is.
+        Copies are reduced in each task before the shuffle, and the reduced batch is written:
+        the optimizer would push the join below the reduction, and all copies of a text
+        would meet in one bucket. The hint keeps the join a merge join, in which the index
+        stays where it is.
         """
-        batch = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
+        batch = written(
+            digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), "digest-batch"
+        )
         return batch.join(self.rows().hint("merge"), "digest", "left_anti")
 
     def append(self, digests: DataFrame) -> None:
@@ -62,6 +72,27 @@ class DigestIndex:
         )
 
 
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+
+def _stored_buckets(spark: SparkSession, folder: str, buckets: int | None) -> int:
+    """The number of buckets that the index in ``folder`` was made with, which is now if it is new."""
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_buckets")
+    files = beside.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(beside):
+        stream = files.open(beside)
+        stored = int(bytes(stream.readAllBytes()))
+        stream.close()
+        return stored
+    if buckets is None:
+        raise ValueError(f"no index in {folder}, and no number of buckets to make it with")
+    stream = files.create(beside, False)
+    stream.writeBytes(str(buckets))
+    stream.close()
+    return buckets
+
+
 def digests_of(documents: DataFrame) -> DataFrame:
     """``doc_id`` and ``digest`` of each row, in one pass over the texts."""
     return documents.select(
@@ -85,7 +116,8 @@ def keep_largest(documents: DataFrame, index: DigestIndex | None = None) -> Data
     """
     spark = documents.sparkSession
     digests = written(digests_of(documents), "digests")
-    if index is None:
+    own = index is None
+    if own:
         folder = shared_folder(spark, "digest-index")
         remove_at_exit(spark, folder)
         index = DigestIndex(
@@ -99,9 +131,10 @@ def keep_largest(documents: DataFrame, index: DigestIndex | None = None) -> Data
 
     sizes = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     groups = written(sizes.join(index.rows().hint("merge"), "digest"), "digest-groups")
-    # Both sides are plain shuffles, so adaptive execution splits a digest that
-    # many copies share.
-    return digests.join(groups, "digest").select(
+    if own:
+        index.close()
+    # Few groups are sent to the digests; for many, the copies of a text are spread.
+    return look_up(digests, groups, "digest", F.col("doc_id")).select(
         "doc_id",
         "keep_id",
         "group_size",

@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keybrook.llm.common import let, written
+from keybrook.llm.common import let, put_back, set_apart, written
 from keybrook.llm.components import parts
 
 # A chunk ends after a line if the hash of the last WINDOW lines is a multiple of
@@ -187,15 +187,12 @@ def remove_repeated_chunks(documents: DataFrame) -> DataFrame:
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
     own = [name for name in documents.columns if name != "removed"]
-    return documents.join(found, same, "left").select(
-        *[
-            F.when(F.col("_removed").isNull(), F.col("text"))
-            .otherwise(without_chunks(F.col("text"), F.col("_removed")))
-            .alias("text")
-            if name == "text" else F.col(name)
-            for name in own
-        ],
-        F.col("_removed").alias("removed"),
+    used = ("doc_id", "text")
+    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(
+        without_chunks(F.col("text"), F.col("_removed"))
+    )
+    return set_apart(documents, *used).join(found, same, "left").select(
+        *put_back(own, *used, text=text), F.col("_removed").alias("removed")
     )
 
 

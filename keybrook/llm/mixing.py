@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from keybrook.llm.common import look_up, named, word_list, written
+from keybrook.llm.common import look_up, named, put_back, set_apart, word_list, written
 
 SHARE = 1.5
 WEIGHTS = (3, 1, 2)
@@ -80,6 +80,8 @@ def _boundaries(sums: DataFrame, level: str, group: Sequence[str]) -> DataFrame:
     return (
         sums.withColumn("until", F.col("before") + F.sum("size").over(running))
         .withColumn("before", F.col("until") - F.col("size"))
+        # Nothing left of a budget has no boundary: its threshold is 0.
+        .where(F.col("rest") > 0)
         .where((F.col("until") > F.col("rest")) & (F.col("before") <= F.col("rest")))
     )
 
@@ -226,14 +228,15 @@ def documents_of_mix(
     plan = _plan(_sizes(documents), share, weights, most_times, [1.0]).select(
         F.col("source_key").alias("_source_key"), F.col("cuts").alias("_cuts")
     )
-    keyed = documents.withColumn("_source_key", named(F.col("source")))
+    used = ("doc_id", "text", "source")
+    keyed = set_apart(documents, *used).withColumn("_source_key", named(F.col("source")))
     times = _times(F.element_at("_cuts", 1), _point())
     return (
         look_up(keyed, plan, "_source_key", _point())
         .withColumn("_times", times)
         .where("_times > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
-        .select(*documents.columns)
+        .select(*put_back(documents.columns, *used))
     )
 
 
@@ -278,7 +281,7 @@ cuts AS (
   SELECT r.source, r.step, max(cell + CASE WHEN until - rest < rest - (until - size)
       THEN 1 ELSE 0 END) << {POINT_BITS - 2 * LEVEL_BITS} AS threshold
   FROM rests r JOIN running c ON r.source IS NOT DISTINCT FROM c.source
-  WHERE until > rest AND until - size <= rest GROUP BY ALL),
+  WHERE rest > 0 AND until > rest AND until - size <= rest GROUP BY ALL),
 plan AS (
   SELECT r.*, coalesce(threshold, 0) AS threshold
   FROM rests r LEFT JOIN cuts c

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 import samples
+from pyspark.sql import functions as F
 
 from keybrook.llm import hilbert
 from keybrook.llm.common import shared_folder
@@ -174,6 +175,48 @@ def test_index_persists_and_appends_only_what_is_new(spark):
     assert again.rows().count() == 3
 
 
+def test_an_index_is_opened_with_its_own_buckets(spark):
+    folder = shared_folder(spark, "test-index")
+    frame = spark.createDataFrame([(n, f"text {n}") for n in range(200)], "doc_id bigint, text string")
+    made = DigestIndex(spark, folder, 4)
+    made.append(digests_of(frame))
+    made.close()
+    with pytest.raises(ValueError, match="4 buckets"):
+        DigestIndex(spark, folder, 8)
+    again = DigestIndex(spark, folder)
+    assert again.unseen(digests_of(frame)).count() == 0
+    again.close()
+    with pytest.raises(ValueError, match="no index"):
+        DigestIndex(spark, shared_folder(spark, "test-index"))
+
+
+def test_copies_do_not_meet_before_the_index(spark, plan_of):
+    """What is shuffled to the buckets is a written table of one row per digest."""
+    index = DigestIndex(spark, shared_folder(spark, "test-index"), 4)
+    copies = digests_of(spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit("the same").alias("text")))
+    unseen = index.unseen(copies)
+    assert [row.keep_id for row in unseen.collect()] == [2999]
+    assert "HashAggregate" not in plan_of(unseen) and "sha2" not in plan_of(unseen)
+    index.close()
+
+
+def test_no_table_stays_in_the_catalog(spark, documents):
+    before = {table.name for table in spark.catalog.listTables()}
+    keep_largest(documents).collect()
+    assert {table.name for table in spark.catalog.listTables()} <= before
+
+
+def test_empty_documents_are_taken_no_more_often_than_others(spark):
+    # Source "b" is at its ceiling of two, so nothing is left of its budget for a third copy.
+    rows = [(n, "w " * 50, "a") for n in range(40)] + [(100, "w " * 5, "b")] + [
+        (200 + n, "", "b") for n in range(200)
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    times = {row.doc_id: row.times for row in mix_sources(frame, weights=(1, 50)).collect()}
+    assert times[100] == 2 and max(times.values()) == 2
+
+
 def test_the_index_is_not_shuffled(spark, plan_of):
     folder = shared_folder(spark, "test-index")
     index = DigestIndex(spark, folder, 4)

@@ -6,16 +6,22 @@ import json
 
 import pytest
 import samples
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 
 from keybrook.llm.queries import QUERIES
 from keybrook.llm import (
+    collocations,
     digest_index,
     hilbert,
     language,
     line_chunks,
     line_frequency,
     mixing,
+    multi_index,
     packing,
+    periodic_runs,
     pieces,
     sketches,
     suffixes,
@@ -34,6 +40,8 @@ OPERATORS = {
     "sketches": sketches.near_duplicate_groups,
     "packing": lambda docs: packing.pack_documents(docs).select("n_tokens"),
     "line_chunks": line_chunks.chunk_dedup,
+    "periodic_runs": periodic_runs.run_digests,
+    "collocations": lambda docs: collocations.collocations(docs, least_count=2),
 }
 
 
@@ -55,5 +63,38 @@ def test_columns_with_other_meanings(documents, name):
     assert plain
 
 
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stage_over_an_empty_table(spark, name):
+    assert STAGES[name](spark, spark.createDataFrame([], samples.SCHEMA), "").collect() == []
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stage_with_columns_of_other_meanings(spark, documents, name):
+    few = documents.where("doc_id < 30 or doc_id is null or text is null or text = ''")
+    plain = STAGES[name](spark, few, "")
+    clashing = STAGES[name](spark, samples.with_clashing_columns(few), "")
+    if name != "pieces":
+        assert plain.columns == few.columns
+        assert clashing.columns == [*few.columns, *samples.CLASHING]
+        assert {row[few.columns.index("lang") + 3] for row in clashing.collect()} <= {"other"}
+    assert multiset(clashing.select(*plain.columns)) == multiset(plain)
+
+
+def test_vectors(spark):
+    schema = "vec_id bigint, embedding array<float>, label int"
+    empty = spark.createDataFrame([], schema)
+    assert multi_index.nearest_vectors(empty).collect() == []
+    rows = [(n, [float(n), 1.0], 1) for n in range(60)]
+    frame = spark.createDataFrame(rows, schema)
+    clashing = frame.select("*", *[F.lit("other").alias(name) for name in [
+        "h1", "h2", "vector", "node", "ids", "asks", "cell", "score", "code", "radius"]])
+    plain = multiset(multi_index.nearest_vectors(frame))
+    assert multiset(multi_index.nearest_vectors(clashing)) == plain
+    assert len(plain) == 60
+
+
 def test_each_operator_has_a_query():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
