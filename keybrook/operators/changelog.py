@@ -1,12 +1,12 @@
 """Running count per key: the changelog of a count table.
 
-A plain window over the key sorts all records of one key in one task, which
-fails for a key that holds a third of all rows. So the keys with many records
-are found first. For these the total order is cut into blocks: the rank inside
-(key, block) is a window over at most one block of rows, and the count before
-the block is a sum over one row per (key, block), counted map-side. Both are
-added. A hot key is spread over as many tasks as there are blocks; all other
-keys have a single block.
+A plain window over the key sorts all records of one key in one task, which fails for a
+key that holds a third of all rows. So beyond a number of records the total order is cut
+into blocks, and the count is a prefix sum over them: each record's rank inside (key,
+block) is a window over at most one block; the last rank of each (key, block) says how many
+records it has; their sums over earlier blocks are added. A hot key is spread
+over as many tasks as there are blocks. The records are read, split and shuffled once: the
+ranks and their sums are two readings of the same shuffle.
 """
 
 from __future__ import annotations
@@ -16,17 +16,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from keybrook.operators.tables import count_by_key
-
 BLOCK = "order_block"
 
-# A task sorts this many records of a key without trouble. It also bounds how
-# many keys can be hot: one per so many records.
+# A task sorts this many records of a key without trouble.
 HOT_ROWS = 20_000_000
 # Records, after the split if there is one, that a block should have.
-ROWS_PER_BLOCK = 20_000
-# One list of cuts has at most so many; more blocks are made by cutting each again.
-CUTS_PER_LEVEL = 65_536
+ROWS_PER_BLOCK = 1_000_000
+# The cuts between blocks are constants of the plan. More records make larger blocks.
+MOST_BLOCKS = 16_384
 _SAMPLES_PER_BLOCK = 16
 
 
@@ -38,7 +35,7 @@ def running_count(
     split: Callable[[DataFrame], DataFrame] | None = None,
     split_order: Sequence[str] = (),
     before: DataFrame | None = None,
-    counts: DataFrame | None = None,
+    total: int | None = None,
     most_per_row: Column | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
     hot_rows: int = HOT_ROWS,
@@ -49,62 +46,38 @@ def running_count(
     totally. ``split`` turns the given records into those to count, such as
     lines into words. It must keep the other columns of a record; the columns
     of ``split_order`` are its own. Blocks are made before the split, where
-    there are fewer rows, and sized by the records that come of it. Keys with more than
-    ``hot_rows`` records are counted by blocks. ``before`` holds (key, count) of
+    there are fewer rows, and sized by the records that come of it. More than ``hot_rows``
+    records are counted by blocks, as they may be of one key. ``before`` holds (key, count) of
     records that came earlier, and its counts are continued. Records without a
     key are dropped.
 
-    ``counts`` are the (key, count) of these records, where the caller has them already.
-    ``most_per_row`` says how many records at most come of a row; if they are too few
-    in all for a hot key, the counts are not needed.
+    ``total`` is the number of records to count, where the caller knows it, and
+    ``most_per_row`` says how many at most come of a row. Without either the records are
+    split and counted for it.
     """
 
     def to_count(rows: DataFrame) -> DataFrame:
         return (split(rows) if split else rows).where(F.col(key).isNotNull())
 
     order = [*order_by, *split_order]
-    if most_per_row is None and split is None:
-        most_per_row = F.lit(1)
-    hot_keys = None
-    if counts is None and most_per_row is not None:
-        most = records.agg(F.coalesce(F.sum(most_per_row), F.lit(0))).first()[0]
-        few = most <= hot_rows
-    else:
-        few = False
-    if not few:
-        counts = counts if counts is not None else count_by_key(to_count(records), key)
-        sums = _sums(counts, hot_rows)
-        if sums["hot"]:
-            hot_keys = counts.where(F.col("count") > hot_rows).select(F.col("key").alias(key))
-    if hot_keys is None:
+    if total is None:
+        if most_per_row is None and split is not None:
+            total = to_count(records).count()
+        else:
+            most = F.lit(1) if most_per_row is None else most_per_row
+            total = records.agg(F.coalesce(F.sum(most), F.lit(0))).first()[0]
+    if total <= hot_rows:
         ranked = _rank(to_count(records), [key], order, name)
         if before is None:
             return ranked
         starts = before.select(F.col("key").alias(key), F.col("count").alias("_start"))
         return _add_starts(ranked, starts, [key], name)
 
-    blocked = in_order_blocks(records, order_by, sums["records"], rows_per_block)
-    counted = to_count(blocked)
-    in_blocks = (
-        counted.join(hot_keys, key, "left_semi")
-        .groupBy(key, BLOCK)
-        .agg(F.count(F.lit(1)).alias("_count"))
-    )
-    flagged = counted.join(hot_keys.withColumn("_is_hot", F.lit(True)), key, "left")
-    placed = flagged.withColumn(
-        BLOCK, F.when(F.col("_is_hot"), F.col(BLOCK)).otherwise(F.lit(0).cast("bigint"))
-    ).drop("_is_hot")
-    starts = _starts(in_blocks, hot_keys, before, key)
-    ranked = _rank(placed, [key, BLOCK], order, name)
-    return _add_starts(ranked, starts, [key, BLOCK], name).drop(BLOCK)
-
-
-def _sums(counts: DataFrame, hot_rows: int):
-    """How many records there are, and whether a key has more than ``hot_rows`` of them."""
-    return counts.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("records"),
-        F.coalesce(F.max("count") > hot_rows, F.lit(False)).alias("hot"),
-    ).first()
+    blocked = in_order_blocks(records, order_by, total, rows_per_block)
+    group = [key, BLOCK]
+    ranked = _rank(to_count(blocked), group, order, name)
+    starts = _starts(ranked, group, order, name, before)
+    return _add_starts(ranked, starts, group, name).drop(BLOCK)
 
 
 def _rank(records: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
@@ -113,28 +86,34 @@ def _rank(records: DataFrame, group: Sequence[str], order: Sequence[str], name:
 
 
 def _starts(
-    in_blocks: DataFrame, hot_keys: DataFrame, before: DataFrame | None, key: str
+    ranked: DataFrame, group: list[str], order: Sequence[str], name: str, before: DataFrame | None
 ) -> DataFrame:
-    """How many records of a key come before each of its blocks."""
-    in_blocks = in_blocks.withColumn("_is_block", F.lit(True))
+    """How many records of a key come before each of its blocks.
+
+    The ranks are partitioned by key and block already, so only one row of each goes on.
+    """
+    key, block = group
+    counts = F.max(name).alias("_count")
+    others = [own for own in ranked.columns if own not in (*group, *order, name)]
+    if others:
+        # All columns are looked at, or what is read here would be another shuffle than
+        # that of the records, without these columns.
+        ends = ranked.groupBy(*group).agg(counts, F.max(F.xxhash64(*others)).alias("_seen"))
+        ends = ends.where(F.col("_seen").isNotNull())
+    else:
+        ends = ranked.groupBy(*group).agg(counts)
+    ends = ends.select(*group, "_count")
     if before is not None:
-        earlier = before.select(F.col("key").alias(key), F.col("count").alias("_count"))
-        in_blocks = in_blocks.unionByName(
-            earlier.join(hot_keys, key, "left_semi").withColumns(
-                {BLOCK: F.lit(-1).cast("bigint"), "_is_block": F.lit(False)}
-            )
+        earlier = before.select(
+            F.col("key").alias(key), F.lit(-1).cast("bigint").alias(block),
+            F.col("count").alias("_count"),
         )
-    up_to = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        in_blocks.withColumn("_start", F.coalesce(F.sum("_count").over(up_to), F.lit(0)))
-        .where("_is_block")
-        .select(key, BLOCK, "_start")
-    )
-    if before is None:
-        return starts
-    one_block = earlier.join(hot_keys, key, "left_anti")
-    return starts.unionByName(
-        one_block.select(key, F.lit(0).cast("bigint").alias(BLOCK), F.col("_count").alias("_start"))
+        ends = ends.unionByName(earlier)
+    up_to = Window.partitionBy(key).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ends.withColumn("_start", F.sum("_count").over(up_to))
+        .where(F.col("_start").isNotNull() & (F.col(block) >= 0))
+        .select(*group, "_start")
     )
 
 
@@ -151,11 +130,7 @@ def _add_starts(
 
 
 def in_order_blocks(
-    records: DataFrame,
-    order_by: Sequence[str],
-    total: int,
-    rows_per_block: int,
-    cuts_per_level: int = CUTS_PER_LEVEL,
+    records: DataFrame, order_by: Sequence[str], total: int, rows_per_block: int
 ) -> DataFrame:
     """Add the number of the block that each record is in, by the order of ``order_by``.
 
@@ -163,14 +138,9 @@ def in_order_blocks(
     between blocks come from a sample of the ordering columns. They shape the balance
     only: each record falls in exactly one block whatever the cuts are. In the plan they
     are constants, so a task that runs again puts its records into the same blocks.
-
-    Where one list of cuts would be too long, every block of a first level is cut
-    again by a list of its own, which is joined to its records.
     """
-    blocks = max(1, math.ceil(total / rows_per_block))
-    outer = min(blocks, cuts_per_level)
-    inner = math.ceil(blocks / outer)
-    points = _sampled_cuts(records, order_by, outer) if outer > 1 else []
+    blocks = max(1, min(MOST_BLOCKS, math.ceil(total / rows_per_block)))
+    points = _sampled_cuts(records, order_by, blocks) if blocks > 1 else []
     point = F.struct(*order_by)
     kind = records.select(point.alias("point")).schema["point"].dataType
     if not points:
@@ -181,31 +151,8 @@ def in_order_blocks(
     )
     if len(order_by) == 1:
         cuts, point = cuts[order_by[0]], F.col(order_by[0])
-    first = _count_not_after(cuts, F.lit(len(points)), len(points), point)
-    placed = records.withColumn(BLOCK, first.cast("bigint"))
-    if inner == 1:
-        return placed
-    fraction = _fraction(records, outer * inner)
-    lists = (
-        placed.select(BLOCK, point.alias("point"))
-        .sample(fraction, seed=2)
-        .groupBy(BLOCK)
-        .agg(F.sort_array(F.collect_list("point")).alias("sampled"))
-        .select(
-            BLOCK,
-            F.filter(
-                "sampled",
-                lambda x, n: (n > 0) & (n % F.greatest(
-                    F.ceil(F.size("sampled") / inner), F.lit(1)) == 0),
-            ).alias("_cuts"),
-        )
-    )
-    within = _count_not_after(F.col("_cuts"), F.size("_cuts"), inner, point)
-    return (
-        placed.join(lists, BLOCK, "left")
-        .withColumn(BLOCK, F.col(BLOCK) * inner + F.coalesce(within, F.lit(0)))
-        .select(*records.columns, BLOCK)
-    )
+    place = _count_not_after(cuts, F.lit(len(points)), len(points), point)
+    return records.withColumn(BLOCK, place.cast("bigint"))
 
 
 def _fraction(records: DataFrame, blocks: int) -> float:

@@ -322,9 +322,9 @@ def running_word_count(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("running_count_blocks", _WORD_CHANGELOG)
 def running_word_count_in_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """Hot keys and blocks far smaller than usual, as a large input would have many."""
+    """Blocks smaller than usual, as a large input would have many."""
     lines = _documents(spark, folder)
-    return _changelog(word_changelog(lines, rows_per_block=50, hot_rows=100))
+    return _changelog(word_changelog(lines, rows_per_block=100_000, hot_rows=100))
 
 
 _EVENT_CHANGELOG = """

@@ -49,8 +49,9 @@ def word_changelog(
         order_by,
         split=keyed_words,
         split_order=["pos"],
-        # Each word but the first has a character before it.
-        most_per_row=F.char_length("value").cast("bigint") + 1,
+        # Between two words there is a character, and each but the first has one or more; the
+        # first may be empty.
+        most_per_row=F.floor(F.char_length("value") / 2) + 1,
         rows_per_block=rows_per_block,
         hot_rows=hot_rows,
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keybrook.operators.changelog import HOT_ROWS, ROWS_PER_BLOCK, running_count
@@ -41,16 +41,17 @@ def start_running_count(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = spread_over_cores(batch).persist()
-        # Counted once: for the hot keys, for what came before, and for what comes after.
+        # Counted once: for what came before, and for what comes after.
         counts = count_by_key(split(batch) if split else batch).persist()
         try:
+            total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
             log = running_count(
                 batch,
                 order_by,
                 split=split,
                 split_order=split_order,
                 before=counts_before(spark, totals, batch_id, counts),
-                counts=counts,
+                total=total,
                 rows_per_block=rows_per_block,
                 hot_rows=hot_rows,
             )

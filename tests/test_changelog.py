@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keybrook.operators.changelog import in_order_blocks, running_count
-from keybrook.plans.word_count import word_changelog, word_counts
+from keybrook.plans.word_count import keyed_words, word_changelog, word_counts
 
 LINE = "Fir Oak Elm Fir Fir Fir Fir Fir Oak Oak Oak"
 
@@ -63,10 +63,9 @@ def test_order_of_several_columns_where_the_first_hardly_varies(spark):
     assert found == by_hand(records)
 
 
-@pytest.mark.parametrize("cuts_per_level", [100, 4])
-def test_blocks_follow_the_order(spark, cuts_per_level):
+def test_blocks_follow_the_order(spark):
     frame = spark.range(1000).select(F.pmod(F.col("id") * 7919, F.lit(1000)).alias("at"))
-    blocked = in_order_blocks(frame, ["at"], 1000, 100, cuts_per_level)
+    blocked = in_order_blocks(frame, ["at"], 1000, 100)
     spans = (
         blocked.groupBy("order_block")
         .agg(F.min("at").alias("low"), F.max("at").alias("high"))
@@ -128,10 +127,29 @@ def test_few_long_lines_are_cut_by_their_words(spark, plan_of):
     assert blocks.select("order_block").distinct().count() == 8
 
 
-def test_counts_of_the_caller_are_used(spark):
+def test_the_records_are_read_and_shuffled_once(spark, tmp_path, plan_of):
+    """With and without columns that the count does not need."""
+    path = str(tmp_path / "lines")
+    lines = [(n, "a b hot " * 20, n % 3, "x") for n in range(200)]
+    spark.createDataFrame(lines, "offset bigint, value string, partition int, more string").write.parquet(path)
+    stored = spark.read.parquet(path)
+    for columns in (["offset"], ["offset", "more"]):
+        log = running_count(
+            stored.select("value", *columns), ["offset"],
+            split=keyed_words, split_order=["pos"], total=12_000,
+            rows_per_block=1000, hot_rows=100,
+        )
+        assert log.count() == 12_000
+        log.collect()
+        plan = plan_of(log)
+        final = plan[: plan.index("== Initial Plan ==")]
+        assert final.count("FileScan") == 1 and "ReusedExchange" in final
+        assert final.count("Generate posexplode") == 1
+
+
+def test_a_total_of_the_caller_is_used(spark):
     frame = spark.createDataFrame([(n, "k") for n in range(50)], "offset bigint, key string")
-    counts = spark.createDataFrame([("k", 50)], "key string, count bigint")
-    log = running_count(frame, ["offset"], counts=counts, rows_per_block=10, hot_rows=20)
+    log = running_count(frame, ["offset"], total=50, rows_per_block=10, hot_rows=20)
     assert sorted(row["count"] for row in log.collect()) == list(range(1, 51))
 
 
