@@ -33,7 +33,7 @@ from keybrook.streaming.sinks import (
     to_kafka_topic,
     to_topic_folder,
 )
-from keybrook.streaming.tables import maintain, present_rows
+from keybrook.streaming.tables import KeptTable, maintain
 
 # Key and value codecs of the topics.
 CODECS: dict[str, tuple[Codec, Codec]] = {
@@ -98,7 +98,7 @@ def table(spark: SparkSession, given: argparse.Namespace, topic: str, name: str)
     if given.once:
         query.awaitTermination()
     value = CODECS[topic][1].simpleString()
-    return lambda: present_rows(spark, checkpoint, "bigint", value)
+    return KeptTable.maintained(spark, checkpoint, "bigint", value).present
 
 
 def sink(given: argparse.Namespace, topic: str, application: str) -> Sink:

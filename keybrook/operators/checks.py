@@ -13,28 +13,36 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from keybrook.schemas import SYMBOLS
 
 
-def missing_fields(contract: T.StructType) -> Column:
+def missing_fields(contract: T.StructType, inside: str = "") -> Column:
     """The names of required fields that are null, as an array.
 
     Fields of a nested record have dotted names. A nested record that is itself
-    missing is named once, without its fields.
+    missing is named once, without its fields. ``inside`` names the column that holds the
+    record, where its fields are no columns.
     """
     return _names(
         (name, parent_present & value.isNull())
-        for name, value, field, parent_present in _fields(contract)
+        for name, value, field, parent_present in _fields(contract, inside)
         if not field.nullable
     )
 
 
-def unknown_symbols(contract: T.StructType) -> Column:
+def unknown_symbols(contract: T.StructType, inside: str = "") -> Column:
     """The names of enumeration fields that hold a value outside their symbols."""
     return _names(
         (name, value.isNotNull() & ~value.isin(field.metadata[SYMBOLS]))
-        for name, value, field, _ in _fields(contract)
+        for name, value, field, _ in _fields(contract, inside)
         if SYMBOLS in field.metadata
     )
 
 
+def keeps_contract(contract: T.StructType, inside: str = "") -> Column:
+    """Whether a record breaks nothing of its contract."""
+    return (F.size(missing_fields(contract, inside)) == 0) & (
+        F.size(unknown_symbols(contract, inside)) == 0
+    )
+
+
 def check_records(records: DataFrame, contract: T.StructType) -> DataFrame:
     """Add the columns ``missing``, ``unknown`` and ``accepted``, in one pass."""
     return (
@@ -62,12 +70,12 @@ def _names(broken: Iterator[tuple[str, Column]]) -> Column:
 
 
 def _fields(
-    contract: T.StructType, parent: str = "", present: Column | None = None
+    contract: T.StructType, inside: str, parent: str = "", present: Column | None = None
 ) -> Iterator[tuple[str, Column, T.StructField, Column]]:
     present = F.lit(True) if present is None else present
     for field in contract:
         name = parent + field.name
-        value = F.col(name)
+        value = F.col(f"{inside}.{name}" if inside else name)
         yield name, value, field, present
         if isinstance(field.dataType, T.StructType):
-            yield from _fields(field.dataType, f"{name}.", present & value.isNotNull())
+            yield from _fields(field.dataType, inside, f"{name}.", present & value.isNotNull())

@@ -34,6 +34,17 @@ _SALT, _TABLE_SALT = "_salt", "_table_salt"
 FILE_MULTIPLE = 256
 
 
+@dataclass(frozen=True)
+class StoredTable:
+    """A table that lies in a folder, and the size of its rows in bytes.
+
+    A join takes it as it is: it is neither computed nor measured again.
+    """
+
+    rows: DataFrame
+    size: int
+
+
 @dataclass(frozen=True)
 class Distribution:
     """How a table meets the stream."""
@@ -45,7 +56,7 @@ class Distribution:
 
 def choose_distributions(
     stream: DataFrame,
-    lookups: Sequence[tuple[DataFrame, SelectKey]],
+    lookups: Sequence[tuple[DataFrame | StoredTable, SelectKey]],
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> list[Distribution]:
     """Decide for several tables at once, from their sizes.
@@ -56,16 +67,21 @@ def choose_distributions(
     ``select_key`` here takes its key from a record of ``stream`` itself.
     """
     tables = [table for table, _ in lookups]
+    known = {
+        index: table.size for index, table in enumerate(tables) if isinstance(table, StoredTable)
+    }
+    tables = [table.rows if index in known else table for index, table in enumerate(tables)]
     unsure = [
         index for index, table in enumerate(tables)
-        if not surely_below(table, max_broadcast_bytes)
+        if index not in known and not surely_below(table, max_broadcast_bytes)
     ]
     # With no limit at all there is nothing to measure.
     if max_broadcast_bytes > 0 and unsure:
         for index in unsure:
-            tables[index] = _stored(tables[index])
+            tables[index] = _written(tables[index], work_folder(stream.sparkSession, "lookup-table"))
         sizes = measured_bytes([tables[index] for index in unsure])
         unsure = [n for n, size in zip(unsure, sizes) if size > max_broadcast_bytes]
+    unsure += [index for index, size in known.items() if size > max_broadcast_bytes]
     keys = {
         f"{_LOOKUP_KEY}{index}": lookups[index][1](F.col("key"), F.col("value"))
         for index in unsure
@@ -110,16 +126,20 @@ def _has_other_sources(table: DataFrame) -> bool:
     )
 
 
-def _stored(table: DataFrame) -> DataFrame:
-    spark = table.sparkSession
-    path = work_folder(spark, "lookup-table")
+def _written(table: DataFrame, path: str) -> DataFrame:
     table.write.parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def stored_and_measured(table: DataFrame, path: str) -> StoredTable:
+    """Compute a table into a new folder, for the joins of many streams or micro-batches."""
+    rows = _written(table, path)
+    return StoredTable(rows, measured_bytes([rows])[0])
 
 
 def lookup_join(
     stream: DataFrame,
-    table: DataFrame,
+    table: DataFrame | StoredTable,
     select_key: SelectKey,
     join_values: Callable[[Column, Column], Column],
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
@@ -135,7 +155,7 @@ def lookup_join(
 
 def star_join(
     stream: DataFrame,
-    lookups: Sequence[tuple[DataFrame, SelectKey]],
+    lookups: Sequence[tuple[DataFrame | StoredTable, SelectKey]],
     join_values: Callable[..., Column],
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:

@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from keybrook.operators.joins import MAX_BROADCAST_BYTES, star_join
+from keybrook.operators.joins import MAX_BROADCAST_BYTES, StoredTable, star_join
 from keybrook.schemas import ENRICHED_ORDER
 from keybrook.streaming.sinks import Sink, read_batches, write_each_batch
 
 
 def enrich_orders(
     orders: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
+    customers: DataFrame | StoredTable,
+    products: DataFrame | StoredTable,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Key of the order; value of (product, customer, order).
@@ -50,8 +50,8 @@ def flatten(enriched: DataFrame) -> DataFrame:
 
 def start_enriched_orders(
     orders: DataFrame,
-    customers: Callable[[], DataFrame],
-    products: Callable[[], DataFrame],
+    customers: Callable[[], DataFrame | StoredTable],
+    products: Callable[[], DataFrame | StoredTable],
     sink: Sink,
     checkpoint: str,
     name: str = "enriched-orders",
@@ -63,11 +63,22 @@ def start_enriched_orders(
     A static frame would keep the list of files it had at the start, so the
     tables are given as functions and read once per micro-batch. A later change
     of a table does not emit earlier orders again. For a table with a history of
-    upserts give ``present_rows`` of what ``maintain`` keeps.
+    upserts give ``KeptTable.maintained(...).present`` of what ``maintain`` keeps: it is read once
+    for each of its versions, however many micro-batches meet it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(enrich_orders(batch, customers(), products(), max_broadcast_bytes), batch_id)
+        tables = customers(), products()
+        large = any(
+            isinstance(table, StoredTable) and table.size > max_broadcast_bytes for table in tables
+        )
+        # For large tables the orders are read twice: for hot keys, and to be joined.
+        kept = batch.persist() if large else batch
+        try:
+            sink(enrich_orders(kept, *tables, max_broadcast_bytes), batch_id)
+        finally:
+            if large:
+                kept.unpersist()
 
     return write_each_batch(orders, write, name, checkpoint, once)
 

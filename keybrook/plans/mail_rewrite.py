@@ -54,8 +54,9 @@ def start_mail_rewrite(
     once: bool = False,
     search: str = SEARCH,
     replacement: str = REPLACEMENT,
+    replace_earlier_runs: bool = False,
 ) -> StreamingQuery:
     """Write both topics below ``root``, in one query and one pass."""
     return append_to_topics(
-        both_topics(mail, search, replacement), root, name, checkpoint, once
+        both_topics(mail, search, replacement), root, name, checkpoint, once, replace_earlier_runs
     )

@@ -15,7 +15,7 @@ from keybrook.functions.codecs import decode_long, decode_string, encode_string
 from keybrook.functions.text import words
 from keybrook.operators.changelog import running_count
 from keybrook.operators.checks import accepted, check_records, rejected
-from keybrook.operators.joins import unmatched
+from keybrook.operators.joins import StoredTable, unmatched
 from keybrook.operators.records import (
     complete_records,
     flat_map_values,
@@ -69,16 +69,18 @@ from keybrook.sources.topics import (
     drain,
     from_envelope,
     read_topic,
+    rejected_record,
     split_malformed,
     stream_records,
     stream_topic,
+    to_checked_envelope,
     to_envelope,
     write_records,
     write_topic,
 )
 from keybrook.streaming.changelog import read_changelog, start_running_count
 from keybrook.streaming.sinks import to_folders, to_topic_folder
-from keybrook.streaming.tables import maintain, present_rows
+from keybrook.streaming.tables import KeptTable, maintain, present_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -637,6 +639,38 @@ def rejected_side(spark: SparkSession, folder: str) -> DataFrame:
     return rejected(_orders(spark, folder), _CHECKED_ORDER).select("order_id")
 
 
+@query("checked_topic", f"""
+    SELECT CASE WHEN coalesce({_ACCEPTED}, false) THEN 'orders' ELSE 'rejected' END AS topic,
+           o_orderkey AS order_id,
+           CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderstatus END AS status,
+           CASE WHEN coalesce({_ACCEPTED}, false) THEN ''
+                ELSE concat_ws(',', CASE WHEN o_orderpriority = '1-URGENT' THEN 'status' END,
+                  CASE WHEN o_totalprice < 100000 THEN 'price' END) END AS missing,
+           CASE WHEN o_orderpriority <> '1-URGENT' AND o_orderstatus NOT IN ('F', 'O')
+                THEN 'status' ELSE '' END AS unknown
+    FROM orders
+""")
+def checked_topic(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written in one pass, those that break their contract to a topic of their own."""
+    root = work_folder(spark, "topics")
+    orders = _orders(spark, folder)
+    records = orders.select(
+        F.col("order_id").alias("key"), F.struct(*orders.columns).alias("value")
+    )
+    write_topic(to_checked_envelope(records, "orders", "rejected", "long", _CHECKED_ORDER), root)
+    good = from_envelope(read_topic(spark, root, "orders"), "long", _CHECKED_ORDER)
+    bad = from_envelope(read_topic(spark, root, "rejected"), "long", rejected_record(_CHECKED_ORDER))
+    return good.select(
+        F.lit("orders").alias("topic"), F.col("value.order_id").alias("order_id"),
+        F.col("value.status").alias("status"), F.lit("").alias("missing"), F.lit("").alias("unknown"),
+    ).unionByName(bad.select(
+        F.lit("rejected").alias("topic"), F.col("key").alias("order_id"),
+        F.col("value.value.status").alias("status"),
+        F.array_join("value.missing", ",").alias("missing"),
+        F.array_join("value.unknown", ",").alias("unknown"),
+    ))
+
+
 # ---- lines of text files ----
 
 _LINES = """
@@ -761,7 +795,7 @@ def stream_latest_per_user(spark: SparkSession, folder: str) -> DataFrame:
 
 def _maintained(
     spark: SparkSession, work: str, name: str, upserts: DataFrame
-) -> Callable[[], DataFrame]:
+) -> Callable[[], StoredTable]:
     """A table that follows a folder of upserts, as it is when asked for."""
     value = upserts.schema["value"].dataType.simpleString()
     write_records(upserts, f"{work}/in", name)
@@ -769,7 +803,7 @@ def _maintained(
         spark, f"{work}/in", name, f"key bigint, value {value}, offset bigint"
     )
     maintain(stream, name, f"{work}/{name}", once=True).awaitTermination()
-    return lambda: present_rows(spark, f"{work}/{name}", "bigint", value)
+    return KeptTable.maintained(spark, f"{work}/{name}", "bigint", value).present
 
 
 @query("stream_enriched", _ENRICHED)

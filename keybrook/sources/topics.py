@@ -25,13 +25,14 @@ from keybrook.functions.codecs import (
     encode,
     is_malformed,
 )
+from keybrook.operators.checks import keeps_contract, missing_fields, unknown_symbols
 from keybrook.schemas import ENVELOPE
 from keybrook.sources.offsets import Ledger
 
 
 def to_envelope(
     records: DataFrame,
-    topic: str,
+    topic: str | Column,
     key_codec: Codec,
     value_codec: Codec,
     partition: Column | int | None = None,
@@ -51,22 +52,82 @@ def to_envelope(
     return records.select(
         encode(F.col("key"), key_codec).alias("key"),
         encode(F.col("value"), value_codec).alias("value"),
-        F.lit(topic).alias("topic"),
+        (F.lit(topic) if isinstance(topic, str) else topic).alias("topic"),
         partition.cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"),
         written_at.alias("timestamp"),
     )
 
 
+def rejected_record(contract: T.StructType) -> T.StructType:
+    """What ``to_checked_envelope`` writes of a record that it rejects."""
+    names = T.ArrayType(T.StringType())
+    return T.StructType([
+        T.StructField("value", contract),
+        T.StructField("missing", names),
+        T.StructField("unknown", names),
+    ])
+
+
+def to_checked_envelope(
+    records: DataFrame,
+    topic: str,
+    rejected_topic: str,
+    key_codec: Codec,
+    contract: T.StructType,
+    partition: Column | int | None = None,
+) -> DataFrame:
+    """Envelope of records that keep their contract, and of the others for a topic of their own.
+
+    The check and the split are part of the pass that writes, in a batch or a stream.
+    A rejected record travels with the names of the fields it lacks and of those
+    that hold an unknown symbol (``rejected_record``). A null value is a delete, and kept.
+    """
+    value = F.col("value")
+    kept = value.isNull() | keeps_contract(contract, "value")
+    refused = F.to_json(
+        F.struct(
+            value.alias("value"),
+            missing_fields(contract, "value").alias("missing"),
+            unknown_symbols(contract, "value").alias("unknown"),
+        )
+    ).cast("binary")
+    data = records.select(
+        *[name for name in records.columns if name != "value"],
+        F.when(kept, encode(value, contract)).otherwise(refused).alias("value"),
+        F.when(kept, F.lit(topic)).otherwise(F.lit(rejected_topic)).alias(_TOPIC),
+    )
+    return to_envelope(data, F.col(_TOPIC), key_codec, "bytes", partition)
+
+
+_TOPIC = "_topic"
+
+
 def split_malformed(
-    envelope: DataFrame, key_codec: Codec, value_codec: Codec
+    envelope: DataFrame, key_codec: Codec, value_codec: Codec, complete: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Typed records, and the rows of the envelope whose key or value cannot be decoded.
 
     ``from_envelope`` fails on the latter; a program that must go on writes them to a
-    topic of their own.
+    topic of their own. With ``complete``, records that lack a required field or hold an
+    unknown symbol are among the latter too, though they can be decoded.
     """
     bad = is_malformed(F.col("key"), key_codec) | is_malformed(F.col("value"), value_codec)
+    if complete and isinstance(value_codec, T.StructType):
+        decoded = envelope.withColumn(_TYPED, decode_or_null(F.col("value"), value_codec))
+        broken = F.col(_TYPED).isNotNull() & ~keeps_contract(value_codec, _TYPED)
+        flagged = decoded.withColumn(_BAD, bad | broken).drop(_TYPED)
+        good, rest = _split(flagged, F.col(_BAD), key_codec, value_codec)
+        return good, rest.drop(_BAD)
+    return _split(envelope, bad, key_codec, value_codec)
+
+
+_TYPED, _BAD = "_typed", "_bad"
+
+
+def _split(
+    envelope: DataFrame, bad: Column, key_codec: Codec, value_codec: Codec
+) -> tuple[DataFrame, DataFrame]:
     good = envelope.where(~bad).select(
         decode_or_null(F.col("key"), key_codec).alias("key"),
         decode_or_null(F.col("value"), value_codec).alias("value"),

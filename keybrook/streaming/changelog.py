@@ -11,7 +11,7 @@ from keybrook.operators.changelog import HOT_ROWS, ROWS_PER_BLOCK, running_count
 from keybrook.operators.tables import count_by_key
 from keybrook.sources.lines import spread_over_cores
 from keybrook.streaming.sinks import Sink, read_batches, to_folders, write_each_batch
-from keybrook.streaming.tables import counts_before, write_counts
+from keybrook.streaming.tables import totals_after
 
 
 def start_running_count(
@@ -31,9 +31,9 @@ def start_running_count(
 
     Inside a micro-batch this is ``running_count``, which spreads a hot key over
     many tasks; a stateful processor would get all records of a key in one. The
-    counts of earlier batches are kept below ``root``, of which a batch merges those of its
-    own keys, and so is the output unless a ``sink`` is given. ``order_by`` orders the records of a
-    micro-batch; batches follow each other.
+    totals are Spark's own state below ``root``, which gets one row per key of a batch and gives
+    out its new total; so is the output unless a ``sink`` is given. ``order_by`` orders the records
+    of a micro-batch; batches follow each other.
     """
     spark = records.sparkSession
     sink = sink or to_folders(f"{root}/changelog")
@@ -45,18 +45,21 @@ def start_running_count(
         counts = count_by_key(split(batch) if split else batch).persist()
         try:
             total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+            after = totals_after(spark, totals, batch_id, counts, name)
+            before = after.join(counts.withColumnRenamed("count", "_own"), "key").select(
+                "key", (F.col("count") - F.col("_own")).alias("count")
+            )
             log = running_count(
                 batch,
                 order_by,
                 split=split,
                 split_order=split_order,
-                before=counts_before(spark, totals, batch_id, counts),
+                before=before,
                 total=total,
                 rows_per_block=rows_per_block,
                 hot_rows=hot_rows,
             )
             sink(log, batch_id)
-            write_counts(spark, totals, batch_id, counts)
         finally:
             counts.unpersist()
             batch.unpersist()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,8 +40,20 @@ from keybrook.sources.topics import (
     write_topic,
 )
 from keybrook.streaming.changelog import read_changelog, start_running_count
-from keybrook.streaming.sinks import read_batches, show_records, to_folders, to_topic_folder
-from keybrook.streaming.tables import counts_before, maintain, present_rows, write_counts
+from keybrook.streaming.sinks import (
+    append_to_topics,
+    read_batches,
+    show_records,
+    to_folders,
+    to_topic_folder,
+)
+from keybrook.streaming.tables import (
+    KeptTable,
+    maintain,
+    present_rows,
+    table_version,
+    totals_after,
+)
 
 LINES = [
     "oak elm oak",
@@ -276,16 +290,87 @@ def test_a_late_older_value_does_not_undo_a_delete(spark, tmp_path):
         assert present_rows(spark, checkpoint, "bigint", "string").collect() == []
 
 
-def test_counts_of_a_batch_that_runs_again(spark, tmp_path):
-    root = str(tmp_path)
-    one = spark.createDataFrame([("a", 1), ("b", 1)], "key string, count bigint")
-    keys = one.where("key = 'a'")
-    assert counts_before(spark, root, 0, keys).collect() == []
-    for batch_id in range(66):
-        for _ in range(2 if batch_id in (31, 32, 63) else 1):
-            write_counts(spark, root, batch_id, one)
-    for batch_id in (1, 31, 32, 33, 63, 64, 65, 66):
-        assert rows(counts_before(spark, root, batch_id, keys)) == [("a", batch_id)]
+def test_totals_of_a_batch_that_runs_again(spark, tmp_path):
+    root = str(tmp_path / "totals")
+    batches = [[("a", 1), ("b", 2)], [("a", 5)], [("c", 1), ("b", 1)], [("a", 1)], []]
+    expected = [[("a", 1), ("b", 2)], [("a", 6)], [("b", 3), ("c", 1)], [("a", 7)], []]
+    for batch_id, (batch, totals) in enumerate(zip(batches, expected)):
+        counts = spark.createDataFrame(batch, "key string, count bigint")
+        for _ in range(1 + batch_id % 2):
+            assert rows(totals_after(spark, root, batch_id, counts, "totals")) == totals
+    # What is kept does not grow with the batches.
+    assert len(list((tmp_path / "totals" / "in").glob("batch_id=*"))) == 2
+    assert len(list((tmp_path / "totals" / "after").glob("batch_id=*"))) == 2
+
+
+def test_a_kept_table_is_written_once_for_each_version(spark, tmp_path):
+    schema = "key bigint, value string, offset bigint"
+    folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    kept = KeptTable.maintained(spark, checkpoint, "bigint", "string")
+    assert table_version(spark, checkpoint) == -1
+    assert rows(kept.present().rows) == []
+    readers = []
+    for number in range(5):
+        spark.createDataFrame([(number, "v", number)], schema).coalesce(1).write.parquet(
+            f"{folder}/part={number}"
+        )
+        stream = spark.readStream.schema(schema).parquet(folder)
+        maintain(stream, "kept", checkpoint, once=True).awaitTermination()
+        assert table_version(spark, checkpoint) == number
+        readers.append(kept.present())
+        # Any number of micro-batches share the copy.
+        assert all(kept.present() is readers[-1] for _ in range(10))
+        assert rows(readers[-1].rows) == [(n, "v") for n in range(number + 1)]
+        assert len(list(Path(kept.folder).iterdir())) <= 2
+    # A reader that began before the last change can finish.
+    assert readers[-2].rows.count() == 4
+
+
+@pytest.mark.parametrize("max_broadcast_bytes", [1 << 20, 0])
+def test_copies_of_tables_do_not_grow_with_batches(spark, topics, tmp_path, max_broadcast_bytes):
+    checkpoint = str(tmp_path / "customers")
+    topics("customer", [(1, ("Ann", "female", "north"), 0)], "long", CUSTOMER, CUSTOMER_ROWS)
+    topics("product", [(10, ("pen", "blue", "acme"), 0)], "long", PRODUCT, PRODUCT_ROWS)
+    upserts = from_envelope(stream_topic(spark, topics.root, "customer"), "long", CUSTOMER)
+    maintain(upserts, "customers", checkpoint, once=True).awaitTermination()
+    kept = KeptTable.maintained(spark, checkpoint, "bigint", CUSTOMER.simpleString())
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("lookup-table-*"))
+    for n in range(6):
+        topics("order", [(100 + n, (1, 10, n), n)], "long", ORDER, ORDER_ROWS)
+    orders = from_envelope(stream_topic(spark, topics.root, "order", 1), "long", ORDER)
+    products = KeptTable(spark, lambda: 0, lambda _: latest_by_key(
+        from_envelope(read_topic(spark, topics.root, "product"), "long", PRODUCT)))
+    out = str(tmp_path / "out")
+    query = start_enriched_orders(
+        orders.select("key", "value"), kept.present, products.present, to_folders(out),
+        str(tmp_path / "checkpoint"), once=True, max_broadcast_bytes=max_broadcast_bytes,
+    )
+    query.awaitTermination()
+    assert len(list(Path(out).glob("batch_id=*"))) == 6
+    assert flatten(read_batches(spark, out, ENRICHED)).count() == 6
+    assert set(shared.glob("lookup-table-*")) == before
+    assert len(list(Path(kept.folder).iterdir())) == len(list(Path(products.folder).iterdir())) == 1
+
+
+@pytest.mark.parametrize("replace, times", [(False, 2), (True, 1)])
+def test_a_new_checkpoint_is_a_new_run(spark, topics, tmp_path, replace, times):
+    for n in range(3):
+        topics("mail", [(None, f"line {n}", n)])
+    out = str(tmp_path / "out")
+    for run in ("one", "two"):
+        # Not as many batches in the second run as in the first.
+        mail = stream_topic(spark, topics.root, "mail", 1 if run == "one" else None)
+        append_to_topics(
+            mail, out, "app", str(tmp_path / run), once=True, replace_earlier_runs=replace
+        ).awaitTermination()
+        # Started again with the same checkpoint it goes on, and has nothing to do.
+        append_to_topics(
+            mail, out, "app", str(tmp_path / run), once=True, replace_earlier_runs=replace
+        ).awaitTermination()
+    stored = from_envelope(read_topic(spark, out, "mail")).collect()
+    assert sorted(row.value for row in stored) == sorted([f"line {n}" for n in range(3)] * times)
+    assert len({row.offset for row in stored}) == 3 * times
 
 
 def test_long_keys_are_counted_over_restarts(spark, tmp_path):
@@ -309,10 +394,10 @@ def test_two_applications_write_mail_and_a_lost_commit_doubles_nothing(spark, to
     topics(MAIL_TOPIC, [("k", text, n) for n, text in enumerate(MAIL)])
     out = str(tmp_path / "out")
 
-    def run(name, checkpoint):
+    def run(name, checkpoint, **options):
         mail = from_envelope(stream_topic(spark, topics.root, MAIL_TOPIC), "bytes", "string")
         start_mail_rewrite(
-            mail, out, str(tmp_path / checkpoint), name=name, once=True
+            mail, out, str(tmp_path / checkpoint), name=name, once=True, **options
         ).awaitTermination()
 
     run("a", "one")
@@ -320,8 +405,8 @@ def test_two_applications_write_mail_and_a_lost_commit_doubles_nothing(spark, to
     new = read_topic(spark, out, NEW_MAIL_TOPIC)
     assert new.count() == 2 * len(MAIL)
     assert new.select("offset").distinct().count() == 2 * len(MAIL)
-    # The same application with its checkpoint lost writes its first batch again.
-    run("a", "three")
+    # The same application with its checkpoint lost takes the place of its earlier run.
+    run("a", "three", replace_earlier_runs=True)
     assert read_topic(spark, out, NEW_MAIL_TOPIC).count() == 2 * len(MAIL)
 
 

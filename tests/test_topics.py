@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from keybrook.schemas import CUSTOMER, ENVELOPE
+from keybrook.schemas import CUSTOMER, ENVELOPE, SERVICE_ORDER
 from keybrook.sources.generators import generate_customers, generate_orders, generate_products
 from keybrook.sources.lines import read_lines, spread_over_cores
 from keybrook.sources.offsets import Ledger, StaleRunError
@@ -17,8 +17,10 @@ from keybrook.sources.topics import (
     from_envelope,
     read_kafka,
     read_topic,
+    rejected_record,
     split_malformed,
     stream_kafka,
+    to_checked_envelope,
     to_envelope,
     write_batch,
     write_topic,
@@ -171,6 +173,34 @@ def test_malformed_records_fail_or_are_set_apart(spark):
         from_envelope(envelope.where("offset = 1"), "long", CUSTOMER).collect()
 
 
+def test_records_that_break_their_contract_go_to_their_own_topic(spark, tmp_path):
+    root = str(tmp_path / "topics")
+    good = ("a", 1, "CREATED", "JUMPERS", 2, 9.5)
+    values = [good, ("b", None, "LOST", "HATS", 2, None), None, ("c", 2, "FAILED", "JUMPERS", 1, 0.0)]
+    rows = [(n, value, n) for n, value in enumerate(values)]
+    schema = f"key bigint, value {SERVICE_ORDER.simpleString()}, offset bigint"
+    records = spark.createDataFrame(rows, schema)
+    envelope = to_checked_envelope(records, "good", "bad", "long", SERVICE_ORDER)
+    write_topic(envelope, root)
+    kept = from_envelope(read_topic(spark, root, "good"), "long", SERVICE_ORDER).collect()
+    assert sorted((row.key, row.value and row.value.id) for row in kept) == [
+        (0, "a"), (2, None), (3, "c"),
+    ]
+    [refused] = from_envelope(
+        read_topic(spark, root, "bad"), "long", rejected_record(SERVICE_ORDER)
+    ).collect()
+    assert (refused.key, refused.value.value.id) == (1, "b")
+    assert refused.value.missing == ["customerId", "price"]
+    assert refused.value.unknown == ["state", "product"]
+    # What was written without a check is found when it is read.
+    write_topic(to_envelope(records, "unchecked", "long", SERVICE_ORDER), root)
+    stored = read_topic(spark, root, "unchecked")
+    fine, broken = split_malformed(stored, "long", SERVICE_ORDER, complete=True)
+    assert sorted(row.key for row in fine.collect()) == [0, 2, 3]
+    assert broken.count() == 1 and broken.columns == ENVELOPE.names
+    assert split_malformed(stored, "long", SERVICE_ORDER)[1].count() == 0
+
+
 def test_kafka_needs_its_connector(spark):
     for read in (read_kafka, stream_kafka):
         try:
