@@ -7,8 +7,11 @@ None of these operators shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
@@ -37,6 +40,40 @@ def flat_map_values(
     return records.select(*kept, F.posexplode(change(F.col("value"))).alias(position, "value"))
 
 
+def flat_map_arrays(
+    records: DataFrame,
+    change: Callable[[pa.Array], pa.Array],
+    element_type: str,
+    position: str = "pos",
+) -> DataFrame:
+    """``flat_map_values`` by a function of the user, over Arrow arrays of many values at once.
+
+    ``change`` takes the values of a batch and returns as many lists of ``element_type``; a null
+    or empty list gives no record. It is a table-valued function over the records, and the
+    way for what Columns cannot say. Columns are faster where they can.
+    """
+    kept = [field for field in records.schema if field.name != "value"]
+    columns = [f"`{field.name}` {field.dataType.simpleString()}" for field in kept]
+    names = [field.name for field in kept]
+
+    class Spread:
+        def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+            lists = change(rows.column("value"))
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            parents = np.repeat(np.arange(len(sizes)), sizes)
+            begins = np.cumsum(sizes) - sizes
+            places = np.arange(len(parents)) - np.repeat(begins, sizes)
+            yield pa.Table.from_arrays(
+                [rows.column(name).take(pa.array(parents)) for name in names]
+                + [pa.array(places.astype(np.int32)), pc.list_flatten(lists)],
+                [*names, position, "value"],
+            )
+
+    schema = ", ".join([*columns, f"`{position}` int", f"value {element_type}"])
+    spread = F.arrow_udtf(Spread, returnType=schema)
+    return spread(records.asTable())
+
+
 def rekey(records: DataFrame, select_key: Callable[[Column, Column], Column]) -> DataFrame:
     """Give each record a new key; whatever groups by it next will shuffle."""
     return records.withColumn("key", select_key(F.col("key"), F.col("value")))

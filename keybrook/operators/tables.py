@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from keybrook.session import exists, remove
 
 
 def newest_per_key(upserts: DataFrame, order: str = "offset") -> DataFrame:
@@ -51,7 +53,39 @@ def named_table(table: DataFrame, name: str) -> DataFrame:
 
 
 def stored_table(table: DataFrame, name: str, folder: str) -> DataFrame:
-    """Write a table under a shared folder, and make the copy readable by name."""
-    path = f"{folder.rstrip('/')}/{name}"
-    table.write.mode("overwrite").parquet(path)
-    return named_table(table.sparkSession.read.schema(table.schema).parquet(path), name)
+    """Write a table under a shared folder as its next version, and make that readable by name.
+
+    A reader of the version before goes on undisturbed. The versions before that one are
+    removed. Another session reads the newest by ``open_stored_table``.
+    """
+    spark = table.sparkSession
+    versions = _versions(spark, name, folder)
+    path = _version_folder(name, folder, max(versions, default=0) + 1)
+    table.write.parquet(path)
+    for old in sorted(versions)[:-1]:
+        remove(spark, _version_folder(name, folder, old))
+    return named_table(spark.read.schema(table.schema).parquet(path), name)
+
+
+def open_stored_table(spark: SparkSession, name: str, folder: str) -> DataFrame:
+    """The newest version of a stored table that was written to its end, readable by name."""
+    whole = [
+        version for version in _versions(spark, name, folder)
+        if exists(spark, f"{_version_folder(name, folder, version)}/_SUCCESS")
+    ]
+    if not whole:
+        raise ValueError(f"no table {name} in {folder}")
+    return named_table(spark.read.parquet(_version_folder(name, folder, max(whole))), name)
+
+
+def _version_folder(name: str, folder: str, version: int) -> str:
+    return f"{folder.rstrip('/')}/{name}/version={version}"
+
+
+def _versions(spark: SparkSession, name: str, folder: str) -> list[int]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return [int(one.partition("=")[2]) for one in names if one.startswith("version=")]

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from keybrook.functions.codecs import decode_long, decode_string, encode_string
-from keybrook.functions.text import words
+from keybrook.functions.text import words, words_of_batch
 from keybrook.operators.changelog import running_count
 from keybrook.operators.checks import accepted, check_records, rejected
 from keybrook.operators.joins import StoredTable, unmatched
 from keybrook.operators.records import (
     complete_records,
+    flat_map_arrays,
     flat_map_values,
     observe_skipped,
     rekey,
@@ -307,6 +308,16 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
     return split.withColumnRenamed("value", "word")
 
 
+@query("tokenize_batches",
+    "SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, word FROM "
+    f"({_words_sql('conversations', 'conv_id, turn')})"
+)
+def tokenize_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same words by a table-valued function of the user over Arrow batches."""
+    lines = _conversation_lines(spark, folder)
+    return flat_map_arrays(lines, words_of_batch, "string").withColumnRenamed("value", "word")
+
+
 @query("word_count", _word_count_sql("documents", "doc_id"))
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
     return _counts(word_counts(_documents(spark, folder)))

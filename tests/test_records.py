@@ -3,9 +3,11 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from keybrook.functions.text import words, words_of_batch
 from keybrook.operators.records import (
     complete_records,
     fan_out,
+    flat_map_arrays,
     flat_map_values,
     map_records,
     map_values,
@@ -84,3 +86,14 @@ def test_fan_out_is_one_scan(spark, plan_of, tmp_path):
     }
     plan = plan_of(both)
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_a_function_of_arrow_arrays_spreads_values(spark):
+    odd = ["a b", "", " lead", "trail! ", "...", "Größe, naïve_x é", None, "x  y"]
+    texts = spark.createDataFrame(
+        [(f"k{n}", text, n) for n, text in enumerate(odd)], "key string, value string, offset bigint"
+    ).repartition(3)
+    spread = flat_map_arrays(texts, words_of_batch, "string")
+    assert spread.columns == ["key", "offset", "pos", "value"]
+    assert rows(spread) == rows(flat_map_values(texts, words).select(*spread.columns))
+    assert flat_map_arrays(texts.limit(0), words_of_batch, "string").collect() == []

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from keybrook.operators.tables import (
     count_by_key,
     latest_by_key,
     named_table,
+    open_stored_table,
     stored_table,
 )
 from keybrook.schemas import CUSTOMER_STORE
@@ -59,6 +62,23 @@ def test_stored_table(spark, tmp_path):
     assert as_dict(spark.table("stored")) == TABLE
 
 
+def test_a_reader_of_a_stored_table_outlives_its_swap(spark, tmp_path):
+    folder = str(tmp_path)
+    with pytest.raises(ValueError, match="no table"):
+        open_stored_table(spark, "swapped", folder)
+    first = stored_table(upserts(spark, [(1, "a", 0)]), "swapped", folder)
+    second = stored_table(upserts(spark, [(1, "b", 0)]), "swapped", folder)
+    # The reader that began with the first version finishes; the name means the second.
+    assert as_dict(first) == {1: "a"}
+    assert as_dict(spark.table("swapped")) == as_dict(second) == {1: "b"}
+    for number in range(3):
+        stored_table(upserts(spark, [(1, f"c{number}", 0)]), "swapped", folder)
+    assert len(list((tmp_path / "swapped").glob("version=*"))) == 2
+    # A version that was not written to its end is not opened.
+    (tmp_path / "swapped" / "version=99").mkdir()
+    assert as_dict(open_stored_table(spark, "swapped", folder)) == {1: "c2"}
+
+
 def test_count_by_key(spark, plan_of):
     counts = count_by_key(upserts(spark, UPSERTS))
     assert {row.key: row["count"] for row in counts.collect()} == {1: 2, 2: 2, 3: 1, 4: 3}
