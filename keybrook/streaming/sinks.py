@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from keybrook.functions.codecs import Codec
-from keybrook.session import STATE_STORE_CONF, session_conf
-from keybrook.sources.topics import in_one_order, to_envelope, write_batch, write_kafka
+from keybrook.session import STATE_STORE_CONF, exists, session_conf
+from keybrook.sources.topics import drain, in_one_order, to_envelope, write_batch, write_kafka
 
 # Takes the rows of a micro-batch and its number.
 Sink = Callable[[DataFrame, int], None]
@@ -92,6 +94,47 @@ def show_records(
     return write_each_batch(records.select("key", "value"), show, name, checkpoint, once)
 
 
+def drain_stream(
+    envelope: DataFrame,
+    count: int,
+    root: str,
+    checkpoint: str,
+    name: str = "drain",
+    timeout: float | None = None,
+) -> DataFrame:
+    """Wait until a stream has brought ``count`` records, stop it, and return the first of them.
+
+    What arrives is kept below ``root``, one folder per micro-batch, until there is enough;
+    then the query ends, however much more there is. After ``timeout`` seconds it ends with what
+    has come. Started again with the same checkpoint it goes on where it stopped.
+    """
+    spark = envelope.sparkSession
+    enough = threading.Event()
+    keep = to_folders(root)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not enough.is_set():
+            keep(batch, batch_id)
+        # The numbers of rows in the files' footers.
+        if spark.read.schema(envelope.schema).parquet(root).count() >= count:
+            enough.set()
+
+    query = write_each_batch(envelope, write, name, checkpoint)
+    deadline = None if timeout is None else time.monotonic() + timeout
+    try:
+        while query.isActive and not enough.wait(0.2):
+            if deadline is not None and time.monotonic() > deadline:
+                break
+    finally:
+        query.stop()
+    failed = query.exception()
+    if failed is not None:
+        raise failed
+    if not exists(spark, root):
+        return spark.createDataFrame([], envelope.schema)
+    return drain(spark.read.schema(envelope.schema).parquet(root), count)
+
+
 def write_each_batch(
     stream: DataFrame,
     sink: Sink,

@@ -42,6 +42,7 @@ from keybrook.sources.topics import (
 from keybrook.streaming.changelog import read_changelog, start_running_count
 from keybrook.streaming.sinks import (
     append_to_topics,
+    drain_stream,
     read_batches,
     show_records,
     to_folders,
@@ -290,6 +291,23 @@ def test_a_late_older_value_does_not_undo_a_delete(spark, tmp_path):
         assert present_rows(spark, checkpoint, "bigint", "string").collect() == []
 
 
+def test_a_drained_stream_stops_when_it_has_enough(spark, topics, tmp_path, monkeypatch):
+    monkeypatch.setattr("keybrook.streaming.sinks.COMMIT_INTERVAL", "0 seconds")
+    for n in range(8):
+        topics("drained", [("k", f"v{5 * n + i}", 5 * n + i) for i in range(5)])
+    stream = stream_topic(spark, topics.root, "drained", 1)
+    kept, checkpoint = str(tmp_path / "kept"), str(tmp_path / "checkpoint")
+    first = drain_stream(stream, 12, kept, checkpoint, timeout=120)
+    assert [row.value for row in from_envelope(first).collect()] == [f"v{n}" for n in range(12)]
+    # Three batches hold twelve records; the others were not kept.
+    assert len(list(Path(kept).glob("batch_id=*"))) == 3
+    short = drain_stream(
+        stream_topic(spark, topics.root, "drained"), 100, str(tmp_path / "all"),
+        str(tmp_path / "other"), timeout=8,
+    )
+    assert short.count() == 40
+
+
 def test_totals_of_a_batch_that_runs_again(spark, tmp_path):
     root = str(tmp_path / "totals")
     batches = [[("a", 1), ("b", 2)], [("a", 5)], [("c", 1), ("b", 1)], [("a", 1)], []]
