@@ -21,16 +21,25 @@ def stream_lines(
 
 
 def spread_over_cores(lines: DataFrame) -> DataFrame:
-    """Spread an input of a few files over all cores, before costly work on its text.
+    """Spread an input of a few splits over all cores, before costly work on its text.
 
-    A file is one split per ``spark.sql.files.maxPartitionBytes``, and often one row
-    group. Only inputs whose files are fewer than half of the cores are moved, so all
-    large ones stay as they are. The files are listed, nothing is run.
+    A file has a split for each ``spark.sql.files.maxPartitionBytes`` of it. Only inputs with
+    fewer splits than half of the cores are moved, so all large ones stay as they are,
+    in however few files. Files are looked at until they have enough splits; nothing is run.
     """
     spark = lines.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if len(lines.inputFiles()) * 2 > cores:
-        return lines
+    jvm = spark._jvm
+    most = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    splits = 0
+    for file in lines.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(file)
+        size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+        splits += -(-size // most)
+        if splits * 2 > cores:
+            return lines
     return lines.repartition(cores)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keybrook.functions.seeded import seeded_below, seeded_choice, seeded_long, seeded_text
+from seeded import seeded_below, seeded_choice, seeded_long, seeded_text
 from keybrook.schemas import GENDERS
 
 

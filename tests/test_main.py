@@ -17,7 +17,7 @@ from keybrook.schemas import (
     PRODUCT_TOPIC,
     WORD_COUNTS_TOPIC,
 )
-from keybrook.sources.generators import generate_customers, generate_orders, generate_products
+from generators import generate_customers, generate_orders, generate_products
 from keybrook.sources.topics import from_envelope, read_topic, to_envelope, write_topic
 
 LINE = "Fir Oak Elm Fir Fir Fir Fir Fir Oak Oak Oak"

@@ -7,7 +7,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from keybrook.schemas import CUSTOMER, ENVELOPE, SERVICE_ORDER
-from keybrook.sources.generators import generate_customers, generate_orders, generate_products
+from generators import generate_customers, generate_orders, generate_products
+from keybrook.session import session_conf
 from keybrook.sources.lines import read_lines, spread_over_cores
 from keybrook.sources.offsets import Ledger, StaleRunError
 from keybrook.sources.topics import (
@@ -67,6 +68,10 @@ def test_spread_only_where_files_are_few(spark, tmp_path):
     assert spread_over_cores(few).rdd.getNumPartitions() == 4
     many = spark.read.parquet(str(tmp_path / "6"))
     assert spread_over_cores(many) is many
+    # One large file has many splits.
+    size = max(path.stat().st_size for path in (tmp_path / "1").glob("*.parquet"))
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": str(size // 4)}):
+        assert spread_over_cores(few) is few
 
 
 def test_offsets_go_on_over_writes(spark, tmp_path):
