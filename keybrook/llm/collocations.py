@@ -10,7 +10,7 @@ prefixes bound what can grow from them:
 
 All prefixes of one word have the same bound, and those of enough occurrences are grown
 first, together. From then on the frontier of each language is opened from the highest
-bound down, twice as many prefixes at first as the result has rows, then four times as
+bound down, four times as many prefixes at first as the result has rows, then four times as
 many, and so on. Only phrases with an opened prefix are counted, and those that hold a pair whose
 score is above the level reached, since these decide whether that pair is dropped. A level
 is settled when all that can score so much is counted; a language is done when enough
@@ -19,9 +19,11 @@ survivors lie at or above its level. Languages that are not done go on alone.
 
 from __future__ import annotations
 
-from collections import Counter
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from keybrook.llm.common import look_up, written
@@ -38,8 +40,12 @@ PIECE_END = b".,;:!?\n\x0b\x0c\r"
 _COUNT = "decimal(15,0)"
 # Stands for the end of a piece; no word holds it.
 _END = b"."
-_TO_END = bytes.maketrans(PIECE_END, b"." * len(PIECE_END))
-_PART_BYTES = 2 << 20
+_TO_END = bytes.maketrans(PIECE_END, _END * len(PIECE_END))
+# So many words, or pairs, are sent to all tasks; the rows are counted first. More are
+# not, and what they would leave out is dropped after it is counted.
+MOST_KNOWN = 500_000
+_SPACE = pa.scalar(b" ", pa.large_binary())
+_PART_BYTES = 8 << 20
 
 
 def texts_of(documents: DataFrame) -> DataFrame:
@@ -50,11 +56,26 @@ def texts_of(documents: DataFrame) -> DataFrame:
     )
 
 
-def phrase_counts(texts: DataFrame, length: int) -> DataFrame:
+@dataclass(frozen=True)
+class Known:
+    """What is known of one language where its texts are read, to count no more than is needed.
+
+    Phrases hold only these ``words``, if any are given. Phrases of three words begin with one of
+    the pairs ``begins``, or end with one of the pairs ``ends``: two arrays of words each.
+    """
+
+    words: pa.Array | None = None
+    begins: tuple[pa.Array, pa.Array] | None = None
+    ends: tuple[pa.Array, pa.Array] | None = None
+
+
+def phrase_counts(
+    texts: DataFrame, length: int, known: dict[str, Known] | None = None
+) -> DataFrame:
     """``lang``, ``phrase`` and ``count`` of phrases of ``length`` words, summed over some texts each.
 
-    A worker counts the texts of a few MiB at a time, so it never holds more phrases than
-    these have.
+    A worker counts the texts of a few MiB at a time, as arrays of word numbers, so it never
+    holds more phrases than these have. ``known`` limits what is counted, by language.
     """
 
     def count(batches):
@@ -62,29 +83,83 @@ def phrase_counts(texts: DataFrame, length: int) -> DataFrame:
             of_lang: dict[str, list[bytes]] = {}
             for lang, text in zip(*[batch.column(n).to_pylist() for n in ("lang", "text")]):
                 of_lang.setdefault(lang, []).append(text)
-            for lang, texts in of_lang.items():
-                yield _counted(lang, texts, length)
-
-    return texts.select("lang", "text").mapInArrow(count, "lang string, phrase binary, count bigint").withColumn(
-        "phrase", F.col("phrase").cast("string")
-    )
-
-
-def _counted(lang: str, texts: list[bytes], length: int) -> pa.RecordBatch:
-    marked = _END.join(texts).lower().translate(_TO_END).replace(_END, b" . ")
-    words = marked.split()
-    counts = Counter(zip(*[words[at:] for at in range(length)]))
-    found = {phrase: n for phrase, n in counts.items() if _END not in phrase}
+            for lang, own in of_lang.items():
+                if known is None or lang in known:
+                    yield _counted(lang, own, length, known[lang] if known else Known())
+
+    return texts.select("lang", "text").mapInArrow(
+        count, "lang string, phrase binary, count bigint"
+    ).withColumn("phrase", F.col("phrase").cast("string"))
+
+
+def _counted(lang: str, texts: list[bytes], length: int, known: Known) -> pa.RecordBatch:
+    ids, words = _numbered(_END.join(texts), known.words)
+    size = len(words)
+    inside = ids >= 0
+    places = np.flatnonzero(inside)
+    for step in range(1, length):
+        places = places[places + step < len(ids)]
+        places = places[inside[places + step]]
+    if known.begins is not None:
+        first = _is_one_of(known.begins, words, ids[places] * size + ids[places + 1])
+        last = _is_one_of(known.ends, words, ids[places + 1] * size + ids[places + 2])
+        places = places[first | last]
+    # Of each place the number of its phrase, made of that of its prefix and its next word.
+    numbers, phrases = ids[places], words
+    for step in range(1, length):
+        keys = numbers * size + ids[places + step]
+        if step < length - 1:
+            pairs, numbers = np.unique(keys, return_inverse=True)
+        else:
+            pairs, counts = np.unique(keys, return_counts=True)
+        phrases = pc.binary_join_element_wise(
+            phrases.take(pa.array(pairs // size)), words.take(pa.array(pairs % size)), _SPACE
+        )
+    if length == 1:
+        counts = np.bincount(numbers, minlength=size)
+        phrases, counts = phrases.filter(pa.array(counts > 0)), counts[counts > 0]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([lang] * len(found), pa.string()),
-            pa.array(map(b" ".join, found), pa.binary()),
-            pa.array(found.values(), pa.int64()),
+            pa.array([lang], pa.string()).take(pa.array(np.zeros(len(counts), np.int32))),
+            phrases.cast(pa.binary()),
+            pa.array(counts),
         ],
         ["lang", "phrase", "count"],
     )
 
 
+def _is_one_of(pairs: tuple[pa.Array, pa.Array], words: pa.Array, keys: np.ndarray) -> np.ndarray:
+    """Which of the numbered pairs are among ``pairs``."""
+    sides = [pc.index_in(side, value_set=words) for side in pairs]
+    here = pc.and_(pc.is_valid(sides[0]), pc.is_valid(sides[1]))
+    left, right = (side.filter(here).to_numpy().astype(np.int64) for side in sides)
+    wanted = np.sort(left * len(words) + right)
+    if not len(wanted):
+        return np.zeros(len(keys), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
+
+
+def _numbered(text: bytes, kept: pa.Array | None = None) -> tuple[np.ndarray, pa.Array]:
+    """The words of a text as numbers, -1 between its pieces, and the word of each number.
+
+    Words that are not ``kept``, if that is given, are numbered -1 too.
+    """
+    marked = text.lower().translate(_TO_END).replace(_END, b" . ").strip(b" \t")
+    offsets = np.array([0, len(marked)], np.int64)
+    # The bytes are split at white space only, so they need not be valid text.
+    whole = pa.Array.from_buffers(
+        pa.large_string(), 1, [None, pa.py_buffer(offsets), pa.py_buffer(marked)]
+    )
+    found = pc.ascii_split_whitespace(whole).values.dictionary_encode()
+    ids = found.indices.to_numpy().astype(np.int64)
+    words = found.dictionary.view(pa.large_binary())
+    out = pc.is_in(words, value_set=pa.array([_END, b""], pa.large_binary()))
+    if kept is not None:
+        out = pc.or_(out, pc.invert(pc.is_in(words, value_set=kept)))
+    ids[out.to_numpy(zero_copy_only=False)[ids]] = -1
+    return ids, words
+
+
 def counted(rows: DataFrame) -> DataFrame:
     """One row per phrase; each task adds up its own rows before the shuffle."""
     return rows.groupBy("lang", "phrase").agg(F.sum("count").alias("count"))
@@ -184,7 +259,12 @@ def grown(
         ),
         "open-pairs",
     )
-    rows = phrase_counts(look_up(texts, level.select("lang"), "lang", F.col("text")), 3)
+    own = look_up(texts, level.select("lang"), "lang", F.col("text"))
+    if open_pairs.count() <= MOST_KNOWN:
+        # Few enough to be known wherever texts are read: only what is wanted is counted.
+        found = counted(phrase_counts(own, 3, _known_pairs(open_pairs)))
+        return found.where(F.col("count") >= least_count)
+    rows = phrase_counts(own, 3)
     sides = F.array(
         F.struct(_first(F.col("phrase"), 2).alias("_pair"), F.lit(True).alias("_begins")),
         F.struct(_last(F.col("phrase"), 2).alias("_pair"), F.lit(False).alias("_begins")),
@@ -203,6 +283,37 @@ def grown(
     )
 
 
+def _arrays(pairs: list[str]) -> tuple[pa.Array, pa.Array]:
+    sides = zip(*[pair.encode().split(b" ") for pair in pairs]) if pairs else ([], [])
+    return tuple(pa.array(side, pa.large_binary()) for side in sides)
+
+
+def _known_pairs(open_pairs: DataFrame) -> dict[str, Known]:
+    """The opened pairs of each language, and those with a score at or above the level."""
+    found: dict[str, tuple[list[str], list[str]]] = {}
+    for lang, pair, top in open_pairs.select("lang", "_pair", "_top").collect():
+        opened = found.setdefault(lang, ([], []))
+        opened[0].append(pair)
+        if top:
+            opened[1].append(pair)
+    return {
+        lang: Known(begins=_arrays(opened[0]), ends=_arrays(opened[1]))
+        for lang, opened in found.items()
+    }
+
+
+def _known_words(words: DataFrame) -> dict[str, Known] | None:
+    """The frequent words of each language, if they are few enough to be known everywhere."""
+    if words.count() > MOST_KNOWN:
+        return None
+    found: dict[str, list[bytes]] = {}
+    for lang, word in words.select("lang", "phrase").collect():
+        found.setdefault(lang, []).append(word.encode())
+    return {
+        lang: Known(words=pa.array(own, pa.large_binary())) for lang, own in found.items()
+    }
+
+
 def survivors(
     pairs: DataFrame, triples: DataFrame, level: DataFrame, absorb_percent: int
 ) -> DataFrame:
@@ -242,12 +353,15 @@ def collocations(
     totals = written(all_words.groupBy("lang").agg(F.sum("count").alias("n")), "word-totals")
     often = F.col("count") >= least_count
     words = written(all_words.where(often), "often-words")
-    pair_counts = written(counted(phrase_counts(texts, 2)).where(often), "often-pairs")
+    # No phrase is more frequent than its words.
+    pair_counts = written(
+        counted(phrase_counts(texts, 2, _known_words(words))).where(often), "often-pairs"
+    )
     pairs = written(scored_pairs(pair_counts, words), "scored-pairs")
 
     found = None
     waiting = pairs
-    opened = 2 * top
+    opened = 4 * top
     while True:
         level = written(levels(waiting, opened), "levels")
         if not level.limit(1).count():

@@ -137,8 +137,10 @@ def plain_collocations(rows, top=2000, least=10):
     return sorted(found)
 
 
-@pytest.mark.parametrize("top", [3, 20, 2000])
-def test_collocations_equal_counting_everything(spark, top):
+@pytest.mark.parametrize("top, few", [(3, 10**6), (20, 10**6), (20, 0), (2000, 10**6)])
+def test_collocations_equal_counting_everything(spark, monkeypatch, top, few):
+    # With and without opened pairs that are too many to be sent to all texts.
+    monkeypatch.setattr(collocations, "MOST_KNOWN", few)
     pick = random.Random(5)
     words = [f"{letter}{n}" for letter in "AbÉ" for n in range(12)]
     fixed = [pick.choices(words, k=pick.randint(2, 4)) for _ in range(30)]
