@@ -189,7 +189,6 @@ def hilbert_shards(
     )
     if law == "rows":
         total = ends["n"]
-        shard = F.floor(F.col("rank") * shards / F.lit(max(total, 1)))
         # Integer arithmetic: a quotient in floating point may fall on the wrong side.
         shard = F.expr(f"(rank * {shards}) div {max(total, 1)}")
         dealt = ranked.withColumn("shard", shard.cast("int")).withColumn(

@@ -55,5 +55,6 @@ ORACLES = {
     "op1_line_frequency": line_frequency.ORACLE_SQL,
     "op2_mix_sources": mixing.ORACLE_SQL,
     "op4_digest_index": digest_index.ORACLE_SQL,
+    "op8_bottom_k_sketches": sketches.ORACLE_SQL,
     "op12_collocations": collocations.ORACLE_SQL,
 }

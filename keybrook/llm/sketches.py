@@ -435,3 +435,31 @@ def near_duplicate_groups(
         F.col("component_id").isNull()
         | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)),
     )
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1),
+      lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingle
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS node, doc_id AS origin FROM words
+  UNION
+  SELECT b, origin FROM reached JOIN steps ON a = node),
+components AS (SELECT node, min(origin) AS component_id FROM reached GROUP BY node)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM words LEFT JOIN sizes USING (doc_id) JOIN components ON node = doc_id
+"""

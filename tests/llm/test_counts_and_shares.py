@@ -175,6 +175,29 @@ def test_index_persists_and_appends_only_what_is_new(spark):
     assert again.rows().count() == 3
 
 
+def test_written_shards_hold_few_values_of_each_dimension(spark, tmp_path):
+    languages, sources = ["de", "en", "es", "fr"], [f"{chr(97 + n)}-source" for n in range(12)]
+    rows = [(n, "w " * (1 + n * 7 % 40), languages[n % 4], sources[n * 5 % 12], n)
+            for n in range(2400)]
+    docs = spark.createDataFrame(rows, samples.SCHEMA)
+    hilbert.write_shards(docs, str(tmp_path / "shards"))
+    stored = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted(row.doc_id for row in stored.collect()) == list(range(2400))
+    placed = {row.doc_id: (row.shard, row.slot) for row in hilbert.hilbert_shards(docs).collect()}
+    assert all(placed[row.doc_id] == (row.shard, row.slot) for row in stored.collect())
+    # A reader of one language, or of one source, finds shards to leave out, by what they hold.
+    held = [
+        (set(own.langs), set(own.sources))
+        for own in stored.groupBy("shard").agg(
+            F.collect_set("lang").alias("langs"), F.collect_set("source").alias("sources")
+        ).collect()
+    ]
+    assert len(held) == 8
+    left_out = [sum(name not in langs for langs, _ in held) for name in languages]
+    left_out_sources = [sum(name not in own for _, own in held) for name in sources]
+    assert sum(left_out) / 4 >= 2 and sum(left_out_sources) / 12 >= 2
+
+
 def test_an_index_is_opened_with_its_own_buckets(spark):
     folder = shared_folder(spark, "test-index")
     frame = spark.createDataFrame([(n, f"text {n}") for n in range(200)], "doc_id bigint, text string")

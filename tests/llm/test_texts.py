@@ -11,8 +11,18 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import samples
+import xxhash
 
-from keybrook.llm import language, line_chunks, packing, pieces, sketches, suffixes
+from keybrook.llm import (
+    language,
+    line_chunks,
+    packing,
+    pieces,
+    sketches,
+    suffixes,
+    word_hashes,
+)
+from keybrook.llm.components import components
 
 
 def test_ngram_counts_by_hand():
@@ -42,6 +52,51 @@ def test_distance_by_hand():
     assert own.ranks.tolist() == [[0, 1], [1, 3], [2, 0], [3, 2]]
 
 
+def plain_ngrams(text):
+    """Counts of the 1- to 3-grams of the letters of a text, words parted by one mark."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    padded = "_" + "_".join(words) + "_"
+    found = Counter(c for c in padded if c != "_")
+    found.update(padded[n : n + 2] for n in range(len(padded) - 1))
+    found.update(padded[n : n + 3] for n in range(len(padded) - 2) if padded[n + 1] != "_")
+    return found
+
+
+def test_out_of_place_distance_equals_plain_code():
+    def key(ngram):
+        value = 0
+        for char in ngram:
+            value = (value << 21) | (1 if char == "_" else ord(char))
+        return value
+
+    size = 40
+    pick = random.Random(8)
+
+    def ordered(text):
+        counts = plain_ngrams(text)
+        return sorted(counts, key=lambda g: (-counts[g], key(g)))[:size]
+
+    learned = {name: ordered(samples.prose(n, 300, language=name))
+               for n, name in enumerate(["en", "de"])}
+    # A third language with the profile of the first: of equal distances the first name counts.
+    learned["zz"] = learned["en"]
+    profiles = language.Profiles.of(
+        {name: [key(g) for g in own] for name, own in learned.items()}, size
+    )
+    for n in range(60):
+        text = samples.prose(100 + n, pick.randint(1, 80), language=pick.choice(["en", "de"]))
+        own = ordered(text)
+        distances = {
+            name: sum(abs(profile.index(g) - rank) if g in profile else size
+                      for rank, g in enumerate(own))
+            for name, profile in learned.items()
+        }
+        name = min(sorted(distances), key=distances.get)
+        assert profiles.best(text) == (name, 1 - distances[name] / (len(own) * size))
+    assert profiles.best("ıxq")[0] == "de"  # nothing in common with any: the first name
+    assert profiles.best("12 !") == profiles.best(None) == ("und", 0.0)
+
+
 def test_languages_of_held_out_documents(spark):
     rows = [
         (n, samples.prose(n, 60, language=name), name)
@@ -337,9 +392,71 @@ def test_blocks_of_a_large_cluster(spark, monkeypatch):
     assert {row.component_id for row in got} == {0} and len(got) == 40
 
 
+def test_long_words_and_every_white_space():
+    long = "q" * 2_500_000
+    many = "\x0b".join(str(n) for n in range(200_000))
+    mixed = f"a {long}\x0cb c\r{long} tail {long}x"
+    for text, size in ((long, 1), (many, 199_998), (mixed, len(samples.shingles(mixed, 3)))):
+        [hashes] = word_hashes.word_hashes([text.encode()])
+        assert len(word_hashes.shingle_set(hashes, 3)) == size
+    # A word has one hash, however long and wherever it stands.
+    for size in (word_hashes._PART - 1, word_hashes._PART, word_hashes._PART + 1, 1_600_000):
+        word = b"z" * size
+        alone, between = word_hashes.word_hashes([word, b"k " + word + b"\tk"])
+        assert len(alone) == 1 and len(between) == 3 and alone[0] == between[1]
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_parts_of_a_cluster_are_compared_across(spark, monkeypatch, block):
+    """Chains, in which the smallest candidate is not always similar enough."""
+    monkeypatch.setattr(sketches, "BLOCK", block)
+    words = [f"w{n}" for n in range(400)]
+    # Every fourth step is too wide for a link.
+    starts = np.cumsum([0, *[12 if n % 4 == 0 else 4 for n in range(1, 40)]]).tolist()
+    rows = [(n, " ".join(words[at : at + 120])) for n, at in enumerate(starts)]
+    rows += [(100 + n, " ".join(words[:118] + [f"x{n}", f"y{n}"])) for n in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = {n: samples.shingles(text, 3) for n, text in rows}
+    got = {r.doc_id: r.component_id for r in sketches.near_duplicate_groups(frame).collect()}
+    assert got == samples.group_of(sets, 85)
+    assert len(set(got.values())) > 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_random_links(spark, seed):
+    pick = random.Random(seed)
+    links = [(pick.randrange(300), pick.randrange(300)) for _ in range(130)]
+    links += [(400 + n, 401 + n) for n in range(60)] + [(500, 500)]
+    frame = spark.createDataFrame(links, "a bigint, b bigint")
+    parent = {n: n for link in links for n in link}
+
+    def root(n):
+        return n if parent[n] == n else root(parent[n])
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    expected = {n: root(n) for a, b in links if a != b for n in (a, b)}
+    assert dict(map(tuple, components(frame).collect())) == expected
+
+
 # ---- line chunks ----
 
 
+def plain_chunk_sizes(lines):
+    """Where the hash of the last two lines is a multiple of four, and after 256 lines."""
+    mask, sizes, size = (1 << 64) - 1, [], 0
+    hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
+    for n, own in enumerate(hashes):
+        before = hashes[n - 1] if n else 0
+        rolling = ((before << 1 | before >> 63) & mask) ^ own
+        size += 1
+        if ((rolling * 0x9E3779B97F4A7C15 & mask) >> 40) % 4 == 0 or size == 256:
+            sizes.append(size)
+            size = 0
+    return sizes + ([size] if size else [])
+
+
 def test_line_chunks(documents, rows):
     def order(row):
         return (row.doc_id is None, row.doc_id or 0)
@@ -348,25 +465,28 @@ def test_line_chunks(documents, rows):
     for row in sorted(rows, key=order):
         if (row.doc_id, row.text) in kept:
             continue
-        out, at, removed = [], 0, 0
+        out, at, removed, n_lines = [], 0, 0, 0
         lines = (row.text or "").encode().split(b"\n")
-        for size in line_chunks.chunk_sizes(lines) if row.text else []:
+        for size in plain_chunk_sizes(lines) if row.text else []:
             chunk = b"\n".join(lines[at : at + size])
             if size > 1 and chunk.strip() and chunk in seen:
                 removed += 1
+                n_lines += size
             else:
                 out += lines[at : at + size]
                 if size > 1:
                     seen.add(chunk)
             at += size
-        kept[row.doc_id, row.text] = (removed, b"\n".join(out))
+        total = 0 if row.text is None else len(lines)
+        kept[row.doc_id, row.text] = (total, removed, n_lines, b"\n".join(out))
     got = line_chunks.chunk_dedup(documents).collect()
-    expected = Counter(
-        (row.doc_id, kept[row.doc_id, row.text][0],
-         hashlib.sha256(kept[row.doc_id, row.text][1]).hexdigest())
-        for row in rows
-    )
-    assert Counter((r.doc_id, r.n_removed_chunks, r.kept_sha256) for r in got) == expected
+    expected = Counter()
+    for row in rows:
+        *counts, left = kept[row.doc_id, row.text]
+        expected[row.doc_id, *counts, hashlib.sha256(left).hexdigest()] += 1
+    assert Counter(
+        (r.doc_id, r.n_lines, r.n_removed_chunks, r.n_removed_lines, r.kept_sha256) for r in got
+    ) == expected
     assert sum(r.n_removed_chunks for r in got) > 3
 
 
