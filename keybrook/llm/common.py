@@ -87,19 +87,23 @@ def remove_at_exit(spark: SparkSession, path: str) -> None:
 
 
 def look_up(
-    rows: DataFrame, table: DataFrame, key: str | list[str], spread_by: Column
+    rows: DataFrame,
+    table: DataFrame,
+    key: str | list[str],
+    spread_by: Column,
+    salts: int = 16,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of many rows with a written table that is small against them.
+    """Join of many rows with a written table that is small against them, inner or left.
 
     A table of counted size is broadcast. A larger one is repeated for each of
     some salts, over which a hot key of ``rows`` is spread by ``spread_by``.
     """
     if table.count() <= MOST_BROADCAST_ROWS:
-        return rows.join(F.broadcast(table), key)
-    salts = 16
+        return rows.join(F.broadcast(table), key, how)
     keys = [key] if isinstance(key, str) else key
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     repeated = table.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keybrook.llm.common import let, put_back, set_apart, written
+from keybrook.llm.common import let, look_up, put_back, set_apart, written
 from keybrook.llm.components import parts
 
 # A chunk ends after a line if the hash of the last WINDOW lines is a multiple of
@@ -29,8 +29,17 @@ def _rotated(value: int, by: int) -> int:
     return ((value << by) | (value >> (64 - by))) & _MASK
 
 
-def chunk_sizes(lines: list[bytes], window: int = WINDOW, divisor: int = DIVISOR) -> list[int]:
-    """How many lines each chunk of a document has."""
+def chunk_sizes(
+    lines: list[bytes],
+    window: int = WINDOW,
+    divisor: int = DIVISOR,
+    most_lines: int | None = MOST_LINES,
+) -> list[int]:
+    """How many lines each chunk of a document has.
+
+    A chunk ends where the hash of the last ``window`` lines says so, and after ``most_lines``
+    anyway; with None only the hash decides.
+    """
     sizes, size, rolling = [], 0, 0
     hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
     for at, own in enumerate(hashes):
@@ -40,7 +49,7 @@ def chunk_sizes(lines: list[bytes], window: int = WINDOW, divisor: int = DIVISOR
         size += 1
         # The low bits of a sum of rotations say little by themselves.
         mixed = (rolling * 0x9E3779B97F4A7C15 & _MASK) >> 40
-        if mixed % divisor == 0 or size == MOST_LINES:
+        if mixed % divisor == 0 or size == most_lines:
             sizes.append(size)
             size = 0
     return [*sizes, size] if size else sizes
@@ -96,9 +105,12 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
         rows.mapInArrow(hashes, f"doc_id {kind}, text_key bigint, at int, chunk bigint"),
         "chunk-hashes",
     )
-    often = chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = written(
+        chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("chunk"),
+        "often-chunks",
+    )
     wanted = (
-        chunks.join(often.select("chunk"), "chunk")
+        look_up(chunks, often, "chunk", F.struct("text_key", "at"))
         .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
         .agg(F.collect_set("at").alias("wanted"))
     )
