@@ -14,9 +14,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from keybrook.llm.common import written
+from keybrook.llm.common import look_up, written
 from keybrook.llm.components import parts, whole_groups
 from keybrook.llm.packed import packed_texts, unpacked
 from keybrook.llm.word_hashes import prefix_sums, span_hashes
@@ -24,8 +24,11 @@ from keybrook.llm.word_hashes import prefix_sums, span_hashes
 LENGTH = 200
 ANCHOR = 100
 SHALLOW_WORDS = 3
-# Runs with the same anchor, up to which their suffixes are sorted by one task.
-MOST_RUNS = 100_000
+# Runs with the same anchor, up to which they are sorted together. More are split by what
+# stands around the anchor, and sorted likewise.
+MOST_RUNS = 10_000
+
+_PIECES = 4
 
 _PART = 1 << 18
 _PLACE_BITS = 21
@@ -173,22 +176,23 @@ def _sort_pairs(padded, starts, length, order, equal, firsts) -> None:
         order[turned], order[turned + 1] = order[turned + 1], order[turned].copy()
 
 
-def _repeated_windows(table: pa.Table, length: int) -> pa.RecordBatch:
-    """The windows that occur twice, as ranges of each text.
+def _repeated_windows(
+    contents: list[bytes], groups: np.ndarray, copies: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows that occur twice: the row of ``contents``, and their first and last place in it.
 
-    The table holds all runs of some anchors. Equal runs are sorted once.
+    Only windows of the same one of ``groups`` can be equal. ``copies`` says how often each row
+    occurs. Equal contents are sorted once.
     """
-    contents = table["content"].to_pylist()
     numbers: dict[bytes, int] = {}
     of_run = np.array([numbers.setdefault(content, len(numbers)) for content in contents])
     distinct = list(numbers)
-    times = np.bincount(of_run, minlength=len(distinct))
+    times = np.bincount(of_run, copies, minlength=len(distinct))
     sizes = np.array([len(content) for content in distinct])
     windows = sizes - length + 1
     flags = np.repeat(times > 1, windows)
-    # A run that is alone with its anchor, but for its copies, meets no other.
-    anchors = table["anchor"].to_numpy()
-    _, place = np.unique(anchors, return_inverse=True)
+    # A run that is alone in its group, but for its copies, meets no other.
+    _, place = np.unique(groups, return_inverse=True)
     place_of = np.zeros(len(distinct), np.int64)
     place_of[of_run] = place
     sorted_too = np.bincount(place_of)[place_of] > 1
@@ -213,43 +217,149 @@ def _repeated_windows(table: pa.Table, length: int) -> pa.RecordBatch:
     low, high = np.searchsorted(run, of_run), np.searchsorted(run, of_run, "right")
     rows = np.repeat(np.arange(len(of_run)), high - low)
     ranges = np.arange(len(rows)) - np.repeat(np.cumsum(high - low) - high, high - low)
+    return rows, first[ranges], last[ranges]
+
+
+def _of_runs(table: pa.Table, length: int) -> pa.RecordBatch:
+    rows, first, last = _repeated_windows(
+        table["content"].to_pylist(), table["anchor"].to_numpy(),
+        np.ones(table.num_rows), length,
+    )
     at = table["at"].to_numpy()[rows]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(table["text_key"].to_numpy()[rows]),
-            pa.array(at + first[ranges]),
-            pa.array(at + last[ranges]),
-        ],
+        [pa.array(table["text_key"].to_numpy()[rows]), pa.array(at + first), pa.array(at + last)],
         ["text_key", "first", "last"],
     )
 
 
-def _hot_windows(contents: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many runs, whose windows are counted by digest.
+def context_pieces(
+    content: bytes, length: int, anchor: int
+) -> list[tuple[bytes, int, bytes]]:
+    """A run in pieces (``context``, ``at``, ``content``), by what stands around its anchor.
+
+    A window has ``length - anchor`` bytes beside its anchor. Windows with about as many
+    of them to the right are a piece; all have some bytes on either side in common, and
+    the anchor: the context. Equal windows have equal contexts.
+    """
+    beside = length - anchor
+    width = beside // _PIECES + 1
+    part = np.frombuffer(content[:length], np.uint8)
+    at = np.arange(beside + 1)
+    mask = np.uint64((1 << _PLACE_BITS) - 1)
+    hashes = span_hashes(prefix_sums(part), at, at + anchor)
+    place = int(((hashes & ~mask) | (mask - at.astype(np.uint64))).argmin())
+    found = []
+    for number in range(_PIECES):
+        # The first window with so many bytes to the right of the anchor.
+        right = number * width
+        low = max(right + place - beside, 0)
+        high = min(right + width - 1 + place - beside, len(content) - length)
+        if low > high:
+            continue
+        left = max(beside - (right + width - 1), 0)
+        context = bytes([number]) + content[place - left : place + anchor + right]
+        found.append((context, low, content[low : high + length]))
+    return found
+
+
+def _joined_ranges(ranges: Column) -> Column:
+    """Sorted ranges of whole numbers, those that touch or overlap joined."""
+    kind = "array<struct<low: bigint, high: bigint>>"
+
+    def add(found: Column, own: Column) -> Column:
+        last = F.element_at(found, -1)
+        longer = F.struct(
+            last["low"].alias("low"), F.greatest(last["high"], own["high"]).alias("high")
+        )
+        return F.when(F.size(found) == 0, F.array(own)).when(
+            own["low"] <= last["high"] + 1,
+            F.concat(F.slice(found, F.lit(1), F.size(found) - 1), F.array(longer)),
+        ).otherwise(F.concat(found, F.array(own)))
+
+    return F.aggregate(ranges, F.array().cast(kind), add)
+
 
-    Counts are summed in each task first, so a passage in a third of all documents
-    costs one row per task and window.
+def _hot_ranges(contents: DataFrame, length: int, anchor: int) -> DataFrame:
+    """Ranges of repeated windows for anchors with very many runs.
+
+    Equal runs are counted in each task first, and are one from then on. Different ones are
+    split by context, so what meets in a task agrees in far more than the anchor, and
+    equal pieces are counted and sorted as one. A passage in a third of all documents costs a row
+    per task.
     """
 
-    def explode(batches):
+    def split(batches):
         for batch in parts(batches):
-            for text, at, content in zip(*[
-                batch.column(name).to_pylist() for name in ("text_key", "at", "content")
+            rows = []
+            for run, copies, content in zip(*[
+                batch.column(name).to_pylist() for name in ("run", "copies", "content")
             ]):
-                count = len(content) - length + 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([text] * count, pa.int64()),
-                        pa.array(range(at, at + count), pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(content[n : n + length])
-                                  for n in range(count)], pa.binary()),
-                    ],
-                    ["text_key", "first", "window"],
-                )
-
-    windows = contents.mapInArrow(explode, "text_key bigint, first bigint, window binary")
-    often = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return windows.join(often, "window").select("text_key", "first", F.col("first").alias("last"))
+                rows += [
+                    (run, copies, xxhash.xxh64_intdigest(context) - (1 << 63),
+                     xxhash.xxh3_128_digest(piece), low, piece)
+                    for context, low, piece in context_pieces(content, length, anchor)
+                ]
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(columns, kinds)],
+                ["run", "copies", "context", "piece", "at", "content"],
+            )
+
+    def sort(batches):
+        for table, _ in whole_groups(batches, ["context"]):
+            rows, first, last = _repeated_windows(
+                table["content"].to_pylist(), table["context"].to_numpy(),
+                table["copies"].to_numpy(), length,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [table["context"].take(pa.array(rows)).combine_chunks(),
+                 table["piece"].take(pa.array(rows)).combine_chunks(),
+                 pa.array(first), pa.array(last)],
+                ["context", "piece", "low", "high"],
+            )
+
+    named = contents.withColumn("run", F.md5("content"))
+    runs = named.groupBy("run").agg(
+        F.any_value("content").alias("content"), F.count(F.lit(1)).alias("copies")
+    )
+    pieces = written(
+        runs.mapInArrow(
+            split,
+            "run string, copies bigint, context bigint, piece binary, at bigint, content binary",
+        ),
+        "suffix-pieces",
+    )
+    distinct = pieces.groupBy("context", "piece").agg(
+        F.any_value("content").alias("content"), F.sum("copies").alias("copies")
+    )
+    ranges = written(
+        distinct.repartition("context").sortWithinPartitions("context").mapInArrow(
+            sort, "context bigint, piece binary, low bigint, high bigint"
+        ),
+        "suffix-piece-ranges",
+    )
+    # Of each different run its ranges, those that touch as one, in one row.
+    of_runs = written(
+        look_up(
+            pieces.select("run", "context", "piece", "at"), ranges, ["context", "piece"],
+            F.col("run"),
+        )
+        .groupBy("run")
+        .agg(F.collect_list(F.struct(
+            (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")
+        )).alias("ranges"))
+        .select("run", _joined_ranges(F.array_sort("ranges")).alias("ranges")),
+        "suffix-run-ranges",
+    )
+    places = named.select("text_key", "at", "run")
+    found = look_up(places, of_runs, "run", F.col("text_key")).select(
+        "text_key", "at", F.explode("ranges").alias("range")
+    )
+    return found.select(
+        "text_key", (F.col("at") + F.col("range.low")).alias("first"),
+        (F.col("at") + F.col("range.high")).alias("last"),
+    )
 
 
 def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: int) -> DataFrame:
@@ -282,17 +392,21 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
         ),
         "suffix-runs",
     )
-    often = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = written(
+        runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"),
+        "suffix-often",
+    )
     # Copies of a text are one text here.
     of_texts = written(
-        runs.join(often.select("anchor"), "anchor").distinct(), "suffix-candidates"
+        look_up(runs, often, "anchor", F.col("text_key"), salts=4).distinct(),
+        "suffix-candidates",
     )
     in_texts = written(
         of_texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1"),
         "suffix-anchors",
     )
     per_text = (
-        of_texts.join(in_texts, "anchor")
+        look_up(of_texts, in_texts, "anchor", F.col("text_key"), salts=4)
         .groupBy("text_key")
         .agg(F.collect_list(F.struct("anchor", "at", "windows", "runs")).alias("wanted"))
     )
@@ -333,7 +447,7 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
 
     def sort(batches):
         for table, _ in whole_groups(batches, ["anchor"]):
-            yield _repeated_windows(table, length)
+            yield _of_runs(table, length)
 
     ranges = (
         contents.where(F.col("runs") <= most_runs)
@@ -342,7 +456,8 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
         .mapInArrow(sort, "text_key bigint, first bigint, last bigint")
     )
     if is_hot:
-        ranges = ranges.union(_hot_windows(contents.where(F.col("runs") > most_runs), length))
+        hot = contents.where(F.col("runs") > most_runs)
+        ranges = ranges.union(_hot_ranges(hot, length, anchor))
     return ranges
 
 
