@@ -129,16 +129,26 @@ def keep_largest(documents: DataFrame, index: DigestIndex | None = None) -> Data
     index.append(digests.where(first))
     index.append(digests.where(~first))
 
-    sizes = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
-    groups = written(sizes.join(index.rows().hint("merge"), "digest"), "digest-groups")
+    sizes = digests.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("_last")
+    )
+    # A text that occurs once and is not in the index stays; only the others are looked up.
+    groups = written(
+        sizes.join(index.rows().hint("merge"), "digest")
+        .where((F.col("group_size") > 1) | ~F.col("_last").eqNullSafe(F.col("keep_id")))
+        .select("digest", "keep_id", "group_size"),
+        "digest-groups",
+    )
     if own:
         index.close()
     # Few groups are sent to the digests; for many, the copies of a text are spread.
-    return look_up(digests, groups, "digest", F.col("doc_id")).select(
+    found = look_up(digests, groups, "digest", F.col("doc_id"), how="left")
+    keep_id = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
+    return found.select(
         "doc_id",
-        "keep_id",
-        "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        keep_id.alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
+        F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
