@@ -3,10 +3,10 @@
 A plain window over the key sorts all records of one key in one task, which fails for a
 key that holds a third of all rows. So beyond a number of records the total order is cut
 into blocks, and the count is a prefix sum over them: each record's rank inside (key,
-block) is a window over at most one block; the last rank of each (key, block) says how many
-records it has; their sums over earlier blocks are added. A hot key is spread
-over as many tasks as there are blocks. The records are read, split and shuffled once: the
-ranks and their sums are two readings of the same shuffle.
+block) is a window over at most one block; the numbers of records of the key in earlier
+blocks are added. A hot key is spread over as many tasks as there are blocks. The records
+are read, split and shuffled once, and sorted once: the ranks and the numbers are two
+readings of the same shuffle, and the second only counts.
 """
 
 from __future__ import annotations
@@ -75,8 +75,9 @@ def running_count(
 
     blocked = in_order_blocks(records, order_by, total, rows_per_block)
     group = [key, BLOCK]
-    ranked = _rank(to_count(blocked), group, order, name)
-    starts = _starts(ranked, group, order, name, before)
+    spread = to_count(blocked).repartition(*group)
+    ranked = _rank(spread, group, order, name)
+    starts = _starts(_ends(spread, group), group, before)
     return _add_starts(ranked, starts, group, name).drop(BLOCK)
 
 
@@ -85,24 +86,26 @@ def _rank(records: DataFrame, group: Sequence[str], order: Sequence[str], name:
     return records.withColumn(name, F.row_number().over(in_group).cast("bigint"))
 
 
-def _starts(
-    ranked: DataFrame, group: list[str], order: Sequence[str], name: str, before: DataFrame | None
-) -> DataFrame:
-    """How many records of a key come before each of its blocks.
+def _ends(spread: DataFrame, group: list[str]) -> DataFrame:
+    """How many records of a key each block has.
 
-    The ranks are partitioned by key and block already, so only one row of each goes on.
+    ``spread`` is partitioned by key and block already, so only one row of each goes on.
     """
-    key, block = group
-    counts = F.max(name).alias("_count")
-    others = [own for own in ranked.columns if own not in (*group, *order, name)]
+    counts = F.count(F.lit(1)).alias("_count")
+    others = [own for own in spread.columns if own not in group]
     if others:
         # All columns are looked at, or what is read here would be another shuffle than
         # that of the records, without these columns.
-        ends = ranked.groupBy(*group).agg(counts, F.max(F.xxhash64(*others)).alias("_seen"))
+        ends = spread.groupBy(*group).agg(counts, F.max(F.xxhash64(*others)).alias("_seen"))
         ends = ends.where(F.col("_seen").isNotNull())
     else:
-        ends = ranked.groupBy(*group).agg(counts)
-    ends = ends.select(*group, "_count")
+        ends = spread.groupBy(*group).agg(counts)
+    return ends.select(*group, "_count")
+
+
+def _starts(ends: DataFrame, group: list[str], before: DataFrame | None) -> DataFrame:
+    """How many records of a key come before each of its blocks."""
+    key, block = group
     if before is not None:
         earlier = before.select(
             F.col("key").alias(key), F.lit(-1).cast("bigint").alias(block),
@@ -151,8 +154,7 @@ def in_order_blocks(
     )
     if len(order_by) == 1:
         cuts, point = cuts[order_by[0]], F.col(order_by[0])
-    place = _count_not_after(cuts, F.lit(len(points)), len(points), point)
-    return records.withColumn(BLOCK, place.cast("bigint"))
+    return _count_not_after(records, cuts, len(points), point)
 
 
 def _fraction(records: DataFrame, blocks: int) -> float:
@@ -174,14 +176,19 @@ def _sampled_cuts(records: DataFrame, order_by: Sequence[str], blocks: int) -> l
     return [row.point for row in sample[step::step][: blocks - 1]]
 
 
-def _count_not_after(cuts: Column, size: Column, most: int, point: Column) -> Column:
-    """How many of the sorted ``cuts``, ``most`` at most, are not after ``point``, by halving."""
-    steps = [1 << power for power in reversed(range(most.bit_length()))]
-
-    def advance(at: Column, step: Column) -> Column:
-        ahead = at + step
-        return F.when((ahead <= size) & (F.get(cuts, ahead - 1) <= point), ahead).otherwise(at)
+def _count_not_after(records: DataFrame, cuts: Column, size: int, point: Column) -> DataFrame:
+    """Add how many of the ``size`` sorted ``cuts`` are not after ``point``, by halving.
 
-    place = F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
-    # Known to be not null, or a join by it would compute it again for a test.
-    return F.coalesce(place, F.lit(0))
+    Each step is a projection of its own, which Spark compiles; a function over an array of
+    steps would be interpreted for each record.
+    """
+    columns = [F.col(f"`{name}`") for name in records.columns if name != BLOCK]
+    at = F.lit(0)
+    for power in reversed(range(size.bit_length())):
+        ahead = at + F.lit(1 << power)
+        # Beyond the last cut ``get`` gives null, which is not after anything.
+        step = F.when(F.get(cuts, ahead - 1) <= point, ahead).otherwise(at)
+        # Known to be not null, or a join by it would compute it again for a test.
+        records = records.select(*columns, F.coalesce(step, F.lit(0)).alias(BLOCK))
+        at = F.col(BLOCK)
+    return records.select(*columns, at.cast("bigint").alias(BLOCK))

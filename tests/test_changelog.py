@@ -157,3 +157,15 @@ def test_without_hot_keys_there_is_one_shuffle(spark, plan_of):
     frame = spark.range(1000).select(F.col("id").alias("offset"), F.lit("k").alias("key"))
     plan = plan_of(running_count(frame, ["offset"], rows_per_block=100))
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_the_records_of_blocks_are_sorted_once(spark, plan_of):
+    """The numbers of earlier records come of a count, not of a second ranking."""
+    frame = spark.range(1000).select(F.col("id").alias("offset"), F.lit("k").alias("key"))
+    plan = plan_of(running_count(frame, ["offset"], rows_per_block=100, hot_rows=200))
+    assert sum("Window [row_number" in line for line in plan.split("\n")) == 1
+
+
+def test_the_search_for_a_block_is_compiled(spark, plan_of):
+    frame = spark.range(1000).select(F.col("id").alias("offset"))
+    assert "lambda" not in plan_of(in_order_blocks(frame, ["offset"], 1000, 10))
