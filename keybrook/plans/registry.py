@@ -505,7 +505,9 @@ def word_changelog_topic(spark: SparkSession, folder: str) -> DataFrame:
         read_topic(spark, f"{work}/topics", WORD_COUNTS_TOPIC), "string", "long"
     )
     # The rank over the whole topic is for the comparison with SQL only.
-    ranked = running_count(log.withColumn("all", F.lit(1)), ["offset"], key="all", name="place")
+    # Only what is shown is shuffled for it.
+    placed = log.select("key", "value", "offset", F.lit(1).alias("all"))
+    ranked = running_count(placed, ["offset"], key="all", name="place")
     return ranked.select(F.col("key").alias("word"), F.col("value").alias("count"), "place")
 
 

@@ -209,20 +209,29 @@ def _write(
         of_topic[row.topic] = [
             min(low, row.low + shift), max(high, row.high + shift), records + row.records
         ]
-    shifts = spark.createDataFrame(
-        [
-            (topic, partition, shift, "-".join(map(str, of_topic[topic])))
-            for (topic, partition), shift in reserved.shifts.items()
-        ],
-        "topic string, partition int, _shift bigint, span string",
-    )
-    (
-        numbered.join(F.broadcast(shifts), place)
-        .withColumn("offset", F.col("offset") + F.col("_shift"))
-        .withColumns({
-            "application": F.lit(application), "run": F.lit(run or "once"),
-            "batch_id": F.lit(batch_id),
+    folders = {"application": F.lit(application), "run": F.lit(run or "once"),
+               "batch_id": F.lit(batch_id)}
+    spans_of = {topic: "-".join(map(str, span)) for topic, span in of_topic.items()}
+    [(topic, partition), *others] = spans
+    if others or topic is None or partition is None:
+        shifts = spark.createDataFrame(
+            [
+                (topic, partition, shift, spans_of[topic])
+                for (topic, partition), shift in reserved.shifts.items()
+            ],
+            "topic string, partition int, _shift bigint, span string",
+        )
+        shifted = numbered.join(F.broadcast(shifts), place)
+    else:
+        # All go to one folder, whose name is a constant: no record looks it up, and none
+        # is sorted by it.
+        shifted = numbered.withColumns({
+            "topic": F.lit(topic), "_shift": F.lit(reserved.shifts[topic, partition]),
+            "span": F.lit(spans_of[topic]),
         })
+    (
+        shifted.withColumn("offset", F.col("offset") + F.col("_shift"))
+        .withColumns(folders)
         .select(*envelope.columns, *_FOLDERS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
