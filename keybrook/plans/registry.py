@@ -72,6 +72,7 @@ from keybrook.sources.topics import (
     read_topic,
     rejected_record,
     split_malformed,
+    stored_files,
     stream_records,
     stream_topic,
     to_checked_envelope,
@@ -719,25 +720,33 @@ def stream_word_count_text_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _in_two_runs(
-    rows: DataFrame, by: str, folder: str, topic: str, run: Callable[[], StreamingQuery]
+    rows: DataFrame, by: str, folder: str, topic: str, run: Callable[[int], StreamingQuery]
 ) -> None:
     """Run a query over some of the rows, start it again after the others have come.
 
-    The rows lie in several files; with one file per trigger each run has several
-    micro-batches, and the second goes on from the checkpoint of the first.
+    The rows lie in as many files as a shuffle has partitions, so that no task has a fixed
+    share of them. ``run`` takes the files per trigger, half of those that have come, so each
+    run has several micro-batches, and the second goes on from the checkpoint of the first.
     """
+    spark = rows.sparkSession
+    files = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    seen = 0
     for part in (0, 1):
         own = rows.where(F.pmod(F.xxhash64(by), F.lit(2)) == part)
-        write_records(own.repartition(2), folder, topic)
-        run().awaitTermination()
+        # By key: rows that are dealt out in turn are sorted first.
+        write_records(own.repartition(files, by), folder, topic)
+        come = len(stored_files(spark, folder, topic))
+        run(-(-(come - seen) // 2)).awaitTermination()
+        seen = come
 
 
 @query("stream_word_count", _word_count_sql("documents", "doc_id"))
 def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
     work = work_folder(spark, "word-count")
 
-    def run() -> StreamingQuery:
-        lines = stream_records(spark, f"{work}/in", "lines", "offset bigint, value string", 1)
+    def run(files: int) -> StreamingQuery:
+        schema = "offset bigint, value string"
+        lines = stream_records(spark, f"{work}/in", "lines", schema, files)
         return start_word_counts(lines, to_folders(f"{work}/out"), f"{work}/checkpoint", once=True)
 
     lines = document_lines(table(spark, folder, "documents"))
@@ -795,9 +804,9 @@ _USER = "struct<event_type: string, amount: double>"
 def stream_latest_per_user(spark: SparkSession, folder: str) -> DataFrame:
     work = work_folder(spark, "user-table")
 
-    def run() -> StreamingQuery:
+    def run(files: int) -> StreamingQuery:
         upserts = stream_records(
-            spark, f"{work}/in", "users", f"key bigint, value {_USER}, offset bigint", 1
+            spark, f"{work}/in", "users", f"key bigint, value {_USER}, offset bigint", files
         )
         return maintain(upserts, "user-table", f"{work}/checkpoint", once=True)
 
@@ -829,9 +838,9 @@ def stream_enriched_orders(spark: SparkSession, folder: str) -> DataFrame:
     customers = _maintained(spark, work, "customers", customer_feed(spark, folder))
     products = _maintained(spark, work, "products", product_feed(spark, folder))
 
-    def run() -> StreamingQuery:
+    def run(files: int) -> StreamingQuery:
         orders = stream_records(
-            spark, f"{work}/in", ORDER_TOPIC, f"key bigint, value {ORDER.simpleString()}", 1
+            spark, f"{work}/in", ORDER_TOPIC, f"key bigint, value {ORDER.simpleString()}", files
         )
         return start_enriched_orders(
             orders, customers, products, to_folders(f"{work}/out"), f"{work}/checkpoint", once=True

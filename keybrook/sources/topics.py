@@ -275,6 +275,11 @@ def write_records(records: DataFrame, root: str, topic: str) -> None:
     records.write.mode("append").parquet(_folder(root, topic))
 
 
+def stored_files(spark: SparkSession, root: str, topic: str) -> list[str]:
+    """The files of a topic, as they are listed; none is read."""
+    return spark.read.schema(_stored()).parquet(_folder(root, topic)).inputFiles()
+
+
 def stream_records(
     spark: SparkSession,
     root: str,

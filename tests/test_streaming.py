@@ -480,3 +480,24 @@ def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert one.startswith(f"{base}/x-") and two.startswith(f"{base}/x-") and one != two
+
+
+def test_rows_for_two_runs_are_dealt_to_all_tasks(spark, tmp_path):
+    """Each run reads half of its files per trigger, and no task writes a fixed share."""
+    from keybrook.plans import registry
+
+    folder, calls = str(tmp_path), []
+
+    class Done:
+        def awaitTermination(self):  # noqa: N802
+            pass
+
+    def run(files):
+        calls.append((files, spark.read.parquet(f"{folder}/topic=t").count()))
+        return Done()
+
+    registry._in_two_runs(spark.range(2000).toDF("offset"), "offset", folder, "t", run)
+    files = spark.read.parquet(f"{folder}/topic=t").inputFiles()
+    assert len(files) == 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [number for number, _ in calls] == [len(files) // 4] * 2
+    assert 0 < calls[0][1] < calls[1][1] == 2000
