@@ -353,18 +353,17 @@ def _hot_ranges(contents: DataFrame, length: int, anchor: int) -> DataFrame:
         "suffix-run-ranges",
     )
     places = named.select("text_key", "at", "run")
-    found = look_up(places, of_runs, "run", F.col("text_key")).select(
-        "text_key", "at", F.explode("ranges").alias("range")
-    )
-    return found.select(
-        "text_key", (F.col("at") + F.col("range.low")).alias("first"),
-        (F.col("at") + F.col("range.high")).alias("last"),
-    )
+    found = look_up(places, of_runs, "run", F.col("text_key"))
+    # The ranges of a run stay one array: a text gathers arrays, not rows.
+    moved = F.transform("ranges", lambda own: F.struct(
+        (F.col("at") + own["low"]).alias("first"), (F.col("at") + own["high"]).alias("last")
+    ))
+    return found.select("text_key", moved.alias("ranges"))
 
 
 def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: int) -> DataFrame:
-    """Ranges (``first``, ``last``) of the starts of windows that occur in another place of
-    the distinct texts, by ``text_key``."""
+    """``ranges`` (arrays of ``first``, ``last``) of the starts of windows that occur in another
+    place of the distinct texts, by ``text_key``, which may have several arrays."""
 
     def find(batches):
         for batch in parts(batches):
@@ -454,10 +453,12 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(sort, "text_key bigint, first bigint, last bigint")
+        .groupBy("text_key")
+        .agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     )
     if is_hot:
         hot = contents.where(F.col("runs") > most_runs)
-        ranges = ranges.union(_hot_ranges(hot, length, anchor))
+        ranges = ranges.unionByName(_hot_ranges(hot, length, anchor))
     return ranges
 
 
@@ -498,7 +499,7 @@ def remove_repeats(
     """
     ranges = repeated_ranges(documents, length, anchor, most_runs)
     per_text = ranges.groupBy(F.col("text_key").alias("_key")).agg(
-        F.collect_list(F.struct("first", "last")).alias("ranges")
+        F.flatten(F.collect_list("ranges")).alias("ranges")
     )
     copies = (
         documents.where(F.octet_length("text") >= length)

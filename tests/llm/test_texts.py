@@ -293,6 +293,11 @@ def test_deep_shallow_sort_equals_sorting():
     assert equal.tolist() == [False, *(a == b for a, b in zip(strings, strings[1:]))]
 
 
+def test_ranges_of_hot_runs_are_not_spread_into_rows(documents, plan_of):
+    ranges = suffixes.repeated_ranges(documents, 60, 30, 1)
+    assert "Generate" not in plan_of(ranges)
+
+
 @pytest.mark.parametrize("most_runs", [100_000, 1])
 def test_repeats(documents, rows, most_runs):
     length = 60
