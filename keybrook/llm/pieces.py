@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import struct
+import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 from itertools import count, islice
@@ -172,10 +173,15 @@ class DoubleArrayTrie:
 
 
 class PieceModel:
-    """Encoder and decoder of one vocabulary. It is sent to tasks as it is."""
+    """Encoder and decoder of one vocabulary. It is sent to tasks as it is.
+
+    The tasks that a Python process runs one after another share what it has learnt of
+    the model's words.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.name = uuid.uuid4().hex
         kinds = vocabulary.kinds
         usable = {
             piece: n for n, piece in enumerate(vocabulary.pieces)
@@ -204,15 +210,11 @@ class PieceModel:
             return " ⁇ ".encode()
         return b"" if kind == CONTROL else piece.replace(MARK, " ").encode()
 
-    def __getstate__(self):
+    def __reduce__(self):
         own = dict(self.__dict__)
         for name in ("places", "ids", "firsts"):
             own.pop(name)
-        return own
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self._forget()
+        return _received, (self.name, own)
 
     def _forget(self) -> None:
         self.places = defaultdict(count().__next__)
@@ -355,6 +357,19 @@ class PieceModel:
         return texts
 
 
+_last_received: list[PieceModel] = []
+
+
+def _received(name: str, state: dict) -> PieceModel:
+    """The model that this process has already, if it got it last; or a new one."""
+    if not _last_received or _last_received[0].name != name:
+        model = PieceModel.__new__(PieceModel)
+        model.__dict__.update(state)
+        model._forget()
+        _last_received[:] = [model]
+    return _last_received[0]
+
+
 def load_model(path: str = MODEL) -> PieceModel:
     """Read a model file on the driver. Its size does not depend on the documents."""
     with open(path, "rb") as file:

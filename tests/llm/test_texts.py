@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import struct
 from collections import Counter, defaultdict
@@ -225,6 +226,15 @@ def test_words_are_forgotten_without_harm(model, monkeypatch):
     assert [ids.tolist() for ids in model.encode(texts)] == expected
 
 
+def test_tasks_of_a_process_share_the_words_they_learnt(model):
+    sent = pickle.dumps(model)
+    first, second = pickle.loads(sent), pickle.loads(sent)
+    first.encode(["some words to learn"])
+    assert second.places and second.encode(["some words"])[0].tolist() == (
+        model.encode(["some words"])[0].tolist()
+    )
+
+
 # ---- packing ----
 
 
