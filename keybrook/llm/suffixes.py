@@ -3,10 +3,10 @@
 All suffixes of a corpus are too many to sort, and almost all of them are unlike any
 other. So in each window of ``LENGTH`` bytes the smallest hash of a shorter string in it is its
 anchor, chosen by the window's content alone: equal windows have equal anchors. Windows
-next to each other mostly share theirs and make a run. Only runs whose anchor occurs
-elsewhere have their suffixes sorted, all that share an anchor together: by a multikey
-quicksort to a shallow depth, and by blind tries where the prefixes are still equal.
-Suffixes that are equal to the depth of a window are what is removed.
+next to each other mostly share theirs and make a run. Equal runs are counted, and one stands
+for all. Only runs whose anchor occurs in unlike ones too have their suffixes sorted, all that
+share an anchor together: by a multikey quicksort to a shallow depth, and by blind tries where
+the prefixes are still equal. Suffixes that are equal to the depth of a window are what is removed.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from keybrook.llm.common import look_up, written
+from keybrook.llm.common import MOST_BROADCAST_ROWS, look_up, written
 from keybrook.llm.components import parts, whole_groups
 from keybrook.llm.packed import packed_texts, unpacked
 from keybrook.llm.word_hashes import prefix_sums, span_hashes
@@ -24,8 +24,8 @@ from keybrook.llm.word_hashes import prefix_sums, span_hashes
 LENGTH = 200
 ANCHOR = 100
 SHALLOW_WORDS = 3
-# Runs with the same anchor, up to which they are sorted together. More are split by what
-# stands around the anchor, and sorted likewise.
+# Different runs with the same anchor, up to which they are sorted together. More are split by
+# what stands around the anchor, and sorted likewise.
 MOST_RUNS = 10_000
 
 _PIECES = 4
@@ -221,10 +221,13 @@ def _repeated_windows(
 
 
 def _of_runs(table: pa.Table, length: int) -> pa.RecordBatch:
+    copies = table["copies"].to_numpy()
     rows, first, last = _repeated_windows(
-        table["content"].to_pylist(), table["anchor"].to_numpy(),
-        np.ones(table.num_rows), length,
+        table["content"].to_pylist(), table["anchor"].to_numpy(), copies, length
     )
+    # Runs with copies are known to be repeated as a whole, and were sorted for the others.
+    single = copies[rows] == 1
+    rows, first, last = rows[single], first[single], last[single]
     at = table["at"].to_numpy()[rows]
     return pa.RecordBatch.from_arrays(
         [pa.array(table["text_key"].to_numpy()[rows]), pa.array(at + first), pa.array(at + last)],
@@ -262,48 +265,29 @@ def context_pieces(
     return found
 
 
-def _joined_ranges(ranges: Column) -> Column:
-    """Sorted ranges of whole numbers, those that touch or overlap joined."""
-    kind = "array<struct<low: bigint, high: bigint>>"
-
-    def add(found: Column, own: Column) -> Column:
-        last = F.element_at(found, -1)
-        longer = F.struct(
-            last["low"].alias("low"), F.greatest(last["high"], own["high"]).alias("high")
-        )
-        return F.when(F.size(found) == 0, F.array(own)).when(
-            own["low"] <= last["high"] + 1,
-            F.concat(F.slice(found, F.lit(1), F.size(found) - 1), F.array(longer)),
-        ).otherwise(F.concat(found, F.array(own)))
-
-    return F.aggregate(ranges, F.array().cast(kind), add)
-
-
 def _hot_ranges(contents: DataFrame, length: int, anchor: int) -> DataFrame:
-    """Ranges of repeated windows for anchors with very many runs.
+    """Ranges of repeated windows in runs without copies, for anchors with very many runs.
 
-    Equal runs are counted in each task first, and are one from then on. Different ones are
-    split by context, so what meets in a task agrees in far more than the anchor, and
-    equal pieces are counted and sorted as one. A passage in a third of all documents costs a row
-    per task.
+    Runs are split by context, so what meets in a task agrees in far more than the anchor, and
+    equal pieces are counted and sorted as one.
     """
 
     def split(batches):
         for batch in parts(batches):
             rows = []
-            for run, copies, content in zip(*[
-                batch.column(name).to_pylist() for name in ("run", "copies", "content")
+            for key, copies, at, content in zip(*[
+                batch.column(name).to_pylist() for name in ("text_key", "copies", "at", "content")
             ]):
                 rows += [
-                    (run, copies, xxhash.xxh64_intdigest(context) - (1 << 63),
-                     xxhash.xxh3_128_digest(piece), low, piece)
+                    (key, copies, xxhash.xxh64_intdigest(context) - (1 << 63),
+                     xxhash.xxh3_128_digest(piece), at + low, piece)
                     for context, low, piece in context_pieces(content, length, anchor)
                 ]
             columns = list(zip(*rows)) or [()] * 6
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind) for column, kind in zip(columns, kinds)],
-                ["run", "copies", "context", "piece", "at", "content"],
+                ["text_key", "copies", "context", "piece", "at", "content"],
             )
 
     def sort(batches):
@@ -319,14 +303,11 @@ def _hot_ranges(contents: DataFrame, length: int, anchor: int) -> DataFrame:
                 ["context", "piece", "low", "high"],
             )
 
-    named = contents.withColumn("run", F.md5("content"))
-    runs = named.groupBy("run").agg(
-        F.any_value("content").alias("content"), F.count(F.lit(1)).alias("copies")
-    )
     pieces = written(
-        runs.mapInArrow(
+        contents.select("text_key", "copies", "at", "content").mapInArrow(
             split,
-            "run string, copies bigint, context bigint, piece binary, at bigint, content binary",
+            "text_key bigint, copies bigint, context bigint, piece binary, at bigint, "
+            "content binary",
         ),
         "suffix-pieces",
     )
@@ -339,55 +320,92 @@ def _hot_ranges(contents: DataFrame, length: int, anchor: int) -> DataFrame:
         ),
         "suffix-piece-ranges",
     )
-    # Of each different run its ranges, those that touch as one, in one row.
+    places = pieces.where("copies = 1").select("text_key", "context", "piece", "at")
+    return look_up(places, ranges, ["context", "piece"], F.col("text_key")).select(
+        "text_key",
+        (F.col("at") + F.col("low")).alias("first"),
+        (F.col("at") + F.col("high")).alias("last"),
+    )
+
+
+_RUN = ["anchor", "run", "windows"]
+
+
+def _met(rows: DataFrame, table: DataFrame, key: str | list[str], how: str) -> DataFrame:
+    """Join with a written table of one row a key, which is broadcast if it is small.
+
+    The table is not repeated for salts: it has about as many keys as there are runs, and few of
+    them are hot. Those are left to adaptive execution.
+    """
+    small = table.count() <= MOST_BROADCAST_ROWS
+    return rows.join(F.broadcast(table) if small else table, key, how)
+
+
+def repeated_runs(places: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of the places of runs, those whose run has another place, and the runs to be sorted.
+
+    The first are ranges (``text_key``, ``first``, ``last``): all windows of a run that occurs
+    twice are repeated. The second are different runs that share an ``anchor``: each once, at one
+    of its places, with the number of its ``copies`` and of the different ``runs`` of its anchor.
+    The third has these anchors. Runs are told apart by their anchor, their length and a hash of
+    64 bits. What occurs in very many places costs a row per task here.
+    """
     of_runs = written(
-        look_up(
-            pieces.select("run", "context", "piece", "at"), ranges, ["context", "piece"],
-            F.col("run"),
-        )
-        .groupBy("run")
-        .agg(F.collect_list(F.struct(
-            (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")
-        )).alias("ranges"))
-        .select("run", _joined_ranges(F.array_sort("ranges")).alias("ranges")),
-        "suffix-run-ranges",
+        places.groupBy(*_RUN).agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.min_by("at", "text_key").alias("at"),
+            F.min("text_key").alias("text_key"),
+        ),
+        "suffix-distinct-runs",
+    )
+    shared = written(
+        of_runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1"),
+        "suffix-anchors",
+    )
+    to_sort = _met(of_runs, shared, "anchor", "inner")
+    copied = of_runs.where("copies > 1").select(*_RUN)
+    whole = _met(places, copied, _RUN, "left_semi").select(
+        "text_key",
+        F.col("at").alias("first"),
+        (F.col("at") + F.col("windows") - 1).alias("last"),
     )
-    places = named.select("text_key", "at", "run")
-    found = look_up(places, of_runs, "run", F.col("text_key"))
-    # The ranges of a run stay one array: a text gathers arrays, not rows.
-    moved = F.transform("ranges", lambda own: F.struct(
-        (F.col("at") + own["low"]).alias("first"), (F.col("at") + own["high"]).alias("last")
-    ))
-    return found.select("text_key", moved.alias("ranges"))
+    return whole, to_sort, shared
 
 
 def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: int) -> DataFrame:
     """``ranges`` (arrays of ``first``, ``last``) of the starts of windows that occur in another
-    place of the distinct texts, by ``text_key``, which may have several arrays."""
+    place of the distinct texts, by ``text_key``."""
 
     def find(batches):
         for batch in parts(batches):
-            keys, anchors, firsts, sizes = [], [], [], []
+            keys, anchors, firsts, sizes, runs = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 data = text.encode("utf-8", "surrogatepass")
                 found = runs_of(data, length, anchor)
                 keys.append(np.full(len(found[0]), xxhash.xxh64_intdigest(data, 42), np.uint64))
                 for column, part in zip((anchors, firsts, sizes), found):
                     column.append(part)
+                runs += [
+                    xxhash.xxh3_64_intdigest(data[low:high])
+                    for low, high in zip(
+                        found[1].tolist(), (found[1] + found[2] + length - 1).tolist()
+                    )
+                ]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(keys).view(np.int64)),
                     pa.array(np.concatenate(anchors).view(np.int64)),
                     pa.array(np.concatenate(firsts)),
                     pa.array(np.concatenate(sizes).astype(np.int32)),
+                    pa.array(np.array(runs, np.uint64).view(np.int64)),
                 ],
-                ["text_key", "anchor", "at", "windows"],
+                ["text_key", "anchor", "at", "windows", "run"],
             )
 
     long_enough = documents.where(F.octet_length("text") >= length)
     runs = written(
         long_enough.select("text").mapInArrow(
-            find, "text_key bigint, anchor bigint, at bigint, windows int"
+            find, "text_key bigint, anchor bigint, at bigint, windows int, run bigint"
         ),
         "suffix-runs",
     )
@@ -397,17 +415,12 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
     )
     # Copies of a text are one text here.
     of_texts = written(
-        look_up(runs, often, "anchor", F.col("text_key"), salts=4).distinct(),
+        _met(runs, often, "anchor", "left_semi").dropDuplicates(["text_key", "at"]),
         "suffix-candidates",
     )
-    in_texts = written(
-        of_texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1"),
-        "suffix-anchors",
-    )
-    per_text = (
-        look_up(of_texts, in_texts, "anchor", F.col("text_key"), salts=4)
-        .groupBy("text_key")
-        .agg(F.collect_list(F.struct("anchor", "at", "windows", "runs")).alias("wanted"))
+    whole, to_sort, anchors = repeated_runs(of_texts)
+    per_text = to_sort.groupBy("text_key").agg(
+        F.collect_list(F.struct("anchor", "at", "windows", "runs", "copies")).alias("wanted")
     )
     first_copy = long_enough.groupBy(F.xxhash64("text").alias("text_key")).agg(
         F.min("doc_id").alias("copy")
@@ -424,23 +437,25 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
                 data = unpacked(packed)
                 for run in runs:
                     at = run["at"]
-                    rows.append((key, run["anchor"], run["runs"], at,
+                    rows.append((key, run["anchor"], run["runs"], run["copies"], at,
                                  data[at : at + run["windows"] + length - 1]))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, one) for column, one in zip(columns, kinds)],
-                ["text_key", "anchor", "runs", "at", "content"],
+                ["text_key", "anchor", "runs", "copies", "at", "content"],
             )
 
-    assert kind.elementType.names == ["anchor", "at", "windows", "runs"]
+    assert kind.elementType.names == ["anchor", "at", "windows", "runs", "copies"]
     texts = packed_texts(long_enough).join(
         wanted.withColumnRenamed("text_key", "_key"),
         (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("copy")),
     )
-    cut_schema = "text_key bigint, anchor bigint, runs bigint, at bigint, content binary"
+    cut_schema = (
+        "text_key bigint, anchor bigint, runs bigint, copies bigint, at bigint, content binary"
+    )
     contents = texts.select("text_key", "packed", "wanted").mapInArrow(cut, cut_schema)
-    is_hot = in_texts.where(F.col("runs") > most_runs).limit(1).count() > 0
+    is_hot = anchors.where(F.col("runs") > most_runs).limit(1).count() > 0
     if is_hot:
         contents = written(contents, "suffix-contents")
 
@@ -448,18 +463,18 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
         for table, _ in whole_groups(batches, ["anchor"]):
             yield _of_runs(table, length)
 
-    ranges = (
+    ranges = whole.unionByName(
         contents.where(F.col("runs") <= most_runs)
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(sort, "text_key bigint, first bigint, last bigint")
-        .groupBy("text_key")
-        .agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     )
     if is_hot:
         hot = contents.where(F.col("runs") > most_runs)
         ranges = ranges.unionByName(_hot_ranges(hot, length, anchor))
-    return ranges
+    return ranges.groupBy("text_key").agg(
+        F.collect_list(F.struct("first", "last")).alias("ranges")
+    )
 
 
 def merged_spans(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -498,9 +513,7 @@ def remove_repeats(
     hash of 64 bits.
     """
     ranges = repeated_ranges(documents, length, anchor, most_runs)
-    per_text = ranges.groupBy(F.col("text_key").alias("_key")).agg(
-        F.flatten(F.collect_list("ranges")).alias("ranges")
-    )
+    per_text = ranges.withColumnRenamed("text_key", "_key")
     copies = (
         documents.where(F.octet_length("text") >= length)
         .groupBy(F.xxhash64("text").alias("_key"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 import random
+import re
 import struct
 from collections import Counter, defaultdict
 
@@ -308,6 +309,31 @@ def test_ranges_of_hot_runs_are_not_spread_into_rows(documents, plan_of):
     assert "Generate" not in plan_of(ranges)
 
 
+def test_ranges_of_hot_runs_need_no_join_by_run(documents, plan_of):
+    plan = plan_of(suffixes.repeated_ranges(documents, 60, 30, 1))
+    joins = re.findall(r"Join \[(\w+)#\d+L?(?:, (\w+)#\d+L?)?", plan)
+    assert joins and not [keys for keys in joins if keys[0] == "run"]
+
+
+def test_equal_runs_are_counted_and_sorted_once(spark):
+    # Anchor 1: one run at three places and another; anchor 2: one run twice; anchor 3: two runs.
+    places = spark.createDataFrame(
+        [(7, 1, 0, 5, 10), (8, 1, 3, 5, 10), (8, 1, 50, 5, 10), (9, 1, 4, 5, 11),
+         (7, 2, 9, 2, 20), (9, 2, 9, 2, 20), (8, 3, 90, 4, 30), (9, 3, 91, 3, 31)],
+        "text_key bigint, anchor bigint, at bigint, windows int, run bigint",
+    )
+    whole, to_sort, anchors = suffixes.repeated_runs(places)
+    assert Counter(map(tuple, whole.collect())) == Counter(
+        [(7, 0, 4), (8, 3, 7), (8, 50, 54), (7, 9, 10), (9, 9, 10)]
+    )
+    columns = ("anchor", "run", "windows", "copies", "runs", "text_key", "at")
+    assert Counter(map(tuple, to_sort.select(*columns).collect())) == Counter(
+        [(1, 10, 5, 3, 2, 7, 0), (1, 11, 5, 1, 2, 9, 4),
+         (3, 30, 4, 1, 2, 8, 90), (3, 31, 3, 1, 2, 9, 91)]
+    )
+    assert Counter(map(tuple, anchors.collect())) == Counter([(1, 2), (3, 2)])
+
+
 @pytest.mark.parametrize("most_runs", [100_000, 1])
 def test_repeats(documents, rows, most_runs):
     length = 60
