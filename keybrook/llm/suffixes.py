@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from keybrook.llm.common import MOST_BROADCAST_ROWS, look_up, written
+from keybrook.llm.common import MOST_BROADCAST_ROWS, forget, look_up, written
 from keybrook.llm.components import parts, whole_groups
 from keybrook.llm.packed import packed_texts, unpacked
 from keybrook.llm.word_hashes import prefix_sums, span_hashes
@@ -418,6 +418,7 @@ def repeated_ranges(documents: DataFrame, length: int, anchor: int, most_runs: i
         _met(runs, often, "anchor", "left_semi").dropDuplicates(["text_key", "at"]),
         "suffix-candidates",
     )
+    forget(runs)
     whole, to_sort, anchors = repeated_runs(of_texts)
     per_text = to_sort.groupBy("text_key").agg(
         F.collect_list(F.struct("anchor", "at", "windows", "runs", "copies")).alias("wanted")

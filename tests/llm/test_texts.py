@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pathlib
 import pickle
 import random
 import re
@@ -315,6 +316,17 @@ def test_ranges_of_hot_runs_need_no_join_by_run(documents, plan_of):
     assert joins and not [keys for keys in joins if keys[0] == "run"]
 
 
+def test_runs_that_were_filtered_leave_the_disk(documents, monkeypatch):
+    made = []
+    monkeypatch.setattr(
+        suffixes, "written", lambda *of, write=suffixes.written: made.append(write(*of)) or made[-1]
+    )
+    suffixes.repeated_ranges(documents, 60, 30, 1)
+    folders = [frame.inputFiles()[0].removeprefix("file://").rpartition("/")[0] for frame in made]
+    left = [pathlib.Path(folder).exists() for folder in folders]
+    assert left.count(False) == 1 and not left[0]
+
+
 def test_equal_runs_are_counted_and_sorted_once(spark):
     # Anchor 1: one run at three places and another; anchor 2: one run twice; anchor 3: two runs.
     places = spark.createDataFrame(
