@@ -26,6 +26,24 @@ def keyed_words(lines: DataFrame) -> DataFrame:
     )
 
 
+def pack_words(lines: DataFrame) -> DataFrame:
+    """The words of each line as one text: no word has a space, so one stands between two.
+
+    The other columns of the line are kept, save its key. A line without words has no text.
+    """
+    kept = [name for name in lines.columns if name not in ("key", "value")]
+    split = lines.select(*kept, split_text(F.col("value")).alias("parts"))
+    found = split.select(*kept, without_trailing_empty(F.col("parts")).alias("found"))
+    joined = F.when(F.size("found") > 0, F.array_join("found", " "))
+    return found.select(*kept, joined.alias("value"))
+
+
+def unpack_words(packed: DataFrame) -> DataFrame:
+    """What ``keyed_words`` gives of the lines that ``pack_words`` was given."""
+    kept = [name for name in packed.columns if name != "value"]
+    return packed.select(*kept, F.posexplode(F.split("value", " ", -1)).alias("pos", "key"))
+
+
 def word_counts(lines: DataFrame) -> DataFrame:
     """``key`` (the word) and ``count``, over all lines."""
     split = lines.select(split_text(F.col("value")).alias("parts"))
@@ -49,6 +67,7 @@ def word_changelog(
         order_by,
         split=keyed_words,
         split_order=["pos"],
+        packing=(pack_words, unpack_words),
         # Between two words there is a character, and each but the first has one or more; the
         # first may be empty.
         most_per_row=F.floor(F.char_length("value") / 2) + 1,

@@ -6,8 +6,14 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from keybrook.operators.changelog import in_order_blocks, running_count
-from keybrook.plans.word_count import keyed_words, word_changelog, word_counts
+from keybrook.operators.changelog import _dealt_evenly, in_order_blocks, running_count
+from keybrook.plans.word_count import (
+    keyed_words,
+    pack_words,
+    unpack_words,
+    word_changelog,
+    word_counts,
+)
 
 LINE = "Fir Oak Elm Fir Fir Fir Fir Fir Oak Oak Oak"
 
@@ -169,3 +175,78 @@ def test_the_records_of_blocks_are_sorted_once(spark, plan_of):
 def test_the_search_for_a_block_is_compiled(spark, plan_of):
     frame = spark.range(1000).select(F.col("id").alias("offset"))
     assert "lambda" not in plan_of(in_order_blocks(frame, ["offset"], 1000, 10))
+
+
+def test_thousands_of_blocks_fit_into_the_plan(spark, plan_of):
+    """Each cut is in the plan once, and no join puts the steps of the search into each other."""
+    lines = spark.range(8000).select(
+        F.col("id").alias("offset"), F.concat_ws(" ", F.lit("hot"), F.col("id") % 7).alias("value")
+    )
+    for packing in (None, (pack_words, unpack_words)):
+        log = running_count(
+            lines, ["offset"], split=keyed_words, split_order=["pos"], packing=packing,
+            total=16_000, rows_per_block=4, hot_rows=10,
+        )
+        plan = plan_of(log)
+        final = plan[plan.index("== Initial Plan ==") :] if "== Initial Plan ==" in plan else plan
+        assert "Generate explode(array(" in final
+        assert len(final) < 2 * 8 * 4000 + 50_000
+        assert log.where("key = 'hot'").agg(F.max("count"), F.sum("count")).first()[:] == (
+            8000, 8000 * 8001 // 2,
+        )
+
+
+@pytest.mark.parametrize("rows_per_block", [3, 40, 100_000])
+def test_packed_lines_give_the_records_of_lines(spark, rows_per_block):
+    texts = [
+        "Fir oak, FIR", "", "...", None, " lead", "trail ", "a", "É ß İ x_1", "a b c", "0 0",
+    ]
+    lines = spark.createDataFrame(
+        [(n // 2, text, n) for n, text in enumerate(texts * 9)],
+        "offset bigint, value string, source int",
+    )
+    unpacked = unpack_words(pack_words(lines))
+    assert sorted(map(tuple, unpacked.collect())) == sorted(map(tuple, keyed_words(lines).collect()))
+    order = ["offset", "source"]
+    logs = [
+        running_count(
+            lines, order, split=keyed_words, split_order=["pos"], packing=packing,
+            rows_per_block=rows_per_block, hot_rows=hot_rows,
+        ).select("offset", "source", "pos", "key", "count")
+        for packing, hot_rows in ((None, 1000), (None, 10), ((pack_words, unpack_words), 10))
+    ]
+    plain, by_key, packed = (sorted(map(tuple, log.collect())) for log in logs)
+    assert plain == by_key == packed
+
+
+def test_packed_lines_are_shuffled_as_lines(spark, tmp_path, plan_of):
+    """The words of a line are shuffled in one row, once, and stay where they are counted."""
+    path = str(tmp_path / "lines")
+    spark.createDataFrame(
+        [(n, "a b hot " * 20) for n in range(200)], "offset bigint, value string"
+    ).write.parquet(path)
+    log = word_changelog(spark.read.parquet(path), rows_per_block=1000, hot_rows=100)
+    log.collect()
+    plan = plan_of(log)
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    assert "Join" not in final and final.count("row_number") == 0
+    # Of the lines, of the counts to their keys, and of the starts to their blocks.
+    assert plan[plan.index("== Initial Plan ==") :].count("Exchange hashpartitioning") == 4
+
+
+def test_blocks_are_dealt_evenly(spark):
+    blocked = spark.range(3000).select(F.col("id").alias("order_block"))
+    dealt = _dealt_evenly(blocked, 3000, 100)
+    held = dealt.groupBy(F.pmod(F.hash("order_block"), F.lit(100))).count().collect()
+    assert len(held) == 100 and max(row["count"] for row in held) <= 31
+    numbers = [row.order_block for row in dealt.collect()]
+    assert len(set(numbers)) == 3000 and sorted(numbers) == numbers
+
+
+@pytest.mark.parametrize("rows", [1010, 1100, 1590])
+def test_no_block_is_left_with_what_the_others_do_not_take(spark, rows):
+    """The sample is no multiple of the number of blocks."""
+    frame = spark.range(rows).select(F.col("id").alias("at"))
+    held = [row["count"] for row in in_order_blocks(frame, ["at"], 100, 1).groupBy("order_block").count().collect()]
+    assert len(held) == 100 and max(held) <= -(-rows // 100)
