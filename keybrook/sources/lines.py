@@ -43,5 +43,12 @@ def spread_over_cores(lines: DataFrame) -> DataFrame:
     return lines.repartition(cores)
 
 
+def spread_batch_over_cores(batch: DataFrame) -> DataFrame:
+    """The same for a micro-batch, which does not tell its files: by the splits it has."""
+    splits = batch._jdf.queryExecution().toRdd().getNumPartitions()
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    return batch if splits * 2 > cores else batch.repartition(cores)
+
+
 def _as_records(lines: DataFrame) -> DataFrame:
     return lines.select(F.lit(None).cast("string").alias("key"), F.col("value"))

@@ -7,11 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from keybrook.operators.changelog import HOT_ROWS, ROWS_PER_BLOCK, running_count
+from keybrook.operators.changelog import HOT_ROWS, ROWS_PER_BLOCK, Packing, running_count
 from keybrook.operators.tables import count_by_key
-from keybrook.sources.lines import spread_over_cores
+from keybrook.session import SHUFFLE_CLEANUP_CONF, session_conf
+from keybrook.sources.lines import spread_batch_over_cores
 from keybrook.streaming.sinks import Sink, read_batches, to_folders, write_each_batch
-from keybrook.streaming.tables import totals_after
+from keybrook.streaming.tables import counts_of_batch, totals_after
 
 
 def start_running_count(
@@ -26,6 +27,7 @@ def start_running_count(
     rows_per_block: int = ROWS_PER_BLOCK,
     hot_rows: int = HOT_ROWS,
     sink: Sink | None = None,
+    packing: Packing | None = None,
 ) -> StreamingQuery:
     """Emit each record with the count of its key so far.
 
@@ -40,29 +42,37 @@ def start_running_count(
     totals = f"{root}/totals"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = spread_over_cores(batch).persist()
-        # Counted once: for what came before, and for what comes after.
-        counts = count_by_key(split(batch) if split else batch).persist()
+        # A small batch is spread once. A large one is read again where its rows are needed
+        # again; a copy would be larger than what it is read from.
+        spread = spread_batch_over_cores(batch)
+        kept = spread.persist() if spread is not batch else None
+        batch = spread
         try:
-            total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-            after = totals_after(spark, totals, batch_id, counts, name)
-            before = after.join(counts.withColumnRenamed("count", "_own"), "key").select(
-                "key", (F.col("count") - F.col("_own")).alias("count")
-            )
-            log = running_count(
-                batch,
-                order_by,
-                split=split,
-                split_order=split_order,
-                before=before,
-                total=total,
-                rows_per_block=rows_per_block,
-                hot_rows=hot_rows,
-            )
-            sink(log, batch_id)
+            # What has been shuffled for a step is removed with its end.
+            with session_conf(batch.sparkSession, SHUFFLE_CLEANUP_CONF):
+                counts = count_by_key(split(batch) if split else batch)
+                after = totals_after(spark, totals, batch_id, counts, name)
+                # Counted once: for what came before, and for what comes after.
+                counts = counts_of_batch(spark, totals, batch_id, counts)
+                total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+                before = after.join(counts.withColumnRenamed("count", "_own"), "key").select(
+                    "key", (F.col("count") - F.col("_own")).alias("count")
+                ).where("count > 0")
+                log = running_count(
+                    batch,
+                    order_by,
+                    split=split,
+                    split_order=split_order,
+                    packing=packing,
+                    before=before,
+                    total=total,
+                    rows_per_block=rows_per_block,
+                    hot_rows=hot_rows,
+                )
+                sink(log, batch_id)
         finally:
-            counts.unpersist()
-            batch.unpersist()
+            if kept is not None:
+                kept.unpersist()
 
     return write_each_batch(records, write, name, checkpoint, once)
 

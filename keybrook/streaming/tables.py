@@ -144,3 +144,11 @@ def totals_after(
         remove(spark, f"{root}/in/batch_id={batch_id - 2}")
         remove(spark, f"{root}/after/batch_id={batch_id - 2}")
     return spark.read.schema(schema).parquet(found)
+
+
+def counts_of_batch(
+    spark: SparkSession, root: str, batch_id: int, counts: DataFrame
+) -> DataFrame:
+    """The counts of a batch as ``totals_after`` was given them, read from what it kept."""
+    schema = T.StructType([counts.schema["key"], T.StructField("count", T.LongType())])
+    return spark.read.schema(schema).parquet(f"{root}/in/batch_id={batch_id}")

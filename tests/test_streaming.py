@@ -134,6 +134,31 @@ def test_word_changelog_goes_on_after_a_restart(spark, topics, tmp_path, rows_pe
     assert rows(found.select(*order)) == rows(word_changelog(all_lines(spark)).select(*order))
 
 
+def test_a_large_batch_is_read_again_and_shuffled_once(spark, tmp_path, plan_of):
+    """A copy of the lines of a batch would take several times the disk of the files."""
+    folder = str(tmp_path / "in")
+    spark.createDataFrame(
+        [(n, "a b hot " * 5) for n in range(400)], "offset bigint, value string"
+    ).repartition(16).write.parquet(folder)
+    plans, logs = [], []
+
+    def keep(log, batch_id):
+        logs.extend(log.collect())
+        plans.append(plan_of(log))
+
+    start_word_changelog(
+        spark.readStream.schema("offset bigint, value string").parquet(folder),
+        str(tmp_path / "out"), str(tmp_path / "checkpoint"), once=True,
+        rows_per_block=500, hot_rows=100, sink=keep,
+    ).awaitTermination()
+    [plan] = plans
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert "InMemoryTableScan" not in final and "ReusedExchange" in final
+    assert "RoundRobin" not in final
+    hot = [row["count"] for row in sorted(logs, key=lambda row: (row.offset, row.pos)) if row.key == "hot"]
+    assert len(logs) == 6000 and hot == list(range(1, 2001))
+
+
 def test_two_applications_on_the_same_lines(spark, topics, tmp_path):
     send_lines(topics, range(6))
     for name in ("first", "second"):
