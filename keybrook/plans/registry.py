@@ -506,9 +506,15 @@ def word_changelog_topic(spark: SparkSession, folder: str) -> DataFrame:
         read_topic(spark, f"{work}/topics", WORD_COUNTS_TOPIC), "string", "long"
     )
     # The rank over the whole topic is for the comparison with SQL only.
-    # Only what is shown is shuffled for it.
+    # Only what is shown is shuffled for it, without the one key that all have.
     placed = log.select("key", "value", "offset", F.lit(1).alias("all"))
-    ranked = running_count(placed, ["offset"], key="all", name="place")
+    ranked = running_count(
+        placed,
+        ["offset"],
+        packing=(lambda rows: rows.drop("all"), lambda rows: rows.withColumn("all", F.lit(1))),
+        key="all",
+        name="place",
+    )
     return ranked.select(F.col("key").alias("word"), F.col("value").alias("count"), "place")
 
 

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from keybrook.functions.codecs import Codec
-from keybrook.session import STATE_STORE_CONF, exists, session_conf
-from keybrook.sources.topics import drain, in_one_order, to_envelope, write_batch, write_kafka
+from keybrook.session import STATE_STORE_CONF, exists, remove, session_conf
+from keybrook.sources.topics import (
+    COMPACT,
+    drain,
+    in_one_order,
+    to_envelope,
+    write_batch,
+    write_kafka,
+)
 
 # Takes the rows of a micro-batch and its number.
 Sink = Callable[[DataFrame, int], None]
@@ -156,7 +164,7 @@ def to_folders(root: str) -> Sink:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_folder(root, batch_id))
+        batch.write.mode("overwrite").options(**COMPACT).parquet(batch_folder(root, batch_id))
 
     return write
 
@@ -178,15 +186,20 @@ def to_topic_folder(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        # Read three times: for the width of the offsets, for their span and for the topic. A
+        # cached copy would be several times as large as these files.
+        spark = batch.sparkSession
+        staged = f"{root.rstrip('/')}/_staged-{uuid.uuid4().hex}"
         try:
+            batch.write.options(**COMPACT).parquet(staged)
+            kept = spark.read.schema(batch.schema).parquet(staged)
             records = in_one_order(kept) if "pos" in kept.columns else kept
             envelope = to_envelope(records, topic, key_codec, value_codec)
             write_batch(
                 envelope, root, application, batch_id, run_of(batch), replace_earlier_runs
             )
         finally:
-            kept.unpersist()
+            remove(spark, staged)
 
     return write
 

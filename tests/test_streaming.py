@@ -159,6 +159,23 @@ def test_a_large_batch_is_read_again_and_shuffled_once(spark, tmp_path, plan_of)
     assert len(logs) == 6000 and hot == list(range(1, 2001))
 
 
+def test_a_batch_for_a_topic_is_staged_in_files(spark, tmp_path, monkeypatch):
+    """Not in the cache, whose rows are several times as large."""
+    root = str(tmp_path / "topics")
+    log = spark.createDataFrame(
+        [(offset, pos, f"k{pos}", offset) for offset in range(20) for pos in range(3)],
+        "offset bigint, pos int, key string, value bigint",
+    ).repartition(3)
+    monkeypatch.setattr(type(log), "persist", lambda *_: pytest.fail("a copy in the cache"))
+    sink = to_topic_folder(root, "counts", "words", "string", "long")
+    for _ in range(2):
+        sink(log, 0)
+    stored = from_envelope(read_topic(spark, root, "counts"), "string", "long").orderBy("offset")
+    found = [(row.key, row.value) for row in stored.collect()]
+    assert found == [(f"k{pos}", offset) for offset in range(20) for pos in range(3)]
+    assert not list((tmp_path / "topics").glob("_staged*"))
+
+
 def test_two_applications_on_the_same_lines(spark, topics, tmp_path):
     send_lines(topics, range(6))
     for name in ("first", "second"):
